@@ -91,24 +91,26 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
-def running_sum(scratch: Scratch, df: DataFrame, keys: list[Column], value: str, out: str, partitions: int) -> DataFrame:
-    """df with the sum of the long column value over all earlier rows in the order of keys (a total order).
+def running_sum(scratch: Scratch, df: DataFrame, keys: list[Column], values, outs, partitions: int) -> DataFrame:
+    """df with the sums of the long columns values over all earlier rows in the order of keys, as the columns outs.
 
-    Range partitions hold neighbouring rows, so a key that a third of all rows share is spread as well. The sums of
-    the partitions are one row for each partition; their offsets come from that small table."""
+    Range partitions hold neighbouring rows, so a key that a third of all rows share is spread as soon as the keys
+    differ in a later column. The sums of the partitions are one row for each partition; their offsets come from that
+    small table. Rows that tie in all keys get their sums in any order."""
     from pyspark.sql import Window
 
+    values, outs = ([values], [outs]) if isinstance(values, str) else (values, outs)
     pid = free_name(df, "_pid")
-    own = free_name(df, "_own")
-    ranged = df.repartitionByRange(partitions, *keys).withColumn(pid, F.spark_partition_id())
-    # Window order within a partition is set again after the reread; the key order is total, so it is the same.
-    kept = scratch.write(ranged, f"ranged-{out}")
-    sums = sorted((r[0], r[1]) for r in kept.groupBy(pid).agg(F.sum(value)).collect())  # one row per partition
-    offsets, total = [], 0
-    for p, s in sums:
-        offsets.append((p, total))
-        total += s or 0
-    side = df.sparkSession.createDataFrame(offsets or [(0, 0)], f"{pid} int, {own} long")
+    own = [free_name(df, f"_own{i}") for i in range(len(values))]
+    kept = scratch.write(df.repartitionByRange(partitions, *keys).withColumn(pid, F.spark_partition_id()), f"ranged-{outs[0]}")
+    sums = kept.groupBy(pid).agg(*[F.sum(v).alias(o) for v, o in zip(values, own)]).collect()  # one row per partition
+    offsets, total = [], [0] * len(values)
+    for row in sorted(sums, key=lambda r: r[0]):
+        offsets.append((row[0], *total))
+        total = [t + (s or 0) for t, s in zip(total, row[1:])]
+    side = df.sparkSession.createDataFrame(offsets or [(0, *total)], ", ".join([f"{pid} int", *[f"{o} long" for o in own]]))
     w = Window.partitionBy(pid).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(value).over(w), F.lit(0))
-    return kept.join(F.broadcast(side), pid).withColumn(out, F.col(own) + before).drop(pid, own)
+    met = kept.join(F.broadcast(side), pid)
+    for v, o, b in zip(values, outs, own):
+        met = met.withColumn(o, F.col(b) + F.coalesce(F.sum(v).over(w), F.lit(0)))
+    return met.drop(pid, *own)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, mixing, packing
 
 
 def queries() -> dict:
-    return {"op4_exact_dedup": exact_dedup.op4_exact_dedup}
+    return {
+        "op2_mixing": mixing.op2_mixing,
+        "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op7_packing": packing.op7_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
