@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, mixing, packing, quality, sharding
 
 
 def queries() -> dict:
     return {
+        "op1_sharding": sharding.op1_sharding,
         "op2_mixing": mixing.op2_mixing,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op7_packing": packing.op7_packing,
+        "op9_quality_classifier": quality.op9_quality_classifier,
     }
 
 
