@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from . import common
 from ..session import ship
 
-DEGREE = 20
-REVERSE = 20
+DEGREE = 24
+REVERSE = 24
 ROUNDS = 12
 STOP = 0.003  # share of graph entries that a round must change to go on
-BEAM = 64
-EXPAND = 8
-STEPS = 14
+BEAM = 256
+EXPAND = 32
+STEPS = 16
 ENTRIES = 16
 
 
@@ -48,6 +48,7 @@ def nodes(scratch: common.Scratch, df: DataFrame, id_col: str, vec_col: str, k:
         scratch, members.withColumn("one", F.lit(1).cast("long")).withColumn("low", F.element_at("ids", 1)), [F.col("low"), F.col("ids"), F.col("v")], "one", "node", parts
     )
     out = scratch.write(ranked.select("node", "ids", "v"), "nodes")
+    # Queries are matched to their nodes by the vector itself.
     return out, scratch.write(asked.join(out.select("node", "v"), "v").select("query", "node", "v"), "queries")
 
 
@@ -106,14 +107,15 @@ def _nearest(df: DataFrame, key: str, n: int, *order) -> DataFrame:
     return df.withColumn("at", at).filter(F.col("at") <= n).drop("at")
 
 
-def graph(scratch: common.Scratch, vectors: DataFrame, n: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def graph(scratch: common.Scratch, units: DataFrame, n: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """src, dst: the neighbours of each node after NN-descent."""
     spark = scratch.spark
-    units = scratch.write(_units(vectors), "units")
     start = units.select(F.col("node").alias("src"), F.explode(F.sequence(F.lit(1), F.lit(degree))).alias("j"))
     start = start.select("src", F.pmod(F.xxhash64("src", "j"), F.lit(n)).alias("dst")).filter("src != dst").distinct()
     g = scratch.write(start.select("src", "dst", F.lit(-2.0).alias("sim"), F.lit(True).alias("new")), "graph-0")
-    for turn in range(1, rounds + 1):
+    turn = 0
+    while turn < rounds:
+        turn += 1
         reverse = _nearest(g.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "new"), "src", REVERSE, F.desc("new"), F.xxhash64("dst", "src", F.lit(turn)))
         lists = g.select("src", "dst", "new").unionByName(reverse).groupBy("src", "dst").agg(F.max("new").alias("new"))
         least = g.groupBy(F.col("src").alias("node")).agg(F.when(F.count(F.lit(1)) >= degree, F.min("sim")).otherwise(-2.0).cast("float").alias("least"))
@@ -153,6 +155,28 @@ def _scored(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFra
     return met.select("query", "node", "qv", "nv").mapInArrow(_cosines(["query", "node"]), "query long, node long, score double")
 
 
+def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row is a query, its unit and the nodes to score."""
+    for batch in batches:
+        query, node, score = [], [], []
+        ids, own, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        for k, q in enumerate(ids):
+            m = lists[k].values
+            unit = np.frombuffer(b"".join(m.field("unit").to_pylist()), np.float16).reshape(len(m), -1).astype(np.float32)
+            query.append(np.full(len(m), q))
+            node.append(np.asarray(m.field("node")))
+            score.append((unit @ np.frombuffer(own[k], np.float16).astype(np.float32)).astype(np.float64))
+        if query:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (query, node, score)], names=["query", "node", "score"])
+
+
+def _estimated(pairs: DataFrame, queries: DataFrame, units: DataFrame) -> DataFrame:
+    """Scores from half floats for the walk. A query has at most EXPAND * (DEGREE + REVERSE) pairs in a step."""
+    lists = pairs.join(units, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("nodes"))
+    met = lists.join(queries.select("query", F.col("unit").alias("own")), "query").select("query", "own", "nodes")
+    return met.mapInArrow(_near, "query long, node long, score double")
+
+
 def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, divisor: int = 50) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query (an id that divisor divides), or all
     candidates if fewer. Ties go to the smaller id; an empty table or one vector gives no rows."""
@@ -161,23 +185,28 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     scratch = common.Scratch(spark)
     vectors, queries = nodes(scratch, df, id_col, vec_col, k, divisor)
     n = vectors.count()
-    edges = scratch.write(graph(scratch, vectors, max(n, 1)), "edges") if n > 1 else spark.createDataFrame([], "src long, dst long")
+    units = scratch.write(_units(vectors), "units")
+    asked = scratch.write(queries.select("query", "node").join(units, "node"), "asked")
+    edges = scratch.write(graph(scratch, units, max(n, 1)), "edges") if n > 1 else spark.createDataFrame([], "src long, dst long")
     back = _nearest(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), "src", REVERSE, F.xxhash64("dst"))
     walk = scratch.write(edges.unionByName(back).distinct(), "walk")
     own = queries.select("query", "node")
     random = queries.select("query", F.explode(F.sequence(F.lit(1), F.lit(ENTRIES))).alias("j")).select("query", F.pmod(F.xxhash64("query", "j"), F.lit(max(n, 1))).alias("node"))
-    beam = scratch.write(_scored(own.unionByName(random).distinct(), queries, vectors).withColumn("open", F.lit(True)), "beam-0")
+    beam = scratch.write(_estimated(own.unionByName(random).distinct(), asked, units).withColumn("open", F.lit(True)), "beam-0")
     for step in range(1, STEPS + 1):
         front = _nearest(beam.filter("open"), "query", EXPAND, F.desc("score"), F.asc("node")).select("query", "node")
         reached = front.join(walk, front.node == walk.src).select("query", F.col("dst").alias("node")).distinct()
         fresh = reached.join(beam.select("query", "node"), ["query", "node"], "left_anti")
         closed = beam.join(front.withColumn("hit", F.lit(True)), ["query", "node"], "left").select("query", "node", "score", (F.col("open") & F.col("hit").isNull()).alias("open"))
-        grown = closed.unionByName(_scored(fresh, queries, vectors).withColumn("open", F.lit(True)))
+        grown = closed.unionByName(_estimated(fresh, asked, units).withColumn("open", F.lit(True)))
         beam = scratch.write(_nearest(grown, "query", BEAM, F.desc("score"), F.asc("node")), f"beam-{step}")
         scratch.drop(f"beam-{step - 1}")
+        spark._jvm.System.gc()
         if not beam.filter("open").limit(1).count():
             break
-    hits = beam.select("query", "node", "score").join(vectors.select("node", "ids"), "node")
+    # The nearest by half floats are scored exactly; their errors are far below the distance from the k-th to these.
+    best = scratch.write(_scored(_nearest(beam, "query", 8 * k, F.desc("score"), F.asc("node")).select("query", "node"), queries, vectors), "best")
+    hits = best.join(vectors.select("node", "ids"), "node")
     hits = hits.select(F.col("query").alias("query_id"), F.explode("ids").alias("vec_id"), "score").filter("query_id != vec_id")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return hits.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
