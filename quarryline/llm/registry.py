@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bagminhash, exact_dedup, mixing, packing, quality, sharding
+from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding
 
 
 def queries() -> dict:
@@ -11,9 +11,11 @@ def queries() -> dict:
         "op2_mixing": mixing.op2_mixing,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_bagminhash": bagminhash.op5_bagminhash,
+        "op6_fm_index": fmindex.op6_fm_index,
         "op7_packing": packing.op7_packing,
         "op8_nn_descent": ann.op8_nn_descent,
         "op9_quality_classifier": quality.op9_quality_classifier,
+        "op10_lyndon_suffixes": lyndon.op10_lyndon_suffixes,
     }
 
 
