@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding
+from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding, tokenfiles
 
 
 def queries() -> dict:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_mixing": mixing.op2_mixing,
+        "op3_training_order": tokenfiles.op3_training_order,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_bagminhash": bagminhash.op5_bagminhash,
         "op6_fm_index": fmindex.op6_fm_index,
