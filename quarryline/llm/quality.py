@@ -22,6 +22,8 @@ BITS = 17
 DIM = 8
 GRAMS = (3, 4, 5)
 EPOCHS = 5
+#: Training steps at least.
+STEPS = 15_000
 RATE = 0.6
 #: Labelled rows of each class that training reads at most, those with the smallest hash of their id.
 SAMPLE = 1500
@@ -83,9 +85,14 @@ def train(sample: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = EPOCHS
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     rows = np.zeros((2, DIM), np.float32)
-    steps, done = max(1, epochs * len(sample)), 0
+    classes = [np.asarray([k for k, x in enumerate(sample) if x[0] == c], np.int64) for c in (0, 1)]
+    most = max(len(c) for c in classes)
+    # The smaller class is repeated to the size of the larger one; small samples get more epochs.
+    turn = np.concatenate([np.resize(c, most) for c in classes if len(c)] or [np.empty(0, np.int64)])
+    epochs = max(epochs, -(-STEPS // max(1, len(turn)))) if len(turn) else 0
+    steps, done = max(1, epochs * len(turn)), 0
     for _ in range(epochs):
-        for k in rng.permutation(len(sample)):
+        for k in rng.permutation(turn):
             label, bucket, share = sample[k]
             own = vectors[bucket]
             hidden = share @ own
