@@ -7,10 +7,10 @@ below its weight and, of the block that its weight cuts, those placed below. A c
 two texts agree in a component with the probability of their weighted Jaccard similarity. Points are drawn in the
 order of time only until every component is filled, so a signature costs little more than a pass over the shingles.
 
-Texts with the same words are one node. In each bucket (band and its values) all nodes are compared with a leader;
-what passes is merged, and buckets that hold several components get other leaders, until either all pairs of
-different components are compared or few enough are left to compare them all. Thus no pair that shares a band stays
-unlinked, and a group of near copies costs a few comparisons a member.
+Texts with the same words are one node. In each bucket (band and its values) all nodes are first compared with the least
+one. Texts whose shingles are too often nobody else's are then known to have no further link. Buckets that still hold
+several components are cut into tiles, and pairs of tiles are compared within a task, each pair of texts in the first
+band it shares: no pair that shares a band stays unlinked, and only links leave the task.
 """
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ WORDS = 5
 SIMILARITY = 0.8
 #: A pair at 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6.
 BANDS, ROWS = 32, 5
+#: Ids that are broadcast at most (16 MB).
+BROADCAST_IDS = 1 << 21
+#: Texts of a tile on average.
+TILE = 200
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
 
@@ -168,7 +172,89 @@ def _verified(scratch, pairs: DataFrame, prints: DataFrame, least: float, tag: s
     return scratch.write(met.filter(F.col("sim") >= least), f"links-{tag}")
 
 
-def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = WORDS, leaders: int = 6) -> DataFrame:
+def _linkable(live: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """live with known, the number of prints of each text that another text of live has too; texts that cannot reach
+    the similarity with any size of partner are left out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                p = np.unique(np.frombuffer(batch.column(1)[k].as_buffer(), np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), batch.column(0)[k].as_py())), pa.array(p)], names=["doc", "print"])
+
+    docs = live.select("doc").distinct()
+    each = prints.join(docs, "doc", "left_semi").select("doc", "prints").mapInArrow(run, "doc long, print int")
+    alone = each.groupBy("print").agg(F.min("doc").alias("doc"), F.max("doc").alias("hi")).filter("doc = hi").groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))
+    return live.join(alone, "doc", "left").withColumn("known", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone").filter(F.col("known") >= least * F.col("n"))
+
+
+def _pairs_within(least: float):
+    """Rows of one group after the other: group, band, doc, n, known, comp, tile, keys, prints; out come the links of
+    texts of different components, and of different tiles if the group has two."""
+
+    def links(t: pa.Table) -> tuple[list, list, list]:
+        band, doc, n, known, comp, tile = (t.column(c).to_numpy() for c in ("band", "doc", "n", "known", "comp", "tile"))
+        keys = np.asarray(t.column("keys").combine_chunks().flatten()).reshape(len(doc), -1)
+        prints = [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("prints")]
+        two = tile.min() != tile.max()
+        out: tuple[list, list, list] = ([], [], [])
+        for i in range(len(doc)):
+            j = np.arange(i + 1, len(doc))
+            # What two texts have in common is at most what each has in common with any other one.
+            ok = (comp[j] != comp[i]) & (np.minimum(known[j], known[i]) >= least / (1 + least) * (n[i] + n[j]))
+            if two:
+                ok &= tile[j] != tile[i]
+            j = j[ok]
+            if len(j):
+                j = j[(keys[j] == keys[i]).argmax(axis=1) == band[0]]
+            for k in j.tolist():
+                both = np.concatenate([prints[i], prints[k]])
+                both.sort(kind="stable")
+                same = int((both[1:] == both[:-1]).sum())
+                if same >= least * (len(both) - same):
+                    for column, v in zip(out, (doc[i], doc[k], same / (len(both) - same))):
+                        column.append(v)
+        return out
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in _then_none(batches):
+            t = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if t is None or not t.num_rows:
+                continue
+            g = t.column("group").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            ends = np.append(cut[1:], len(g))
+            if batch is not None:  # the last group may go on
+                held, cut, ends = t.slice(cut[-1]), cut[:-1], ends[:-1]
+            found: tuple[list, list, list] = ([], [], [])
+            for lo, hi in zip(cut.tolist(), ends.tolist()):
+                if hi - lo > 1:
+                    for column, more in zip(found, links(t.slice(lo, hi - lo))):
+                        column += more
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], names=["a", "b", "sim"])
+
+    return run
+
+
+def _then_none(items: Iterable) -> Iterator:
+    yield from items
+    yield None
+
+
+def _tiled(scratch: common.Scratch, live: DataFrame, rows: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """a, b, sim: the links between components within the buckets of live."""
+    docs = scratch.write(rows.select("doc", "keys").join(live.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]).join(prints, "doc"), "texts")
+    count = live.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    put = live.join(scratch.write(count.select("key", "tiles"), "tiles"), "key").withColumn("tile", F.pmod(F.xxhash64("doc"), F.col("tiles")).cast("int"))
+    put = put.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    put = put.withColumn("group", F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")))
+    put = put.join(docs, "doc").select("group", "band", "doc", "n", "known", "comp", "tile", "keys", "prints")
+    parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    return put.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_pairs_within(least), "a long, b long, sim double")
+
+
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """One row per row of df: doc_id, class_id (the least id of its class), class_size, kept.
 
     A class is a connected component of the links of similarity `least` or more. Texts with the same words are one
@@ -184,44 +270,27 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     )
     size = F.col("words") - (words - 1)
     rows = own.filter("keys is not null").join(reps.select(F.col("rep").alias("doc"), "h1", "h2"), ["doc", "h1", "h2"], "left_semi")
-    keyed = rows.select("doc", size.alias("n"), F.explode("keys").alias("key")).distinct()
-    shared = keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("key")
-    members = scratch.write(keyed.join(scratch.write(shared, "shared"), "key", "left_semi"), "members")
+    keyed = rows.select("doc", size.alias("n"), F.posexplode("keys").alias("band", "key"))
+    shared = scratch.write(keyed.groupBy("key").agg(F.min("doc").alias("lead"), F.max("doc").alias("hi")).filter("lead < hi").select("key", "lead"), "shared")
+    common.release(spark)
+    members = scratch.write(keyed.join(shared, "key"), "members")
+    common.release(spark)
     labels = scratch.write(members.select("doc").distinct().select("doc", F.col("doc").alias("comp")), "labels")
-    wanted = _binary(df, id_col, text_col).join(labels.select("doc"), "doc", "left_semi")
-    prints = scratch.write(_prints(wanted, words).dropDuplicates(["doc"]), "prints")
-    spark._jvm.System.gc()  # lets go of the shuffle files of the earlier steps
-    tested = None
-    for turn in range(1, leaders + 2):
-        live = members.join(labels, "doc")
-        buckets = live.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("comps"), F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares")
-        ).filter("comps > 1")
-        buckets = scratch.write(buckets.select("key", "all", ((F.col("all") * F.col("all") - F.col("squares")) / 2).cast("long").alias("cross")), f"buckets-{turn}")
-        cross, all_ = buckets.agg(F.sum("cross"), F.sum("all")).first()
-        if not cross:
-            break
-        live = scratch.write(live.join(buckets.select("key"), "key", "left_semi"), f"live-{turn}")
-        last = turn > leaders or cross <= 2 * all_
-        if last:
-            x, y = live.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")), live.select("key", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "key").filter("a < b")
-        else:
-            order = F.col("doc") if turn == 1 else F.xxhash64("doc", F.lit(turn))
-            lead = live.groupBy("key").agg(F.min_by(F.struct("doc", "n", "comp"), order).alias("l"))
-            lead = scratch.write(lead.select("key", F.col("l.doc").alias("b"), F.col("l.n").alias("nb"), F.col("l.comp").alias("cb")), f"lead-{turn}")
-            pairs = live.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")).join(lead, "key")
-        # Sizes that differ by more cannot reach the similarity.
-        pairs = pairs.filter((F.col("ca") != F.col("cb")) & (F.least("na", "nb") >= least * F.greatest("na", "nb")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, f"pairs-{turn}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components.merge(scratch, labels, _verified(scratch, pairs, prints, least, str(turn)), str(turn))
-        spark._jvm.System.gc()
-        if last:
-            break
+    wanted = labels.select("doc")
+    if wanted.count() <= BROADCAST_IDS:  # else both sides are dealt by id
+        wanted = F.broadcast(wanted)
+    prints = scratch.write(_prints(_binary(df, id_col, text_col).join(wanted, "doc", "left_semi"), words).dropDuplicates(["doc"]), "prints")
+    common.release(spark)
+    # First every member of a bucket meets the least one.
+    tested = scratch.write(members.filter("doc != lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "pairs-0")
+    labels = components.merge(scratch, labels, _verified(scratch, tested, prints, least, "0"), "0")
+    common.release(spark)
+    live = members.drop("lead").join(labels, "doc")
+    buckets = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    live = scratch.write(_linkable(scratch.write(live.join(buckets, "key", "left_semi"), "live"), prints, least), "linkable")
+    common.release(spark)
+    labels = components.merge(scratch, labels, scratch.write(_tiled(scratch, live, rows, prints, least), "links-1"), "1")
+    common.release(spark)
     named = scratch.write(reps.join(labels, reps.rep == labels.doc, "left").select("h1", "h2", F.coalesce("comp", "rep").alias("comp")), "named")
     final = own.select("doc", "h1", "h2", "words").join(named, ["h1", "h2"], "left")
     final = scratch.write(final.select("doc", F.when(F.col("words") > 0, F.col("comp")).otherwise(F.col("doc")).alias("comp")), "final")

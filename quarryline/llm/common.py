@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +56,14 @@ def _clean(spark: SparkSession, owned: list[str]) -> None:
             return
 
 
+def release(spark: SparkSession) -> None:
+    """Let the cleaner delete the shuffle files of steps whose results are written; it acts when plans are collected
+    as garbage on the driver."""
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(0.3)
+
+
 class Scratch:
     """Tables written in the shared folder to cut lineage. drop() deletes those that are not needed any more."""
 

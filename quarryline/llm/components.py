@@ -1,4 +1,4 @@
-"""Connected components over written tables: neighbours' least labels with pointer jumping."""
+"""Connected components over written tables: least labels of neighbours with pointer jumping."""
 
 from __future__ import annotations
 
@@ -9,22 +9,22 @@ from . import common
 
 
 def merge(scratch: common.Scratch, labels: DataFrame, edges: DataFrame, tag: str) -> DataFrame:
-    """labels (doc, comp) after merging the components that edges (a, b) join; a component is named by its least doc."""
+    """labels (doc, comp) after merging the components that edges (a, b) join; a component is named by its least doc.
+
+    Edges become edges of components, of which few are left; their least labels spread along the edges, and each label
+    jumps to its own label, one job a turn."""
+    la, lb = labels.select(F.col("doc").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("doc").alias("b"), F.col("comp").alias("cb"))
+    one = edges.join(la, "a").join(lb, "b").filter("ca != cb").select("ca", "cb")
+    both = scratch.write(one.unionByName(one.select(F.col("cb").alias("ca"), F.col("ca").alias("cb"))).distinct(), f"edges-{tag}")
+    state = scratch.write(both.groupBy("ca").agg(F.min("cb").alias("cb")).select("ca", F.least("ca", "cb").alias("to"), F.lit(True).alias("moved")), f"state-{tag}-0")
     turn = 0
-    while True:
+    while state.filter("moved").limit(1).count():
         turn += 1
-        la, lb = labels.select(F.col("doc").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("doc").alias("b"), F.col("comp").alias("cb"))
-        open_ = scratch.write(edges.join(la, "a").join(lb, "b").filter("ca != cb").select("ca", "cb").distinct(), f"open-{tag}-{turn}")
-        if not open_.limit(1).count():
-            return labels
-        both = open_.unionByName(open_.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
-        up = scratch.write(both.groupBy(F.col("ca").alias("x")).agg(F.min("cb").alias("p")).withColumn("p", F.least("x", "p")), f"up-{tag}-{turn}")
-        jump = 0
-        while True:  # each node points to a smaller one; halve the paths until all point to roots
-            jump += 1
-            far = up.select(F.col("x").alias("p"), F.col("p").alias("q"))
-            new = scratch.write(up.join(far, "p", "left").select("x", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")), f"up-{tag}-{turn}-{jump}")
-            up = new.select("x", "p")
-            if not new.filter("moved").limit(1).count():
-                break
-        labels = scratch.write(labels.join(up.withColumnRenamed("x", "comp"), "comp", "left").select("doc", F.coalesce("p", "comp").alias("comp")), f"labels-{tag}-{turn}")
+        around = both.join(state.select(F.col("ca").alias("cb"), F.col("to").alias("near")), "cb").groupBy("ca").agg(F.min("near").alias("near"))
+        far = state.select(F.col("ca").alias("to"), F.col("to").alias("far"))
+        least = F.least("to", "near", "far")
+        state = scratch.write(state.select("ca", "to").join(around, "ca").join(far, "to").select("ca", least.alias("to"), (least != F.col("to")).alias("moved")), f"state-{tag}-{turn}")
+    if not turn:
+        return labels
+    known = state.select(F.col("ca").alias("comp"), "to")
+    return scratch.write(labels.join(known, "comp", "left").select("doc", F.coalesce("to", "comp").alias("comp")), f"labels-{tag}")
