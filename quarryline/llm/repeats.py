@@ -8,8 +8,9 @@ FM-index for words, a suffix array for bytes):
 2. For anchors that are shared, the context (the stretch that holds all windows of the anchor) is combined by content:
    the least id that has it. An anchor with one context needs no search: its context is indexed once and equals itself,
    so windows of documents with greater ids match whole.
-3. All distinct contexts of the other anchors go to the engine, sharded by the anchor. Anchors with very many contexts
-   are dealt by window instead, so no anchor makes a large shard.
+3. All distinct contexts of the other anchors go to the engine, sharded by the least document that has the anchor, so
+   that overlapping contexts travel as one stretch. Where that makes a large shard, they are dealt by anchor, and for
+   anchors with very many contexts by window.
 4. The engine reports windows that a smaller id holds too; copies of a context follow their least id.
 """
 
@@ -29,10 +30,11 @@ from ..session import ship
 
 WINDOW = 50
 PIECE = 25
-#: Documents of a block on average, units of a shard on average, contexts of an anchor beyond which windows are dealt.
-BLOCK_DOCS, SHARD_UNITS, HOT = 512, 40_000, 500
+#: Documents of a block and units of a shard on average; contexts of a neighbourhood beyond which anchors are dealt, and
+#: of an anchor beyond which windows are.
+BLOCK_DOCS, SHARD_UNITS, HOT_NEAR, HOT = 512, 40_000, 4000, 500
 LAST = np.iinfo(np.int64).max
-_SEEN = "row long, doc long, units long, removed long, spans long, sha string, text binary, at array<int>, anchor array<long>, context array<long>"
+_SEEN = "row long, doc long, units long, removed long, spans long, sha string, at array<int>, anchor array<long>, context array<long>"
 _DONE = "row long, doc_id long, units long, removed long, spans long, sha string"
 
 
@@ -48,14 +50,11 @@ def anchors(units: np.ndarray, window: int = WINDOW, piece: int = PIECE) -> tupl
         return np.empty(0, np.int64), h[:0]
     span = window - piece + 1
     least = tk.sliding_min(h, span)
-    # A window's anchor is the last place of its least hash; equal windows agree in it.
-    hits = np.zeros(len(h), bool)
-    at = np.arange(len(h))
-    key = np.where(np.arange(len(h)) >= 0, h, 0)
-    for lo in range(0, len(least), 1 << 16):
-        part = np.lib.stride_tricks.sliding_window_view(key[lo : lo + (1 << 16) + span - 1], span)[: len(least) - lo]
-        hits[lo + np.arange(len(part)) + span - 1 - part[:, ::-1].argmin(axis=1)] = True
-    return at[hits], h[hits]
+    # A place is an anchor if it holds the least hash of one of its windows; the complement turns max into min.
+    wide = np.full(len(least) + 2 * (span - 1), np.iinfo(np.uint64).max, np.uint64)
+    wide[span - 1 : span - 1 + len(least)] = ~least
+    at = np.flatnonzero(h == ~tk.sliding_min(wide, span))
+    return at, h[at]
 
 
 def contexts(at: np.ndarray, n: int, window: int = WINDOW, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
@@ -82,15 +81,11 @@ class _Block:
 
     def __init__(self, table: pa.Table, words: bool):
         self.row, self.doc, self.text = (table.column(c).to_pylist() for c in ("row", "doc", "text"))
-        self.at, self.hash, self.units = [], [], []
+        self.words, self.at, self.hash = words, [], []
         for t in self.text:
-            u = units_of(t, words)
-            p, h = anchors(u)
+            p, h = anchors(units_of(t, words))
             self.at.append(p)
             self.hash.append(h)
-            lo, hi = contexts(p, len(u))
-            # Only hashes are kept, so a block's memory follows its texts.
-            self.units.append(tk.mix(tk.span_hash(u, lo, hi) + (p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - p).astype(np.uint64)) if len(p) else h)
         everything = np.concatenate([*self.hash, np.empty(0, np.uint64)])
         owner = np.repeat(np.asarray(self.doc, np.int64), [len(h) for h in self.hash])
         order = np.lexsort((owner, everything))
@@ -99,6 +94,15 @@ class _Block:
         self.distinct = h[first]
         self.several = (d[first] != d[np.append(first[1:], len(h)) - 1]) if len(h) else np.empty(0, bool)
 
+    def context(self, k: int, on: np.ndarray) -> np.ndarray:
+        """The hashes of the contexts of some anchors of document k."""
+        p = self.at[k][on]
+        if not len(p):
+            return self.hash[k][:0]
+        u = units_of(self.text[k], self.words)
+        lo, hi = contexts(p, len(u))
+        return tk.mix(tk.span_hash(u, lo, hi) + (p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - p).astype(np.uint64))
+
 
 def _mark(words: bool, bits: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
@@ -138,49 +142,52 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _seen(words: bool) -> Callable:
     def run(table: pa.Table, masks: pa.Table) -> pa.Table:
-        rows = {c: [] for c in ("row", "doc", "units", "removed", "spans", "sha", "text", "at", "anchor", "context")}
+        rows = {c: [] for c in ("row", "doc", "units", "removed", "spans", "sha", "at", "anchor", "context")}
         if table.num_rows:
             b = _Block(table, words)
             parts = sorted(zip(masks.column("bucket").to_pylist(), masks.column("n").to_pylist(), masks.column("hits")), key=lambda x: x[0])
             flags = np.concatenate([*[np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=n) for _, n, x in parts], np.empty(0, np.uint8)]).astype(bool)
             for k, text in enumerate(b.text):
                 on = flags[np.searchsorted(b.distinct, b.hash[k])] if len(b.hash[k]) else np.empty(0, bool)
-                some = bool(on.any())
                 n, lost, runs, sha = result(text, words, None)
-                for c, v in zip(rows, (b.row[k], b.doc[k], n, lost, runs, sha, text if some else None, b.at[k][on].astype(np.int32), b.hash[k][on].view(np.int64), b.units[k][on].view(np.int64))):
+                for c, v in zip(rows, (b.row[k], b.doc[k], n, lost, runs, sha, b.at[k][on].astype(np.int32), b.hash[k][on].view(np.int64), b.context(k, on).view(np.int64))):
                     rows[c].append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(rows.items(), kinds)})
 
     return run
 
 
-def _emit(words: bool, shards: int, hot: int) -> Callable:
-    """The contexts to search: shard, row, doc, the place of the first unit, and the units."""
+def _emit(words: bool, shards: int) -> Callable:
+    """The stretches to search: shard, row, doc, the place of the first unit, and the units. Contexts of a document
+    that overlap and go to one shard are one stretch; a key of -1 deals the windows of a context one by one."""
     size = 8 if words else 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], [], [], []]
-            row, doc, text, at, anchor, need, count = (batch.column(i) for i in range(7))
+            row, doc, text, need = (batch.column(i) for i in range(4))
             for k in range(batch.num_rows):
                 raw = text[k].as_py()
                 u = units_of(raw, words)
                 data = u.tobytes() if words else raw
-                p, m = np.asarray(at[k].values), np.asarray(anchor[k].values)
-                index, counts = np.asarray(need[k].values), np.asarray(count[k].values)
-                lo, hi = contexts(p[index], len(u))
+                at, key = np.asarray(need[k].values.field("at")), np.asarray(need[k].values.field("key"))
+                order = np.lexsort((at, key))
+                lo, hi = contexts(at[order], len(u))
+                pieces: list[list[int]] = []
                 wide = None
-                for i, j, a, c in zip(lo.tolist(), hi.tolist(), m[index].tolist(), counts.tolist()):
-                    if c > hot:
+                for shard, i, j in zip(key[order].tolist(), lo.tolist(), hi.tolist()):
+                    if shard < 0:
                         if wide is None:
                             wide = tk.window_hash(u, WINDOW)
-                        pieces = [(int(wide[s] % np.uint64(shards)), s, s + WINDOW) for s in range(i, j - WINDOW + 1)]
+                        pieces += [[int(wide[s] % np.uint64(shards)), s, s + WINDOW] for s in range(i, j - WINDOW + 1)]
+                    elif pieces and pieces[-1][0] == shard and i <= pieces[-1][2]:
+                        pieces[-1][2] = max(j, pieces[-1][2])
                     else:
-                        pieces = [(a % shards, i, j)]
-                    for shard, s, e in pieces:
-                        for column, v in zip(out, (shard, row[k].as_py(), doc[k].as_py(), s, data[s * size : e * size])):
-                            column.append(v)
+                        pieces.append([shard, i, j])
+                for shard, i, j in pieces:
+                    for column, v in zip(out, (shard % shards, row[k].as_py(), doc[k].as_py(), i, data[i * size : j * size])):
+                        column.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["shard", "row", "doc", "start", "data"])
 
@@ -210,13 +217,13 @@ def _finish(words: bool) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in range(6)]
-            row, doc, text, at, full, starts = (batch.column(i) for i in range(6))
+            row, doc, text, full, starts = (batch.column(i) for i in range(5))
             for k in range(batch.num_rows):
                 raw = text[k].as_py()
                 n = len(raw.split()) if words else len(raw)
                 edge = np.zeros(n + 1, np.int64)
                 if full[k].is_valid and len(full[k].values):
-                    lo, hi = contexts(np.asarray(at[k].values)[np.asarray(full[k].values)], n)
+                    lo, hi = contexts(np.asarray(full[k].values), n)
                     np.add.at(edge, lo, 1)
                     np.add.at(edge, hi, -1)
                 if starts[k].is_valid:
@@ -242,7 +249,6 @@ def removed(df: DataFrame, words: bool, find: Callable, id_col: str = "doc_id",
     spark = df.sparkSession
     ship(spark)
     scratch = common.Scratch(spark)
-    gc = spark._jvm.System.gc  # lets go of the shuffle files of the steps before
     count = df.count()
     blocks, bits = max(1, count // BLOCK_DOCS), max(4, min(30, int(np.log2(max(1, count // 2000)))))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -250,34 +256,45 @@ def removed(df: DataFrame, words: bool, find: Callable, id_col: str = "doc_id",
     docs = docs.select(F.xxhash64("doc", "text").alias("row"), "doc", "text").withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(blocks)))
     marks = docs.groupBy("block").applyInArrow(_mark(words, bits), "bucket long, block long, prints binary, several binary")
     masks = scratch.write(marks.groupBy("bucket").applyInArrow(_answer, "bucket long, block long, hits binary, n long"), "masks")
-    gc()
+    common.release(spark)
     seen = scratch.write(docs.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(_seen(words), _SEEN), "seen")
-    gc()
-    occurs = seen.filter("text is not null").select("row", "doc", F.posexplode(F.arrays_zip("anchor", "context")).alias("i", "x")).select("row", "doc", "i", F.col("x.anchor").alias("anchor"), F.col("x.context").alias("context"))
+    scratch.drop("masks")
+    common.release(spark)
+    occurs = seen.filter(F.size("at") > 0).select("row", "doc", F.explode(F.arrays_zip("at", "anchor", "context")).alias("x")).select("row", "doc", "x.*")
     pairs = scratch.write(occurs.groupBy("anchor", "context").agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "contexts")
-    gc()
+    common.release(spark)
     by = pairs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("lo"), F.max("most").alias("hi")).filter("lo < hi")
-    known = scratch.write(pairs.join(by.select("anchor", "n"), "anchor").filter("n > 1 or least < most").select("anchor", "context", "least", "n"), "known")
-    gc()
-    mine = occurs.join(known, ["anchor", "context"]).filter("least < doc or n > 1")
+    known = scratch.write(pairs.join(by.select("anchor", "n", "lo"), "anchor").filter("n > 1 or least < most").select("anchor", "context", "least", "n", "lo"), "known")
+    scratch.drop("contexts")
+    common.release(spark)
+    # Anchors with the same least document are one neighbourhood, whose contexts overlap; large ones are split by
+    # anchor, and anchors with very many contexts by window.
+    near = known.filter("n > 1").groupBy("lo").agg(F.count(F.lit(1)).alias("load"))
+    load = int(near.agg(F.sum("load")).first()[0] or 0)
+    keyed = known.join(scratch.write(near, "near"), "lo", "left")
+    key = F.when(F.col("n") == 1, F.lit(None)).when(F.col("load") <= HOT_NEAR, F.pmod(F.xxhash64("lo"), F.lit(1 << 62))).when(F.col("n") <= HOT, F.pmod(F.xxhash64("anchor"), F.lit(1 << 62))).otherwise(-1)
+    known = scratch.write(keyed.select("anchor", "context", "least", key.alias("key")), "keyed")
+    scratch.drop("known")
+    common.release(spark)
+    mine = occurs.join(known, ["anchor", "context"]).filter("least < doc or key is not null")
     full, need = F.col("least") < F.col("doc"), F.col("least") == F.col("doc")
     plan = scratch.write(
-        mine.groupBy("row").agg(
-            F.collect_list(F.when(full, F.col("i"))).alias("full"), F.collect_list(F.when(need, F.col("i"))).alias("need"), F.collect_list(F.when(need, F.col("n"))).alias("n")
-        ),
-        "plan",
+        mine.groupBy("row").agg(F.collect_list(F.when(full, F.col("at"))).alias("full"), F.collect_list(F.when(need, F.struct("at", "key"))).alias("need")), "plan"
     )
-    gc()
-    held = scratch.write(seen.filter("text is not null").select("row", "doc", "text", "at", "anchor").join(plan, "row"), "held")
-    gc()
+    plain = scratch.write(seen.select("row", F.col("doc").alias("doc_id"), "units", "removed", "spans", "sha"), "plain")
+    scratch.drop("seen", "keyed")
+    common.release(spark)
+    held = scratch.write(docs.select("row", "doc", "text").join(plan, "row"), "held")
+    scratch.drop("plan")
+    common.release(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    load = known.filter("n > 1").count() * (2 * WINDOW - PIECE)
-    shards = max(1, load // SHARD_UNITS)
-    strings = held.filter(F.size("need") > 0).select("row", "doc", "text", "at", "anchor", "need", "n").repartition(parts).mapInArrow(_emit(words, shards, HOT), "shard long, row long, doc long, start int, data binary")
+    shards = max(1, load * (WINDOW // 2) // SHARD_UNITS)
+    strings = held.filter(F.size("need") > 0).select("row", "doc", "text", "need").repartition(parts).mapInArrow(_emit(words, shards), "shard long, row long, doc long, start int, data binary")
     hits = scratch.write(strings.groupBy("shard").applyInArrow(_engine(words, find), "row long, starts array<int>"), "hits")
-    gc()
+    common.release(spark)
     starts = hits.groupBy("row").agg(F.collect_list("starts").alias("starts"))
-    changed = held.join(starts, "row", "left").select("row", "doc", "text", "at", "full", "starts").mapInArrow(_finish(words), _DONE)
+    changed = held.join(starts, "row", "left").select("row", "doc", "text", "full", "starts").mapInArrow(_finish(words), _DONE)
     changed = scratch.write(changed, "changed")
-    left = seen.select("row", F.col("doc").alias("doc_id"), "units", "removed", "spans", "sha").join(changed.select("row"), "row", "left_anti")
+    scratch.drop("held")
+    left = plain.join(changed.select("row"), "row", "left_anti")
     return left.unionByName(changed).select(F.when(F.col("doc_id") < int(LAST), F.col("doc_id")).alias("doc_id"), "units", "removed", "spans", "sha")
