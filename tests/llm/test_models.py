@@ -57,6 +57,24 @@ def test_search_on_a_small_table_is_exact(spark):
     assert [v for _, v, _ in sorted(got[1000])] == [7, 1001, 1002, 1003, 1004]
 
 
+def test_search_among_thousands_of_near_copies(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=64)
+    near = (centre * (1 + 0.001 * rng.normal(size=(3000, 64)))).astype(np.float32)
+    m = np.concatenate([near, rng.normal(size=(300, 64)).astype(np.float32)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, divisor=100).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    share = []
+    for q in range(0, 3000, 100):
+        s = u @ u[q]
+        s[q] = -2
+        share.append(len(got[q] & set(np.argsort(-s)[:5].tolist())) / 5)
+    assert np.mean(share) >= 0.95
+
+
 @pytest.mark.parametrize("n", [0, 1, 2])
 def test_search_on_tiny_tables(spark, n):
     df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id long, embedding array<double>")
