@@ -201,7 +201,8 @@ def _pairs_within(least: float):
         for i in range(len(doc)):
             j = np.arange(i + 1, len(doc))
             # What two texts have in common is at most what each has in common with any other one.
-            ok = (comp[j] != comp[i]) & (np.minimum(known[j], known[i]) >= least / (1 + least) * (n[i] + n[j]))
+            most = np.minimum(known[j], known[i])
+            ok = (comp[j] != comp[i]) & (most >= least * (n[i] + n[j] - most))
             if two:
                 ok &= tile[j] != tile[i]
             j = j[ok]

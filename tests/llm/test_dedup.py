@@ -83,6 +83,19 @@ def test_near_classes_against_all_pairs(spark):
     assert got == near_truth(docs)
 
 
+def test_tiles_link_texts_at_exactly_the_least_similarity():
+    import pyarrow as pa
+
+    for n, same in ((270, 120), (63, 28), (126, 56), (252, 112), (540, 240)):
+        sizes = (n // 2, n - n // 2)
+        prints = [np.arange(same), np.arange(same)]
+        prints = [np.concatenate([p, 10_000 * (k + 1) + np.arange(m - same)]).astype(np.uint32).tobytes() for k, (p, m) in enumerate(zip(prints, sizes))]
+        columns = {"group": [1, 1], "band": [0, 0], "doc": [1, 2], "n": list(sizes), "known": [same, same], "comp": [1, 2], "tile": [0, 0], "keys": [[5], [5]]}
+        batch = pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), pa.array(prints, pa.binary())], names=[*columns, "prints"])
+        found = [tuple(r.values()) for out in bagminhash._pairs_within(0.8)([batch]) for r in out.to_pylist()]
+        assert found == [(1, 2, 0.8)]
+
+
 def test_near_edge_cases(odd, none):
     rows = bagminhash.classes(odd).collect()
     assert len(rows) == odd.count() and bagminhash.classes(none).count() == 0
