@@ -2,8 +2,8 @@
 
 The rate of a document of source s and size x is min(3, exp(lambda_s * x)): of all rates up to 3 whose sizes meet the
 source's target, the ones with the least relative entropy to taking each document once. The lambdas solve the convex
-dual; each Newton step is one aggregate over the table of (source, size, documents), and a bracket guards it. Rates are
-fixed-point numbers, so sums are exact and reruns agree. Systematic rounding in the order (source, size, id) turns
+dual; each step, Newton's or else the middle of a bracket that holds the root, is one aggregate over the table of (source,
+size, documents), and steps go on until every source is met as well as rates can. Rates are fixed-point numbers, so sums are exact and reruns agree. Systematic rounding in the order (source, size, id) turns
 rates into copies; what is left of a source's difference is then closed with a few single documents.
 """
 
@@ -19,7 +19,6 @@ from . import common
 CYCLE = (5, 2, 1)
 LIMIT = 3
 ONE = 1 << 20  # fixed point of the rates
-STEPS = 60
 FIXES = 12
 
 
@@ -62,17 +61,31 @@ def _rate(lam: Column, size: Column, mean: Column, limit: int) -> Column:
     return F.when(lam.isNull(), F.lit(limit * ONE)).otherwise(F.round(F.exp(tilt) * ONE)).cast("long")
 
 
+def _middle(lo: Column, hi: Column) -> Column:
+    """The middle on a scale that is linear around 0 and logarithmic beyond."""
+    flat = lambda x: F.signum(x) * F.log1p(F.abs(x))
+    mid = (flat(lo) + flat(hi)) / 2
+    mid = F.signum(mid) * F.expm1(F.abs(mid))
+    return F.when((mid > lo) & (mid < hi), mid).otherwise((lo + hi) / 2)
+
+
 def solve(scratch: common.Scratch, sizes: DataFrame, sources: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """sources with lam for each, by Newton steps over the histogram of sizes."""
+    """sources with lam for each, by guarded Newton steps over the histogram of sizes. A source that is not met at the
+    end is an error."""
     cells = scratch.write(sizes.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "cells")
-    state = scratch.write(
-        sources.select(
-            "*", F.lit(-700.0).alias("lo"), F.lit(700.0).alias("hi"), (F.col("target") >= limit * F.col("source_size")).alias("full")
-        ).withColumn("lam", F.when(~F.col("full"), F.log(F.greatest(F.col("target") / F.greatest("source_size", F.lit(1)), F.lit(1e-12))))),
-        "state-0",
+    shortest = cells.groupBy(F.col("source").alias("s_source")).agg(F.min("size").alias("shortest"))
+    unit = F.col("mean") / F.col("shortest")
+    # Every rate is 0 at lo and the limit at hi.
+    state = sources.join(shortest, _same(F.col("source"), F.col("s_source")), "left").select(
+        *sources.columns, (unit * -30).alias("lo"), (unit * 2 * math.log(limit)).alias("hi"),
+        (F.col("target") >= limit * F.col("source_size")).alias("full"), F.lit(True).alias("halved"), F.lit(None).cast("double").alias("last"),
     )
+    first = F.log(F.greatest(F.col("target") / F.greatest("source_size", F.lit(1)), F.lit(1e-12)))
+    state = scratch.write(state.withColumn("lam", F.when(~F.col("full"), first)), "state-0")
     keep = sources.columns
-    for step in range(1, STEPS + 1):
+    step = 0
+    while True:
+        step += 1
         s = state.filter("not full").select(F.col("source").alias("s_source"), "lam", "mean")
         c = cells.join(s, _same(F.col("source"), F.col("s_source")))
         rate = _rate(F.col("lam"), F.col("size"), F.col("mean"), limit)
@@ -85,19 +98,30 @@ def solve(scratch: common.Scratch, sizes: DataFrame, sources: DataFrame, limit:
         gap = F.coalesce(F.col("words").cast("double") / ONE, F.lit(0.0)) - F.col("target")
         lo = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
-        newton = F.col("lam") - gap / (F.col("slope").cast("double") / ONE)
-        inside = F.coalesce((newton > F.col("new_lo")) & (newton < F.col("new_hi")) & (F.abs(newton - F.col("lam")) < 3), F.lit(False))
-        near = F.col("full") | (F.abs(gap) <= 1e-6 * F.col("target") + 0.5)
-        limited = F.greatest(F.least((F.col("new_lo") + F.col("new_hi")) / 2, F.col("lam") + 3), F.col("lam") - 3)
-        new = old.withColumn("new_lo", lo).withColumn("new_hi", hi).withColumn("near", near).withColumn(
-            "new_lam", F.when(F.col("near"), F.col("lam")).when(inside, newton).otherwise(limited)
+        newton = F.col("lam") - F.col("gap") / (F.nullif(F.col("slope").cast("double"), F.lit(0.0)) / ONE)
+        # Newton's step is taken after a halving of the bracket and for as long as it halves the gap.
+        works = F.col("halved") | (F.abs("gap") <= F.col("last") / 2)
+        inside = F.coalesce(works & (newton > F.col("new_lo")) & (newton < F.col("new_hi")), F.lit(False))
+        # In a bracket this narrow no rate moves by more than one of its fixed-point steps.
+        narrow = F.col("new_hi") - F.col("new_lo") <= F.greatest(F.abs("new_lo"), F.abs("new_hi")) * 2.0**-28
+        near = F.col("full") | (F.abs("gap") <= 1e-6 * F.col("target") + 0.5)
+        new = old.withColumn("gap", gap).withColumn("new_lo", lo).withColumn("new_hi", hi).withColumn("near", near).withColumn("inside", inside)
+        new = new.withColumn("closed", F.coalesce(narrow, F.lit(False))).withColumn(
+            "new_lam", F.when(F.col("near") | F.col("closed"), F.col("lam")).when(F.col("inside"), newton).otherwise(_middle(F.col("new_lo"), F.col("new_hi")))
+        )
+        state = scratch.write(
+            new.select(
+                *keep, F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), "full", (~F.col("inside")).alias("halved"), F.abs("gap").alias("last"),
+                F.col("new_lam").alias("lam"), (F.col("near") | F.col("closed")).alias("done"), "near",
+            ),
+            f"state-{step}",
         )
-        new = new.select(*keep, F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), "full", F.col("new_lam").alias("lam"), "near")
-        state = scratch.write(new, f"state-{step}")
-        open_ = state.filter("not near").limit(1).count()
-        state = state.drop("near")
-        if not open_:
+        if not state.filter("not done").limit(1).count():
             break
+        state = state.drop("done", "near")
+    missed = state.filter(~F.col("near") & (F.col("last") > 1e-6 * F.col("target") + 0.5 + F.col("source_size") * (4.0 / ONE))).first()
+    if missed is not None:
+        raise RuntimeError(f"source {missed['source']!r} misses its target of {missed['target']:.0f} words by {missed['last']:.0f}")
     return state.select(*keep, "lam")
 
 

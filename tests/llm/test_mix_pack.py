@@ -61,6 +61,19 @@ def test_rates_are_exponential_in_the_size(spark):
         assert abs(lo - r.lam) < 1e-3
 
 
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.91, 2.0, 2.63, 2.9])
+def test_rates_meet_the_target_with_a_few_very_long_texts(spark, share):
+    from quarryline.llm.common import Scratch
+
+    sizes = spark.range(40_000).selectExpr("'a' as source", "100 + id % 301 as size").unionByName(spark.range(10).selectExpr("'a' as source", "1000000L as size"))
+    scratch = Scratch(spark)
+    sources = mixing.targets(scratch, sizes).withColumn("target", F.col("source_size") * share)
+    r = mixing.solve(scratch, sizes, sources).first()
+    x = np.array([100 + i % 301 for i in range(40_000)] + [1_000_000] * 10, float)
+    took = (x * np.minimum(3, np.exp(np.minimum(2, r.lam * x / r["mean"])))).sum()
+    assert abs(took - r.target) <= 1e-5 * r.target
+
+
 def test_mix_edge_cases(odd, none, spark):
     rows = mixing.copies(odd).collect()
     assert len(rows) == odd.count() and mixing.copies(none).count() == 0
