@@ -1,17 +1,18 @@
 """Windows of 50 words or bytes that also start in a document with a smaller id.
 
-Finding candidates costs passes that hash; what is removed comes from an engine that is run over small shards (an
-FM-index for words, a suffix array for bytes):
+Finding candidates costs passes that hash; where contexts differ, what is removed comes from an engine that is run over
+small shards (an FM-index for words, a suffix array for bytes):
 
 1. Of each window, the least hash of its 25-unit pieces marks an anchor, so equal windows have equal anchors. Blocks of
    documents send their anchors' prints to buckets, which answer with a bit each: seen in another document or not.
 2. For anchors that are shared, the context (the stretch that holds all windows of the anchor) is combined by content:
-   the least id that has it. An anchor with one context needs no search: its context is indexed once and equals itself,
-   so windows of documents with greater ids match whole.
+   the least id that has it. An anchor with one context is not searched and its context never indexed: documents with
+   greater ids lose it whole, by the equality of its 64-bit hash.
 3. All distinct contexts of the other anchors go to the engine, sharded by the least document that has the anchor, so
    that overlapping contexts travel as one stretch. Where that makes a large shard, they are dealt by anchor, and for
    anchors with very many contexts by window.
-4. The engine reports windows that a smaller id holds too; copies of a context follow their least id.
+4. The engine reports windows that a smaller id holds too; later copies of a context are removed
+   whole by the same equality, without an engine.
 """
 
 from __future__ import annotations
