@@ -55,16 +55,19 @@ def tiles(scenes: DataFrame, crop: int = CROP, overlap: float = OVERLAP) -> Data
 
 
 # The order of the image record's numbers before the active classes.
-_META = ("id", "oh", "ow", "oc", "h1", "w1", "c1", "y1", "y2", "x1", "x2", "scale")
+META = (
+    "image_id", "original_h", "original_w", "original_c", "h", "w", "c",
+    "window_y1", "window_x1", "window_y2", "window_x2", "scale",
+)
 
 
-def pack_meta(scenes: DataFrame) -> DataFrame:
-    """meta: id, original shape, shape, window, scale and active classes as one array."""
-    numbers = ("image", "height", "width", 3, 1024, 1024, 3, 0, "height", 0, "width", 0.5, 1, 0, 1)
-    return scenes.withColumn("meta", F.array(*[(F.col(x) if isinstance(x, str) else F.lit(x)).cast("double") for x in numbers]))
+def pack_meta(images: DataFrame, active: str = "active") -> DataFrame:
+    """meta: the columns of META and the array of active classes as one array of doubles."""
+    return images.withColumn("meta", F.concat(F.array(*[F.col(c).cast("double") for c in META]), F.col(active).cast("array<double>")))
 
 
 def parse_meta(df: DataFrame) -> DataFrame:
-    """m: the fields of meta by name."""
-    named = [F.element_at("meta", k + 1).alias({"oh": "h"}.get(n, n)) for k, n in enumerate(_META)]
-    return df.withColumn("m", F.struct(*named, F.slice("meta", len(_META) + 1, 1000).alias("active")))
+    """m: the fields of meta by name; active holds all classes, however many there are."""
+    whole = [F.element_at("meta", k + 1).cast("double" if n == "scale" else "int").alias(n) for k, n in enumerate(META)]
+    rest = F.slice("meta", len(META) + 1, F.greatest(F.size("meta") - len(META), F.lit(0)))
+    return df.withColumn("m", F.struct(*whole, rest.cast("array<int>").alias("active")))

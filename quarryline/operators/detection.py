@@ -10,10 +10,25 @@ from ..functions import boxes as B
 BOX = ("y1", "x1", "y2", "x2")
 
 
+#: Side of the cells that boxes meet in; boxes of a tile of 200 pixels are in at most 16.
+CELL = 64.0
+
+
+def _in_cells(df: DataFrame, names: tuple[str, ...], cy: str, cx: str) -> DataFrame:
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / CELL), F.greatest(F.floor(F.col(lo) / CELL), F.floor(F.col(hi) / CELL))))
+    return df.withColumn(cy, cells(names[0], names[2])).withColumn(cx, cells(names[1], names[3]))
+
+
 def overlaps(a: DataFrame, b: DataFrame, key: str = "image", least: float = 0.0, same_class: bool = False) -> DataFrame:
-    """All pairs of an image that overlap by more than `least`, with iou. b's columns get the suffix _b."""
+    """All pairs of an image that overlap by more than `least`, with iou. b's columns get the suffix _b.
+
+    Boxes meet in the cells that they cover, so that a large image is spread over tasks; a pair that shares several
+    cells counts in the first of them."""
     right = b.select(*[F.col(c).alias(c if c == key else f"{c}_b") for c in b.columns])
-    met = a.join(right, key)
+    right = _in_cells(right, ("y1_b", "x1_b", "y2_b", "x2_b"), "_cy", "_cx")
+    met = _in_cells(a, BOX, "_cy", "_cx").join(right, [key, "_cy", "_cx"])
+    first = (F.col("_cy") == F.floor(F.greatest("y1", "y1_b") / CELL)) & (F.col("_cx") == F.floor(F.greatest("x1", "x1_b") / CELL))
+    met = met.filter(first).drop("_cy", "_cx")
     if same_class:
         met = met.filter("class_id = class_id_b")
     touch = (F.col("y1") < F.col("y2_b")) & (F.col("y1_b") < F.col("y2")) & (F.col("x1") < F.col("x2_b")) & (F.col("x1_b") < F.col("x2"))
@@ -52,29 +67,43 @@ def refine(df: DataFrame, confidence: float = 0.3, threshold: float = 0.3, limit
     return top(suppress(good, ["image", "class_id"], threshold), ["image"], limit)
 
 
-def match(pred: DataFrame, gt: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """image, box, score, gt: predictions by falling score each take the best free ground truth of their class with at
-    least the overlap; gt is null without one."""
-    pairs = overlaps(pred, gt, same_class=True).filter(F.col("iou") >= threshold)
+def match(pred: DataFrame, pairs: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """image, threshold, box, score, gt: predictions by falling score each take the best free ground truth with at least
+    the overlap; gt is null without one. pairs (image, box, gt_b, iou) are the overlaps of equal classes, of boxes
+    (`overlaps`) or of masks (`mask_overlaps`); they are made once for all thresholds."""
+    pairs = pairs.filter(F.col("iou") >= min(thresholds))
     offers = pairs.groupBy("image", "box").agg(F.array_sort(F.collect_list(F.struct((-F.col("iou")).alias("s"), F.col("gt_b").alias("gt")))).alias("offers"))
     item = F.struct((-F.col("score")).alias("s"), F.col("box").alias("id"), F.coalesce("offers", F.expr("CAST(array() AS array<struct<s:double,gt:int>>)")).alias("offers"))
     lists = pred.join(offers, ["image", "box"], "left").groupBy("image").agg(F.array_sort(F.collect_list(item)).alias("preds"))
 
     def take(acc, p):
-        free = F.filter(p["offers"], lambda o: ~F.array_contains(acc, o["gt"]))
+        free = F.filter(p["offers"], lambda o: (-o["s"] >= F.col("threshold")) & ~F.array_contains(acc, o["gt"]))
         return F.concat(acc, F.array(F.coalesce(F.get(free, F.lit(0))["gt"], F.lit(-1))))
 
+    lists = lists.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
     taken = lists.withColumn("taken", F.aggregate("preds", F.expr("CAST(array() AS array<int>)"), take))
-    rows = taken.select("image", F.explode(F.arrays_zip("preds", "taken")).alias("z"))
+    rows = taken.select("image", "threshold", F.explode(F.arrays_zip("preds", "taken")).alias("z"))
     gt_of = F.col("z.taken")
-    return rows.select("image", F.col("z.preds.id").alias("box"), (-F.col("z.preds.s")).alias("score"), F.when(gt_of >= 0, gt_of).alias("gt"))
+    return rows.select("image", "threshold", F.col("z.preds.id").alias("box"), (-F.col("z.preds.s")).alias("score"), F.when(gt_of >= 0, gt_of).alias("gt"))
+
+
+def mask_overlaps(pred: DataFrame, gt: DataFrame) -> DataFrame:
+    """image, box, gt_b, iou of masks in long form: pred has image, box, class_id and a pixel (r, c) a row, gt the same
+    with gt. Masks meet by pixel; only classes that agree."""
+    left, right = pred.select("image", "class_id", "r", "c", "box"), gt.select("image", "class_id", "r", "c", F.col("gt").alias("gt_b"))
+    shared = left.join(right, ["image", "class_id", "r", "c"]).groupBy("image", "box", "gt_b").agg(F.count(F.lit(1)).alias("k"))
+    n_a = pred.groupBy("image", "box").agg(F.count(F.lit(1)).alias("n_a"))
+    n_b = gt.groupBy("image", F.col("gt").alias("gt_b")).agg(F.count(F.lit(1)).alias("n_b"))
+    met = shared.join(n_a, ["image", "box"]).join(n_b, ["image", "gt_b"])
+    return met.select("image", "box", "gt_b", (F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k"))).alias("iou"))
 
 
 def average_precision(matched: DataFrame, n_gt: DataFrame, keys: list[str]) -> DataFrame:
-    """ap of each group from ranked hits: precision made non-increasing from the right, summed over recall steps."""
+    """ap of each group of n_gt from ranked hits: precision made non-increasing from the right, summed over recall
+    steps. A group without predictions has 0."""
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc("box"))
     hit = F.col("gt").isNotNull().cast("int")
-    curve = matched.join(n_gt, keys).withColumn("hits", F.sum(hit).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rank", F.row_number().over(w))
+    curve = n_gt.join(matched, keys, "left").withColumn("hits", F.sum(hit).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rank", F.row_number().over(w))
     curve = curve.withColumn("precision", F.col("hits") / F.col("rank")).withColumn("hit", hit)
     right = Window.partitionBy(*keys).orderBy("rank").rowsBetween(0, Window.unboundedFollowing)
     curve = curve.withColumn("envelope", F.max("precision").over(right))

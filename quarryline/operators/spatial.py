@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RADIUS = 10.0
+#: Twice the area up to which a ring counts as flat.
+FLAT = 1e-3
 
 
 def _blocks(i: Column) -> Column:
@@ -39,10 +41,13 @@ def close_pairs(df: DataFrame, radius: float = RADIUS) -> DataFrame:
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared folder (spark.checkpoint.dir)."""
+    """Cut the lineage in the cluster's shared folder (spark.checkpoint.dir). Only a local master may leave it unset."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarryline-cp-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarryline-cp-"))
     return df.checkpoint()
 
 
@@ -68,17 +73,56 @@ def deduplicate(df: DataFrame, radius: float = RADIUS) -> DataFrame:
     return df.join(gone, ["image", "idx"], "left_anti")
 
 
-def _cells(x0: Column, x1: Column, size: float) -> Column:
-    return F.sequence(F.floor(x0 / size).cast("long"), F.floor(x1 / size).cast("long"))
+def _level(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
+    """The level whose cells, `size` * 4 ** level wide, are at least as large as the rectangle."""
+    side = F.greatest(x1 - x0, y1 - y0, F.lit(size))
+    return F.ceil(F.log2(side / size) / 2 - 1e-9).cast("int")
+
+
+def in_cells(rectangles: DataFrame, levels: list[int] | None = None, size: float = 64.0, corners: tuple[str, ...] = ("x0", "y0", "x1", "y1")) -> DataFrame:
+    """Rectangles with level, cx, cy: of each level from their own on (of `levels`, or only their own), the cells that
+    they cover, at most four of a level, whatever their size."""
+    c = [F.col(x).cast("double") for x in corners]
+    at = _level(*c, size)
+    r = rectangles.withColumn("own_level", at)
+    r = r.withColumn("level", F.col("own_level")) if levels is None else r.withColumn("level", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda n: n >= F.col("own_level"))))
+    wide = F.lit(size) * F.pow(F.lit(4.0), F.col("level"))
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / wide), F.floor(hi / wide)))
+    return r.withColumn("cx", cells(c[0], c[2])).withColumn("cy", cells(c[1], c[3]))
+
+
+def levels_of(rectangles: DataFrame, size: float = 64.0, corners: tuple[str, ...] = ("x0", "y0", "x1", "y1")) -> list[int]:
+    """The levels that occur: a logarithm of the largest side, so few."""
+    c = [F.col(x).cast("double") for x in corners]
+    return sorted(r[0] for r in rectangles.select(_level(*c, size)).distinct().collect() if r[0] is not None)
 
 
 def outside(points: DataFrame, rectangles: DataFrame, size: float = 64.0) -> DataFrame:
-    """Points in none of the rectangles; the border counts as inside. Cells of the plane are the join key."""
-    r = rectangles.withColumn("cx", F.explode(_cells(F.col("x0"), F.col("x1"), size))).withColumn("cy", F.explode(_cells(F.col("y0"), F.col("y1"), size)))
-    r = r.select("cx", "cy", "x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
-    p = points.withColumn("cx", F.floor(F.col("x") / size).cast("long")).withColumn("cy", F.floor(F.col("y") / size).cast("long"))
-    same = (p.cx == r.cx) & (p.cy == r.cy) & (p.x >= r.x0) & (p.x <= r.xe) & (p.y >= r.y0) & (p.y <= r.ye)
-    return p.join(r, same, "left_anti").drop("cx", "cy")
+    """Points in none of the rectangles; the border counts as inside. The join keys are cells whose size goes with that
+    of the rectangle, so a large one is in as few cells as a small one; each of the few sizes is a join of its own."""
+    r = in_cells(rectangles.select("x0", "y0", "x1", "y1"), size=size).select("level", "cx", "cy", "x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
+    for level in levels_of(rectangles, size):
+        wide = size * 4.0**level
+        own = r.filter(F.col("level") == level)
+        here = (F.floor(points.x / wide) == own.cx) & (F.floor(points.y / wide) == own.cy)
+        points = points.join(own, here & (points.x >= own.x0) & (points.x <= own.xe) & (points.y >= own.y0) & (points.y <= own.ye), "left_anti")
+    return points
+
+
+def clear_of(boxes: DataFrame, rectangles: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
+    """Boxes (x1, y1, x2, y2, told apart by keys) that touch none of the rectangles; borders that touch intersect. A box
+    meets a rectangle on the larger of their two levels."""
+    own = ("x1", "y1", "x2", "y2")
+    a, b = boxes.select(*keys, *own), rectangles.select("x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
+    far = ("x0", "y0", "xe", "ye")
+    levels = sorted({*levels_of(a, size, own), *levels_of(b, size, far)})
+    if not levels:
+        return boxes
+    left = in_cells(a, levels, size, own).withColumnRenamed("own_level", "la")
+    right = in_cells(b, levels, size, far).withColumnRenamed("own_level", "lb")
+    met = left.join(right, ["level", "cx", "cy"]).filter(F.col("level") == F.greatest("la", "lb"))
+    hit = met.filter("x1 <= xe and x2 >= x0 and y1 <= ye and y2 >= y0").select(*keys).distinct()
+    return boxes.join(hit, keys, "left_anti")
 
 
 def points_within(rings: DataFrame, step: float) -> DataFrame:
@@ -112,10 +156,22 @@ def inside(ring: Column, x: Column, y: Column) -> Column:
 
 
 def measure(vertices: DataFrame, keys: list[str]) -> DataFrame:
-    """vertices, area, perimeter, centroid_x, centroid_y of each closed ring of (k, x, y) rows. Rings come together as
-    one array a group; their vertices are those of one polygon. Rings without area have no centroid."""
-    rings = vertices.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("ring"))
-    return rings.select(*keys, *measures(F.col("ring")))
+    """vertices, area, perimeter, centroid_x, centroid_y of each closed ring of (k, x, y) rows: sums over its edges, from
+    each vertex to the next and from the last to the first. Rings without area have no centroid."""
+    w = Window.partitionBy(*keys).orderBy("k")
+    edges = vertices.select(
+        *keys, "x", "y", *[F.coalesce(F.lead(c).over(w), F.first(c).over(w)).alias(f"q{c}") for c in ("x", "y")]
+    ).withColumn("cross", F.col("x") * F.col("qy") - F.col("qx") * F.col("y"))
+    dx, dy = F.col("qx") - F.col("x"), F.col("qy") - F.col("y")
+    sums = edges.groupBy(*keys).agg(
+        F.count(F.lit(1)).cast("int").alias("vertices"), F.sum("cross").alias("twice"), F.sum(F.sqrt(dx * dx + dy * dy)).alias("perimeter"),
+        F.sum((F.col("x") + F.col("qx")) * F.col("cross")).alias("sx"), F.sum((F.col("y") + F.col("qy")) * F.col("cross")).alias("sy"),
+    )
+    solid = F.abs("twice") > FLAT
+    return sums.select(
+        *keys, "vertices", (F.abs("twice") / 2).alias("area"), "perimeter",
+        *[F.when(solid, F.col(s) / (F.col("twice") * 3)).alias(c) for s, c in (("sx", "centroid_x"), ("sy", "centroid_y"))],
+    )
 
 
 def measures(ring: Column) -> list[Column]:
@@ -124,7 +180,7 @@ def measures(ring: Column) -> list[Column]:
     total = lambda f: F.aggregate(pair, F.lit(0.0), lambda s, e: s + f(e))
     cross = lambda e: e["px"] * e["qy"] - e["qx"] * e["py"]
     twice = total(cross)
-    flat = F.abs(twice) <= 1e-3
+    flat = F.abs(twice) <= FLAT
     return [
         F.size(ring).alias("vertices"), (F.abs(twice) / 2).alias("area"),
         total(lambda e: F.sqrt((e["qx"] - e["px"]) * (e["qx"] - e["px"]) + (e["qy"] - e["py"]) * (e["qy"] - e["py"]))).alias("perimeter"),

@@ -20,9 +20,11 @@ PIXELS = """pixels AS (SELECT image, CAST(floor(p / 8.0) AS INT) AS r, CAST(p %
 CENTROIDS = """cents AS (SELECT user_id AS image, event_id AS idx, CAST(floor(value / 32) AS INT) AS id_i,
  CAST(floor((hour(ts) * 60 + minute(ts)) / 160.0) AS INT) AS id_j, value AS x, CAST(hour(ts) * 60 + minute(ts) AS DOUBLE) AS y FROM events)"""
 
-LAYERS = """layers AS (SELECT CAST(p_partkey // 20 % 4 AS INT) AS layer, p_partkey AS fid, CAST((p_partkey * 37) % 480 AS DOUBLE) AS x0,
- CAST((p_partkey * 91) % 1400 AS DOUBLE) AS y0, CAST((p_partkey * 37) % 480 + p_size AS DOUBLE) AS x1,
- CAST((p_partkey * 91) % 1400 + p_size * 2 AS DOUBLE) AS y1 FROM part WHERE p_partkey % 20 = 0)"""
+LAYERS = """layers AS (SELECT CAST(p_partkey % 4 AS INT) AS layer, p_partkey AS fid, CAST((p_partkey * 37) % 480 AS DOUBLE) AS x0,
+ CAST((p_partkey * 91) % 1400 AS DOUBLE) AS y0, (p_partkey * 37) % 480 + p_size / 10.0 AS x1,
+ (p_partkey * 91) % 1400 + p_size / 5.0 AS y1 FROM part)"""
+
+PREDICTIONS = "preds0 AS (SELECT * FROM boxes WHERE score >= 0.5)"
 
 SCENES = """scenes AS (SELECT o_orderkey AS image, '/data/scenes/' || substr(o_orderpriority, 1, 1) || '/WV0' || (o_orderkey % 3 + 1) || '_'
  || strftime(o_orderdate, '%Y%m%d%H%M%S') || '_' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') || '_u16rf3413.v2_pansh.tif' AS path,

@@ -56,9 +56,10 @@ def polygon_area_perimeter(spark, sf_dir):
     return m.select("image", "vertices", r3(F.col("area"), "area"), r3(F.col("perimeter"), "perimeter"))
 
 
-@query("polygon_centroid", _with(V.VERTICES, _RING_SQL) + "SELECT image, round(sx / (t * 3), 2) + 0.0 AS centroid_x, round(sy / (t * 3), 2) + 0.0 AS centroid_y FROM sums WHERE n >= 3 AND abs(t) > 1000")
+@query("polygon_centroid", _with(V.VERTICES, _RING_SQL) + "SELECT image, CASE WHEN abs(t) > 0.001 THEN round(sx / (t * 3), 2) + 0.0 END AS centroid_x, CASE WHEN abs(t) > 0.001 THEN round(sy / (t * 3), 2) + 0.0 END AS centroid_y FROM sums")
 def polygon_centroid(spark, sf_dir):
-    m = spatial.measure(A.vertices(spark, sf_dir), ["image"]).filter("vertices >= 3 and area > 500")
+    """Null for rings without area."""
+    m = spatial.measure(A.vertices(spark, sf_dir), ["image"])
     return m.select("image", *[(F.round(F.col(c), 2) + F.lit(0.0)).alias(c) for c in ("centroid_x", "centroid_y")])
 
 
@@ -251,33 +252,26 @@ def clean_points(spark, sf_dir):
     return spatial.outside(A.centroids(spark, sf_dir), A.clean_layers(spark, sf_dir)).select("image", "idx", "x", "y")
 
 
-@query("clean_in_boundary", _with(V.CENTROIDS, V.LAYERS) + """SELECT image, idx FROM cents c WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM layers QUALIFY row_number() OVER (PARTITION BY layer ORDER BY fid) <= 40) l
- WHERE c.x BETWEEN greatest(l.x0, 50) AND least(l.x1, 400) AND c.y BETWEEN greatest(l.y0, 100) AND least(l.y1, 1200))""")
+@query("clean_in_boundary", _with(V.CENTROIDS, V.LAYERS) + """SELECT image, idx FROM cents c WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM layers QUALIFY row_number() OVER (PARTITION BY layer ORDER BY fid) = 1) l
+ WHERE c.x BETWEEN greatest(l.x0, 10) AND least(l.x1, 400) AND c.y BETWEEN greatest(l.y0, 20) AND least(l.y1, 1200))""")
 def clean_in_boundary(spark, sf_dir):
-    """The first features of each layer, cut to a boundary, remove the points in them."""
-    layers = A.clean_layers(spark, sf_dir).withColumn("n", F.row_number().over(Window.partitionBy("layer").orderBy("fid"))).filter("n <= 40")
-    cut = layers.select(F.greatest("x0", F.lit(50.0)).alias("x0"), F.least("x1", F.lit(400.0)).alias("x1"), F.greatest("y0", F.lit(100.0)).alias("y0"), F.least("y1", F.lit(1200.0)).alias("y1"))
+    """The first feature of each layer, all that is read of a layer, cut to a boundary, removes the points in it."""
+    layers = A.clean_layers(spark, sf_dir).withColumn("n", F.row_number().over(Window.partitionBy("layer").orderBy("fid"))).filter("n = 1")
+    cut = layers.select(F.greatest("x0", F.lit(10.0)).alias("x0"), F.least("x1", F.lit(400.0)).alias("x1"), F.greatest("y0", F.lit(20.0)).alias("y0"), F.least("y1", F.lit(1200.0)).alias("y1"))
     return spatial.outside(A.centroids(spark, sf_dir), cut.filter("x0 <= x1 and y0 <= y1")).select("image", "idx")
 
 
 @query("clean_rectangles", _with(V.BOXES, V.LAYERS) + "SELECT image, box FROM boxes b WHERE NOT EXISTS (SELECT 1 FROM layers l WHERE b.x1 <= l.x1 AND b.x2 >= l.x0 AND b.y1 <= l.y1 AND b.y2 >= l.y0)")
 def clean_rectangles(spark, sf_dir):
     """Rectangles that intersect no layer; borders that touch intersect."""
-    size = 64.0
-    cells = lambda a, b: F.sequence(F.floor(F.col(a) / size).cast("long"), F.floor(F.col(b) / size).cast("long"))
-    b = A.boxes(spark, sf_dir)
-    layers = A.clean_layers(spark, sf_dir).toDF("layer", "fid", "lx0", "ly0", "lx1", "ly1")
-    parts = b.withColumn("cx", F.explode(cells("x1", "x2"))).withColumn("cy", F.explode(cells("y1", "y2")))
-    met = parts.join(layers.withColumn("cx", F.explode(cells("lx0", "lx1"))).withColumn("cy", F.explode(cells("ly0", "ly1"))), ["cx", "cy"])
-    hit = met.filter("x1 <= lx1 and x2 >= lx0 and y1 <= ly1 and y2 >= ly0").select("image", "box").distinct()
-    return b.join(hit, ["image", "box"], "left_anti").select("image", "box")
+    return spatial.clear_of(A.boxes(spark, sf_dir), A.clean_layers(spark, sf_dir), ["image", "box"]).select("image", "box")
 
 
-@query("grid_points_within", _with(V.SCENES) + """SELECT image, CAST(gx AS DOUBLE) AS gx, CAST(gy AS DOUBLE) AS gy FROM (SELECT *, unnest(range(0, 1 + width // 40 * 40, 40)) AS gx FROM (SELECT *, unnest(range(0, 1 + height // 40 * 40, 40)) AS gy FROM scenes WHERE image % 10 < 4))
+@query("grid_points_within", _with(V.SCENES) + """SELECT image, CAST(gx AS DOUBLE) AS gx, CAST(gy AS DOUBLE) AS gy FROM (SELECT *, unnest(range(0, 1 + width // 40 * 40, 40)) AS gx FROM (SELECT *, unnest(range(0, 1 + height // 40 * 40, 40)) AS gy FROM scenes))
  WHERE gx > 0 AND gy > 0 AND gx * height + gy * width < width * height""")
 def grid_points_within(spark, sf_dir):
     """Grid points strictly inside a triangle of each image."""
-    s = A.scenes(spark, sf_dir).filter("image % 10 < 4")
+    s = A.scenes(spark, sf_dir)
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     ring = F.array(p(F.lit(0), F.lit(0)), p(F.col("width"), F.lit(0)), p(F.lit(0), F.col("height")))
     return spatial.points_within(s.select("image", ring.alias("ring")), 40.0)
@@ -319,40 +313,57 @@ def refine_detections(spark, sf_dir):
     return detection.refine(A.boxes(spark, sf_dir), limit=3).select("image", "class_id", "box", F.round("score", 6).alias("score"), "rank")
 
 
-_MATCH = f"""pairs AS (SELECT image, box, gt, iou FROM (SELECT a.image, a.box, b.gt, {_IOU} AS iou FROM boxes a JOIN gts b ON a.image = b.image AND a.class_id = b.class_id) WHERE iou >= 0.5),
- offers AS (SELECT image, box, list(gt ORDER BY iou DESC, gt) AS gts FROM pairs GROUP BY image, box),
- preds AS (SELECT b.image, b.box, b.score, coalesce(o.gts, []) AS gts, row_number() OVER (PARTITION BY b.image ORDER BY b.score DESC, b.box) AS n FROM boxes b LEFT JOIN offers o ON b.image = o.image AND b.box = o.box),
- step AS (SELECT DISTINCT image, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS box, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS gt FROM preds
- UNION ALL SELECT p.image, p.n, p.box, CASE WHEN len(list_filter(p.gts, lambda g: NOT list_contains(s.used, g))) > 0 THEN list_append(s.used, list_filter(p.gts, lambda g: NOT list_contains(s.used, g))[1]) ELSE s.used END,
- list_filter(p.gts, lambda g: NOT list_contains(s.used, g))[1] FROM step s JOIN preds p ON s.image = p.image AND p.n = s.n + 1),
- matched AS (SELECT step.image, step.box, step.gt, preds.score FROM step JOIN preds ON step.image = preds.image AND step.box = preds.box)"""
+def _match_sql(thresholds: str) -> str:
+    """Matching as a recursion over the predictions of an image at each threshold."""
+    return f"""ts AS (SELECT unnest({thresholds}) AS t), pairs AS (SELECT image, box, gt, iou FROM (SELECT a.image, a.box, b.gt, {_IOU} AS iou FROM preds0 a JOIN gts b ON a.image = b.image AND a.class_id = b.class_id) WHERE iou >= 0.5),
+ offers AS (SELECT t, image, box, list(gt ORDER BY iou DESC, gt) AS gts FROM pairs, ts WHERE iou >= t GROUP BY t, image, box),
+ preds AS (SELECT ts.t, b.image, b.box, b.score, coalesce(o.gts, []) AS gts, row_number() OVER (PARTITION BY ts.t, b.image ORDER BY b.score DESC, b.box) AS n FROM preds0 b CROSS JOIN ts LEFT JOIN offers o ON b.image = o.image AND b.box = o.box AND o.t = ts.t),
+ step AS (SELECT DISTINCT t, image, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS box, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS gt FROM preds
+ UNION ALL SELECT p.t, p.image, p.n, p.box, CASE WHEN len(list_filter(p.gts, lambda g: NOT list_contains(s.used, g))) > 0 THEN list_append(s.used, list_filter(p.gts, lambda g: NOT list_contains(s.used, g))[1]) ELSE s.used END,
+ list_filter(p.gts, lambda g: NOT list_contains(s.used, g))[1] FROM step s JOIN preds p ON s.t = p.t AND s.image = p.image AND p.n = s.n + 1),
+ matched AS (SELECT step.t, step.image, step.box, step.gt, preds.score FROM step JOIN preds ON step.t = preds.t AND step.image = preds.image AND step.box = preds.box)"""
+
+
+_MATCH = _match_sql("[0.5]")
+
+
+def _pairs(pred: DataFrame, gt: DataFrame) -> DataFrame:
+    return detection.overlaps(pred, gt, same_class=True)
+
 
+def _n_gt(gt: DataFrame) -> DataFrame:
+    return gt.groupBy("image").agg(F.count(F.lit(1)).alias("n_gt"))
 
-@query("greedy_match", _with(V.BOXES, V.GT, _MATCH, recursive=True) + "SELECT image, box, CAST(gt AS INT) AS gt FROM matched")
+
+@query("greedy_match", _with(V.BOXES, V.PREDICTIONS, V.GT, _MATCH, recursive=True) + "SELECT image, box, CAST(gt AS INT) AS gt FROM matched")
 def greedy_match(spark, sf_dir):
-    return detection.match(A.boxes(spark, sf_dir), A.ground_truth(spark, sf_dir)).select("image", "box", "gt")
+    pred = A.predictions(spark, sf_dir)
+    return detection.match(pred, _pairs(pred, A.ground_truth(spark, sf_dir))).select("image", "box", "gt")
 
 
-_AP = """ranked2 AS (SELECT m.image, m.box, m.gt, sum(CASE WHEN gt IS NULL THEN 0 ELSE 1 END) OVER w AS hits, row_number() OVER w AS k, n.n_gt FROM matched m JOIN (SELECT image, count(*) AS n_gt FROM gts GROUP BY image) n ON m.image = n.image WINDOW w AS (PARTITION BY m.image ORDER BY m.score DESC, m.box)),
- env AS (SELECT *, max(hits / k) OVER (PARTITION BY image ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p FROM ranked2)"""
+_AP = """ranked2 AS (SELECT m.t, m.image, m.box, m.gt, sum(CASE WHEN gt IS NULL THEN 0 ELSE 1 END) OVER w AS hits, row_number() OVER w AS k FROM matched m WINDOW w AS (PARTITION BY m.t, m.image ORDER BY m.score DESC, m.box)),
+ env AS (SELECT *, max(hits / k) OVER (PARTITION BY t, image ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p FROM ranked2),
+ n AS (SELECT image, count(*) AS n_gt FROM gts GROUP BY image),
+ aps AS (SELECT ts.t, n.image, coalesce(sum(CASE WHEN e.gt IS NULL THEN 0 ELSE e.p END), 0) / max(n_gt) AS ap FROM n CROSS JOIN ts LEFT JOIN env e ON e.image = n.image AND e.t = ts.t GROUP BY ts.t, n.image)"""
 
 
-@query("average_precision", _with(V.BOXES, V.GT, _MATCH, _AP, recursive=True) + "SELECT image, round(sum(CASE WHEN gt IS NULL THEN 0 ELSE p END) / max(n_gt), 6) AS ap FROM env GROUP BY image")
+@query("average_precision", _with(V.BOXES, V.PREDICTIONS, V.GT, _MATCH, _AP, recursive=True) + "SELECT image, round(ap, 6) AS ap FROM aps")
 def average_precision(spark, sf_dir):
-    gt = A.ground_truth(spark, sf_dir)
-    n = gt.groupBy("image").agg(F.count(F.lit(1)).alias("n_gt"))
-    return detection.average_precision(detection.match(A.boxes(spark, sf_dir), gt), n, ["image"]).select("image", F.round("ap", 6).alias("ap"))
+    """Images whose predictions are all unsure have 0."""
+    gt, pred = A.ground_truth(spark, sf_dir), A.predictions(spark, sf_dir)
+    return detection.average_precision(detection.match(pred, _pairs(pred, gt)), _n_gt(gt), ["image"]).select("image", F.round("ap", 6).alias("ap"))
+
 
+# The thresholds of the mean.
+_THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
-@query("mean_average_precision")
+
+@query("mean_average_precision", _with(V.BOXES, V.PREDICTIONS, V.GT, _match_sql("[0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]::DOUBLE[]"), _AP, recursive=True) + "SELECT image, round(avg(ap), 6) AS ap FROM aps GROUP BY image")
 def mean_average_precision(spark, sf_dir):
-    """The mean over the thresholds 0.50, 0.55 .. 0.95 of each image."""
-    b, gt = A.boxes(spark, sf_dir), A.ground_truth(spark, sf_dir)
-    n = gt.groupBy("image").agg(F.count(F.lit(1)).alias("n_gt"))
-    every = None
-    for k in range(10):
-        part = detection.average_precision(detection.match(b, gt, 0.5 + 0.05 * k), n, ["image"])
-        every = part if every is None else every.unionByName(part)
+    """The mean over the thresholds of each image; the overlaps are found once."""
+    gt, pred = A.ground_truth(spark, sf_dir), A.predictions(spark, sf_dir)
+    n = _n_gt(gt).withColumn("threshold", F.explode(F.array(*map(F.lit, _THRESHOLDS))))
+    every = detection.average_precision(detection.match(pred, _pairs(pred, gt), _THRESHOLDS), n, ["image", "threshold"])
     return every.groupBy("image").agg(F.round(F.avg("ap"), 6).alias("ap"))
 
 
@@ -367,14 +378,15 @@ def anchor_targets(spark, sf_dir):
     """1 from an overlap of 0.7 or as the best of a ground truth (with ties), -1 below 0.3 outside crowds, else 0."""
     b = A.boxes(spark, sf_dir)
     o = detection.overlaps(b, A.ground_truth(spark, sf_dir))
-    real = o.filter("class_id_b > 0")
-    best = real.groupBy("image", "box").agg(F.max("iou").alias("best"))
-    crowd = o.filter("class_id_b < 0").groupBy("image", "box").agg(F.max("iou").alias("crowd"))
-    first = real.withColumn("k", F.rank().over(Window.partitionBy("image", "gt_b").orderBy(F.desc("iou")))).filter("k = 1").select("image", "box").distinct().withColumn("top", F.lit(True))
-    j = b.join(best, ["image", "box"], "left").join(crowd, ["image", "box"], "left").join(first, ["image", "box"], "left")
+    real, crowd = F.col("class_id_b") > 0, F.col("class_id_b") < 0
+    o = o.withColumn("first", F.max(F.when(real, F.col("iou"))).over(Window.partitionBy("image", "gt_b")))
+    best = o.groupBy("image", "box").agg(
+        F.max(F.when(real, F.col("iou"))).alias("best"), F.max(F.when(crowd, F.col("iou"))).alias("crowd"), F.max(real & (F.col("iou") == F.col("first"))).alias("top")
+    )
+    j = b.select("image", "box").join(best, ["image", "box"], "left")
     iou = F.coalesce("best", F.lit(0.0))
     low = (iou < 0.3) & (F.coalesce("crowd", F.lit(0.0)) < 0.001)
-    return j.select("image", "box", F.when(F.col("top").isNotNull() | (iou >= 0.7), 1).when(low, -1).otherwise(0).alias("target"))
+    return j.select("image", "box", F.when(F.coalesce("top", F.lit(False)) | (iou >= 0.7), 1).when(low, -1).otherwise(0).alias("target"))
 
 
 @query("roi_assignment", _with(V.BOXES, V.GT, _BEST) + """SELECT image, box, CAST(gt AS INT) AS gt, round(iou, 6) AS iou, iou >= 0.5 AS positive FROM (SELECT *, row_number() OVER (PARTITION BY image, box ORDER BY iou DESC, gt) AS k FROM ov WHERE iou > 0) WHERE k = 1""")
@@ -498,10 +510,19 @@ def annotation_json(spark, sf_dir):
     return e.select("event_id", "k", (F.col("k") * 2).alias("twice"))
 
 
-@query("image_meta", _with(V.SCENES) + "SELECT image, len(meta) AS n, meta[1] AS id, meta[2] AS h, meta[9] AS y2, meta[12] AS scale FROM (SELECT image, [CAST(image AS DOUBLE), height, width, 3, 1024, 1024, 3, 0, height, 0, width, 0.5, 1, 0, 1] AS meta FROM scenes)")
+@query("image_meta", _with(V.SCENES) + """SELECT image, len(meta) AS n, CAST(meta[1] AS INT) AS image_id, CAST(meta[3] AS INT) AS original_w, CAST(meta[5] AS INT) AS h, CAST(meta[8] AS INT) AS window_y1, CAST(meta[9] AS INT) AS window_x1,
+ CAST(meta[10] AS INT) AS window_y2, CAST(meta[11] AS INT) AS window_x2, meta[12] AS scale, CAST(list_sum(meta[13:]) AS INT) AS classes FROM (SELECT image, list_concat([CAST(image AS DOUBLE), height, width, 3, 1024, 1024, 3, top, lft, top + nh, lft + nw, scale], active) AS meta
+ FROM (SELECT *, (1024 - nh) // 2 AS top, (1024 - nw) // 2 AS lft, [CAST(image % k = 0 AS DOUBLE) for k in range(1, 6)] AS active FROM (SELECT *, CAST(round_even(height * scale, 0) AS INT) AS nh, CAST(round_even(width * scale, 0) AS INT) AS nw FROM (SELECT *, 1024.0::DOUBLE / greatest(height, width) AS scale FROM scenes))))""")
 def image_meta(spark, sf_dir):
-    m = dataflow.pack_meta(A.scenes(spark, sf_dir))
-    return dataflow.parse_meta(m).select("image", F.size("meta").cast("long").alias("n"), F.col("m.id").alias("id"), F.col("m.h").alias("h"), F.col("m.y2").alias("y2"), F.col("m.scale").alias("scale"))
+    """The record of each scene scaled to a square of 1024 with a border around it, packed and parsed again."""
+    s = A.scenes(spark, sf_dir).withColumn("scale", F.lit(1024.0) / F.greatest("height", "width"))
+    nh, nw = (F.rint(F.col(c) * F.col("scale")).cast("int") for c in ("height", "width"))
+    top, left = F.floor((1024 - nh) / 2), F.floor((1024 - nw) / 2)
+    values = (F.col("image"), F.col("height"), F.col("width"), F.lit(3), F.lit(1024), F.lit(1024), F.lit(3), top, left, top + nh, left + nw, F.col("scale"))
+    s = s.select("image", *[v.alias(n) for n, v in zip(dataflow.META, values)], F.array(*[(F.col("image") % k == 0).cast("int") for k in range(1, 6)]).alias("active"))
+    m = dataflow.parse_meta(dataflow.pack_meta(s))
+    parts = [F.col(f"m.{c}").alias(c) for c in ("image_id", "original_w", "h", "window_y1", "window_x1", "window_y2", "window_x2", "scale")]
+    return m.select("image", F.size("meta").cast("long").alias("n"), *parts, F.aggregate("m.active", F.lit(0), lambda x, y: x + y).alias("classes"))
 
 
 # Flagship: deduplicate detections and summarise what stays by image and tile.

@@ -35,6 +35,11 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boxes that a detector is sure of; some images have none."""
+    return boxes(spark, sf_dir).filter("score >= 0.5")
+
+
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image, gt, class_id, y1, x1, y2, x2: most boxes, moved a little. Negative classes are crowds."""
     b = boxes(spark, sf_dir).filter("part % 3 <> 0 and class_id > 0")
@@ -58,11 +63,11 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """layer, fid, x0, y0, x1, y1: rectangles of four layers of known false positives."""
+    """layer, fid, x0, y0, x1, y1: rectangles of four layers of known false positives, one for each part."""
     p = F.col("p_partkey")
-    return table(spark, sf_dir, "part").filter("p_partkey % 20 = 0").select(
-        (F.floor(p / 20) % 4).cast("int").alias("layer"), p.alias("fid"), ((p * 37) % 480).cast("double").alias("x0"), ((p * 91) % 1400).cast("double").alias("y0"),
-        ((p * 37) % 480 + F.col("p_size")).cast("double").alias("x1"), ((p * 91) % 1400 + F.col("p_size") * 2).cast("double").alias("y1"),
+    return table(spark, sf_dir, "part").select(
+        (p % 4).cast("int").alias("layer"), p.alias("fid"), ((p * 37) % 480).cast("double").alias("x0"), ((p * 91) % 1400).cast("double").alias("y0"),
+        ((p * 37) % 480 + F.col("p_size") / 10.0).alias("x1"), ((p * 91) % 1400 + F.col("p_size") / 5.0).alias("y1"),
     )
 
 

@@ -35,7 +35,3 @@ def test_query_equals_its_sql(spark, duck, name):
     at = [sql.columns.index(c) for c in names]
     assert got == Counter(tuple(plain(r[k]) for k in at) for r in sql.fetchall())
 
-
-def test_mean_average_precision_is_between_0_and_1(spark):
-    rows = QUERIES["mean_average_precision"](spark, SMALL).collect()
-    assert rows and all(0 <= r.ap <= 1 for r in rows)
