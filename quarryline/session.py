@@ -27,9 +27,18 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
     return spark
 
 
+#: Rows that go to Python at once where the session leaves it to Spark: texts and tiles are large, and a batch is held
+#: by the JVM and by Python.
+BATCH = 256
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that Python workers can import it."""
+    """Send this package to the executors once per application, so that Python workers can import it, and keep the
+    batches that they get small."""
     sc = spark.sparkContext
+    if spark.conf.get(ROWS) == "10000":
+        spark.conf.set(ROWS, str(BATCH))
     if getattr(sc, "_quarryline_shipped", False):
         return
     root = Path(__file__).resolve().parent
