@@ -60,6 +60,19 @@ def denormalise(b: Box, h: Column, w: Column) -> Box:
     return tuple(F.rint(v * ((h if k % 2 == 0 else w) - 1) + (0 if k < 2 else 1)).cast("int") for k, v in enumerate(b))
 
 
+def from_window(b: Box, window: Box, h: Column, w: Column) -> Box:
+    """Normalised boxes of a padded image in pixels of the image of h x w that fills the normalised window."""
+    tall, wide = window[2] - window[0], window[3] - window[1]
+    own = tuple((v - window[k % 2]) / (tall if k % 2 == 0 else wide) for k, v in enumerate(b))
+    return denormalise(own, h, w)
+
+
+def smooth_l1(a: Column, b: Column) -> Column:
+    """Half the square of a difference below 1, the difference less a half from there."""
+    d = F.abs(a - b)
+    return F.when(d < 1, d * d / 2).otherwise(d - 0.5)
+
+
 def pyramid_level(b: Box, image_area: Column) -> Column:
     """The feature level of a box in normalised coordinates: 4 at 224 pixels, one more per doubling, within 2..5."""
     size = F.sqrt(area(b)) / (F.lit(224.0) / F.sqrt(image_area))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import boxes as B
 
 BOX = ("y1", "x1", "y2", "x2")
+# The deviations of box deltas.
+DEVIATIONS = (0.1, 0.1, 0.2, 0.2)
 
 
 #: Side of the cells that boxes meet in; boxes of a tile of 200 pixels are in at most 16.
@@ -114,3 +116,47 @@ def best_match(a: DataFrame, b: DataFrame, id_a: str, id_b: str) -> DataFrame:
     """For each row of a the row of b with the largest overlap (ties: the smaller id)."""
     w = Window.partitionBy("image", id_a).orderBy(F.desc("iou"), F.asc(f"{id_b}_b"))
     return overlaps(a, b).withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
+
+
+def without_padding(df: DataFrame, numbers: list[str]) -> DataFrame:
+    """The rows that have a number other than 0."""
+    some = F.lit(False)
+    for c in numbers:
+        some = some | (F.col(c) != 0)
+    return df.filter(some)
+
+
+def balanced(df: DataFrame, total: int, positives: int, order) -> DataFrame:
+    """Targets (image, box, target 1, 0 or -1) of which an image keeps at most `positives` of 1 and fills up to `total`
+    with -1, the first in the order; all others become 0."""
+    w = Window.partitionBy("image", "target").orderBy(order, "box")
+    found = F.least(F.sum((F.col("target") == 1).cast("int")).over(Window.partitionBy("image")), F.lit(positives))
+    room = F.when(F.col("target") == 1, F.lit(positives)).otherwise(total - found)
+    ranked = df.withColumn("k", F.row_number().over(w)).withColumn("room", room)
+    return ranked.withColumn("target", F.when(F.col("k") <= F.col("room"), F.col("target")).otherwise(0)).drop("k", "room")
+
+
+def targets(proposals: DataFrame, gt: DataFrame, total: int, share: float, order, least: float = 0.5, crowd: float = 0.001) -> DataFrame:
+    """image, box, positive, class_id, gt: the proposals of an image to train on. Positive are those that overlap a ground
+    truth by `least`; negative the others that no crowd covers. At most `share` of `total` are positive, and there are as
+    many negatives as keep that share. Deltas and masks of the positives come from their gt."""
+    o = overlaps(proposals, gt)
+    real = F.col("class_id_b") > 0
+    item = F.struct("iou", (-F.col("gt_b")).alias("g"), F.col("class_id_b").alias("c"))
+    found = o.groupBy("image", "box").agg(F.max(F.when(real, item)).alias("best"), F.max(F.when(F.col("class_id_b") < 0, F.col("iou"))).alias("crowd"))
+    j = proposals.select("image", "box").join(found, ["image", "box"], "left").withColumn("positive", F.coalesce(F.col("best.iou"), F.lit(0.0)) >= least)
+    j = j.filter(F.col("positive") | (F.coalesce("crowd", F.lit(0.0)) < crowd))
+    most = int(total * share) or 1
+    many = F.least(F.sum(F.col("positive").cast("int")).over(Window.partitionBy("image")), F.lit(most))
+    j = j.withColumn("n", F.row_number().over(Window.partitionBy("image", "positive").orderBy(order, "box"))).withColumn("many", many)
+    j = j.filter(F.when(F.col("positive"), F.col("n") <= most).otherwise(F.col("n") <= F.round(F.col("many") / share).cast("int") - F.col("many")))
+    return j.select("image", "box", "positive", F.when(F.col("positive"), F.col("best.c")).otherwise(0).alias("class_id"), F.when(F.col("positive"), -F.col("best.g")).cast("int").alias("gt"))
+
+
+def proposals(anchors: DataFrame, deltas: tuple, window: tuple, before: int = 6000, after: int = 1000, threshold: float = 0.7) -> DataFrame:
+    """The `before` best anchors of each image, moved by deltas (columns, in deviations), clipped to the window and
+    suppressed; the `after` best of what stays, with rank."""
+    best = top(anchors.withColumns({f"d{k}": d for k, d in enumerate(deltas)}), ["image"], before).drop("rank")
+    moved = B.clip(B.apply_deltas(B.box(), tuple(F.col(f"d{k}") * s for k, s in enumerate(DEVIATIONS))), window)
+    shifted = best.select("image", "box", "score", *[v.alias(c) for v, c in zip(moved, BOX)])
+    return top(suppress(shifted, ["image"], threshold), ["image"], after)

@@ -79,9 +79,10 @@ def to_map(line: np.ndarray, ul_row: float, ul_col: float, yres: float, xres: fl
     return [{"x": float(a), "y": float(b)} for a, b in zip(x, y)]
 
 
-def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.0) -> DataFrame:
+def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.0, channels_last: bool = False) -> DataFrame:
     """Run make().detect over each tile (image_name, tile_num, bands, height, width, dtype, data, ul_row, ul_col, yres,
-    xres). The detector is made once a task. A tile that fails gives one row with its error."""
+    xres); with channels_last the bytes are in the order of rows, columns, bands. The detector is made once a task. A tile
+    that fails gives one row with its error."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
@@ -89,7 +90,9 @@ def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.
             rows = []
             for t in frame.itertuples():
                 try:
-                    image = np.frombuffer(t.data, np.dtype(t.dtype)).reshape(int(t.bands), int(t.height), int(t.width))
+                    shape = (int(t.height), int(t.width), int(t.bands)) if channels_last else (int(t.bands), int(t.height), int(t.width))
+                    image = np.frombuffer(t.data, np.dtype(t.dtype)).reshape(shape)
+                    image = image.transpose(2, 0, 1) if channels_last else image
                     for k, (mask, class_id, score) in enumerate(model.detect(image)):
                         line = contour(mask)
                         ring = None if line is None else to_map(line, t.ul_row, t.ul_col, t.yres, t.xres, pixel_offset)

@@ -52,18 +52,18 @@ def mask_box(px: DataFrame, over: int) -> DataFrame:
 
 
 def disk_median(image: np.ndarray, radius: int) -> np.ndarray:
-    """The lower median of the pixels within the radius, counting only pixels of the image."""
+    """The median of the pixels within the radius, counting only pixels of the image; of an even number the upper one."""
     h, w = image.shape
     y, x = np.mgrid[-radius : radius + 1, -radius : radius + 1]
     steps = np.argwhere(y * y + x * x <= radius * radius) - radius
     stack = np.full((len(steps), h, w), np.inf)
     for k, (dy, dx) in enumerate(steps):
-        ys, xs = slice(max(0, -dy), min(h, h - dy)), slice(max(0, -dx), min(w, w - dx))
-        yt, xt = slice(max(0, dy), min(h, h + dy)), slice(max(0, dx), min(w, w + dx))
+        ys, xs = slice(max(0, -dy), max(0, min(h, h - dy))), slice(max(0, -dx), max(0, min(w, w - dx)))
+        yt, xt = slice(max(0, dy), max(0, min(h, h + dy))), slice(max(0, dx), max(0, min(w, w + dx)))
         stack[k, ys, xs] = image[yt, xt]
     stack.sort(axis=0)
     n = np.isfinite(stack).sum(axis=0)
-    return np.take_along_axis(stack, ((n - 1) // 2)[None], axis=0)[0]
+    return np.take_along_axis(stack, (n // 2)[None], axis=0)[0]
 
 
 def gaussian(image: np.ndarray, sigma: float = 2.0, reach: float = 4.0) -> np.ndarray:

@@ -125,6 +125,42 @@ def clear_of(boxes: DataFrame, rectangles: DataFrame, keys: list[str], size: flo
     return boxes.join(hit, keys, "left_anti")
 
 
+def _with_box(polygons: DataFrame) -> DataFrame:
+    ends = {"x0": F.array_min("ring.x"), "y0": F.array_min("ring.y"), "x1": F.array_max("ring.x"), "y1": F.array_max("ring.y")}
+    return polygons.select("ring").filter(F.size("ring") > 2).withColumns(ends)
+
+
+def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None, size: float = 64.0) -> DataFrame:
+    """Points in none of the polygons (`ring`, an array of x, y); the line counts as inside. With a boundary, a ring of
+    its own, only what is inside it removes a point. Polygons meet points in the cells of their bounding boxes, as in
+    `outside`."""
+    area = _with_box(polygons)
+    r = in_cells(area, size=size).select("level", "cx", "cy", "ring")
+    for level in levels_of(area, size):
+        wide = size * 4.0**level
+        own = r.filter(F.col("level") == level)
+        here = (F.floor(points.x / wide) == own.cx) & (F.floor(points.y / wide) == own.cy)
+        hit = here & covers(own.ring, points.x, points.y)
+        points = points.join(own, hit if boundary is None else hit & covers(boundary, points.x, points.y), "left_anti")
+    return points
+
+
+def clear_of_polygons(shapes: DataFrame, polygons: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
+    """Shapes (`ring`, told apart by keys) that meet none of the polygons: no edges cross or touch, and neither holds
+    the other."""
+    ends = {"x1": F.array_min("ring.x"), "y1": F.array_min("ring.y"), "x2": F.array_max("ring.x"), "y2": F.array_max("ring.y")}
+    a = shapes.select(*keys, F.col("ring").alias("shape"), *[v.alias(k) for k, v in ends.items()])
+    b = _with_box(polygons).withColumnRenamed("x1", "xe").withColumnRenamed("y1", "ye")
+    own, far = ("x1", "y1", "x2", "y2"), ("x0", "y0", "xe", "ye")
+    levels = sorted({*levels_of(a, size, own), *levels_of(b, size, far)})
+    if not levels:
+        return shapes
+    met = in_cells(a, levels, size, own).withColumnRenamed("own_level", "la").join(in_cells(b, levels, size, far).withColumnRenamed("own_level", "lb"), ["level", "cx", "cy"])
+    near = met.filter((F.col("level") == F.greatest("la", "lb")) & F.expr("x1 <= xe and x2 >= x0 and y1 <= ye and y2 >= y0"))
+    hit = near.filter(intersects(F.col("shape"), F.col("ring"))).select(*keys).distinct()
+    return shapes.join(hit, keys, "left_anti")
+
+
 def points_within(rings: DataFrame, step: float) -> DataFrame:
     """image, gx, gy: grid points strictly inside each ring (array `ring` of x, y structs), by crossing number. The
     bounding box bounds the grid; a point on an edge is outside."""
@@ -137,10 +173,44 @@ def points_within(rings: DataFrame, step: float) -> DataFrame:
     return grid.filter(inside(F.col("ring"), F.col("gx"), F.col("gy"))).select("image", "gx", "gy")
 
 
+def _edges(ring: Column) -> Column:
+    after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.zip_with(ring, after, lambda p, q: F.struct(p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy")))
+
+
+def _side(e: Column, x: Column, y: Column) -> Column:
+    """Positive left of an edge, negative right of it, 0 on its line."""
+    return (e["qx"] - e["px"]) * (y - e["py"]) - (e["qy"] - e["py"]) * (x - e["px"])
+
+
+def intersects(a: Column, b: Column) -> Column:
+    """Whether two rings have a point in common, on their lines or inside."""
+
+    def between(e, x, y):
+        return (x >= F.least(e["px"], e["qx"])) & (x <= F.greatest(e["px"], e["qx"])) & (y >= F.least(e["py"], e["qy"])) & (y <= F.greatest(e["py"], e["qy"]))
+
+    def meet(e, f):
+        s1, s2, s3, s4 = _side(e, f["px"], f["py"]), _side(e, f["qx"], f["qy"]), _side(f, e["px"], e["py"]), _side(f, e["qx"], e["qy"])
+        crossing = (s1 * s2 < 0) & (s3 * s4 < 0)
+        touching = ((s1 == 0) & between(e, f["px"], f["py"])) | ((s2 == 0) & between(e, f["qx"], f["qy"])) | ((s3 == 0) & between(f, e["px"], e["py"])) | ((s4 == 0) & between(f, e["qx"], e["qy"]))
+        return crossing | touching
+
+    lines = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: meet(e, f)))
+    return lines | inside(a, b[0]["x"], b[0]["y"]) | inside(b, a[0]["x"], a[0]["y"])
+
+
+def covers(ring: Column, x: Column, y: Column) -> Column:
+    """Inside or on the line."""
+    return _within(ring, x, y, True)
+
+
 def inside(ring: Column, x: Column, y: Column) -> Column:
     """Strictly inside: an odd number of edges right of the point, and on none of them."""
-    after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    edges = F.zip_with(ring, after, lambda p, q: F.struct(p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy")))
+    return _within(ring, x, y, False)
+
+
+def _within(ring: Column, x: Column, y: Column, line: bool) -> Column:
+    edges = _edges(ring)
 
     def cross(e):
         return (e["qx"] - e["px"]) * (y - e["py"]) - (e["qy"] - e["py"]) * (x - e["px"])
@@ -152,7 +222,8 @@ def inside(ring: Column, x: Column, y: Column) -> Column:
     def right(e):
         return ((e["py"] > y) != (e["qy"] > y)) & ((cross(e) > 0) == (e["qy"] > e["py"]))
 
-    return (F.size(F.filter(edges, right)) % 2 == 1) & ~F.exists(edges, on)
+    odd = F.size(F.filter(edges, right)) % 2 == 1
+    return odd | F.exists(edges, on) if line else odd & ~F.exists(edges, on)
 
 
 def measure(vertices: DataFrame, keys: list[str]) -> DataFrame:

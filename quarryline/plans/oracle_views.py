@@ -26,6 +26,11 @@ LAYERS = """layers AS (SELECT CAST(p_partkey % 4 AS INT) AS layer, p_partkey AS
 
 PREDICTIONS = "preds0 AS (SELECT * FROM boxes WHERE score >= 0.5)"
 
+DIAMONDS = """diamonds AS (SELECT p_partkey AS fid, CAST(p_partkey * 37 % 480 AS DOUBLE) AS cx, CAST(p_partkey * 91 % 1400 AS DOUBLE) AS cy, CAST(p_size % 6 + 1 AS DOUBLE) AS r FROM part)"""
+
+SCENE_PIXELS = """spx AS (SELECT CAST(image AS VARCHAR) AS image_name, p // 16 AS band, p % 16 // 4 AS r, p % 4 AS c, CAST(least(greatest(floor(CAST(f AS DOUBLE) * 256), 0), 65535) AS INT) AS v
+ FROM (SELECT vec_id AS image, unnest(embedding) AS f, unnest(range(len(embedding))) AS p FROM embeddings))"""
+
 SCENES = """scenes AS (SELECT o_orderkey AS image, '/data/scenes/' || substr(o_orderpriority, 1, 1) || '/WV0' || (o_orderkey % 3 + 1) || '_'
  || strftime(o_orderdate, '%Y%m%d%H%M%S') || '_' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') || '_u16rf3413.v2_pansh.tif' AS path,
  CAST(o_orderkey % 1000 + 1 AS INT) AS width, CAST(o_orderkey * 7 % 900 + 1 AS INT) AS height FROM orders)"""

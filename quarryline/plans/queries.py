@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,24 +10,8 @@ from ..operators import compare, dataflow, detection, raster, spatial
 from ..session import table
 from ..sources import adapters as A
 from . import oracle_views as V
-
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def _with(*views: str, recursive: bool = False) -> str:
-    return ("WITH RECURSIVE " if recursive else "WITH ") + ", ".join(views) + " "
-
+from .registry import ORACLES, QUERIES, query  # noqa: F401
+from .registry import with_views as _with
 
 _R = "round({0}, 3) + 0.0 AS {1}"
 _IOU = """CASE WHEN (a.y2 - a.y1) * (a.x2 - a.x1) + (b.y2 - b.y1) * (b.x2 - b.x1)
@@ -194,7 +176,7 @@ def mask_bounding_box(spark, sf_dir):
 
 
 @query("median_filter", _with(V.PIXELS) + """, near AS (SELECT a.image, a.r, a.c, b.v, row_number() OVER (PARTITION BY a.image, a.r, a.c ORDER BY b.v) AS k, count(*) OVER (PARTITION BY a.image, a.r, a.c) AS n
- FROM pixels a JOIN pixels b ON a.image = b.image AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25) SELECT image, r, c, CAST(v AS DOUBLE) AS median FROM near WHERE k = (n - 1) // 2 + 1""")
+ FROM pixels a JOIN pixels b ON a.image = b.image AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25) SELECT image, r, c, CAST(v AS DOUBLE) AS median FROM near WHERE k = n // 2 + 1""")
 def median_filter(spark, sf_dir):
     return raster.filtered(A.pixels(spark, sf_dir), lambda im: raster.disk_median(im, 5), "median")
 
@@ -531,3 +513,6 @@ def image_meta(spark, sf_dir):
 def stitch_report(spark, sf_dir):
     c = spatial.outside(spatial.deduplicate(A.centroids(spark, sf_dir)), A.clean_layers(spark, sf_dir))
     return c.groupBy("image", "id_i", "id_j").agg(F.count(F.lit(1)).alias("polygons"), F.sum(F.round(F.col("x") * 100).cast("long")).alias("sum_x"))
+
+
+from . import imagery, training  # noqa: E402, F401  more queries

@@ -53,6 +53,25 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("image", F.floor(F.col("p") / 8).cast("int").alias("r"), (F.col("p") % 8).cast("int").alias("c"), v.alias("v"))
 
 
+def scene_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes in the layout of sources.geotiff.read: each embedding as 4 bands of 4 x 4 pixels of two bytes."""
+    value = lambda f: F.least(F.greatest(F.floor(f.cast("double") * 256), F.lit(0)), F.lit(65535))
+    byte = lambda n: F.lpad(F.hex(n), 2, "0")
+    pair = lambda f: F.concat(byte(value(f) % 256), byte(F.floor(value(f) / 256)))
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("image_name"), F.lit("<u2").alias("dtype"), F.lit(4).alias("bands"), F.lit(4).alias("height"), F.lit(4).alias("width"),
+        F.array(*map(F.lit, (1000.0, 0.5, 0.0, 2000.0, 0.0, -0.5))).alias("gt"), F.unhex(F.array_join(F.transform("embedding", pair), "")).alias("data"),
+    )
+
+
+def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fid, ring: a square on its corner for each part, centre and half width in whole numbers."""
+    p = F.col("p_partkey")
+    x, y, r = (p * 37 % 480).cast("double"), (p * 91 % 1400).cast("double"), (F.col("p_size") % 6 + 1).cast("double")
+    at = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    return table(spark, sf_dir, "part").select(p.alias("fid"), F.array(at(x - r, y), at(x, y + r), at(x + r, y), at(x, y - r)).alias("ring"))
+
+
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image, idx, id_i, id_j, x, y: detections with the tile they come from."""
     minute = F.hour("ts") * 60 + F.minute("ts")

@@ -1,8 +1,9 @@
-"""Uncompressed GeoTIFF scenes: decoding rows of binaryFile, and a writer of masks."""
+"""GeoTIFF scenes: decoding rows of binaryFile, and a writer of masks."""
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,43 +15,108 @@ from pyspark.sql import functions as F
 _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 11: 4, 12: 8, 16: 8}
 _CODE = {1: "B", 3: "H", 4: "I", 11: "f", 12: "d", 16: "Q"}
 WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PLANAR, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 284, 339
-SCALE, TIEPOINT, ASCII = 33550, 33922, 34737
+PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
+SCALE, TIEPOINT, MATRIX, ASCII = 33550, 33922, 34264, 34737
 
-SCHEMA = "path string, image_name string, height int, width int, bands int, gt array<double>, wkt string, dtype string, data binary, error string"
+SCHEMA = "path string, image_name string, height int, width int, bands int, gt array<double>, citation string, dtype string, data binary, error string"
 
 
-def decode(raw: bytes) -> tuple[np.ndarray, list[float] | None, str | None]:
-    """(bands, height, width) array, the six numbers of the geotransform, the text of the projection."""
+def _tags(raw: bytes) -> tuple[str, dict]:
+    """The byte order and the tags of the first image, of a classic or a big TIFF."""
     order = {b"II": "<", b"MM": ">"}[raw[:2]]
-    magic, at = struct.unpack(order + "HI", raw[2:8])
-    if magic != 42:
-        raise ValueError("not a classic TIFF")
-    tags = {}
-    for k in range(struct.unpack(order + "H", raw[at : at + 2])[0]):
-        tag, kind, n = struct.unpack(order + "HHI", raw[at + 2 + 12 * k : at + 10 + 12 * k])
+    magic = struct.unpack(order + "H", raw[2:4])[0]
+    if magic not in (42, 43):
+        raise ValueError("not a TIFF")
+    big = magic == 43
+    count, entry, inline, head = ("Q", "HHQ", 8, 8) if big else ("H", "HHI", 4, 2)
+    at = struct.unpack(order + ("Q" if big else "I"), raw[8:16] if big else raw[4:8])[0]
+    tags, wide = {}, struct.calcsize("=" + entry) + inline
+    for k in range(struct.unpack(order + count, raw[at : at + head])[0]):
+        own = at + head + wide * k
+        tag, kind, n = struct.unpack(order + entry, raw[own : own + wide - inline])
         size = _SIZE.get(kind, 1) * n
-        start = at + 10 + 12 * k if size <= 4 else struct.unpack(order + "I", raw[at + 10 + 12 * k : at + 14 + 12 * k])[0]
+        value = own + wide - inline
+        start = value if size <= inline else struct.unpack(order + ("Q" if big else "I"), raw[value : value + inline])[0]
         data = raw[start : start + size]
         tags[tag] = data if kind == 2 else list(struct.unpack(f"{order}{n}{_CODE[kind]}", data)) if kind in _CODE else None
-    if tags.get(COMPRESSION, [1])[0] != 1:
-        raise ValueError("the raster is compressed")
+    return order, tags
+
+
+def _lzw(data: bytes) -> bytes:
+    """Codes of 9 to 12 bits, the first bit first; 256 empties the table, 257 ends."""
+    out, table, before, width = bytearray(), [], b"", 9
+    held, have = 0, 0
+    for byte in data:
+        held, have = held << 8 | byte, have + 8
+        if have < width:
+            continue
+        have -= width
+        code, held = held >> have, held & ((1 << have) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, before, width = [bytes([k]) for k in range(256)] + [b"", b""], b"", 9
+            continue
+        if code > len(table) or (code == len(table) and not before):
+            raise ValueError("damaged LZW data")
+        word = table[code] if code < len(table) else before + before[:1]
+        out += word
+        if before:
+            table.append(before + word[:1])
+        before = word
+        width = 9 + (len(table) >= 511) + (len(table) >= 1023) + (len(table) >= 2047)
+    return bytes(out)
+
+
+def decode(raw: bytes, window: tuple[int, int, int, int] | None = None) -> tuple[np.ndarray, list[float] | None, str | None]:
+    """(bands, height, width) array, the six numbers of the geotransform, the citation of the projection.
+
+    Strips and tiles, plain, deflate or LZW, with horizontal differences or without. With a window (y1, x1, y2, x2) only
+    the strips or tiles that it touches are unpacked, and the array is the window."""
+    order, tags = _tags(raw)
     w, h, bands = tags[WIDTH][0], tags[HEIGHT][0], tags.get(SAMPLES, [1])[0]
-    bits, form = tags.get(BITS, [1])[0], tags.get(FORMAT, [1])[0]
-    data = b"".join(raw[o : o + n] for o, n in zip(tags[OFFSETS], tags[COUNTS]))
-    if bits == 1:
-        flat = np.unpackbits(np.frombuffer(data, np.uint8).reshape(h, -1), axis=1)[:, :w].reshape(h, w, 1)
-    else:
-        flat = np.frombuffer(data, np.dtype(f"{order}{'uif'[form - 1]}{bits // 8}"))
-        flat = flat.reshape(bands, h, w).transpose(1, 2, 0) if tags.get(PLANAR, [1])[0] == 2 else flat.reshape(h, w, bands)
+    bits, form, pack = tags.get(BITS, [1])[0], tags.get(FORMAT, [1])[0], tags.get(COMPRESSION, [1])[0]
+    if pack not in (1, 5, 8, 32946):
+        raise ValueError(f"compression {pack} is not read")
+    apart = tags.get(PLANAR, [1])[0] == 2
+    tiled = TILE_OFFSETS in tags
+    th, tw = (tags[TILE_HEIGHT][0], tags[TILE_WIDTH][0]) if tiled else (min(h, tags.get(ROWS, [h])[0]), w)
+    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[OFFSETS], tags[COUNTS])
+    y1, x1, y2, x2 = window or (0, 0, h, w)
+    y1, x1, y2, x2 = max(0, y1), max(0, x1), min(h, y2), min(w, x2)
+    each = 1 if apart else bands
+    kind = np.dtype(np.uint8) if bits == 1 else np.dtype(f"{order}{'uif'[form - 1]}{bits // 8}")
+    out = np.zeros((bands, max(0, y2 - y1), max(0, x2 - x1)), kind)
+    across, down = -(-w // tw), -(-h // th)
+    for k, (at, size) in enumerate(zip(offsets, counts)):
+        plane, rest = divmod(k, across * down)
+        ty, tx = rest // across * th, rest % across * tw
+        if ty >= y2 or ty + th <= y1 or tx >= x2 or tx + tw <= x1:
+            continue
+        data = raw[at : at + size]
+        data = _lzw(data) if pack == 5 else zlib.decompress(data) if pack != 1 else data
+        rows = th if tiled else min(th, h - ty)
+        if bits == 1:
+            block = np.unpackbits(np.frombuffer(data, np.uint8).reshape(rows, -1), axis=1)[:, :tw, None]
+        else:
+            block = np.frombuffer(data, kind, rows * tw * each).reshape(rows, tw, each)
+            if tags.get(PREDICTOR, [1])[0] == 2:
+                block = np.cumsum(block, axis=1, dtype=kind.newbyteorder("="))
+        a, b, c, d = max(ty, y1), max(tx, x1), min(ty + rows, y2), min(tx + tw, x2)
+        part = block[a - ty : c - ty, b - tx : d - tx].transpose(2, 0, 1)
+        out[plane if apart else slice(None), a - y1 : c - y1, b - x1 : d - x1] = part[0] if apart else part
     gt = None
-    if tags.get(SCALE) and tags.get(TIEPOINT):
+    if tags.get(MATRIX):
+        m = tags[MATRIX]
+        gt = [m[3], m[0], m[1], m[7], m[4], m[5]]
+    elif tags.get(SCALE) and tags.get(TIEPOINT):
         (sx, sy, _), (i, j, _, x, y, _) = tags[SCALE], tags[TIEPOINT][:6]
         gt = [x - i * sx, sx, 0.0, y + j * sy, 0.0, -sy]
-    wkt = tags[ASCII].split(b"\0")[0].decode("latin-1").rstrip("|") if tags.get(ASCII) else None
-    return np.ascontiguousarray(flat.transpose(2, 0, 1)), gt, wkt
+    citation = tags[ASCII].split(b"\0")[0].decode("latin-1").rstrip("|") if tags.get(ASCII) else None
+    return out, gt, citation
 
 
-def encode(image: np.ndarray, gt: list[float] | None = None, wkt: str | None = None, one_bit: bool = False) -> bytes:
+def encode(image: np.ndarray, gt: list[float] | None = None, citation: str | None = None, one_bit: bool = False) -> bytes:
     """A little-endian TIFF of one strip; with one_bit a mask of one bit a pixel."""
     bands, h, w = image.shape
     data = np.packbits(image[0] > 0, axis=1).tobytes() if one_bit else np.ascontiguousarray(image.transpose(1, 2, 0)).tobytes()
@@ -58,8 +124,8 @@ def encode(image: np.ndarray, gt: list[float] | None = None, wkt: str | None = N
     tags = [(WIDTH, 4, [w]), (HEIGHT, 4, [h]), (BITS, 3, [bits] * bands), (COMPRESSION, 3, [1]), (262, 3, [1]), (OFFSETS, 4, [8]), (SAMPLES, 3, [bands]), (ROWS, 4, [h]), (COUNTS, 4, [len(data)]), (PLANAR, 3, [1]), (FORMAT, 3, [{"u": 1, "i": 2, "f": 3}.get(image.dtype.kind, 1)] * bands)]
     if gt:
         tags += [(SCALE, 12, [gt[1], -gt[5], 0.0]), (TIEPOINT, 12, [0.0, 0.0, 0.0, gt[0], gt[3], 0.0])]
-    if wkt:
-        tags.append((ASCII, 2, wkt.encode("latin-1") + b"|\0"))
+    if citation:
+        tags.append((ASCII, 2, citation.encode("latin-1") + b"|\0"))
     at = 8 + len(data) + len(data) % 2
     body, extra, far = struct.pack("<H", len(tags)), b"", at + 6 + 12 * len(tags)
     for tag, kind, values in sorted(tags):
@@ -84,9 +150,9 @@ def read(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
             rows = []
             for p, n, raw in zip(frame["path"], frame["image_name"], frame["content"]):
                 try:
-                    image, gt, wkt = decode(raw)
-                    rows.append((p, n, image.shape[1], image.shape[2], image.shape[0], gt, wkt, image.dtype.str, image.tobytes(), None))
-                except (ValueError, KeyError, struct.error) as error:
+                    image, gt, citation = decode(raw)
+                    rows.append((p, n, image.shape[1], image.shape[2], image.shape[0], gt, citation, image.dtype.str, image.tobytes(), None))
+                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as error:
                     rows.append((p, n, None, None, None, None, None, None, None, str(error)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 

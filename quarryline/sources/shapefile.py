@@ -4,6 +4,7 @@ final names, in the commit."""
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -11,7 +12,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import Row, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
+
+from ..session import ship
 
 POINT = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
 GEOMETRY = ArrayType(ArrayType(POINT))
@@ -20,6 +23,10 @@ LAYER_TEXT = {"Class": 5, "Sensor": 10, "Date": 10, "Time": 10, "CatalogID": 20}
 POLYGON = 5
 
 
+#: Columns of a read table that no file has.
+OWN = ("geometry", "file", "_fid")
+
+
 def _store(path: str):
     from pyarrow import fs
 
@@ -31,6 +38,13 @@ def _bytes(store, path: str) -> bytes:
         return f.read()
 
 
+def _head(store, path: str) -> bytes:
+    """The description of the columns alone."""
+    with store.open_input_stream(path) as f:
+        first = f.read(32)
+        return first + f.read(struct.unpack("<H", first[8:10])[0] - 32)
+
+
 def fields_of(dbf: bytes) -> list[tuple[str, str, int, int]]:
     """(name, kind, width, decimals) of the table's columns."""
     out, at = [], 32
@@ -58,11 +72,15 @@ def rings_of(shp: bytes) -> Iterator[list[list[tuple[float, float]]]]:
         yield [flat[a:b] for a, b in zip(starts, starts[1:])]
 
 
-def records_of(dbf: bytes) -> Iterator[list]:
+def records_of(dbf: bytes) -> Iterator[list | None]:
+    """The values of each record; None for one that is marked as deleted."""
     count, head, size = struct.unpack("<IHH", dbf[4:12])
     columns = fields_of(dbf)
     for k in range(count):
         at, row = head + k * size + 1, []
+        if dbf[at - 1 : at] == b"*":
+            yield None
+            continue
         for _, kind, width, decimals in columns:
             raw = dbf[at : at + width].decode("utf-8", "replace").strip(" \0")
             at += width
@@ -76,8 +94,8 @@ class _File(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.root = path
+    def __init__(self, path: str, names: list[str]):
+        self.root, self.names = path, names
 
     def partitions(self) -> list[_File]:
         return [_File(p) for p in files(self.root)]
@@ -85,8 +103,11 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File) -> Iterator[tuple]:
         store, _ = _store(self.root)
         table = _bytes(store, partition.path[:-4] + ".dbf")
-        for rings, values in zip(rings_of(_bytes(store, partition.path)), records_of(table)):
-            yield ([[Row(x=x, y=y) for x, y in ring] for ring in rings], *values, partition.path)
+        own = [c[0] for c in fields_of(table)]
+        for fid, (rings, values) in enumerate(zip(rings_of(_bytes(store, partition.path)), records_of(table))):
+            if values is not None:
+                named = dict(zip(own, values))
+                yield ([[Row(x=x, y=y) for x, y in ring] for ring in rings], *[named.get(n) for n in self.names], partition.path, fid)
 
 
 def files(root: str) -> list[str]:
@@ -135,7 +156,9 @@ def encode(rows: list[tuple[list, list]], columns: list[tuple[str, str, int, int
         table += b" "
         for (_, kind, size, decimals), v in zip(columns, values):
             text = "" if v is None else f"{v:.{decimals}f}" if kind == "N" else str(v)
-            raw = text.encode()[:size]
+            raw = text.encode()
+            if len(raw) > size:
+                raise ValueError(f"{text!r} does not fit in {size} bytes")
             table += raw.rjust(size) if kind == "N" else raw.ljust(size)
     return {"shp": _header(at, box) + b"".join(shapes), "shx": _header(100 + 8 * len(rows), box) + b"".join(index), "dbf": table + b"\x1a"}
 
@@ -145,33 +168,55 @@ class _Message(WriterCommitMessage):
         self.names = names
 
 
+def _column(field: StructField, values: list) -> tuple[str, str, int, int]:
+    """(name, kind, width, decimals) of a column that holds all the values whole."""
+    if isinstance(field.dataType, (LongType, IntegerType, ShortType, ByteType)):
+        return field.name, "N", max([18, *[len(str(v)) for v in values if v is not None]]), 0
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        if any(v is not None and not math.isfinite(v) for v in values):
+            raise ValueError(f"{field.name} has a number that is not finite")
+        wide = max([20, *[len(f"{v:.3f}") for v in values if v is not None]])
+        if wide > 254:
+            raise ValueError(f"{field.name} has a number of more than 254 digits")
+        return field.name, "N", wide, 3
+    wide = max([LAYER_TEXT.get(field.name, 1), *[len(str(v).encode()) for v in values if v is not None]])
+    if wide > 254:
+        raise ValueError(f"{field.name} has a text of {wide} bytes; a shapefile holds 254")
+    return field.name, "C", wide, 0
+
+
 class _Writer(DataSourceWriter):
-    def __init__(self, path: str, schema: StructType, wkt: str | None):
-        self.root, self.schema, self.wkt = path, schema, wkt
+    def __init__(self, path: str, schema: StructType, wkt: str | None, by: str | None = None, overwrite: bool = False):
+        self.root, self.schema, self.wkt, self.by, self.overwrite = path, schema, wkt, by, overwrite
 
     def write(self, rows: Iterator[Row]) -> _Message:
-        names = [f.name for f in self.schema if f.name not in ("geometry", "file")]
-        columns = []
-        for f in self.schema:
-            if f.name in names:
-                columns.append((f.name, "N", 18, 0) if isinstance(f.dataType, LongType) else (f.name, "N", 20, 3) if isinstance(f.dataType, DoubleType) else (f.name, "C", LAYER_TEXT.get(f.name, 80), 0))
-        found = [(r["geometry"], [r[n] for n in names]) for r in rows]
-        if not found:
-            return _Message([])
-        parts = encode(found, columns)
-        if self.wkt:
-            parts["prj"] = self.wkt.encode()
+        fields = [f for f in self.schema if f.name not in OWN]
+        groups: dict[str, list] = {}
+        for r in rows:
+            groups.setdefault(str(r[self.by]) if self.by else "", []).append((r["geometry"], [r[f.name] for f in fields]))
         store, folder = _store(self.root)
         store.create_dir(folder, recursive=True)
-        own, moved = uuid.uuid4().hex, []
-        for kind, data in parts.items():
-            with store.open_output_stream(f"{folder}/.{own}.{kind}") as out:
-                out.write(data)
-            moved.append((f"{folder}/.{own}.{kind}", f"{folder}/part-{own}.{kind}"))
+        moved = []
+        for group, found in groups.items():
+            parts = encode(found, [_column(f, [v[k] for _, v in found]) for k, f in enumerate(fields)])
+            if self.wkt:
+                parts["prj"] = self.wkt.encode()
+            own = uuid.uuid4().hex
+            for kind, data in parts.items():
+                with store.open_output_stream(f"{folder}/.{own}.{kind}") as out:
+                    out.write(data)
+                moved.append((f"{folder}/.{own}.{kind}", f"{folder}/{group or f'part-{own}'}.{kind}"))
         return _Message(moved)
 
     def commit(self, messages: list[_Message | None]) -> None:
-        store, _ = _store(self.root)
+        store, folder = _store(self.root)
+        if self.overwrite:
+            from pyarrow import fs
+
+            old = store.get_file_info(fs.FileSelector(folder, recursive=False, allow_not_found=True))
+            for f in old:
+                if f.is_file and not f.base_name.startswith(".") and f.extension in ("shp", "shx", "dbf", "prj"):
+                    store.delete_file(f.path)
         for old, new in (x for m in messages if m for x in m.names):
             store.move(old, new)
 
@@ -182,7 +227,13 @@ class _Writer(DataSourceWriter):
 
 
 class ShapefileSource(DataSource):
-    """spark.read.format("shapefile").load(path); df.write.format("shapefile").option("wkt", ...).save(path)."""
+    """spark.read.format("shapefile").load(path); df.write.format("shapefile").option("wkt", ...).save(path).
+
+    Reading gives the columns of all files by name, null where a file lacks one, then file and _fid, the place in the
+    file; records marked as deleted are left out. Writing makes columns as wide as their values need, and fails for a
+    text of more than 254 bytes; doubles are rounded to 3 decimals, as a result layer has them. mode("overwrite") deletes
+    the shapefiles of the folder. option("by", column) makes one file for each of its values, named by it; rows of a value
+    then have to be in one partition."""
 
     @classmethod
     def name(cls) -> str:
@@ -191,16 +242,20 @@ class ShapefileSource(DataSource):
     def schema(self) -> StructType:
         store, _ = _store(self.options["path"])
         found = files(self.options["path"])
-        columns = fields_of(_bytes(store, found[0][:-4] + ".dbf")) if found else []
-        kinds = lambda k, d: StringType() if k not in "NF" else DoubleType() if d else LongType()
-        return StructType([StructField("geometry", GEOMETRY), *[StructField(n, kinds(k, d)) for n, k, _, d in columns], StructField("file", StringType())])
+        kinds: dict[str, int] = {}
+        for path in found:
+            for n, k, _, d in fields_of(_head(store, path[:-4] + ".dbf")):
+                kinds[n] = max(kinds.get(n, 0), 2 if k not in "NF" else 1 if d else 0)
+        types = (LongType(), DoubleType(), StringType())
+        return StructType([StructField("geometry", GEOMETRY), *[StructField(n, types[k]) for n, k in kinds.items()], StructField("file", StringType()), StructField("_fid", LongType())])
 
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(self.options["path"])
+        return _Reader(self.options["path"], [f.name for f in schema if f.name not in OWN])
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], schema, self.options.get("wkt"))
+        return _Writer(self.options["path"], schema, self.options.get("wkt"), self.options.get("by"), overwrite)
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(ShapefileSource)

@@ -34,7 +34,7 @@ def test_geotiff_round_trip_and_errors(spark, tmp_path):
     (tmp_path / "mask.tif").write_bytes(geotiff.encode(image[:1] % 2, gt, one_bit=True))
     (tmp_path / "bad.tif").write_bytes(b"II*\0nothing")
     rows = {r.image_name: r for r in geotiff.read(spark, str(tmp_path)).collect()}
-    assert (geotiff.pixels(rows["WV02_a.v1"]) == image).all() and list(rows["WV02_a.v1"].gt) == gt and rows["WV02_a.v1"].wkt == WKT
+    assert (geotiff.pixels(rows["WV02_a.v1"]) == image).all() and list(rows["WV02_a.v1"].gt) == gt and rows["WV02_a.v1"].citation == WKT
     assert (geotiff.pixels(rows["mask"])[0] == image[0] % 2).all()
     assert rows["bad"].data is None and rows["bad"].error
 
