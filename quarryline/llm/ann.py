@@ -148,7 +148,6 @@ def graph(scratch: common.Scratch, units: DataFrame, n: int, width: type, degree
         g = scratch.write(_nearest(merged, "src", degree, F.desc("sim"), F.asc("dst")), f"graph-{turn}")
         scratch.drop(f"graph-{turn - 1}")
         changed = g.filter("new").count()
-        spark._jvm.System.gc()  # lets go of the shuffle files of earlier rounds
         if changed <= STOP * degree * n:
             break
     return g.select("src", "dst")
@@ -223,7 +222,6 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
         grown = closed.unionByName(_estimated(fresh, asked, units, width).withColumn("open", F.lit(True)))
         beam = scratch.write(_nearest(grown, "query", BEAM, F.desc("score"), F.asc("node")), f"beam-{step}")
         scratch.drop(f"beam-{step - 1}")
-        spark._jvm.System.gc()
         if not beam.filter("open").limit(1).count():
             break
     # Of the beam, all that rounding could bring among the nearest are scored anew; k + 1 nodes hold k other ids.

@@ -127,7 +127,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
                     names=["doc", "h1", "h2", "words", "keys"],
                 )
 
-    return _binary(df, id_col, text_col).mapInArrow(run, "doc long, h1 long, h2 long, words long, keys array<long>")
+    return _binary(df, id_col, text_col).mapInArrow(tk.resting(run), "doc long, h1 long, h2 long, words long, keys array<long>")
 
 
 def _prints(docs: DataFrame, words: int) -> DataFrame:
@@ -148,7 +148,7 @@ def _prints(docs: DataFrame, words: int) -> DataFrame:
                     [batch.column(0).slice(lo, hi - lo), pa.array([p[at[i] : at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())], names=["doc", "prints"]
                 )
 
-    return docs.mapInArrow(run, "doc long, prints binary")
+    return docs.mapInArrow(tk.resting(run), "doc long, prints binary")
 
 
 def _overlap(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +168,7 @@ def _overlap(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(scratch, pairs: DataFrame, prints: DataFrame, least: float, tag: str) -> DataFrame:
     a, b = prints.select(F.col("doc").alias("a"), F.col("prints").alias("pa")), prints.select(F.col("doc").alias("b"), F.col("prints").alias("pb"))
-    met = pairs.join(a, "a").join(b, "b").select("a", "b", "pa", "pb").mapInArrow(_overlap, "a long, b long, sim double")
+    met = pairs.join(a, "a").join(b, "b").select("a", "b", "pa", "pb").mapInArrow(tk.resting(_overlap), "a long, b long, sim double")
     return scratch.write(met.filter(F.col("sim") >= least), f"links-{tag}")
 
 
@@ -252,7 +252,7 @@ def _tiled(scratch: common.Scratch, live: DataFrame, rows: DataFrame, prints: Da
     put = put.withColumn("group", F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")))
     put = put.join(docs, "doc").select("group", "band", "doc", "n", "known", "comp", "tile", "keys", "prints")
     parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    return put.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_pairs_within(least), "a long, b long, sim double")
+    return put.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(tk.resting(_pairs_within(least)), "a long, b long, sim double")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
@@ -273,25 +273,19 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     rows = own.filter("keys is not null").join(reps.select(F.col("rep").alias("doc"), "h1", "h2"), ["doc", "h1", "h2"], "left_semi")
     keyed = rows.select("doc", size.alias("n"), F.posexplode("keys").alias("band", "key"))
     shared = scratch.write(keyed.groupBy("key").agg(F.min("doc").alias("lead"), F.max("doc").alias("hi")).filter("lead < hi").select("key", "lead"), "shared")
-    common.release(spark)
     members = scratch.write(keyed.join(shared, "key"), "members")
-    common.release(spark)
     labels = scratch.write(members.select("doc").distinct().select("doc", F.col("doc").alias("comp")), "labels")
     wanted = labels.select("doc")
     if wanted.count() <= BROADCAST_IDS:  # else both sides are dealt by id
         wanted = F.broadcast(wanted)
     prints = scratch.write(_prints(_binary(df, id_col, text_col).join(wanted, "doc", "left_semi"), words).dropDuplicates(["doc"]), "prints")
-    common.release(spark)
     # First every member of a bucket meets the least one.
     tested = scratch.write(members.filter("doc != lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct(), "pairs-0")
     labels = components.merge(scratch, labels, _verified(scratch, tested, prints, least, "0"), "0")
-    common.release(spark)
     live = members.drop("lead").join(labels, "doc")
     buckets = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     live = scratch.write(_linkable(scratch.write(live.join(buckets, "key", "left_semi"), "live"), prints, least), "linkable")
-    common.release(spark)
     labels = components.merge(scratch, labels, scratch.write(_tiled(scratch, live, rows, prints, least), "links-1"), "1")
-    common.release(spark)
     named = scratch.write(reps.join(labels, reps.rep == labels.doc, "left").select("h1", "h2", F.coalesce("comp", "rep").alias("comp")), "named")
     final = own.select("doc", "h1", "h2", "words").join(named, ["h1", "h2"], "left")
     final = scratch.write(final.select("doc", F.when(F.col("words") > 0, F.col("comp")).otherwise(F.col("doc")).alias("comp")), "final")
@@ -302,11 +296,26 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     )
 
 
+def _hashed(df: DataFrame, text_col: str, h1: str, h2: str) -> DataFrame:
+    """df with two hashes of its words, null for a text without words."""
+    own = common.normal_words(F.col(text_col))
+    has = F.length(own) > 0
+    return df.withColumn(h1, F.when(has, F.xxhash64(own))).withColumn(h2, F.when(has, F.sha2(own, 256)))
+
+
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df that are the first of their class, with all their columns; rows that repeat an id stay together."""
-    kid = common.free_name(df, "_kept_id")
+    """The rows of df that are the first of their class, with all their columns; rows that repeat an id stay together.
+    Of the rows with a null id, those go whose words equal those of a row with an id; the others stay, copies of each
+    other too, as no class names them."""
+    kid, h1, h2 = (common.free_name(df, x) for x in ("_kept_id", "_h1", "_h2"))
     kept = classes(df, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias(kid)).distinct()
-    return df.join(kept, F.col(id_col) == F.col(kid), "left_semi").unionByName(df.filter(F.col(id_col).isNull()))
+    first = df.join(kept, F.col(id_col) == F.col(kid), "left_semi")
+    nameless = df.filter(F.col(id_col).isNull())
+    if not nameless.limit(1).count():
+        return first
+    own = _hashed(nameless, text_col, h1, h2)
+    named = _hashed(df.filter(F.col(id_col).isNotNull()).select(text_col), text_col, h1, h2).filter(F.col(h1).isNotNull()).select(h1, h2).distinct()
+    return first.unionByName(own.join(named, [h1, h2], "left_anti").select(*df.columns))
 
 
 def op5_bagminhash(spark, sf_dir: str) -> DataFrame:

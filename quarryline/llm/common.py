@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,12 +54,8 @@ def _clean(spark: SparkSession, owned: list[str]) -> None:
             return
 
 
-def release(spark: SparkSession) -> None:
-    """Let the cleaner delete the shuffle files of steps whose results are written; it acts when plans are collected
-    as garbage on the driver."""
-    gc.collect()
-    spark._jvm.System.gc()
-    time.sleep(0.3)
+#: Spark's own switch: shuffle files of a query go when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -73,7 +67,12 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = new_folder(self.spark, name)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -87,6 +86,11 @@ def strip_space(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACES, "")
 
 
+def normal_words(text: Column) -> Column:
+    """The words of the text with one space between them; null counts as empty."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
+
+
 def n_words(text: Column) -> Column:
     """Number of words of the contracts as a long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

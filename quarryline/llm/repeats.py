@@ -1,28 +1,33 @@
 """Windows of 50 words or bytes that also start in a document with a smaller id.
 
-Finding candidates costs passes that hash; where contexts differ, what is removed comes from an engine that is run over
-small shards (an FM-index for words, a suffix array for bytes):
-
-1. Of each window, the least hash of its 25-unit pieces marks an anchor, so equal windows have equal anchors. Blocks of
-   documents send their anchors' prints to buckets, which answer with a bit each: seen in another document or not.
-2. For anchors that are shared, the context (the stretch that holds all windows of the anchor) is combined by content:
-   the least id that has it. An anchor with one context is not searched and its context never indexed: documents with
-   greater ids lose it whole, by the equality of its 64-bit hash.
-3. All distinct contexts of the other anchors go to the engine, sharded by the least document that has the anchor, so
-   that overlapping contexts travel as one stretch. Where that makes a large shard, they are dealt by anchor, and for
-   anchors with very many contexts by window.
-4. The engine reports windows that a smaller id holds too; later copies of a context are removed
-   whole by the same equality, without an engine.
+Hashes only find out where equal windows can be and bring them to one place. What is removed is what an engine (an
+FM-index over words, a suffix array over bytes) finds in the texts themselves:
+
+1. Of each window, the least hash of its 25-unit pieces is its anchor, so equal windows have equal anchors. Blocks of
+   documents send their anchors' prints to buckets, which answer whether another document has the anchor too, and its
+   route, a hash of the set of blocks that have it.
+2. In the same way the windows of shared anchors are sent, so that a block knows which windows another document may
+   have. Runs of these are cut at places that their content chooses, and where the route changes: the stretches. What
+   surrounds a shared passage is thus left behind, and the stretches of copies are equal, however many there are.
+3. Stretches of equal content are combined, in their block, then in salted groups, each time by comparing the whole
+   content; the least id that has it goes along.
+4. The engine gets the distinct stretches of a route and says for each window the least id that has it.
+5. Its answers go back the same way: to the groups, to the blocks' entries, to the rows. An id loses the windows that
+   a smaller one has.
+
+A group of copies, however large, leaves one stretch for each salt on its route; near copies leave the stretches that
+end at their differences, whose number is bounded by the places where a stretch can be cut.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import common
@@ -31,12 +36,22 @@ from ..session import ship
 
 WINDOW = 50
 PIECE = 25
-#: Documents of a block and units of a shard on average; contexts of a neighbourhood beyond which anchors are dealt, and
-#: of an anchor beyond which windows are.
-BLOCK_DOCS, SHARD_UNITS, HOT_NEAR, HOT = 512, 40_000, 4000, 500
+#: Bytes of text of a block and of the texts whose anchors a bucket holds, on average.
+BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 1 << 22
+#: Blocks of text for each shard of an engine.
+SHARD_BLOCKS = 20
+#: A stretch is cut at a window whose hash has this many bits of zero, for bytes and for words.
+CUT_BITS = (10, 8)
+#: Blocks for each further route of a set.
+SPREAD = 4
+#: Blocks whose equal stretches are one group at most, on average.
+GROUP = 4096
 LAST = np.iinfo(np.int64).max
-_SEEN = "row long, doc long, units long, removed long, spans long, sha string, at array<int>, anchor array<long>, context array<long>"
-_DONE = "row long, doc_id long, units long, removed long, spans long, sha string"
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_MARK = "bucket long, block long, prints binary, several binary"
+_MASK = "block long, kind int, bucket long, n long, hits binary, route binary"
+_ENTRY = "block long, k long, route long, doc long, data binary, members array<struct<row: long, at: int, own: boolean>>"
+_DONE = "doc_id long, units long, removed long, spans long, sha string"
 
 
 def units_of(text: bytes, words: bool) -> np.ndarray:
@@ -44,23 +59,14 @@ def units_of(text: bytes, words: bool) -> np.ndarray:
     return tk.word_hashes(raw)[0] if words else tk.BYTE[raw]
 
 
-def anchors(units: np.ndarray, window: int = WINDOW, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
-    """Where the anchors are, in order, and their hashes."""
-    h = tk.window_hash(units, piece)
-    if len(units) < window:
-        return np.empty(0, np.int64), h[:0]
-    span = window - piece + 1
-    least = tk.sliding_min(h, span)
-    # A place is an anchor if it holds the least hash of one of its windows; the complement turns max into min.
-    wide = np.full(len(least) + 2 * (span - 1), np.iinfo(np.uint64).max, np.uint64)
-    wide[span - 1 : span - 1 + len(least)] = ~least
-    at = np.flatnonzero(h == ~tk.sliding_min(wide, span))
-    return at, h[at]
-
-
-def contexts(at: np.ndarray, n: int, window: int = WINDOW, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of the stretch that holds all windows around each anchor."""
-    return np.maximum(at - (window - piece), 0), np.minimum(at + window, n)
+def anchors(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each run of windows with one anchor, and the anchors, from the hashes of all pieces."""
+    span = WINDOW - PIECE + 1
+    if len(pieces) < span:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    least = tk.sliding_min(pieces, span)
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    return first, tk.mix(least[first])
 
 
 def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int, int, str]:
@@ -73,143 +79,192 @@ def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int,
     else:
         left, n = text if gone is None else np.frombuffer(text, np.uint8)[~gone].tobytes(), len(text)
     lost = 0 if gone is None else int(gone.sum())
-    runs = 0 if gone is None else int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+    runs = 0 if gone is None else int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
     return n, lost, runs, hashlib.sha256(left).hexdigest()
 
 
-class _Block:
-    """The anchors of the documents of a block."""
+class _Prints:
+    """The distinct hashes of a block, in order, which of them two of its documents have, and for each document which
+    of them its hashes are."""
 
-    def __init__(self, table: pa.Table, words: bool):
-        self.row, self.doc, self.text = (table.column(c).to_pylist() for c in ("row", "doc", "text"))
-        self.words, self.at, self.hash = words, [], []
-        for t in self.text:
-            p, h = anchors(units_of(t, words))
-            self.at.append(p)
-            self.hash.append(h)
-        everything = np.concatenate([*self.hash, np.empty(0, np.uint64)])
-        owner = np.repeat(np.asarray(self.doc, np.int64), [len(h) for h in self.hash])
-        order = np.lexsort((owner, everything))
-        h, d = everything[order], owner[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+    def __init__(self, hashes: list[np.ndarray], docs: list[int]):
+        every = np.concatenate([*hashes, np.empty(0, np.uint64)])
+        sizes = [len(h) for h in hashes]
+        d = np.repeat(np.asarray(docs, np.int64), sizes)
+        order = np.argsort(every)
+        h, d = every[order], d[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
+        first = np.flatnonzero(new)
         self.distinct = h[first]
-        self.several = (d[first] != d[np.append(first[1:], len(h)) - 1]) if len(h) else np.empty(0, bool)
+        self.several = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first) if len(h) else np.empty(0, bool)
+        nth = np.empty(len(h), np.int64)
+        nth[order] = np.cumsum(new) - 1
+        self.which = np.split(nth, np.cumsum(sizes)[:-1])
+
+    def marks(self, block: int, bits: int) -> pa.Table:
+        bucket = (self.distinct >> np.uint64(64 - bits)).astype(np.int64)
+        low = (self.distinct << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+        ends = np.append(cut[1:], len(bucket))
+        return pa.table(
+            {
+                "bucket": pa.array(bucket[cut], pa.int64()), "block": pa.array(np.full(len(cut), block), pa.int64()),
+                "prints": pa.array([low[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "several": pa.array([np.packbits(self.several[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
+            }
+        )
 
-    def context(self, k: int, on: np.ndarray) -> np.ndarray:
-        """The hashes of the contexts of some anchors of document k."""
-        p = self.at[k][on]
-        if not len(p):
-            return self.hash[k][:0]
-        u = units_of(self.text[k], self.words)
-        lo, hi = contexts(p, len(u))
-        return tk.mix(tk.span_hash(u, lo, hi) + (p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - p).astype(np.uint64))
+    def answers(self, masks: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct hash whether it is shared, and its route (-1 where there is none)."""
+        rows = sorted((x for x in masks.to_pylist() if x["kind"] == kind), key=lambda x: x["bucket"])
+        on = np.concatenate([*[np.unpackbits(np.frombuffer(x["hits"], np.uint8), count=x["n"]) for x in rows], np.empty(0, np.uint8)]).astype(bool)
+        route = np.full(len(on), -1, np.int64)
+        if kind == 1:
+            route[on] = np.concatenate([*[np.frombuffer(x["route"], np.int32) for x in rows], np.empty(0, np.int32)])
+        return on, route
 
 
-def _mark(words: bool, bits: int) -> Callable:
+def _answer(kind: int) -> Callable:
+    """For each block's prints of a bucket: which of them another block has, or two documents of the block; for
+    anchors also the route, a hash of the set of blocks that have it. Neighbouring windows of a shared passage are in
+    the same documents, so their routes agree, and routes are as even as hashes are. A set of many blocks has several
+    routes, among which its anchors are dealt, so that no family of near copies is one route."""
+
     def run(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        b = _Block(table, words)
-        bucket = (b.distinct >> np.uint64(64 - bits)).astype(np.int64)
-        low = (b.distinct << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
-        ends = np.append(cut[1:], len(bucket))
+        prints = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("prints")]
+        sizes = np.asarray([len(p) for p in prints])
+        several = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=n) for x, n in zip(table.column("several"), sizes)]).astype(bool)
+        every = np.concatenate(prints)
+        order = np.argsort(every)
+        s = every[order]
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        many = np.diff(np.append(first, len(s)))
+        hit = np.empty(len(s), bool)
+        hit[order] = np.repeat(many > 1, many)
+        hit |= several
+        route = np.zeros(len(s), np.int32)
+        if kind == 1:
+            blocks = tk.mix(np.repeat(table.column("block").to_numpy(), sizes).astype(np.uint64) + np.uint64(1))
+            part = s[first].astype(np.uint64) % (1 + many // SPREAD).astype(np.uint64)
+            route[order] = np.repeat(tk.mix(np.add.reduceat(blocks[order], first) + part * _GOLDEN) >> np.uint64(33), many)
+        ends = np.cumsum(sizes)
         return pa.table(
             {
-                "bucket": pa.array(bucket[cut]), "block": pa.array(np.full(len(cut), block)),
-                "prints": pa.array([low[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
-                "several": pa.array([np.packbits(b.several[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "block": table.column("block"), "kind": pa.array(np.full(len(sizes), kind), pa.int32()), "bucket": table.column("bucket"), "n": pa.array(sizes, pa.int64()),
+                "hits": pa.array([np.packbits(hit[e - n : e]).tobytes() for e, n in zip(ends, sizes)], pa.binary()),
+                "route": pa.array([route[e - n : e][hit[e - n : e]].tobytes() if kind == 1 else b"" for e, n in zip(ends, sizes)], pa.binary()),
             }
         )
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """For each block's prints of a bucket: which of them another block has, or two documents of the block."""
-    prints = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("prints")]
-    several = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(p)) for x, p in zip(table.column("several"), prints)]).astype(bool)
-    every = np.concatenate(prints)
-    order = np.argsort(every, kind="stable")
-    s = every[order]
-    same = np.zeros(len(s), bool)
-    same[1:] = s[1:] == s[:-1]
-    same[:-1] |= s[1:] == s[:-1]
-    hit = np.empty(len(s), bool)
-    hit[order] = same
-    hit |= several
-    ends = np.cumsum([len(p) for p in prints])
-    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "hits": pa.array([np.packbits(hit[e - len(p) : e]).tobytes() for e, p in zip(ends, prints)], pa.binary()), "n": pa.array([len(p) for p in prints], pa.int64())})
-
-
-def _seen(words: bool) -> Callable:
+class _Block:
+    """The documents of a block with the anchors of their windows."""
+
+    def __init__(self, table: pa.Table, words: bool):
+        self.row, self.doc, self.text = (table.column(c).to_pylist() for c in ("row", "doc", "text"))
+        self.pieces = [tk.window_hash(units_of(t, words), PIECE, tk.mix_once) for t in self.text]
+        found = [anchors(p) for p in self.pieces]
+        self.first = [f for f, _ in found]
+        self.prints = _Prints([h for _, h in found], self.doc)
+
+    def shared(self, masks: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each document with shared anchors: its place, the windows that have them, their hashes and routes."""
+        on, route = self.prints.answers(masks, 1)
+        route[~on] = -1
+        for k, which in enumerate(self.prints.which):
+            own = route[which]
+            if (own >= 0).any():
+                p = self.pieces[k]
+                own = np.repeat(own, np.diff(np.append(self.first[k], len(p) - (WINDOW - PIECE))))
+                at = np.flatnonzero(own >= 0)
+                yield k, at, tk.mix_once(p[at] * _GOLDEN + p[at + (WINDOW - PIECE)]), own[at]
+
+    def windows(self, masks: pa.Table) -> tuple[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], _Prints]:
+        found = list(self.shared(masks))
+        return found, _Prints([h for _, _, h, _ in found], [self.doc[k] for k, *_ in found])
+
+
+def _mark(words: bool, bits: int) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        out = _Block(table, words).prints.marks(table.column("block")[0].as_py(), bits)
+        tk.rest()
+        return out
+
+    return run
+
+
+def _ask(words: bool, bits: int) -> Callable:
     def run(table: pa.Table, masks: pa.Table) -> pa.Table:
-        rows = {c: [] for c in ("row", "doc", "units", "removed", "spans", "sha", "at", "anchor", "context")}
-        if table.num_rows:
-            b = _Block(table, words)
-            parts = sorted(zip(masks.column("bucket").to_pylist(), masks.column("n").to_pylist(), masks.column("hits")), key=lambda x: x[0])
-            flags = np.concatenate([*[np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=n) for _, n, x in parts], np.empty(0, np.uint8)]).astype(bool)
-            for k, text in enumerate(b.text):
-                on = flags[np.searchsorted(b.distinct, b.hash[k])] if len(b.hash[k]) else np.empty(0, bool)
-                n, lost, runs, sha = result(text, words, None)
-                for c, v in zip(rows, (b.row[k], b.doc[k], n, lost, runs, sha, b.at[k][on].astype(np.int32), b.hash[k][on].view(np.int64), b.context(k, on).view(np.int64))):
-                    rows[c].append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        return pa.table({c: pa.array(v, t) for (c, v), t in zip(rows.items(), kinds)})
+        _, prints = _Block(table, words).windows(masks)
+        out = prints.marks(table.column("block")[0].as_py() if table.num_rows else -1, bits)
+        tk.rest()
+        return out
 
     return run
 
 
-def _emit(words: bool, shards: int) -> Callable:
-    """The stretches to search: shard, row, doc, the place of the first unit, and the units. Contexts of a document
-    that overlap and go to one shard are one stretch; a key of -1 deals the windows of a context one by one."""
-    size = 8 if words else 1
+def _stretches(at: np.ndarray, h: np.ndarray, route: np.ndarray, cut: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last windows and routes of the stretches of the windows `at`, which are in order."""
+    begin = h & np.uint64((1 << cut) - 1) == 0
+    begin[:1] = True
+    begin[1:] |= (route[1:] != route[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(begin)
+    return at[first], at[np.append(first[1:], len(at))[: len(first)] - 1], route[first]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [[], [], [], [], []]
-            row, doc, text, need = (batch.column(i) for i in range(4))
-            for k in range(batch.num_rows):
-                raw = text[k].as_py()
-                u = units_of(raw, words)
-                data = u.tobytes() if words else raw
-                at, key = np.asarray(need[k].values.field("at")), np.asarray(need[k].values.field("key"))
-                order = np.lexsort((at, key))
-                lo, hi = contexts(at[order], len(u))
-                pieces: list[list[int]] = []
-                wide = None
-                for shard, i, j in zip(key[order].tolist(), lo.tolist(), hi.tolist()):
-                    if shard < 0:
-                        if wide is None:
-                            wide = tk.window_hash(u, WINDOW)
-                        pieces += [[int(wide[s] % np.uint64(shards)), s, s + WINDOW] for s in range(i, j - WINDOW + 1)]
-                    elif pieces and pieces[-1][0] == shard and i <= pieces[-1][2]:
-                        pieces[-1][2] = max(j, pieces[-1][2])
-                    else:
-                        pieces.append([shard, i, j])
-                for shard, i, j in pieces:
-                    for column, v in zip(out, (shard % shards, row[k].as_py(), doc[k].as_py(), i, data[i * size : j * size])):
-                        column.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["shard", "row", "doc", "start", "data"])
+
+def _entries(words: bool) -> Callable:
+    def run(table: pa.Table, masks: pa.Table) -> pa.Table:
+        b = _Block(table, words)
+        found, prints = b.windows(masks)
+        on, _ = prints.answers(masks, 2)
+        entries: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        for (k, at, h, route), which in zip(found, prints.which):
+            good = on[which]
+            units = b.text[k].split() if words else b.text[k]
+            for i, j, r in zip(*(x.tolist() for x in _stretches(at[good], h[good], route[good], CUT_BITS[words]))):
+                part = units[i : j + WINDOW]
+                entries.setdefault((r, b" ".join(part) if words else part), []).append((b.doc[k], b.row[k], i))
+        least = [min(m)[0] for m in entries.values()]
+        many = pa.array(np.cumsum([0, *map(len, entries.values())]), pa.int32())
+        flat = [(row, at, doc == low) for low, m in zip(least, entries.values()) for doc, row, at in m]
+        member = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.bool_()))], names=["row", "at", "own"])
+        out = pa.table(
+            {
+                "block": pa.array(np.full(len(entries), table.column("block")[0].as_py() if table.num_rows else -1), pa.int64()), "k": pa.array(np.arange(len(entries)), pa.int64()),
+                "route": pa.array([r for r, _ in entries], pa.int64()), "doc": pa.array(least, pa.int64()), "data": pa.array([d for _, d in entries], pa.binary()),
+                "members": pa.ListArray.from_arrays(many, member),
+            }
+        )
+        tk.rest()
+        return out
 
     return run
 
 
-def _engine(words: bool, find: Callable) -> Callable:
+def _intervals(on: np.ndarray) -> np.ndarray:
+    """Starts and ends, one after the other, of the stretches that windows which are on cover."""
+    at = np.flatnonzero(on)
+    if not len(at):
+        return np.empty(0, np.int32)
+    new = np.flatnonzero(np.concatenate([[True], np.diff(at) > WINDOW]))
+    last = np.append(new[1:], len(at)) - 1
+    return np.stack([at[new], at[last] + WINDOW], axis=1).ravel().astype(np.int32)
+
+
+def _engine(find: Callable) -> Callable:
     def run(table: pa.Table) -> pa.Table:
-        # One string for each content and document; the engine does not need repeats.
-        seen: dict[tuple[int, bytes], int] = {}
-        rows, doc, start, data = (table.column(c).to_pylist() for c in ("row", "doc", "start", "data"))
-        which = [seen.setdefault((d, x), len(seen)) for d, x in zip(doc, data)]
-        strings = [np.frombuffer(x, np.uint64 if words else np.uint8) for _, x in seen]
-        hits = find(strings, np.asarray([d for d, _ in seen], np.int64), WINDOW)
-        found: dict[int, list[np.ndarray]] = {}
-        for r, s, k in zip(rows, start, which):
-            if len(hits[k]):
-                found.setdefault(r, []).append(hits[k] + s)
-        return pa.table(
-            {"row": pa.array(list(found), pa.int64()), "starts": pa.array([np.unique(np.concatenate(v)).astype(np.int32) for v in found.values()], pa.list_(pa.int32()))}
+        docs = table.column("doc").to_numpy()
+        least = find(table.column("data").to_pylist(), docs, WINDOW)
+        out = pa.table(
+            {
+                "id": table.column("id"), "own": pa.array([_intervals(m < d) for m, d in zip(least, docs)], pa.list_(pa.int32())),
+                "others": pa.array([_intervals((m <= d) & (m < LAST)) for m, d in zip(least, docs)], pa.list_(pa.int32())),
+            }
         )
+        tk.rest()
+        return out
 
     return run
 
@@ -217,25 +272,21 @@ def _engine(words: bool, find: Callable) -> Callable:
 def _finish(words: bool) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[] for _ in range(6)]
-            row, doc, text, full, starts = (batch.column(i) for i in range(5))
+            out = [[] for _ in range(5)]
+            doc, text, at, spans = (batch.column(i) for i in range(4))
             for k in range(batch.num_rows):
-                raw = text[k].as_py()
-                n = len(raw.split()) if words else len(raw)
-                edge = np.zeros(n + 1, np.int64)
-                if full[k].is_valid and len(full[k].values):
-                    lo, hi = contexts(np.asarray(full[k].values), n)
-                    np.add.at(edge, lo, 1)
-                    np.add.at(edge, hi, -1)
-                if starts[k].is_valid:
-                    s = np.concatenate([np.asarray(x.values) for x in starts[k].values])
-                    np.add.at(edge, s, 1)
-                    np.add.at(edge, s + WINDOW, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                for column, v in zip(out, (row[k].as_py(), doc[k].as_py(), *result(raw, words, gone))):
+                raw, gone = text[k].as_py(), None
+                if at[k].is_valid:
+                    edge = np.zeros((len(raw.split()) if words else len(raw)) + 1, np.int64)
+                    each = spans[k].values
+                    own = np.asarray(each.flatten()).reshape(-1, 2) + np.repeat(np.asarray(at[k].values), np.asarray(pa.compute.list_value_length(each)) // 2)[:, None]
+                    np.add.at(edge, own[:, 0], 1)
+                    np.add.at(edge, own[:, 1], -1)
+                    gone = np.cumsum(edge[:-1]) > 0
+                for column, v in zip(out, (doc[k].as_py(), *result(raw, words, gone))):
                     column.append(v)
-            kinds = (*[pa.int64()] * 5, pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["row", "doc_id", "units", "removed", "spans", "sha"])
+            kinds = (*[pa.int64()] * 4, pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["doc_id", "units", "removed", "spans", "sha"])
 
     return run
 
@@ -243,59 +294,39 @@ def _finish(words: bool) -> Callable:
 def removed(df: DataFrame, words: bool, find: Callable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of df: doc_id, units, removed, spans, sha (of what is left).
 
-    find(strings, docs, window) gives for each string the starts of its windows that a string of a smaller doc holds.
+    find(contents, docs, window) gives for each content the least doc that has each of its windows (LAST: none).
     Null texts count as empty. A null id comes after all others: its windows are removed where another id has them, and
     never remove any. Rows that repeat an id are one document, which does not remove its own windows. An empty table
     gives no rows; other columns are not read."""
     spark = df.sparkSession
     ship(spark)
     scratch = common.Scratch(spark)
-    count = df.count()
-    blocks, bits = max(1, count // BLOCK_DOCS), max(4, min(30, int(np.log2(max(1, count // 2000)))))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))).alias("doc"), text.alias("text"))
-    docs = docs.select(F.xxhash64("doc", "text").alias("row"), "doc", "text").withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(blocks)))
-    marks = docs.groupBy("block").applyInArrow(_mark(words, bits), "bucket long, block long, prints binary, several binary")
-    masks = scratch.write(marks.groupBy("bucket").applyInArrow(_answer, "bucket long, block long, hits binary, n long"), "masks")
-    common.release(spark)
-    seen = scratch.write(docs.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(_seen(words), _SEEN), "seen")
-    scratch.drop("masks")
-    common.release(spark)
-    occurs = seen.filter(F.size("at") > 0).select("row", "doc", F.explode(F.arrays_zip("at", "anchor", "context")).alias("x")).select("row", "doc", "x.*")
-    pairs = scratch.write(occurs.groupBy("anchor", "context").agg(F.min("doc").alias("least"), F.max("doc").alias("most")), "contexts")
-    common.release(spark)
-    by = pairs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("lo"), F.max("most").alias("hi")).filter("lo < hi")
-    known = scratch.write(pairs.join(by.select("anchor", "n", "lo"), "anchor").filter("n > 1 or least < most").select("anchor", "context", "least", "n", "lo"), "known")
-    scratch.drop("contexts")
-    common.release(spark)
-    # Anchors with the same least document are one neighbourhood, whose contexts overlap; large ones are split by
-    # anchor, and anchors with very many contexts by window.
-    near = known.filter("n > 1").groupBy("lo").agg(F.count(F.lit(1)).alias("load"))
-    load = int(near.agg(F.sum("load")).first()[0] or 0)
-    keyed = known.join(scratch.write(near, "near"), "lo", "left")
-    key = F.when(F.col("n") == 1, F.lit(None)).when(F.col("load") <= HOT_NEAR, F.pmod(F.xxhash64("lo"), F.lit(1 << 62))).when(F.col("n") <= HOT, F.pmod(F.xxhash64("anchor"), F.lit(1 << 62))).otherwise(-1)
-    known = scratch.write(keyed.select("anchor", "context", "least", key.alias("key")), "keyed")
-    scratch.drop("known")
-    common.release(spark)
-    mine = occurs.join(known, ["anchor", "context"]).filter("least < doc or key is not null")
-    full, need = F.col("least") < F.col("doc"), F.col("least") == F.col("doc")
-    plan = scratch.write(
-        mine.groupBy("row").agg(F.collect_list(F.when(full, F.col("at"))).alias("full"), F.collect_list(F.when(need, F.struct("at", "key"))).alias("need")), "plan"
-    )
-    plain = scratch.write(seen.select("row", F.col("doc").alias("doc_id"), "units", "removed", "spans", "sha"), "plain")
-    scratch.drop("seen", "keyed")
-    common.release(spark)
-    held = scratch.write(docs.select("row", "doc", "text").join(plan, "row"), "held")
-    scratch.drop("plan")
-    common.release(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(1, load * (WINDOW // 2) // SHARD_UNITS)
-    strings = held.filter(F.size("need") > 0).select("row", "doc", "text", "need").repartition(parts).mapInArrow(_emit(words, shards), "shard long, row long, doc long, start int, data binary")
-    hits = scratch.write(strings.groupBy("shard").applyInArrow(_engine(words, find), "row long, starts array<int>"), "hits")
-    common.release(spark)
-    starts = hits.groupBy("row").agg(F.collect_list("starts").alias("starts"))
-    changed = held.join(starts, "row", "left").select("row", "doc", "text", "full", "starts").mapInArrow(_finish(words), _DONE)
-    changed = scratch.write(changed, "changed")
-    scratch.drop("held")
-    left = plain.join(changed.select("row"), "row", "left_anti")
-    return left.unionByName(changed).select(F.when(F.col("doc_id") < int(LAST), F.col("doc_id")).alias("doc_id"), "units", "removed", "spans", "sha")
+    seen = Observation()
+    docs = df.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))).alias("doc"), text.alias("text"))
+    docs = scratch.write(docs.observe(seen, F.sum(F.length("text")).alias("bytes")), "docs")
+    size = seen.get["bytes"] or 0
+    blocks, bits = 1 + size // BLOCK_BYTES, max(4, min(30, int(math.log2(1 + size // BUCKET_BYTES))))
+    block = docs.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+    marks = block.groupBy("block").applyInArrow(_mark(words, bits), _MARK)
+    anchor_masks = scratch.write(marks.groupBy("bucket").applyInArrow(_answer(1), _MASK), "anchors")
+    asked = block.groupBy("block").cogroup(anchor_masks.groupBy("block")).applyInArrow(_ask(words, bits), _MARK)
+    masks = anchor_masks.unionByName(scratch.write(asked.groupBy("bucket").applyInArrow(_answer(2), _MASK), "windows"))
+    entries = scratch.write(block.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(_entries(words), _ENTRY), "entries")
+    scratch.drop("anchors", "windows")
+    # Equal contents, compared whole, become one for each salt, and blocks are dealt to salts.
+    salt = F.pmod(F.xxhash64("block"), F.lit(-(-blocks // GROUP))).alias("salt")
+    combined = entries.groupBy("route", "data", salt).agg(F.min("doc").alias("doc"), F.collect_list(F.struct("block", "k", "doc")).alias("who"))
+    combined = scratch.write(combined.select(F.monotonically_increasing_id().alias("id"), "route", "data", "doc", "who"), "combined")
+    # The suffixes of a text of a few MB fall in large groups, which the engines process as arrays.
+    shard = F.pmod("route", F.lit(-(-blocks // SHARD_BLOCKS))).alias("shard")
+    hits = scratch.write(combined.select("id", shard, "data", "doc").groupBy("shard").applyInArrow(_engine(find), "id long, own array<int>, others array<int>"), "hits")
+    some = hits.filter(F.size("others") > 0).join(combined.select("id", "doc", "who"), "id").select("doc", "own", "others", F.explode("who").alias("who"))
+    some = some.select("who.block", "who.k", F.when(F.col("who.doc") == F.col("doc"), F.col("own")).otherwise(F.col("others")).alias("own"), "others")
+    each = some.join(entries.select("block", "k", "members"), ["block", "k"]).select("own", "others", F.explode("members").alias("m"))
+    each = each.select("m.row", "m.at", F.when(F.col("m.own"), F.col("own")).otherwise(F.col("others")).alias("spans")).filter(F.size("spans") > 0)
+    lost = each.groupBy("row").agg(F.collect_list(F.struct("at", "spans")).alias("x")).select("row", F.col("x.at").alias("at"), F.col("x.spans").alias("spans"))
+    lost = scratch.write(lost, "lost")
+    scratch.drop("entries", "combined", "hits")
+    met = docs.join(lost.hint("shuffle_hash"), "row", "left").select("doc", "text", "at", "spans").mapInArrow(tk.resting(_finish(words)), _DONE)
+    return met.withColumn("doc_id", F.when(F.col("doc_id") < int(LAST), F.col("doc_id")))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _U = np.uint64
 _RNG = np.random.default_rng(20240229)
@@ -13,6 +15,8 @@ BASE = int(_RNG.integers(0, 2**63, dtype=np.int64)) * 2 + 1
 INVERSE = pow(BASE, -1, 2**64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Powers that stay between tasks at most, for each base.
+KEPT = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -24,11 +28,31 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 1 << 23:
+        if size <= KEPT:
             _powers[base] = have
     return have[:n]
 
 
+def rest() -> None:
+    """Give freed memory back to the machine at the end of a task: idle Python workers stay beside the JVM's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def resting(run):
+    """A function over batches that rests when its task ends."""
+
+    def rested(batches):
+        try:
+            yield from run(batches)
+        finally:
+            rest()
+
+    return rested
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
@@ -36,6 +60,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
+def mix_once(h: np.ndarray) -> np.ndarray:
+    """A cheaper spread, enough to compare hashes and to take their least."""
+    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    return h ^ (h >> _U(29))
+
+
 def span_hash(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The hash of units[start:end] for each pair; equal runs have equal hashes wherever they stand."""
     n = len(units)
@@ -44,14 +74,14 @@ def span_hash(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((total[end] - total[start]) * powers(INVERSE, n + 1)[start])
 
 
-def window_hash(units: np.ndarray, length: int) -> np.ndarray:
+def window_hash(units: np.ndarray, length: int, spread=mix) -> np.ndarray:
     """The hash of each window of that many units."""
     n = len(units)
     if n < length:
         return np.empty(0, np.uint64)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(units * powers(BASE, n), out=total[1:])
-    return mix((total[length:] - total[:-length]) * powers(INVERSE, n - length + 1))
+    return spread((total[length:] - total[:-length]) * powers(INVERSE, n - length + 1))
 
 
 def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

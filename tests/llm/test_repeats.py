@@ -49,23 +49,48 @@ def mixed(spark):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-@pytest.mark.parametrize("limits", [(4000, 500), (2, 500), (0, 0)])
-def test_words_against_brute_force(spark, monkeypatch, limits):
-    monkeypatch.setattr(repeats, "HOT_NEAR", limits[0])
-    monkeypatch.setattr(repeats, "HOT", limits[1])
+@pytest.fixture(params=[1 << 20, 3000])
+def blocks(request, monkeypatch):
+    """One block, or many small ones."""
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", request.param)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", request.param)
+
+
+def test_words_against_brute_force(spark, blocks):
     df = mixed(spark)
     got = Counter(map(tuple, fmindex.remove_repeats(df).collect()))
     assert got == truth(df.collect(), True) and sum(r[2] * n for r, n in got.items())
 
 
-@pytest.mark.parametrize("limits", [(4000, 500), (0, 0)])
-def test_bytes_against_brute_force(spark, monkeypatch, limits):
-    monkeypatch.setattr(repeats, "HOT_NEAR", limits[0])
-    monkeypatch.setattr(repeats, "HOT", limits[1])
+def test_bytes_against_brute_force(spark, blocks):
     df = mixed(spark)
     assert Counter(map(tuple, lyndon.remove_repeats(df).collect())) == truth(df.collect(), False)
 
 
+def test_nothing_goes_without_the_engine(spark):
+    df, last = mixed(spark), repeats.LAST
+    nothing = lambda contents, docs, window: [np.full(len(c), last) for c in contents]
+    for words in (True, False):
+        assert {r.removed for r in repeats.removed(df, words, nothing).collect()} == {0}
+
+
+def test_hot_rows_and_ids(spark):
+    """A third of the rows repeat one row, a third have no id."""
+    rows = mixed(spark).collect()
+    many = [(7, rows[3].text)] * 40 + [(None, rows[k].text) for k in range(40)] + [tuple(r) for r in rows[:40]]
+    df = spark.createDataFrame(many, "doc_id long, text string")
+    assert Counter(map(tuple, fmindex.remove_repeats(df).collect())) == truth(df.collect(), True)
+
+
+def test_least_documents_of_an_index():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 37, 700)
+    matrix = fmindex.WaveletMatrix(values)
+    lo = rng.integers(0, 690, 200)
+    hi = np.minimum(700, lo + rng.integers(1, 60, 200))
+    assert matrix.least(lo, hi).tolist() == [values[i:j].min() for i, j in zip(lo, hi)]
+
+
 def test_edge_cases(odd, none):
     rows = odd.collect()
     assert Counter(map(tuple, fmindex.remove_repeats(odd).collect())) == truth(rows, True)
@@ -83,7 +108,7 @@ def test_suffix_array_by_grouping():
 def test_index_counts_patterns():
     rng = np.random.default_rng(0)
     text = np.append(rng.integers(1, 5, 300), 0)
-    index = fmindex.FMIndex(text, len(text))
+    index = fmindex.FMIndex(text, np.zeros(len(text), np.int64), len(text))
     for n in (1, 2, 3, 5):
         for at in range(0, 280, 17):
             lo, hi = np.zeros(1, np.int64), np.array([len(text)])
