@@ -7,7 +7,7 @@ are one group only if they are equal, whatever their digests. Texts thus move on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -30,23 +30,32 @@ def _winner(rank: Column) -> Column:
     return F.when(low > 0, (F.lit("9223372036854775808").cast("decimal(38,0)") - low).cast("long"))
 
 
-def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Null texts count as empty. Of equal texts (white space deleted) the row with the most code points, then the
-    smallest id stays; a null id comes last, its rows have keep_id null if it wins, and kept is then true for it.
-    Rows that repeat an id and a text all count in group_size, and each of them is kept if their id is. An empty
-    table gives no rows; other columns of df are not read."""
+def _base(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     norm = common.strip_space(F.col(text_col))
     base = df.select(F.col(id_col).alias("doc_id"), norm.alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("chars"))
-    base = base.select("doc_id", "norm", "chars", F.unhex(F.sha2("norm", 256)).alias("digest"), F.xxhash64("norm").alias("check"))
+    return base.select("doc_id", "norm", "chars", F.unhex(F.sha2("norm", 256)).alias("digest"), F.xxhash64("norm").alias("check"))
+
+
+def _groups(base: DataFrame, salts: int) -> DataFrame:
+    """digest, check, keep_id, n for each distinct text."""
     salted = (
         base.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         .groupBy("salt", "digest", "check", "norm")
         .agg(F.max(_rank(F.col("chars"), F.col("doc_id"))).alias("best"), F.count(F.lit(1)).alias("n"))
     )
     whole = salted.groupBy("digest", "check", "norm").agg(F.max("best").alias("best"), F.sum("n").alias("n"))
-    groups = whole.select("digest", "check", _winner(F.col("best")).alias("keep_id"), F.col("n").alias("group_size"))
+    return whole.select("digest", "check", _winner(F.col("best")).alias("keep_id"), "n")
+
+
+def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Null texts count as empty. Of equal texts (white space deleted) the row with the most code points, then the
+    smallest id stays; a null id comes last, its rows have keep_id null if it wins, and kept is then true for it.
+    Rows that repeat an id and a text all count in group_size, and each of them is kept if their id is. An empty
+    table gives no rows; other columns of df are not read."""
+    base = _base(df, id_col, text_col)
+    groups = _groups(base, salts).select("digest", "check", "keep_id", F.col("n").alias("group_size"))
     # The digest with a second, independent hash leads each row to its group; only a few bytes a row move, and the
     # join is one that adaptive execution can split when a third of all rows share a digest.
     return base.select("doc_id", "digest", "check").join(groups, ["digest", "check"]).select(
@@ -58,20 +67,20 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df that stay, with all their columns. Rows that repeat both the id and the normalised text of a
     row that stays are equal to it for this operator, and one of them stays."""
-    marked = annotate(df, id_col, text_col).filter("kept")
-    winners = marked.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
-    wid, wsha, wn, sha = (common.free_name(df, x) for x in ("_w_id", "_w_sha", "_w_n", "_sha"))
-    winners = winners.select(F.col("doc_id").alias(wid), F.col("text_sha256").alias(wsha), F.col("rows").alias(wn))
-    own = df.withColumn(sha, F.sha2(common.strip_space(F.col(text_col)), 256))
-    met = own.join(winners, own[id_col].eqNullSafe(F.col(wid)) & (F.col(sha) == F.col(wsha)))
-    once = met.filter(F.col(wn) == 1).select(*df.columns)
-    from pyspark.sql import Window
-
-    n = common.free_name(met, "_nth")
-    # Only ids that occur more than once with the same text come here. The key holds rows that are alike.
-    order = [F.length(F.coalesce(F.col(text_col), F.lit(""))).desc(), *[F.col(c) for c in df.columns]]
-    again = met.filter(F.col(wn) > 1).withColumn(n, F.row_number().over(Window.partitionBy(wid, wsha).orderBy(*order)))
-    return once.unionByName(again.filter(F.col(n) == 1).select(*df.columns))
+    scratch = common.Scratch(df.sparkSession)
+    groups = _groups(_base(df, id_col, text_col), SALTS).select("keep_id", "digest")
+    winners = scratch.write(groups, "winners")
+    wid, wdigest, digest, n = (common.free_name(df, x) for x in ("_w_id", "_w_digest", "_digest", "_nth"))
+    winners = winners.select(F.col("keep_id").alias(wid), F.col("digest").alias(wdigest))
+    own = df.withColumn(digest, F.unhex(F.sha2(common.strip_space(F.col(text_col)), 256)))
+    met = own.join(winners, F.col(id_col).eqNullSafe(F.col(wid)) & (F.col(digest) == F.col(wdigest)), "left_semi")
+    if not df.groupBy(id_col).count().filter("count > 1").limit(1).count():
+        return met.select(*df.columns)
+    # Some id occurs more than once. Each task keeps its first row of a key before rows move.
+    sortable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    order = [F.length(F.coalesce(F.col(text_col), F.lit(""))).desc(), *[F.col(c) for c in sortable]]
+    numbered = met.withColumn(n, F.row_number().over(Window.partitionBy(id_col, digest).orderBy(*order)))
+    return numbered.filter(F.col(n) == 1).select(*df.columns)
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:

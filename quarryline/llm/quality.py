@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 from . import textkernel as tk
 from ..session import ship
 
@@ -139,7 +140,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
                     names=["id", "label", "bucket", "share"],
                 )
 
-    rows = met.select(F.col("l_id").cast("long").alias("l_id"), "label", "text").mapInArrow(extract, "id long, label int, bucket binary, share binary").collect()
+    rows = met.select(F.col("l_id").cast("long").alias("l_id"), "label", "text").mapInArrow(tk.resting(extract), "id long, label int, bucket binary, share binary").collect()
     rows.sort(key=lambda r: (r[0], bytes(r[2]), bytes(r[3])))
     return train([(r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in rows])
 
@@ -147,18 +148,21 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 def logits(texts: list, table: np.ndarray) -> np.ndarray:
     total, count = np.zeros(len(texts)), np.zeros(len(texts))
     for bucket, start in features(texts):
-        sums = np.concatenate([[0.0], np.cumsum(table[bucket])])
-        total += sums[start[1:]] - sums[start[:-1]]
+        # One sum for each text, so that a score does not depend on its neighbours.
+        some = np.flatnonzero(np.diff(start))
+        if len(some):
+            total[some] += np.add.reduceat(table[bucket], start[some])
         count += np.diff(start)
     return total / count
 
 
-def score(df: DataFrame, table: np.ndarray, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns keep of each row with its score. Null texts count as empty and get the score of an empty text."""
+def score(df: DataFrame, table: np.ndarray, text_col: str = "text", keep: list[str] | None = None, out_col: str = "score") -> DataFrame:
+    """The columns keep of each row with its score as the column out_col, which must not be one of them. Null texts count as empty and get the score of an empty text."""
     ship(df.sparkSession)
     keep = keep or []
-    source = df.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text_"))
-    schema = df.select(*[F.col(c) for c in keep], F.lit(0.0).alias("score")).schema
+    kept = df.select(*[F.col(c) for c in keep])
+    source = df.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias(common.free_name(kept, "_text")))
+    schema = kept.withColumn(out_col, F.lit(0.0)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,9 +170,15 @@ def score(df: DataFrame, table: np.ndarray, text_col: str = "text", keep: list[s
             out = np.empty(len(texts))
             for lo, hi in tk.slices(texts):
                 out[lo:hi] = 1 / (1 + np.exp(-logits(texts[lo:hi], table)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(out)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(out)], names=[*keep, out_col])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tk.resting(run), schema)
+
+
+def keep_good(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of df that the classifier accepts, with all their columns and only these, whatever their names."""
+    name = common.free_name(df, "_score")
+    return score(df, fit(df, labels), keep=df.columns, out_col=name).filter(F.col(name) >= THRESHOLD).drop(name)
 
 
 def judged(df: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
