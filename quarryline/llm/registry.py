@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.SQL}
+    return {"op1_sharding": sharding.SQL, "op4_exact_dedup": exact_dedup.SQL, "op6_fm_index": fmindex.SQL, "op10_lyndon_suffixes": lyndon.SQL}

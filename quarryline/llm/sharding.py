@@ -3,8 +3,9 @@
 A store is a folder: data/ holds shard files that are never changed, manifest/ one file for each version. append()
 writes arrivals as small shards. compact() takes the live shards of each size tier, merges them into files near the
 target size and commits a version that lists them in place of their inputs. A version becomes visible by one
-rename to a name that must not exist yet, so two writers can't both commit the same version and a reader sees all of
-a commit or none. Files of tasks that fail or of writers that lose are never listed.
+rename to a name that must not exist yet, so a reader sees all of a commit or none and, on a file system whose rename
+checks this in one step (HDFS), two writers can't both commit the same version. Local disks and object stores check
+first and rename then; there only one writer may work at a time. Files of tasks that fail or of writers that lose are never listed.
 
 Merging is one narrow job per tier and run: the scan planner packs whole small files into partitions of the target
 size (largest first, so similar sizes meet), and each partition writes one file. No row is shuffled.
@@ -56,7 +57,10 @@ class Store:
     def _manifest(self, version: int) -> dict:
         if not version:
             return {"schema": None, "shards": []}
-        stream = self._fs.open(self._path(f"{self.root}/manifest/v{version:012d}.json"))
+        at = self._path(f"{self.root}/manifest/v{version:012d}.json")
+        if not self._fs.exists(at):
+            raise LookupError(f"version {version} does not exist or was vacuumed")
+        stream = self._fs.open(at)
         text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
         return json.loads(text)
@@ -168,13 +172,18 @@ class Store:
                     left = [s for s in now if s.path not in gone]
 
     def vacuum(self, keep: int = 1) -> None:
-        """Delete the files that none of the last keep versions lists. Call it only when no writer is at work."""
+        """Delete the files that none of the last keep versions lists, and the manifests of older versions. Call it only
+        when no writer is at work."""
         newest = self.version()
         live = {s.path for v in range(max(1, newest - keep + 1), newest + 1) for s in self.shards(v)}
         for folder in self._fs.listStatus(self._path(f"{self.root}/data")):
             for s in self._fs.listStatus(folder.getPath()):
                 if s.getPath().getName().startswith("part-") and s.getPath().toString() not in live:
                     self._fs.delete(s.getPath(), False)
+        for s in self._fs.listStatus(self._path(f"{self.root}/manifest")):
+            name = s.getPath().getName()
+            if name.startswith("v") and int(name[1:-5]) <= newest - keep:
+                self._fs.delete(s.getPath(), False)
 
     # Readers.
     def read(self, version: int | None = None) -> DataFrame:
@@ -202,9 +211,9 @@ def compacted(df: DataFrame, root: str | None = None, target: int = TARGET) -> S
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:
-    """Each document as the newest version holds it, with its shard."""
+    """Each document as the newest version holds it after compaction; a null text has null n_chars and text_sha256."""
     rows = compacted(spark.read.parquet(f"{sf_dir}/documents.parquet")).read()
-    return rows.select(
-        "doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"),
-    )
+    return rows.select("doc_id", "lang", "source", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+SQL = "SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha256 FROM documents"

@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from quarryline.llm import ann, quality, sharding
 
 
@@ -92,6 +94,8 @@ def test_compaction_keeps_every_row_and_shrinks(spark, odd, tmp_path):
     assert store.read().exceptAll(store.read(5)).count() == 0 and store.read(2).count() == 2 * odd.count()
     store.vacuum()
     assert store.read().count() == 5 * odd.count()
+    with pytest.raises(LookupError):
+        store.read(2)
     with pytest.raises(sharding.CommitConflict):
         store._commit(store.version() - 1, None, [])
 
@@ -106,3 +110,68 @@ def test_tiers_merge_similar_sizes_only(spark, tmp_path):
 def test_empty_store(spark, none, tmp_path):
     store = sharding.compacted(none, f"file://{tmp_path}/s")
     assert store.read().count() == 0 and store.read().columns == none.columns
+
+
+def test_contents_stay_whole(spark, odd, tmp_path):
+    """Nulls, ties, repeated rows, long texts and clashing names come back as they went in."""
+    rows = odd.withColumn("_metadata", F.lit("m")).withColumn("path", F.col("doc_id"))
+    store = sharding.compacted(rows.repartition(5), f"file://{tmp_path}/s", target=1 << 16)
+    back = store.read()
+    assert back.columns == rows.columns and sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_recall_among_12000_vectors(spark):
+    """Many more vectors than a beam holds, in clusters of unlike density."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(60, 24)) * 2
+    m = np.concatenate([c + rng.normal(size=(200, 24)) * rng.uniform(0.2, 1.5) for c in centres])
+    schema = "vec_id long, embedding array<double>, query_id string, score string, node map<string,int>"
+    df = spark.createDataFrame([(i, v.tolist(), "q", "s", {"a": 1}) for i, v in enumerate(m)], schema)
+    got = {}
+    for r in ann.search(df, divisor=100).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    share = []
+    for q in range(0, len(m), 100):
+        s = u @ u[q]
+        s[q] = -2
+        share.append(len({v for _, v in got[q]} & set(np.argsort(-s)[:5].tolist())) / 5)
+    assert len(share) == 120 and np.mean(share) >= 0.95
+
+
+def test_training_against_plain_loops():
+    """The same steps of gradient descent written out for each feature."""
+    rng = np.random.default_rng(2)
+    sample = [(int(k % 3 > 0), rng.choice(500, 6, replace=False).astype(np.int32), np.full(6, 1 / 6, np.float32)) for k in range(12)]
+    got = quality.train(sample, epochs=2, seed=5)
+    rng = np.random.default_rng(5)
+    vectors = rng.uniform(-1 / quality.DIM, 1 / quality.DIM, (1 << quality.BITS, quality.DIM)).astype(np.float32).tolist()
+    rows = [[0.0] * quality.DIM for _ in range(2)]
+    small, large = [k for k, x in enumerate(sample) if x[0] == 0], [k for k, x in enumerate(sample) if x[0] == 1]
+    turn = np.asarray([small[k % len(small)] for k in range(len(large))] + large)
+    epochs = max(2, -(-quality.STEPS // len(turn)))
+    done = 0
+    for _ in range(epochs):
+        for k in rng.permutation(turn).tolist():
+            label, bucket, share = sample[k]
+            hidden = [sum(float(w) * vectors[b][d] for b, w in zip(bucket, share)) for d in range(quality.DIM)]
+            z = [sum(r[d] * hidden[d] for d in range(quality.DIM)) for r in rows]
+            e = [np.exp(x - max(z)) for x in z]
+            error = [x / sum(e) - (c == label) for c, x in enumerate(e)]
+            step = quality.RATE * (1 - done / (epochs * len(turn)))
+            back = [sum(error[c] * rows[c][d] for c in range(2)) for d in range(quality.DIM)]
+            for c in range(2):
+                rows[c] = [rows[c][d] - step * error[c] * hidden[d] for d in range(quality.DIM)]
+            for b, w in zip(bucket, share):
+                vectors[b] = [vectors[b][d] - step * float(w) * back[d] for d in range(quality.DIM)]
+            done += 1
+    want = np.asarray(vectors) @ (np.asarray(rows[1]) - np.asarray(rows[0]))
+    assert np.abs(want - got).max() < 0.02 * np.abs(want).max()
+
+
+def test_quality_stage_with_clashing_columns(spark, odd):
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(1, 14)], "doc_id long, quality int, toxic int")
+    rows = odd.withColumn("score", F.lit(7)).withColumn("predicted", F.lit("p")).withColumn("_text", F.lit(None).cast("string")).withColumn("_score", F.lit(1.5)).withColumn("label", F.lit("l"))
+    kept = quality.keep_good(rows, labels)
+    assert kept.columns == rows.columns and kept.dtypes == rows.dtypes
+    assert set(map(str, kept.collect())) <= set(map(str, rows.collect()))
