@@ -17,7 +17,7 @@ ORACLE_SQL = None
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labelled rows of this stage's input."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judged(docs, labels, docs.columns).filter("predicted = 1").select(*docs.columns)
+    return quality.keep_good(docs, labels)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 RADIUS = 10.0
+#: Pairs of an image that one task solves at most (a few MB).
+GRAPH = 200_000
 #: Twice the area up to which a ring counts as flat.
 FLAT = 1e-3
 
@@ -51,9 +57,42 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _roots(table: pa.Table) -> pa.Table:
+    """The components of one image's pairs."""
+    a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, label = ends[: len(a)], ends[len(a) :], np.arange(len(ids))
+    while True:
+        new = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    image = pa.array([table.column("image")[0].as_py()] * len(ids), table.schema.field("image").type)
+    return pa.table({"image": image, "idx": pa.array(ids), "root": pa.array(ids[label])})
+
+
 def components(pairs: DataFrame) -> DataFrame:
-    """image, idx, root for every polygon in a pair; root is the least id of its component. Least labels travel along
-    the pairs and jump to their labels' labels, so chains shrink by half and more in a turn."""
+    """image, idx, root for every polygon in a pair; root is the least id of its component. The pairs of an image are
+    solved in one task where there are at most GRAPH of them, which is checked; the pairs of larger images stay
+    distributed, and labels travel along them."""
+    ship(pairs.sparkSession)
+    edges = _checkpointed(pairs.select("image", "a", "b"))
+    large = edges.groupBy("image").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GRAPH).select("image")
+    kind = dict(pairs.dtypes)
+    schema = f"image {kind['image']}, idx {kind['a']}, root {kind['a']}"
+    if not large.limit(1).count():
+        return edges.groupBy("image").applyInArrow(_roots, schema)
+    small = edges.join(large, "image", "left_anti").groupBy("image").applyInArrow(_roots, schema)
+    return small.unionByName(_spread(edges.join(large, "image", "left_semi")))
+
+
+def _spread(pairs: DataFrame) -> DataFrame:
+    """Components by turns: least labels travel along the pairs and jump to their labels' labels, so chains shrink by
+    half and more in a turn."""
     edges = _checkpointed(pairs.select("image", "a", "b").unionByName(pairs.select("image", F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = edges.groupBy("image", F.col("a").alias("idx")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
     labels = _checkpointed(labels)

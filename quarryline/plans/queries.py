@@ -454,10 +454,12 @@ def tensor_stats(spark, sf_dir):
     return A.pixels(spark, sf_dir).groupBy("image").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.round(F.stddev_pop("v"), 4).alias("sd"))
 
 
-@query("dissolve", _with(V.LAYERS) + "SELECT layer, count(*) AS parts, list(fid ORDER BY fid) AS fids, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM layers GROUP BY layer")
+@query("dissolve", _with(V.LAYERS) + "SELECT layer, CAST(floor(x0 / 64) AS BIGINT) AS cx, CAST(floor(y0 / 64) AS BIGINT) AS cy, count(*) AS parts, min(fid) AS first_fid, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM layers GROUP BY layer, CAST(floor(x0 / 64) AS BIGINT), CAST(floor(y0 / 64) AS BIGINT)")
 def dissolve(spark, sf_dir):
-    return A.clean_layers(spark, sf_dir).groupBy("layer").agg(
-        F.count(F.lit(1)).alias("parts"), F.array_sort(F.collect_list("fid")).alias("fids"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
+    """The parts of each layer as one feature for each cell of the plane, so that no layer comes together in one row."""
+    cell = [F.floor(F.col(c) / 64).alias(n) for c, n in (("x0", "cx"), ("y0", "cy"))]
+    return A.clean_layers(spark, sf_dir).groupBy("layer", *cell).agg(
+        F.count(F.lit(1)).alias("parts"), F.min("fid").alias("first_fid"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
     )
 
 

@@ -22,7 +22,7 @@ def test_block_keys_agree_with_block_lists():
         assert all({i // 3, max((i - 1) // 3, 0)} >= k for i, k in of.items())
 
 
-def test_close_pairs_and_components_by_brute_force(spark):
+def test_close_pairs_and_components_by_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(int(i % 3), i, int(y // 32), int(x // 160), float(y), float(x)) for i, (y, x) in enumerate(zip(rng.uniform(0, 300, 250).round(1), rng.uniform(0, 400, 250).round(1)))]
     df = spark.createDataFrame(rows, "image long, idx long, id_i int, id_j int, x double, y double")
@@ -34,8 +34,10 @@ def test_close_pairs_and_components_by_brute_force(spark):
     for _ in range(50):
         for i, a, b in truth:
             root[i, a] = root[i, b] = min(root[i, a], root[i, b])
-    got = {(r.image, r.idx): r.root for r in spatial.components(pairs).collect()}
-    assert got == {k: root[k][1] for k in got}
+    for limit in (spatial.GRAPH, 30, 0):  # in one task, some images in turns, all in turns
+        monkeypatch.setattr(spatial, "GRAPH", limit)
+        got = {(r.image, r.idx): r.root for r in spatial.components(pairs).collect()}
+        assert got == {k: root[k][1] for k in got} and len(got) == len({(i, x) for i, *ab in truth for x in ab})
     assert spatial.deduplicate(df).count() == len(rows) - sum(k[1] != v for k, v in got.items())
 
 
