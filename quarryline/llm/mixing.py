@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -20,6 +20,8 @@ CYCLE = (5, 2, 1)
 LIMIT = 3
 ONE = 1 << 20  # fixed point of the rates
 FIXES = 12
+#: Rows of sources that are broadcast at most (a few MB), and the parts of a source beyond.
+BROADCAST_ROWS, SALTS = 50_000, 32
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -69,6 +71,16 @@ def _middle(lo: Column, hi: Column) -> Column:
     return F.when((mid > lo) & (mid < hi), mid).otherwise((lo + hi) / 2)
 
 
+def by_source(rows: DataFrame, side: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """rows with the columns of side, which has a few rows for each source. Rows are not dealt by source, as one may hold
+    a third of them: a side of a checked size goes to all tasks, a larger one is copied to SALTS parts of each source."""
+    keys = keys or ["sid"]
+    if side.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), keys)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    return salted.join(side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")), [*keys, "salt"]).drop("salt")
+
+
 def solve(scratch: common.Scratch, sizes: DataFrame, sources: DataFrame, limit: int = LIMIT) -> DataFrame:
     """sources with lam for each, by guarded Newton steps over the histogram of sizes. A source that is not met at the
     end is an error."""
@@ -137,7 +149,8 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     )
     sources = scratch.write(solve(scratch, sizes, targets(scratch, sizes, limit=limit), limit), "targets")
     s = sources.select("sid", F.col("source").alias("s_source"), "lam", "mean", "source_size", "target")
-    rated = sizes.join(s, _same(F.col("source"), F.col("s_source"))).select(
+    named = scratch.write(s.withColumn("source_key", F.xxhash64("s_source")), "named")
+    rated = by_source(sizes.withColumn("source_key", F.xxhash64("source")), named, ["source_key"]).filter(_same(F.col("source"), F.col("s_source"))).select(
         "doc_id", "sid", "size", F.when(F.col("size") > 0, _rate(F.col("lam"), F.col("size"), F.col("mean"), limit)).otherwise(0).cast("long").alias("rate")
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -146,27 +159,32 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     half = F.lit(ONE // 2)
     step = F.floor((F.col("before") + F.col("rate") + half) / ONE) - F.floor((F.col("before") + half) / ONE)
     rows = scratch.write(summed.select("doc_id", "sid", "size", "nth", step.cast("long").alias("copies")), "rounded")
-    # At most FIXES documents of each source change by one copy: each time the largest that fits the difference.
-    changed = None
+    # At most FIXES documents of each source change by one copy: each time one of the largest size that fits the
+    # difference. Which sizes these are comes from the histogram of (source, size, copies).
+    cells = scratch.write(rows.filter("size > 0").groupBy("sid", "size", "copies").agg(F.count(F.lit(1)).alias("n")), "histogram")
+    took = cells.groupBy("sid").agg(F.sum(F.col("size") * F.col("copies") * F.col("n")).alias("took"))
+    gaps = scratch.write(sources.join(took, "sid", "left").select("sid", (F.round("target") - F.coalesce("took", F.lit(0))).cast("long").alias("gap")), "gap-0")
     for turn in range(FIXES):
-        now = rows if changed is None else rows.join(changed.select("nth", "by"), "nth", "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0)))
-        if changed is None:
-            now = now.withColumn("by", F.lit(None).cast("long"))
-        left = sources.join(now.groupBy("sid").agg(F.sum(F.col("size") * F.col("copies")).alias("took")), "sid", "left")
-        left = left.select("sid", (F.round("target") - F.coalesce("took", F.lit(0))).cast("long").alias("gap")).filter("gap != 0")
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("gap")) & F.col("by").isNull()
-        fits &= F.when(F.col("gap") > 0, F.col("copies") < limit).otherwise(F.col("copies") > 0)
-        best = now.join(left, "sid").filter(fits).groupBy("sid").agg(
-            F.max(F.struct("size", (-F.col("nth")).alias("nth"))).alias("best"), F.first("gap").alias("gap")
-        ).select((-F.col("best.nth")).alias("nth"), F.signum("gap").cast("long").alias("by"))
-        grown = best if changed is None else changed.unionByName(best)
-        before = 0 if changed is None else found
-        changed = scratch.write(grown, f"changed-{turn}")
-        found = changed.count()
-        if found == before:
+        fits = (F.col("n") > 0) & (F.col("size") <= F.abs("gap")) & F.when(F.col("gap") > 0, F.col("copies") < limit).otherwise(F.col("copies") > 0)
+        best = by_source(cells, gaps.filter("gap <> 0")).filter(fits).groupBy("sid").agg(F.max(F.struct("size", "copies")).alias("best"))
+        now = gaps.join(best, "sid", "left").select("sid", "gap", "best.size", F.col("best.copies").alias("copies"), F.signum("gap").cast("long").alias("by"))
+        now = scratch.write(now, f"fixes-{turn}")
+        picked = now.filter("size is not null").select("sid", "size", "copies", "by")
+        if not picked.limit(1).count():
             break
-    final = rows.join(changed, "nth", "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0)))
-    return final.join(sources.select("sid", "source_size", "target"), "sid").select(
+        fixes = picked if not turn else fixes.unionByName(picked)
+        used = picked.select("sid", "size", "copies", F.lit(1).alias("used"))
+        cells = scratch.write(cells.join(used, ["sid", "size", "copies"], "left").select("sid", "size", "copies", (F.col("n") - F.coalesce("used", F.lit(0))).alias("n")), f"histogram-{turn + 1}")
+        gaps = scratch.write(now.select("sid", (F.col("gap") - F.coalesce(F.col("size") * F.col("by"), F.lit(0))).alias("gap")), f"gap-{turn + 1}")
+    final = rows
+    if turn or picked.limit(1).count():
+        # Of each cell the documents that come first; every task keeps but the first few before rows move.
+        many = scratch.write(fixes.groupBy("sid", "size", "copies", "by").agg(F.count(F.lit(1)).alias("m")), "fixes")
+        cell = Window.partitionBy("sid", "size", "copies", "by").orderBy("nth")
+        first = by_source(rows, many, ["sid", "size", "copies"]).withColumn("k", F.row_number().over(cell)).filter((F.col("k") <= FIXES) & (F.col("k") <= F.col("m")))
+        changed = scratch.write(first.select("nth", "by"), "changed")
+        final = rows.join(changed, "nth", "left").withColumn("copies", F.col("copies") + F.coalesce("by", F.lit(0)))
+    return by_source(final, sources.select("sid", "source_size", "target")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), F.col("copies").cast("int").alias("copies")
     )
 
@@ -174,8 +192,6 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of df as often as the mix takes them, with all their columns. Rows that share an id and a size are
     told apart by nothing but that; their copies go to any of them, one by one."""
-    from pyspark.sql import Window
-
     size, nth = common.free_name(df, "_size"), common.free_name(df, "_nth")
     mid, msize, mnth, n = (common.free_name(df, x) for x in ("_m_id", "_m_size", "_m_nth", "_m_copies"))
     took = copies(df, id_col, text_col, source_col).filter("copies > 0 or size > 0")
