@@ -1,9 +1,10 @@
 """Training-order materialisation: token sequences at permuted slots in files of fixed stride.
 
-Each task turns its documents into a stream of token ids and cuts it into sequences; only a task's last sequence is
-padded. Counts of the tasks number all sequences. A keyed Feistel permutation of the numbers with cycle-walking gives
-each sequence its slot, without a shuffle table. Slots are dealt by range: each partition is one shard, sorted by slot
-and written front to back. Slot s is in shard s // per_shard at byte (s % per_shard) * stride, so a reader goes on
+The documents' token ids, in the order of doc_id, are one stream that is cut into sequences; only the last one of all is
+padded. A prefix sum over the documents' lengths says where in the stream each document lies, so the sequences do not
+depend on how the table is dealt to files or tasks. A keyed Feistel permutation of their numbers with cycle-walking
+gives each sequence its slot, without a shuffle table. Slots are dealt by range: each partition is one shard, sorted by
+slot and written front to back. Slot s is in shard s // per_shard at byte (s % per_shard) * stride, so a reader goes on
 anywhere with one seek.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlparse
 
 import numpy as np
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, tokens
+from . import textkernel as tk
 from .packing import tokenizer_path
 from ..session import ship
 
@@ -64,47 +66,51 @@ def _dtype(path: str) -> str:
     return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def sequences(df: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, pad_id: int = PAD_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """k (within the task), ids (zstd of length ids), used, parts. A null or empty text is its end id alone."""
+def encoded(df: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n, crc and ids (zstd) of each row. A null or empty text is its end id alone."""
     dtype = _dtype(path)
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, press = tokens.encoder(path), zstandard.ZstdCompressor(level=3)
-        end = np.asarray([end_id], dtype)
-        held, parts, used, k, rows = [], [], 0, 0, []
+        end = np.asarray([end_id], "<u4").tobytes()
+        for batch in batches:
+            raw = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(r, "<u4").astype(dtype) for r in raw]
+            columns = [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(r) for r in raw], pa.int64()), pa.array([press.compress(x.tobytes()) for x in ids], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "crc", "ids"])
 
-        def close() -> None:
-            nonlocal held, parts, used, k
-            ids = np.concatenate([*held, np.full(length - used, pad_id, dtype)])
-            rows.append((k, press.compress(ids.tobytes()), used, parts))
-            held, parts, used, k = [], [], 0, k + 1
+    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    return source.mapInArrow(tk.resting(tokens.forgetting(run)), "doc_id long, n long, crc long, ids binary")
 
-        def batch_of() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("offset", pa.int32())])))
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["k", "ids", "used", "parts"])
 
-        for batch in batches:
-            texts = batch.column(1)
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                ids = np.concatenate([np.frombuffer(enc.encode(texts[i].as_py()), "<u4").astype(dtype), end])
-                at = 0
-                while at < len(ids):
-                    n = min(length - used, len(ids) - at)
-                    held.append(ids[at : at + n])
-                    parts.append({"doc_id": doc_id, "start": at, "length": n, "offset": used})
-                    at, used = at + n, used + n
-                    if used == length:
-                        close()
-                if len(rows) >= 1000:
-                    yield batch_of()
-                    rows = []
-        if used:
-            close()
-        yield batch_of()
+def _pieces(dtype: str, length: int) -> Callable:
+    """Documents (doc_id, at, ids) cut where sequences end: sequence, offset, doc_id, start, length, ids."""
+    width = np.dtype(dtype).itemsize
 
-    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return source.mapInArrow(cut, f"k long, ids binary, used int, parts {_PARTS}")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, unpress = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        kinds = (*[pa.int64()] * 4, pa.int32(), pa.binary())
+        names = ["sequence", "offset", "doc_id", "start", "length", "ids"]
+        for batch in batches:
+            rows, held = [], 0
+            ids = batch.column(2)
+            for k, (doc_id, at) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                packed = ids[k].as_py()
+                raw = unpress.decompress(packed)
+                n, start = len(raw) // width, 0
+                while start < n:
+                    sequence, offset = divmod(at + start, length)
+                    some = min(length - offset, n - start)
+                    part = packed if some == n else press.compress(raw[start * width : (start + some) * width])
+                    rows.append((sequence, offset, doc_id, start, some, part))
+                    start, held = start + some, held + len(part)
+                if held > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    return run
 
 
 def open_folder(uri: str):
@@ -114,73 +120,100 @@ def open_folder(uri: str):
     return (fs.LocalFileSystem(), urlparse(uri).path) if urlparse(uri).scheme in ("", "file") else fs.FileSystem.from_uri(uri)
 
 
-def _writer(root: str, per_shard: int, stride: int):
-    """Write each shard under a name of its own and move it in place when it is whole; a task that runs again writes
-    the same bytes again."""
+def _writer(root: str, per_shard: int, length: int, dtype: str):
+    """Write each shard under a name of its own and put it in place when it is whole; a task that runs again writes the
+    same bytes again, in the place of those that are there. Rows (slot, sequence, offset, doc_id, start, length, ids) come
+    in the order of slot and offset."""
+    stride = length * np.dtype(dtype).itemsize
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         store, folder = open_folder(root)
         unpress = zstandard.ZstdDecompressor()
         current, stream, name = None, None, None
+        slot, sequence, ids, parts, done = None, None, [], [], []
 
         def finish() -> None:
             if stream is not None:
                 stream.close()
-                store.move(name, f"{folder}/shard-{current:08d}.bin")
+                target = f"{folder}/shard-{current:08d}.bin"
+                if store.get_file_info(target).type != fs.FileType.NotFound:
+                    store.delete_file(target)
+                store.move(name, target)
+
+        def close() -> None:
+            nonlocal current, stream, name, ids, parts
+            if slot is None:
+                return
+            if slot // per_shard != current:
+                finish()
+                current = slot // per_shard
+                name = f"{folder}/.shard-{current:08d}.{uuid.uuid4().hex}"
+                stream = store.open_output_stream(name)
+            used = sum(len(x) for x in ids)
+            raw = b"".join(ids) + np.full(length - used // np.dtype(dtype).itemsize, PAD_ID, dtype).tobytes()
+            stream.write(raw)
+            done.append((slot, sequence, slot // per_shard, slot % per_shard * stride, zlib.crc32(raw), used // np.dtype(dtype).itemsize, parts))
+            ids, parts = [], []
+
+        def rows() -> pa.RecordBatch:
+            kinds = (*[pa.int64()] * 5, pa.int32(), pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("offset", pa.int32())])))
+            names = ["slot", "sequence", "shard", "byte_offset", "crc32", "used", "parts"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done) if done else [[]] * 7, kinds)], names=names)
 
         for batch in batches:
-            crc = []
-            slots, packed = batch.column(0).to_pylist(), batch.column(2)
-            for k, slot in enumerate(slots):
-                if slot // per_shard != current:
-                    finish()
-                    current = slot // per_shard
-                    name = f"{folder}/.shard-{current:08d}.{uuid.uuid4().hex}"
-                    stream = store.open_output_stream(name)
-                raw = unpress.decompress(packed[k].as_py(), max_output_size=stride)
-                stream.write(raw)
-                crc.append(zlib.crc32(raw))
-            s = np.asarray(slots, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(s // per_shard), pa.array(s % per_shard * stride), pa.array(crc, pa.int64()), batch.column(3), batch.column(4)],
-                names=["slot", "sequence", "shard", "byte_offset", "crc32", "used", "parts"],
-            )
+            packed = batch.column(6)
+            for k, (own, number, offset, doc_id, start, some) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(6)))):
+                if own != slot:
+                    close()
+                    slot, sequence = own, number
+                ids.append(unpress.decompress(packed[k].as_py()))
+                parts.append({"doc_id": doc_id, "start": start, "length": some, "offset": offset})
+            if done:
+                yield rows()
+                done.clear()
+        close()
         finish()
+        yield rows()
 
     return write
 
 
 def materialise(df: DataFrame, root: str | None = None, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> tuple[DataFrame, str]:
     """Write the shards and index.json below root; the rows say for each sequence its slot, its place and the pieces
-    of documents in it. An empty table makes no shard. Rows that repeat are written as often; null ids stay null."""
+    of documents in it. An empty table makes no shard. Rows that repeat are written as often; null ids stay null and come
+    last. The order within an id is that of a checksum of its ids, so that the same table gives the same files."""
     spark = df.sparkSession
     ship(spark)
     scratch = common.Scratch(spark)
     path, root = path or tokenizer_path(), root or common.new_folder(spark, "tokens")
     dtype = _dtype(path)
-    stride = length * np.dtype(dtype).itemsize
-    cut = scratch.write(sequences(df, path, length).withColumn("task", F.spark_partition_id()), "sequences")
-    counts = sorted((r[0], r[1]) for r in cut.groupBy("task").count().collect())  # one row for each task
-    base, n = [], 0
-    for task, c in counts:
-        base.append((task, n))
-        n += c
+    docs = scratch.write(encoded(df, path).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    keys = [F.col("doc_id").asc_nulls_last(), F.col("crc"), F.col("n"), F.col("row")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    starts = scratch.write(common.running_sum(scratch, docs.select("row", "doc_id", "crc", "n"), keys, "n", "at", parts).select("row", "at"), "starts")
+    total = docs.agg(F.sum("n")).first()[0] or 0
+    n = -(-total // length)
+    met = docs.select("row", "doc_id", "ids").join(starts.hint("shuffle_hash"), "row").select("doc_id", "at", "ids")
+    pieces = scratch.write(met.mapInArrow(tk.resting(_pieces(dtype, length)), "sequence long, offset long, doc_id long, start long, length int, ids binary"), "pieces")
+    scratch.drop("encoded", "starts")
 
     @F.pandas_udf("long")
     def slot_of(sequence: pd.Series) -> pd.Series:
         return pd.Series(permute(sequence.to_numpy(), n, key))
 
-    side = spark.createDataFrame(base or [(-1, 0)], "task int, base long")
-    numbered = cut.join(F.broadcast(side), "task").select((F.col("base") + F.col("k")).alias("sequence"), "ids", "used", "parts")
     shards = max(1, -(-n // per_shard))
-    slotted = numbered.withColumn("slot", slot_of("sequence")).select("slot", "sequence", "ids", "used", "parts")
-    dealt = slotted.repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    slotted = pieces.withColumn("slot", slot_of("sequence")).select("slot", "sequence", "offset", "doc_id", "start", "length", "ids")
+    dealt = slotted.repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot", "offset")
     store = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = store.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(store)
     out = scratch.write(
-        dealt.mapInArrow(_writer(root, per_shard, stride), f"slot long, sequence long, shard long, byte_offset long, crc32 long, used int, parts {_PARTS}"), "places"
+        dealt.mapInArrow(tk.resting(_writer(root, per_shard, length, dtype)), f"slot long, sequence long, shard long, byte_offset long, crc32 long, used int, parts {_PARTS}"), "places"
     )
+    scratch.drop("pieces")
+    stride = length * np.dtype(dtype).itemsize
     stream = files.create(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/index.json"), True)
     stream.write(bytearray(json.dumps({"sequences": n, "length": length, "dtype": dtype, "stride": stride, "per_shard": per_shard, "key": key}).encode()))
     stream.close()

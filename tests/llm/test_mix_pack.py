@@ -142,20 +142,42 @@ def test_feistel_is_a_permutation():
     assert (tokenfiles.permute(np.arange(1000), 1000, key=1) != tokenfiles.permute(np.arange(1000), 1000, key=2)).mean() > 0.9
 
 
+def stream_of(rows):
+    """The ids of all rows in the order of the files before the permutation."""
+    enc = tokens.encoder(packing.tokenizer_path())
+    each = [(r.doc_id is None, r.doc_id or 0, np.append(np.frombuffer(enc.encode((r.text or "").encode()), "<u4"), np.uint32(2))) for r in rows]
+    each.sort(key=lambda x: (x[0], x[1], zlib.crc32(x[2].astype("<u4").tobytes()), len(x[2])))
+    return np.concatenate([x[2] for x in each])
+
+
 def test_token_files_round_trip(odd, none):
     out, root = tokenfiles.materialise(odd, length=64, per_shard=16)
     rows = sorted(out.collect(), key=lambda r: r.slot)
     seqs = list(tokenfiles.read(root))
     assert [r.slot for r in rows] == list(range(len(seqs)))
-    enc = tokens.encoder(packing.tokenizer_path())
+    assert tokenfiles.permute(np.asarray([r.sequence for r in rows]), len(rows)).tolist() == [r.slot for r in rows]
+    for r, s in zip(rows, seqs):
+        assert zlib.crc32(s.tobytes()) == r.crc32 and (s[r.used :] == tokenfiles.PAD_ID).all() and sum(p.length for p in r.parts) == r.used
+        assert r.used == 64 or r.sequence == len(rows) - 1
+    # All sequences in their order are the stream of all documents, long ones and nulls too.
+    back = np.concatenate([s[: r.used] for r, s in sorted(zip(rows, seqs), key=lambda x: x[0].sequence)])
+    assert back.tolist() == stream_of(odd.collect()).tolist()
     got = defaultdict(list)
     for r, s in zip(rows, seqs):
-        assert zlib.crc32(s.tobytes()) == r.crc32 and (s[r.used :] == tokenfiles.PAD_ID).all()
         for p in r.parts:
             got[p.doc_id].append((p.start, tuple(s[p.offset : p.offset + p.length].tolist())))
-    for d in odd.filter(F.col("doc_id").isin(1, 7, 9)).collect():
+    enc = tokens.encoder(packing.tokenizer_path())
+    for d in odd.filter(F.col("doc_id").isin(1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, -14)).collect():
         ids = [x for _, part in sorted(got[d.doc_id]) for x in part]
-        assert ids == [*np.frombuffer(enc.encode(d.text.encode()), "<u4").tolist(), 2]
+        assert ids == [*np.frombuffer(enc.encode((d.text or "").encode()), "<u4").tolist(), 2]
     assert all((a == b).all() for a, b in zip(tokenfiles.read(root, 20), seqs[20:]))
     empty, root = tokenfiles.materialise(none)
     assert empty.count() == 0 and list(tokenfiles.read(root)) == []
+
+
+def test_token_files_do_not_depend_on_partitions(odd):
+    first, one = tokenfiles.materialise(odd.repartition(7, "text"), length=64, per_shard=16)
+    second, two = tokenfiles.materialise(odd.coalesce(1), one, length=64, per_shard=16)  # the same place: shards are replaced
+    assert one == two and sorted(map(str, first.select("slot", "crc32", "used").collect())) == sorted(map(str, second.select("slot", "crc32", "used").collect()))
+    third, three = tokenfiles.materialise(odd, length=64, per_shard=16)
+    assert all((a == b).all() for a, b in zip(tokenfiles.read(one), tokenfiles.read(three)))
