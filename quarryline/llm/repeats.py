@@ -4,11 +4,12 @@ Hashes only find out where equal windows can be and bring them to one place. Wha
 FM-index over words, a suffix array over bytes) finds in the texts themselves:
 
 1. Of each window, the least hash of its 25-unit pieces is its anchor, so equal windows have equal anchors. Blocks of
-   documents send their anchors' prints to buckets, which answer whether another document has the anchor too, and its
-   route, a hash of the set of blocks that have it.
-2. In the same way the windows of shared anchors are sent, so that a block knows which windows another document may
-   have. Runs of these are cut at places that their content chooses, and where the route changes: the stretches. What
-   surrounds a shared passage is thus left behind, and the stretches of copies are equal, however many there are.
+   documents send their anchors' prints to buckets, which answer whether another document has the anchor too, its
+   route, a hash of the set of blocks that have it, and whether the windows around it differ anywhere.
+2. Where they differ, the windows themselves are sent in the same way, so that a block knows which windows another
+   document may have. Runs of these are cut at places that their content chooses, and where the route changes: the
+   stretches. What surrounds a shared passage is thus left behind, and the stretches of copies are equal, however many
+   there are.
 3. Stretches of equal content are combined, in their block, then in salted groups, each time by comparing the whole
    content; the least id that has it goes along.
 4. The engine gets the distinct stretches of a route and says for each window the least id that has it.
@@ -48,8 +49,8 @@ SPREAD = 4
 GROUP = 4096
 LAST = np.iinfo(np.int64).max
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-_MARK = "bucket long, block long, prints binary, several binary"
-_MASK = "block long, kind int, bucket long, n long, hits binary, route binary"
+_MARK = "bucket long, block long, prints binary, several binary, around binary, varied binary"
+_MASK = "block long, kind int, bucket long, n long, hits binary, route binary, varied binary"
 _ENTRY = "block long, k long, route long, doc long, data binary, members array<struct<row: long, at: int, own: boolean>>"
 _DONE = "doc_id long, units long, removed long, spans long, sha string"
 
@@ -59,14 +60,21 @@ def units_of(text: bytes, words: bool) -> np.ndarray:
     return tk.word_hashes(raw)[0] if words else tk.BYTE[raw]
 
 
-def anchors(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first window of each run of windows with one anchor, and the anchors, from the hashes of all pieces."""
-    span = WINDOW - PIECE + 1
-    if len(pieces) < span:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+def anchors(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of all pieces; the first window of each run of windows with one anchor, the anchors, and a hash of all
+    that the windows of the run hold."""
+    n, span = len(units), WINDOW - PIECE + 1
+    if n < WINDOW:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint32)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(units * tk.powers(tk.BASE, n), out=total[1:])
+    back = tk.powers(tk.INVERSE, n)
+    pieces = tk.mix_once((total[PIECE:] - total[:-PIECE]) * back[: n - PIECE + 1])
     least = tk.sliding_min(pieces, span)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return first, tk.mix(least[first])
+    end = np.append(first[1:], len(least)) + (WINDOW - 1)
+    around = tk.mix_once((total[end] - total[first]) * back[first] + end.astype(np.uint64) - first.astype(np.uint64))
+    return pieces, first, tk.mix(least[first]), (around >> np.uint64(32)).astype(np.uint32)
 
 
 def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int, int, str]:
@@ -84,10 +92,10 @@ def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int,
 
 
 class _Prints:
-    """The distinct hashes of a block, in order, which of them two of its documents have, and for each document which
-    of them its hashes are."""
+    """The distinct hashes of a block, in order, which of them two of its documents have, for each document which of
+    them its hashes are and, if it is given, what is around them and whether that differs."""
 
-    def __init__(self, hashes: list[np.ndarray], docs: list[int]):
+    def __init__(self, hashes: list[np.ndarray], docs: list[int], around: list[np.ndarray] | None = None):
         every = np.concatenate([*hashes, np.empty(0, np.uint64)])
         sizes = [len(h) for h in hashes]
         d = np.repeat(np.asarray(docs, np.int64), sizes)
@@ -100,6 +108,11 @@ class _Prints:
         nth = np.empty(len(h), np.int64)
         nth[order] = np.cumsum(new) - 1
         self.which = np.split(nth, np.cumsum(sizes)[:-1])
+        self.around, self.varied = None, None
+        if around is not None:
+            x = np.concatenate([*around, np.empty(0, np.uint32)])[order]
+            self.around = np.minimum.reduceat(x, first) if len(x) else x
+            self.varied = self.around != np.maximum.reduceat(x, first) if len(x) else np.empty(0, bool)
 
     def marks(self, block: int, bits: int) -> pa.Table:
         bucket = (self.distinct >> np.uint64(64 - bits)).astype(np.int64)
@@ -111,17 +124,22 @@ class _Prints:
                 "bucket": pa.array(bucket[cut], pa.int64()), "block": pa.array(np.full(len(cut), block), pa.int64()),
                 "prints": pa.array([low[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
                 "several": pa.array([np.packbits(self.several[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "around": pa.array([b"" if self.around is None else self.around[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "varied": pa.array([b"" if self.varied is None else np.packbits(self.varied[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
             }
         )
 
-    def answers(self, masks: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each distinct hash whether it is shared, and its route (-1 where there is none)."""
+    def answers(self, masks: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each distinct hash whether it is shared; of anchors the route (-1 where there is none) and whether what is
+        around them differs."""
         rows = sorted((x for x in masks.to_pylist() if x["kind"] == kind), key=lambda x: x["bucket"])
-        on = np.concatenate([*[np.unpackbits(np.frombuffer(x["hits"], np.uint8), count=x["n"]) for x in rows], np.empty(0, np.uint8)]).astype(bool)
+        bits = lambda c: np.concatenate([*[np.unpackbits(np.frombuffer(x[c], np.uint8), count=x["n"]) for x in rows], np.empty(0, np.uint8)]).astype(bool)
+        on = bits("hits")
         route = np.full(len(on), -1, np.int64)
-        if kind == 1:
-            route[on] = np.concatenate([*[np.frombuffer(x["route"], np.int32) for x in rows], np.empty(0, np.int32)])
-        return on, route
+        if kind == 2:
+            return on, route, on
+        route[on] = np.concatenate([*[np.frombuffer(x["route"], np.int32) for x in rows], np.empty(0, np.int32)])
+        return on, route, bits("varied")
 
 
 def _answer(kind: int) -> Callable:
@@ -142,8 +160,12 @@ def _answer(kind: int) -> Callable:
         hit = np.empty(len(s), bool)
         hit[order] = np.repeat(many > 1, many)
         hit |= several
-        route = np.zeros(len(s), np.int32)
+        route, varied = np.zeros(len(s), np.int32), np.zeros(len(s), bool)
         if kind == 1:
+            around = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("around")])[order]
+            differs = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=n) for x, n in zip(table.column("varied"), sizes)])[order]
+            unlike = (np.minimum.reduceat(around, first) != np.maximum.reduceat(around, first)) | (np.maximum.reduceat(differs, first) > 0)
+            varied[order] = np.repeat(unlike, many)
             blocks = tk.mix(np.repeat(table.column("block").to_numpy(), sizes).astype(np.uint64) + np.uint64(1))
             part = s[first].astype(np.uint64) % (1 + many // SPREAD).astype(np.uint64)
             route[order] = np.repeat(tk.mix(np.add.reduceat(blocks[order], first) + part * _GOLDEN) >> np.uint64(33), many)
@@ -153,6 +175,7 @@ def _answer(kind: int) -> Callable:
                 "block": table.column("block"), "kind": pa.array(np.full(len(sizes), kind), pa.int32()), "bucket": table.column("bucket"), "n": pa.array(sizes, pa.int64()),
                 "hits": pa.array([np.packbits(hit[e - n : e]).tobytes() for e, n in zip(ends, sizes)], pa.binary()),
                 "route": pa.array([route[e - n : e][hit[e - n : e]].tobytes() if kind == 1 else b"" for e, n in zip(ends, sizes)], pa.binary()),
+                "varied": pa.array([np.packbits(varied[e - n : e]).tobytes() if kind == 1 else b"" for e, n in zip(ends, sizes)], pa.binary()),
             }
         )
 
@@ -164,26 +187,28 @@ class _Block:
 
     def __init__(self, table: pa.Table, words: bool):
         self.row, self.doc, self.text = (table.column(c).to_pylist() for c in ("row", "doc", "text"))
-        self.pieces = [tk.window_hash(units_of(t, words), PIECE, tk.mix_once) for t in self.text]
-        found = [anchors(p) for p in self.pieces]
-        self.first = [f for f, _ in found]
-        self.prints = _Prints([h for _, h in found], self.doc)
-
-    def shared(self, masks: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each document with shared anchors: its place, the windows that have them, their hashes and routes."""
-        on, route = self.prints.answers(masks, 1)
+        found = [anchors(units_of(t, words)) for t in self.text]
+        self.pieces = [x[0] for x in found]
+        self.first = [x[1] for x in found]
+        self.prints = _Prints([x[2] for x in found], self.doc, [x[3] for x in found])
+
+    def shared(self, masks: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each document with shared anchors: its place, the windows that have them, their hashes and routes, and
+        whether they have to be asked for one by one."""
+        on, route, varied = self.prints.answers(masks, 1)
         route[~on] = -1
         for k, which in enumerate(self.prints.which):
             own = route[which]
             if (own >= 0).any():
                 p = self.pieces[k]
-                own = np.repeat(own, np.diff(np.append(self.first[k], len(p) - (WINDOW - PIECE))))
+                many = np.diff(np.append(self.first[k], len(p) - (WINDOW - PIECE)))
+                own, ask = np.repeat(own, many), np.repeat(varied[which], many)
                 at = np.flatnonzero(own >= 0)
-                yield k, at, tk.mix_once(p[at] * _GOLDEN + p[at + (WINDOW - PIECE)]), own[at]
+                yield k, at, tk.mix_once(p[at] * _GOLDEN + p[at + (WINDOW - PIECE)]), own[at], ask[at]
 
-    def windows(self, masks: pa.Table) -> tuple[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], _Prints]:
+    def windows(self, masks: pa.Table) -> tuple[list[tuple], _Prints]:
         found = list(self.shared(masks))
-        return found, _Prints([h for _, _, h, _ in found], [self.doc[k] for k, *_ in found])
+        return found, _Prints([h[ask] for _, _, h, _, ask in found], [self.doc[k] for k, *_ in found])
 
 
 def _mark(words: bool, bits: int) -> Callable:
@@ -218,10 +243,11 @@ def _entries(words: bool) -> Callable:
     def run(table: pa.Table, masks: pa.Table) -> pa.Table:
         b = _Block(table, words)
         found, prints = b.windows(masks)
-        on, _ = prints.answers(masks, 2)
+        on, _, _ = prints.answers(masks, 2)
         entries: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        for (k, at, h, route), which in zip(found, prints.which):
-            good = on[which]
+        for (k, at, h, route, ask), which in zip(found, prints.which):
+            good = ~ask
+            good[ask] = on[which]
             units = b.text[k].split() if words else b.text[k]
             for i, j, r in zip(*(x.tolist() for x in _stretches(at[good], h[good], route[good], CUT_BITS[words]))):
                 part = units[i : j + WINDOW]
