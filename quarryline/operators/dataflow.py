@@ -40,6 +40,16 @@ def map_with_state(df: DataFrame, make: Callable[[], Callable[[dict], dict]], sc
     return df.mapInPandas(run, schema)
 
 
+def map_batches(df: DataFrame, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """f gets and gives whole batches of rows as frames, without a call for each row."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield f(frame)
+
+    return df.mapInPandas(run, schema)
+
+
 def map_groups(df: DataFrame, key: str, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """f sees each group whole; the library's own operators avoid it, as a group has to fit in a task."""
     return df.groupBy(key).applyInPandas(f, schema)

@@ -79,10 +79,11 @@ def to_map(line: np.ndarray, ul_row: float, ul_col: float, yres: float, xres: fl
     return [{"x": float(a), "y": float(b)} for a, b in zip(x, y)]
 
 
-def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.0, channels_last: bool = False) -> DataFrame:
+def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.0, channels_last: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Run make().detect over each tile (image_name, tile_num, bands, height, width, dtype, data, ul_row, ul_col, yres,
     xres); with channels_last the bytes are in the order of rows, columns, bands. The detector is made once a task. A tile
-    that fails gives one row with its error."""
+    that fails gives one row with its error. Detections carry the columns `keep` of their tile."""
+    schema = DETECTIONS + "".join(f", {c} {dict(tiles.dtypes)[c]}" for c in keep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
@@ -96,12 +97,21 @@ def infer(tiles: DataFrame, make: Callable[[], object], pixel_offset: float = 0.
                     for k, (mask, class_id, score) in enumerate(model.detect(image)):
                         line = contour(mask)
                         ring = None if line is None else to_map(line, t.ul_row, t.ul_col, t.yres, t.xres, pixel_offset)
-                        rows.append((t.image_name, t.tile_num, k, class_id, score, ring, None))
+                        rows.append((t.image_name, t.tile_num, k, class_id, score, ring, None, *[getattr(t, c) for c in keep]))
                 except (ValueError, TypeError) as error:
-                    rows.append((t.image_name, t.tile_num, None, None, None, None, str(error)))
-            yield pd.DataFrame(rows, columns=["image_name", "tile_num", "detection", "class_id", "score", "ring", "error"]).astype({"detection": "Int32", "class_id": "Int32", "tile_num": "Int32"})
+                    rows.append((t.image_name, t.tile_num, None, None, None, None, str(error), *[getattr(t, c) for c in keep]))
+            yield pd.DataFrame(rows, columns=["image_name", "tile_num", "detection", "class_id", "score", "ring", "error", *keep]).astype({"detection": "Int32", "class_id": "Int32", "tile_num": "Int32"})
 
-    return tiles.mapInPandas(run, DETECTIONS)
+    return tiles.mapInPandas(run, schema)
+
+
+def check_errors(found: DataFrame, most: int) -> DataFrame:
+    """The detections of infer() without the rows of tiles that failed; an error if more than `most` tiles did."""
+    failed = found.filter("error is not null")
+    n = failed.count()
+    if n > most:
+        raise RuntimeError(f"{n} tiles failed, {most} may; the first: {failed.first()['error']}")
+    return found.filter("error is null")
 
 
 def least_rectangle(points: np.ndarray) -> tuple[float, float]:

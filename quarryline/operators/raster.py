@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def stretch(px: DataFrame) -> DataFrame:
-    """Each image's values stretched to 0..255 and cut to whole numbers; a constant image becomes 0."""
+    """Each image's values stretched to 0..255 and rounded, half to even; a constant image becomes 0."""
     ends = px.groupBy("image").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     wide = F.col("hi") - F.col("lo")
-    return px.join(ends, "image").select("image", "r", "c", F.when(wide > 0, F.floor((F.col("v") - F.col("lo")) * 255 / wide)).otherwise(0).cast("int").alias("v"))
+    return px.join(ends, "image").select("image", "r", "c", F.when(wide > 0, F.rint((F.col("v") - F.col("lo")) * 255 / wide)).otherwise(0).cast("int").alias("v"))
 
 
 def histogram(px: DataFrame) -> DataFrame:
@@ -78,13 +80,20 @@ def gaussian(image: np.ndarray, sigma: float = 2.0, reach: float = 4.0) -> np.nd
     return image
 
 
-def filtered(px: DataFrame, kernel, name: str) -> DataFrame:
-    """Run a numpy kernel over each image; an image is one tile, so its size is bounded by the tiling."""
+def filtered(images: DataFrame, kernel, name: str) -> DataFrame:
+    """image, height, width and the kernel's output, row by row, as an array of doubles, of images of one band of bytes
+    (image, height, width, data). An image is one row, in and out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, w = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            out = [kernel(np.frombuffer(x.as_buffer(), np.uint8).reshape(a, b).astype(float)).ravel() for x, a, b in zip(batch.column(3), h, w)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.list_(pa.float64()))], names=["image", "height", "width", name])
+
+    return images.select("image", "height", "width", "data").mapInArrow(run, f"image long, height int, width int, {name} array<double>")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        image = np.zeros((pdf.r.max() + 1, pdf.c.max() + 1))
-        image[pdf.r, pdf.c] = pdf.v
-        out = kernel(image)
-        return pd.DataFrame({"image": pdf.image, "r": pdf.r, "c": pdf.c, name: out[pdf.r, pdf.c]})
 
-    return px.groupBy("image").applyInPandas(run, f"image long, r int, c int, {name} double")
+def long_form(df: DataFrame, name: str) -> DataFrame:
+    """image, r, c and value of the output of filtered()."""
+    each = df.select("image", "width", F.posexplode(name).alias("p", name))
+    return each.select("image", F.floor(F.col("p") / F.col("width")).cast("int").alias("r"), (F.col("p") % F.col("width")).cast("int").alias("c"), name)

@@ -19,7 +19,7 @@ from .dataflow import CROP, OVERLAP
 # The bands of a tile in their order, the band that tells black tiles, the near-infrared band; from 0.
 BANDS, BLACK, NIR = (3, 1, 2), 2, 3
 RADIUS, SIGMA = 5, 2.0
-TILE = "image_name string, tile_num int, id_i int, id_j int, h int, w int, ul_row double, ul_col double, tiles_y int, tiles_x int, data binary"
+TILE = "image_name string, tile_num int, id_i int, id_j int, h int, w int, ul_row double, ul_col double, yres double, xres double, tiles_y int, tiles_x int, data binary"
 COLUMNS = ("image_name", "dtype", "bands", "height", "width", "gt", "data")
 
 
@@ -31,8 +31,8 @@ def land(scene: np.ndarray, nir: int = NIR, radius: int = RADIUS, sigma: float =
 
 
 def cut(scene: np.ndarray, gt: list[float] | None, mask: np.ndarray | None, crop: int = CROP, overlap: float = OVERLAP, bands=BANDS, black: int = BLACK) -> Iterator[tuple]:
-    """tile_num, id_i, id_j, h, w, ul_row, ul_col, tiles_y, tiles_x, bytes (rows, columns, bands) of each tile that is not
-    black: whose four corners are not all 0 in one band. Numbers count the tiles that stay."""
+    """tile_num, id_i, id_j, h, w, ul_row, ul_col, yres, xres, tiles_y, tiles_x, bytes (rows, columns, bands) of each tile
+    that is not black: whose four corners are not all 0 in one band. Numbers count the tiles that stay."""
     _, height, width = scene.shape
     if mask is not None:
         scene = scene * mask
@@ -46,7 +46,7 @@ def cut(scene: np.ndarray, gt: list[float] | None, mask: np.ndarray | None, crop
                 continue
             tile = images.stretch(part[list(bands)])
             data = np.stack([images.equalise(b) for b in tile], axis=-1).tobytes()
-            yield number, i, j, part.shape[1], part.shape[2], top + y * dy, left + x * dx, len(ys), len(xs), data
+            yield number, i, j, part.shape[1], part.shape[2], top + y * dy, left + x * dx, dy, dx, len(ys), len(xs), data
             number += 1
 
 
@@ -56,7 +56,7 @@ def tiles(scenes: DataFrame, crop: int = CROP, overlap: float = OVERLAP, water:
     need = max(*bands, black, nir if water else 0) + 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.string(), *[pa.int32()] * 5, *[pa.float64()] * 2, *[pa.int32()] * 2, pa.binary())
+        kinds = (pa.string(), *[pa.int32()] * 5, *[pa.float64()] * 4, *[pa.int32()] * 2, pa.binary())
         names = [c.split()[0] for c in TILE.split(", ")]
         for batch in batches:
             for k in range(batch.num_rows):

@@ -46,7 +46,7 @@ def close_pairs(df: DataFrame, radius: float = RADIUS) -> DataFrame:
     return met.filter((F.col("d") > 0) & (F.col("d") < radius)).select("image", "a", "b").distinct()
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage in the cluster's shared folder (spark.checkpoint.dir). Only a local master may leave it unset."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
@@ -80,7 +80,7 @@ def components(pairs: DataFrame) -> DataFrame:
     solved in one task where there are at most GRAPH of them, which is checked; the pairs of larger images stay
     distributed, and labels travel along them."""
     ship(pairs.sparkSession)
-    edges = _checkpointed(pairs.select("image", "a", "b"))
+    edges = checkpointed(pairs.select("image", "a", "b"))
     large = edges.groupBy("image").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GRAPH).select("image")
     kind = dict(pairs.dtypes)
     schema = f"image {kind['image']}, idx {kind['a']}, root {kind['a']}"
@@ -93,14 +93,14 @@ def components(pairs: DataFrame) -> DataFrame:
 def _spread(pairs: DataFrame) -> DataFrame:
     """Components by turns: least labels travel along the pairs and jump to their labels' labels, so chains shrink by
     half and more in a turn."""
-    edges = _checkpointed(pairs.select("image", "a", "b").unionByName(pairs.select("image", F.col("b").alias("a"), F.col("a").alias("b"))))
+    edges = checkpointed(pairs.select("image", "a", "b").unionByName(pairs.select("image", F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = edges.groupBy("image", F.col("a").alias("idx")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
-    labels = _checkpointed(labels)
+    labels = checkpointed(labels)
     while True:
         around = edges.join(labels.select("image", F.col("idx").alias("b"), "root"), ["image", "b"]).groupBy("image", F.col("a").alias("idx")).agg(F.min("root").alias("near"))
         far = labels.select("image", F.col("idx").alias("root"), F.col("root").alias("far"))
         new = labels.join(around, ["image", "idx"]).join(far, ["image", "root"], "left")
-        new = _checkpointed(new.select("image", "idx", F.least("root", "near", F.coalesce("far", "root")).alias("new"), "root"))
+        new = checkpointed(new.select("image", "idx", F.least("root", "near", F.coalesce("far", "root")).alias("new"), "root"))
         if not new.filter("new <> root").limit(1).count():
             return new.select("image", "idx", F.col("new").alias("root"))
         labels = new.select("image", "idx", F.col("new").alias("root"))

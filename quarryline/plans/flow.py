@@ -30,12 +30,12 @@ def attributes(measured: DataFrame) -> DataFrame:
 
 
 def detections(tiles: DataFrame, make: Callable[[], object]) -> DataFrame:
-    """Detections of tiles (operators.scenes.TILE with xres and yres), with their tile's place."""
-    found = inference.infer(tiles.select(
+    """Detections of tiles (operators.scenes.TILE), with their tile's place."""
+    named = tiles.select(
         "image_name", "tile_num", F.lit(3).alias("bands"), F.col("h").alias("height"), F.col("w").alias("width"), F.lit("|u1").alias("dtype"),
-        "data", "ul_row", "ul_col", "yres", "xres",
-    ), make, pixel_offset=1.0, channels_last=True)
-    return found.join(tiles.select("image_name", "tile_num", "id_i", "id_j"), ["image_name", "tile_num"])
+        "data", "ul_row", "ul_col", "yres", "xres", "id_i", "id_j",
+    )
+    return inference.infer(named, make, pixel_offset=1.0, channels_last=True, keep=("id_i", "id_j"))
 
 
 def layer(found: DataFrame) -> DataFrame:
@@ -45,16 +45,15 @@ def layer(found: DataFrame) -> DataFrame:
         F.col("image_name").alias("image"), (F.col("tile_num").cast("long") * (1 << 20) + F.col("detection")).alias("idx"), F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"),
         "image_name", "id_i", "id_j", "class_id", "score", "ring", "area", "perimeter", "centroid_x", "centroid_y",
     )
-    kept = spatial.deduplicate(keyed).withColumn("sides", inference.rectangle(F.col("ring")))
+    # The detector runs once: pairs and what stays are both made from its written output.
+    kept = spatial.deduplicate(spatial.checkpointed(keyed)).withColumn("sides", inference.rectangle(F.col("ring")))
     return attributes(kept.select("*", "sides.length", "sides.width").drop("sides"))
 
 
 def run(found: DataFrame, make: Callable[[], object], clean: DataFrame | None = None, crop: int = CROP, overlap: float = OVERLAP, water: bool = True) -> DataFrame:
     """The cleaned result layer of scenes (rows of sources.geotiff.read); clean has the polygons of false positives."""
     ship(found.sparkSession)
-    pixel = found.select("image_name", F.coalesce(F.col("gt")[1], F.lit(1.0)).alias("xres"), F.coalesce(F.col("gt")[5], F.lit(1.0)).alias("yres"))
-    tiles = scenes.tiles(found, crop, overlap, water).join(pixel, "image_name")
-    out = layer(detections(tiles, make))
+    out = layer(detections(scenes.tiles(found, crop, overlap, water), make))
     return out if clean is None else spatial.outside_polygons(out, clean)
 
 

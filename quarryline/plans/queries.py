@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..operators import compare, dataflow, detection, raster, spatial
-from ..session import table
+from ..session import ship, table
 from ..sources import adapters as A
 from . import oracle_views as V
 from .registry import ORACLES, QUERIES, query  # noqa: F401
@@ -148,7 +148,7 @@ def mask_multiply(spark, sf_dir):
     return A.pixels(spark, sf_dir).select("image", "r", "c", F.when(land, F.col("v")).otherwise(0).alias("v"), land.alias("land"))
 
 
-@query("contrast_stretch", _with(V.PIXELS) + """SELECT p.image, r, c, CAST(CASE WHEN hi > lo THEN floor((v - lo) * 255 / (hi - lo)) ELSE 0 END AS INT) AS v FROM pixels p
+@query("contrast_stretch", _with(V.PIXELS) + """SELECT p.image, r, c, CAST(CASE WHEN hi > lo THEN round_even((v - lo) * 255 / (hi - lo), 0) ELSE 0 END AS INT) AS v FROM pixels p
  JOIN (SELECT image, min(v) AS lo, max(v) AS hi FROM pixels GROUP BY image) e ON p.image = e.image""")
 def contrast_stretch(spark, sf_dir):
     return raster.stretch(A.pixels(spark, sf_dir))
@@ -178,7 +178,8 @@ def mask_bounding_box(spark, sf_dir):
 @query("median_filter", _with(V.PIXELS) + """, near AS (SELECT a.image, a.r, a.c, b.v, row_number() OVER (PARTITION BY a.image, a.r, a.c ORDER BY b.v) AS k, count(*) OVER (PARTITION BY a.image, a.r, a.c) AS n
  FROM pixels a JOIN pixels b ON a.image = b.image AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25) SELECT image, r, c, CAST(v AS DOUBLE) AS median FROM near WHERE k = n // 2 + 1""")
 def median_filter(spark, sf_dir):
-    return raster.filtered(A.pixels(spark, sf_dir), lambda im: raster.disk_median(im, 5), "median")
+    ship(spark)
+    return raster.long_form(raster.filtered(A.images(spark, sf_dir), lambda im: raster.disk_median(im, 5), "median"), "median")
 
 
 @query("gaussian_filter", _with(V.PIXELS) + """, k AS (SELECT o, exp(-0.5 * (o / 2.0) * (o / 2.0)) AS g FROM (SELECT unnest(range(-8, 9)) AS o)), kn AS (SELECT o, g / (SELECT sum(g) FROM k) AS g FROM k),
@@ -186,7 +187,8 @@ def median_filter(spark, sf_dir):
  b AS (SELECT a.image, a.r, t.c, sum(kn.g * a.v) AS v FROM (SELECT unnest(range(0, 8)) AS c) t, kn, a WHERE a.c = least(greatest(t.c + kn.o, 0), 7) GROUP BY a.image, a.r, t.c)
  SELECT image, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round(v, 4) AS smooth FROM b""")
 def gaussian_filter(spark, sf_dir):
-    return raster.filtered(A.pixels(spark, sf_dir), raster.gaussian, "smooth").withColumn("smooth", F.round("smooth", 4))
+    ship(spark)
+    return raster.long_form(raster.filtered(A.images(spark, sf_dir), raster.gaussian, "smooth"), "smooth").withColumn("smooth", F.round("smooth", 4))
 
 
 # Spatial joins and components.

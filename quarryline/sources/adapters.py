@@ -53,6 +53,13 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("image", F.floor(F.col("p") / 8).cast("int").alias("r"), (F.col("p") % 8).cast("int").alias("c"), v.alias("v"))
 
 
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """image, height, width, data: the images of pixels(), each in one row of bytes."""
+    value = lambda f: F.least(F.greatest(F.floor(f.cast("double") * 64 + 128), F.lit(0)), F.lit(255))
+    text = F.array_join(F.transform("embedding", lambda f: F.lpad(F.hex(value(f)), 2, "0")), "")
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image"), F.floor(F.size("embedding") / 8).cast("int").alias("height"), F.lit(8).alias("width"), F.unhex(text).alias("data"))
+
+
 def scene_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scenes in the layout of sources.geotiff.read: each embedding as 4 bands of 4 x 4 pixels of two bytes."""
     value = lambda f: F.least(F.greatest(F.floor(f.cast("double") * 256), F.lit(0)), F.lit(65535))

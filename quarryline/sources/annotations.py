@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 _REGION = "struct<shape_attributes:struct<all_points_x:array<double>,all_points_y:array<double>>,region_attributes:struct<object_name:string>>"
 
 
+def with_scenes(regions: DataFrame, scenes: DataFrame) -> DataFrame:
+    """The regions of read() with the scene of the same file name (from its path); regions without one go."""
+    return scenes.withColumn("filename", F.element_at(F.split("path", "/"), -1)).join(regions, "filename")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """filename, region, object_name, ring: one row per region. Regions are an object or a list; images without any
     give no rows."""

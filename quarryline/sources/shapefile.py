@@ -110,15 +110,16 @@ class _Reader(DataSourceReader):
                 yield ([[Row(x=x, y=y) for x, y in ring] for ring in rings], *[named.get(n) for n in self.names], partition.path, fid)
 
 
-def files(root: str) -> list[str]:
-    """The .shp files below a folder, or the file itself, in the order of their names."""
+def files(root: str, folder: str = "") -> list[str]:
+    """The .shp files below a folder, or the file itself, in the order of their names; with `folder`, only those in a
+    folder whose name has it."""
     from pyarrow import fs
 
     store, path = _store(root)
     if path.endswith(".shp"):
         return [path]
     found = store.get_file_info(fs.FileSelector(path, recursive=True))
-    return sorted(f.path for f in found if f.path.endswith(".shp") and "/." not in f.path)
+    return sorted(f.path for f in found if f.path.endswith(".shp") and "/." not in f.path and folder in f.path.rsplit("/", 2)[-2])
 
 
 def _header(size: int, box: list[float]) -> bytes:

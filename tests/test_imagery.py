@@ -234,3 +234,22 @@ def test_image_sizes():
     assert np.allclose(images.resize(ramp, 4, 10), ramp) and np.allclose(images.resize(ramp, 8, 20)[2:-2, 2:-2], np.tile((np.arange(20) + 0.5) / 2 - 0.5, (8, 1))[2:-2, 2:-2])
     assert np.allclose(images.from_network(images.network_input(image)), image, atol=1)
     assert raster.disk_median(np.asarray([[1.0, 2.0], [3.0, 4.0]]), 5).tolist() == [[3, 3], [3, 3]]
+
+
+def test_cleaning_rewrites_a_layer_in_place(spark, tmp_path):
+    """Rows go from a shapefile and it is written again where it was."""
+    shapefile.register(spark)
+    square = lambda x: [[{"x": x, "y": 0.0}, {"x": x, "y": 1.0}, {"x": x + 1, "y": 1.0}, {"x": x, "y": 0.0}]]
+    root = str(tmp_path / "grid_iwp")
+    spark.createDataFrame([(square(float(k)), k) for k in range(5)], "geometry array<array<struct<x:double,y:double>>>, n int").coalesce(1).write.format("shapefile").mode("append").save(root)
+    layer = spark.read.format("shapefile").load(root)
+    layer.filter("n <> 2").write.format("shapefile").mode("overwrite").save(root)
+    assert sorted(r.n for r in spark.read.format("shapefile").load(root).collect()) == [0, 1, 3, 4]
+    assert len(shapefile.files(str(tmp_path), "_iwp")) == 1 and not shapefile.files(str(tmp_path), "_other")
+
+
+def test_errors_have_a_budget(spark):
+    found = spark.createDataFrame([(1, None), (2, "bad"), (3, "worse")], "tile_num int, error string")
+    assert inference.check_errors(found, 2).count() == 1
+    with pytest.raises(RuntimeError, match="2 tiles failed"):
+        inference.check_errors(found, 1)
