@@ -53,7 +53,7 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return source.mapInArrow(tk.resting(tokens.forgetting(cut)), PIECES)
+    return source.mapInArrow(tk.resting(cut), PIECES)
 
 
 def patterns(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[int, list[tuple[int, int]]]]:

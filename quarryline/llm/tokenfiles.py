@@ -80,7 +80,7 @@ def encoded(df: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "crc", "ids"])
 
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return source.mapInArrow(tk.resting(tokens.forgetting(run)), "doc_id long, n long, crc long, ids binary")
+    return source.mapInArrow(tk.resting(run), "doc_id long, n long, crc long, ids binary")
 
 
 def _pieces(dtype: str, length: int) -> Callable:
