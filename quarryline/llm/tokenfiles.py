@@ -71,7 +71,7 @@ def encoded(df: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_i
     dtype = _dtype(path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, press = tokens.encoder(path), zstandard.ZstdCompressor(level=3)
+        enc, press = tokens.encoder(path), zstandard.ZstdCompressor(level=6)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             raw = [enc.encode(t) + end for t in batch.column(1).to_pylist()]
@@ -88,7 +88,7 @@ def _pieces(dtype: str, length: int) -> Callable:
     width = np.dtype(dtype).itemsize
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, unpress = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        press, unpress = zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
         kinds = (*[pa.int64()] * 4, pa.int32(), pa.binary())
         names = ["sequence", "offset", "doc_id", "start", "length", "ids"]
         for batch in batches:
