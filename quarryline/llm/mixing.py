@@ -78,7 +78,7 @@ def by_source(rows: DataFrame, side: DataFrame, keys: list[str] | None = None) -
     if side.count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(side), keys)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
-    return salted.join(side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long")), [*keys, "salt"]).drop("salt")
+    return salted.join(side.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [*keys, "salt"]).drop("salt")
 
 
 def solve(scratch: common.Scratch, sizes: DataFrame, sources: DataFrame, limit: int = LIMIT) -> DataFrame:

@@ -83,6 +83,15 @@ def test_near_classes_against_all_pairs(spark):
     assert got == near_truth(docs)
 
 
+def test_many_tiles_and_ids_that_are_not_broadcast(spark, monkeypatch):
+    texts = [t for k in range(3) for t in family(k, 30, 90, 4)] + family(7, 50, 100, 9)
+    docs = list(enumerate(texts, 100))
+    monkeypatch.setattr(bagminhash, "TILE", 7)
+    monkeypatch.setattr(bagminhash, "BROADCAST_IDS", 0)
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == near_truth(docs)
+
+
 def test_tiles_link_texts_at_exactly_the_least_similarity():
     import pyarrow as pa
 

@@ -44,6 +44,13 @@ def test_mix_meets_its_targets(spark, small):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.copies(docs).collect()))
 
 
+def test_mix_without_broadcast_equals_the_small_route(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = sorted(map(tuple, mixing.copies(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, mixing.copies(docs).collect())) == want
+
+
 def test_rates_are_exponential_in_the_size(spark):
     """Against a plain solver of the dual for one source, before rounding."""
     from quarryline.llm.common import Scratch
