@@ -11,7 +11,7 @@ BOXES = f"""boxes AS (SELECT l_orderkey AS image, row_number() OVER (PARTITION B
  round(l_discount * 100) + 20 + round(l_tax * 100) AS x2, l_partkey AS part FROM lineitem)"""
 
 GT = """gts AS (SELECT image, box AS gt, CASE WHEN part % 11 = 0 THEN -class_id ELSE class_id END AS class_id,
- y1 + 2 AS y1, x1 + 1 AS x1, y2 + 1 AS y2, x2 + 3 AS x2 FROM boxes WHERE part % 3 <> 0 AND class_id > 0)"""
+ y1 + 2 + CASE WHEN part % 3 = 0 THEN 500 ELSE 0 END AS y1, x1 + 1 AS x1, y2 + 1 + CASE WHEN part % 3 = 0 THEN 500 ELSE 0 END AS y2, x2 + 3 AS x2 FROM boxes WHERE class_id > 0)"""
 
 PIXELS = """pixels AS (SELECT image, CAST(floor(p / 8.0) AS INT) AS r, CAST(p % 8 AS INT) AS c,
  CAST(least(greatest(floor(CAST(f AS DOUBLE) * 64 + 128), 0), 255) AS INT) AS v
