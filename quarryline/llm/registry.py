@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding, tokenfiles
+from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding, simhash, tokenfiles
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_nn_descent": ann.op8_nn_descent,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_lyndon_suffixes": lyndon.op10_lyndon_suffixes,
+        "op12_simhash": simhash.op12_simhash,
     }
 
 
