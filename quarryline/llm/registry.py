@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding, simhash, tokenfiles
+from . import ann, bagminhash, exact_dedup, fmindex, lyndon, mixing, packing, quality, sharding, simhash, spelling, tokenfiles
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_lyndon_suffixes": lyndon.op10_lyndon_suffixes,
         "op12_simhash": simhash.op12_simhash,
+        "op13_spelling": spelling.op13_spelling,
     }
 
 
