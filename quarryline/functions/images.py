@@ -30,11 +30,17 @@ def equalise(band: np.ndarray) -> np.ndarray:
 
 
 def otsu(values: np.ndarray, bins: int = 256) -> float:
+    """The threshold of a histogram over the values' range; 0 for a constant image."""
+    lo, hi = values.min(), values.max()
+    return otsu_of(np.histogram(values, bins, (lo, hi))[0], lo, hi) if lo < hi else 0.0
+
+
+def otsu_of(n: np.ndarray, lo: float, hi: float) -> float:
     """The centre of the bin that ends the darker side of the split with the largest variance between the sides, the
-    first of several; 0 for a constant image."""
-    if values.min() == values.max():
+    first of several, of the counts n of equal bins from lo to hi; 0 where the ends are the same."""
+    if lo >= hi:
         return 0.0
-    n, edges = np.histogram(values, bins)
+    edges = np.linspace(lo, hi, len(n) + 1)
     centre = (edges[:-1] + edges[1:]) / 2
     below, total = np.cumsum(n)[:-1].astype(float), float(n.sum())
     weight = np.cumsum(n * centre)

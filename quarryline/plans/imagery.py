@@ -32,11 +32,27 @@ def scene_tiles(spark, sf_dir):
     return t.select("image_name", "tile_num", "id_i", "id_j", "ul_row", "ul_col", F.lower(F.hex("data")).alias("data"))
 
 
-@query("land_mask")
+# Median, blur and the split of 256 bins in SQL; the side of a scene and of its windows.
+_SIDE, _WINDOW = 4, 3
+_LAND = with_views(V.SCENE_PIXELS) + f""", px AS (SELECT image_name, r, c, least(v, 255) AS v FROM spx WHERE band = 3),
+ near AS (SELECT a.image_name, a.r, a.c, b.v, row_number() OVER w AS k, count(*) OVER (PARTITION BY a.image_name, a.r, a.c) AS n FROM px a JOIN px b ON a.image_name = b.image_name AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25 WINDOW w AS (PARTITION BY a.image_name, a.r, a.c ORDER BY b.v)),
+ med AS (SELECT image_name, r, c, v / 255.0::DOUBLE AS v FROM near WHERE k = n // 2 + 1), g AS (SELECT o, exp(-0.5::DOUBLE * (o / 2.0::DOUBLE) * (o / 2.0::DOUBLE)) AS g FROM (SELECT unnest(range(-8, 9)) AS o)), kn AS (SELECT o, g / (SELECT sum(g) FROM g) AS g FROM g),
+ down AS (SELECT m.image_name, t.r, m.c, sum(kn.g * m.v ORDER BY kn.o) AS v FROM (SELECT unnest(range(0, {_SIDE})) AS r) t, kn, med m WHERE m.r = least(greatest(t.r + kn.o, 0), {_SIDE - 1}) GROUP BY m.image_name, t.r, m.c),
+ blur AS (SELECT d.image_name, d.r, t.c, sum(kn.g * d.v ORDER BY kn.o) AS v FROM (SELECT unnest(range(0, {_SIDE})) AS c) t, kn, down d WHERE d.c = least(greatest(t.c + kn.o, 0), {_SIDE - 1}) GROUP BY d.image_name, d.r, t.c),
+ ends AS (SELECT *, min(v) OVER (PARTITION BY image_name) AS lo, max(v) OVER (PARTITION BY image_name) AS hi FROM blur),
+ bin AS (SELECT image_name, any_value(lo) AS lo, any_value(hi) AS hi, least(CAST(floor((v - lo) / (hi - lo) * 256) AS INT), 255) AS b, count(*) AS n FROM ends WHERE hi > lo GROUP BY image_name, least(CAST(floor((v - lo) / (hi - lo) * 256) AS INT), 255)),
+ cen AS (SELECT *, lo + (hi - lo) / 256 * (b + 0.5) AS x FROM bin), cum AS (SELECT *, sum(n) OVER u AS n0, sum(n * x) OVER u AS s0, sum(n) OVER (PARTITION BY image_name) AS n1, sum(n * x) OVER (PARTITION BY image_name) AS s1 FROM cen WINDOW u AS (PARTITION BY image_name ORDER BY b)),
+ best AS (SELECT image_name, x FROM cum WHERE n0 < n1 QUALIFY row_number() OVER (PARTITION BY image_name ORDER BY round(n0 * (n1 - n0) * (s0 / n0 - (s1 - s0) / (n1 - n0)) * (s0 / n0 - (s1 - s0) / (n1 - n0)), 9) DESC, b) = 1)
+ SELECT e.image_name, CAST(r // {_WINDOW} * {_WINDOW} AS INT) AS y, CAST(c // {_WINDOW} * {_WINDOW} AS INT) AS x, string_agg(bits, '' ORDER BY r) AS mask FROM
+ (SELECT e.image_name, r, c // {_WINDOW} * {_WINDOW} AS c, printf('%02x', CAST(sum(CASE WHEN v > coalesce(best.x, 0) THEN 128 >> CAST(c % {_WINDOW} AS INT) ELSE 0 END) AS INT)) AS bits FROM ends e LEFT JOIN best USING (image_name) GROUP BY e.image_name, r, c // {_WINDOW} * {_WINDOW}) e GROUP BY ALL"""
+
+
+@query("land_mask", _LAND)
 def land_mask(spark, sf_dir):
-    """Median, blur and Otsu of a band as one mask, a bit a pixel; tested against a plain version."""
+    """Median, blur and Otsu of a band as a mask, a bit a pixel, of the windows of each scene."""
     ship(spark)
-    return scenes.masks(A.scene_rows(spark, sf_dir)).select("image_name", "height", "width", F.lower(F.hex("mask")).alias("mask"))
+    windows = scenes.windows_of(A.scene_rows(spark, sf_dir), _WINDOW, before=scenes.MARGIN, after=scenes.MARGIN)
+    return scenes.masks(windows).select("image_name", "y", "x", F.lower(F.hex("mask")).alias("mask"))
 
 
 @query("band_order", with_views(V.SCENE_PIXELS) + "SELECT image_name, r, c, max(v) FILTER (band = 3) AS b0, max(v) FILTER (band = 1) AS b1, max(v) FILTER (band = 2) AS b2 FROM spx GROUP BY image_name, r, c")

@@ -27,7 +27,8 @@ POLYGON = 5
 OWN = ("geometry", "file", "_fid")
 
 
-def _store(path: str):
+def open_store(path: str):
+    """The file system of a path, and the path in it."""
     from pyarrow import fs
 
     return (fs.LocalFileSystem(), urlparse(path).path) if urlparse(path).scheme in ("", "file") else fs.FileSystem.from_uri(path)
@@ -101,7 +102,7 @@ class _Reader(DataSourceReader):
         return [_File(p) for p in files(self.root)]
 
     def read(self, partition: _File) -> Iterator[tuple]:
-        store, _ = _store(self.root)
+        store, _ = open_store(self.root)
         table = _bytes(store, partition.path[:-4] + ".dbf")
         own = [c[0] for c in fields_of(table)]
         for fid, (rings, values) in enumerate(zip(rings_of(_bytes(store, partition.path)), records_of(table))):
@@ -115,7 +116,7 @@ def files(root: str, folder: str = "") -> list[str]:
     folder whose name has it."""
     from pyarrow import fs
 
-    store, path = _store(root)
+    store, path = open_store(root)
     if path.endswith(".shp"):
         return [path]
     found = store.get_file_info(fs.FileSelector(path, recursive=True))
@@ -195,7 +196,7 @@ class _Writer(DataSourceWriter):
         groups: dict[str, list] = {}
         for r in rows:
             groups.setdefault(str(r[self.by]) if self.by else "", []).append((r["geometry"], [r[f.name] for f in fields]))
-        store, folder = _store(self.root)
+        store, folder = open_store(self.root)
         store.create_dir(folder, recursive=True)
         moved = []
         for group, found in groups.items():
@@ -210,7 +211,7 @@ class _Writer(DataSourceWriter):
         return _Message(moved)
 
     def commit(self, messages: list[_Message | None]) -> None:
-        store, folder = _store(self.root)
+        store, folder = open_store(self.root)
         if self.overwrite:
             from pyarrow import fs
 
@@ -222,7 +223,7 @@ class _Writer(DataSourceWriter):
             store.move(old, new)
 
     def abort(self, messages: list[_Message | None]) -> None:
-        store, _ = _store(self.root)
+        store, _ = open_store(self.root)
         for old, _ in (x for m in messages if m for x in m.names):
             store.delete_file(old)
 
@@ -241,7 +242,7 @@ class ShapefileSource(DataSource):
         return "shapefile"
 
     def schema(self) -> StructType:
-        store, _ = _store(self.options["path"])
+        store, _ = open_store(self.options["path"])
         found = files(self.options["path"])
         kinds: dict[str, int] = {}
         for path in found:

@@ -45,15 +45,132 @@ def scene_row(name, image, gt=None):
     return name, image.dtype.str, *image.shape, gt, bytearray(image.tobytes())
 
 
+def whole_masks(rows, shapes):
+    out = {name: np.zeros(shape, bool) for name, shape in shapes.items()}
+    for r in rows:
+        bits = np.unpackbits(np.frombuffer(r.mask, np.uint8).reshape(r.h, -1), axis=1)[:, : r.w]
+        out[r.image_name][r.y : r.y + r.h, r.x : r.x + r.w] = bits
+    return out
+
+
 def test_land_masks_against_loops(spark):
+    """Bit for bit, whatever the windows are."""
     rng = np.random.default_rng(4)
-    images_ = [np.kron(rng.integers(0, 400, (4, 3, 4)), np.ones((1, 5, 4))).astype("<u2") for _ in range(4)] + [np.full((4, 6, 5), 9, "<u2")]
-    rows = [scene_row(str(k), im) for k, im in enumerate(images_)]
-    got = {r.image_name: r for r in scenes.masks(spark.createDataFrame([*rows, ("none", None, None, None, None, None, None)], SCENE)).collect()}
-    assert len(got) == len(images_)
-    for k, im in enumerate(images_):
-        bits = np.unpackbits(np.frombuffer(got[str(k)].mask, np.uint8).reshape(im.shape[1], -1), axis=1)[:, : im.shape[2]].astype(bool)
-        assert (bits == plain_land(im)).mean() > 0.99
+    images_ = {str(k): np.kron(rng.integers(0, 400, (4, 3, 4)), np.ones((1, 5, 4))).astype("<u2") for k in range(4)} | {"flat": np.full((4, 6, 5), 9, "<u2"), "wide": rng.integers(0, 300, (4, 30, 37)).astype("<u2")}
+    rows = [scene_row(name, im) for name, im in images_.items()]
+    df = spark.createDataFrame([*rows, ("none", None, None, None, None, None, None)], SCENE)
+    for side in (100, 7):
+        windows = scenes.windows_of(df, side, before=scenes.MARGIN, after=scenes.MARGIN)
+        got = whole_masks(scenes.masks(windows).collect(), {n: im.shape[1:] for n, im in images_.items()})
+        for name, im in images_.items():
+            assert (got[name] == plain_land(im)).all() and (got[name] == scenes.land(im)).all(), (name, side)
+
+
+def test_median_against_sorting():
+    rng = np.random.default_rng(2)
+    for h, w, radius in ((1, 1, 5), (3, 9, 2), (30, 14, 5), (1, 20, 3), (20, 1, 7), (9, 9, 0)):
+        im = rng.integers(0, 256, (h, w)).astype(np.uint8)
+        got = raster.disk_median(im, radius)
+        for y in range(h):
+            for x in range(w):
+                near = sorted(im[b, a] for b in range(h) for a in range(w) if (b - y) ** 2 + (a - x) ** 2 <= radius**2)
+                assert got[y, x] == near[len(near) // 2]
+
+
+def tiff(image, side=None, strip=None, pack=1, apart=False, predict=False, big=False):
+    """A file in tiles or strips, for the tests."""
+    bands, h, w = image.shape
+    th, tw = (side, side) if side else (strip or h, w)
+    planes = [image[k : k + 1] for k in range(bands)] if apart else [image]
+    parts = []
+    for plane in planes:
+        for y in range(0, h, th):
+            for x in range(0, w, tw):
+                part = plane[:, y : y + th, x : x + tw]
+                if side:
+                    part = np.pad(part, [(0, 0), (0, th - part.shape[1]), (0, tw - part.shape[2])])
+                part = part.transpose(1, 2, 0)
+                part = np.concatenate([part[:, :1], np.diff(part, axis=1)], axis=1).astype(image.dtype) if predict else part
+                data = np.ascontiguousarray(part).tobytes()
+                parts.append(data if pack == 1 else lzw(data) if pack == 5 else zlib.compress(data))
+    at, offsets = 16, []
+    for p in parts:
+        offsets.append(at)
+        at += len(p)
+    where = [(322, 4, [tw]), (323, 4, [th]), (324, 16 if big else 4, offsets), (325, 4, [len(p) for p in parts])] if side else [(273, 16 if big else 4, offsets), (278, 4, [th]), (279, 4, [len(p) for p in parts])]
+    tags = [(256, 4, [w]), (257, 4, [h]), (258, 3, [16] * bands), (259, 3, [pack]), (277, 3, [bands]), (284, 3, [2 if apart else 1]), (317, 3, [2 if predict else 1]), (339, 3, [1] * bands), (33550, 12, [0.5, 0.5, 0.0]), (33922, 12, [0.0, 0.0, 0.0, 1000.0, 2000.0, 0.0]), *where]
+    codes, sizes = {3: "H", 4: "I", 12: "d", 16: "Q"}, {3: 2, 4: 4, 12: 8, 16: 8}
+    wide, inline, word = (20, 8, "Q") if big else (12, 4, "I")
+    far = at + (8 if big else 2) + wide * len(tags) + (8 if big else 4)
+    body, extra = struct.pack("<Q" if big else "<H", len(tags)), b""
+    for tag, kind, values in sorted(tags):
+        data = struct.pack(f"<{len(values)}{codes[kind]}", *values)
+        body += struct.pack("<HH" + word, tag, kind, len(values))
+        body += data.ljust(inline, b"\0") if len(data) <= inline else struct.pack("<" + word, far + len(extra))
+        extra += b"" if len(data) <= inline else data
+    head = struct.pack("<2sHHHQ", b"II", 43, 8, 0, at) if big else struct.pack("<2sHI8x", b"II", 42, at)
+    return head + b"".join(parts) + body + bytes(8 if big else 4) + extra
+
+
+def test_windows_of_files(spark, tmp_path, monkeypatch):
+    """Every layout, by byte ranges, with margins; unreadable files are rows with their errors."""
+    geotiff.register(spark)
+    rng = np.random.default_rng(8)
+    image = rng.integers(0, 5000, (4, 130, 150)).astype("<u2")
+    kinds = {
+        "plain": {}, "strips": {"strip": 13, "pack": 8}, "tiles": {"side": 48, "pack": 8}, "lzw": {"side": 32, "pack": 5}, "apart": {"side": 64, "apart": True, "pack": 8},
+        "predicted": {"side": 64, "pack": 8, "predict": True}, "big": {"side": 48, "big": True}, "one": {"pack": 8},
+    }
+    for name, kind in kinds.items():
+        (tmp_path / f"{name}.tif").write_bytes(tiff(image, **kind))
+    (tmp_path / "bad.tif").write_bytes(b"II*\0nothing")
+    whole = tiff(image, side=48, pack=8)
+    (tmp_path / "torn.tif").write_bytes(whole[:16] + bytes(3000) + whole[3016:])
+    load = spark.read.format("geotiff_windows").option("window", 50).option("step", 10).option("before", 3).option("after", 7).load
+    rows = load(str(tmp_path)).collect()
+    errors = {r.image_name for r in rows if r.error}
+    assert errors == {"bad", "torn"}
+    for name in kinds:
+        seen = np.zeros(image.shape[1:], int)
+        for r in (r for r in rows if r.image_name == name):
+            part = np.frombuffer(r.data, r.dtype).reshape(r.bands, r.rows, r.cols)
+            assert (part == image[:, r.y - r.top : r.y + r.h + 7, r.x - r.left : r.x + r.w + 7]).all() and list(r.gt) == [1000, 0.5, 0, 2000, 0, -0.5]
+            assert (r.top, r.left) == (min(3, r.y), min(3, r.x)) and r.rows <= 60 or kinds[name].get("side") is None
+            seen[r.y : r.y + r.h, r.x : r.x + r.w] += 1
+        assert (seen == 1).all()
+    only = spark.read.format("geotiff_windows").option("window", 50).option("step", 10).option("bands", "3").load(str(tmp_path / "apart.tif")).collect()
+    assert all((np.frombuffer(r.data, r.dtype).reshape(r.rows, r.cols) == image[3, r.y : r.y + r.h, r.x : r.x + r.w]).all() for r in only) and len(only) == 9
+    # A deflated strip that is too large to unpack at once.
+    monkeypatch.setattr(geotiff, "AT_ONCE", 1000)
+    assert (geotiff.decode(tiff(image, pack=8), (100, 20, 120, 90))[0] == image[:, 100:120, 20:90]).all()
+    asked = []
+    raw = tiff(image, side=48, pack=8)
+    geotiff.Raster(lambda at, n: (asked.append(n), raw[at : at + n])[1]).window(0, 0, 10, 10)
+    assert sum(asked) < len(raw) / 6
+
+
+def test_tiles_and_masks_of_windows_are_those_of_scenes(spark, tmp_path):
+    geotiff.register(spark)
+    rng = np.random.default_rng(6)
+    image = np.kron(rng.integers(0, 400, (4, 20, 25)), np.ones((1, 17, 16))).astype("<u2")
+    image[2, :200, :200] = 0
+    (tmp_path / "a.tif").write_bytes(tiff(image, side=64, pack=8))
+    (tmp_path / "b.tif").write_bytes(tiff(image[:, ::-1].copy(), strip=9, pack=8))
+    found = geotiff.read(spark, str(tmp_path))
+    windows = spark.read.format("geotiff_windows").option("window", 160).option("before", scenes.MARGIN).option("after", scenes.MARGIN + 40).load(str(tmp_path))
+    for water in (False, True):
+        one, two = scenes.tiles(found, water=water), scenes.tiles(windows, water=water)
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.count() > 8
+    masks = scenes.masks(windows)
+    geotiff.save_masks(masks, str(tmp_path / "masks"), "PROJ")
+    back = {r.image_name: r for r in geotiff.read(spark, str(tmp_path / "masks")).collect()}
+    for name, own in (("a", image), ("b", image[:, ::-1])):
+        assert (geotiff.pixels(back[name])[0].astype(bool) == scenes.land(own)).all() and back[name].citation == "PROJ" and list(back[name].gt) == [1000, 0.5, 0, 2000, 0, -0.5]
+    assert (tmp_path / "masks" / "a.tif").stat().st_size < image[0].size / 8
+    with pytest.raises(Exception, match="missing"):
+        geotiff.save_masks(masks.filter("y > 0"), str(tmp_path / "part"))
+    with pytest.raises(Exception, match="does not start on a tile"):
+        geotiff.save_masks(masks, str(tmp_path / "part"), tile=256)
 
 
 def test_tiles_of_a_scene(spark):
