@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
+from . import covering
 
 RADIUS = 10.0
 #: Pairs of an image that one task solves at most (a few MB).
@@ -130,19 +131,21 @@ def in_cells(rectangles: DataFrame, levels: list[int] | None = None, size: float
     return r.withColumn("cx", cells(c[0], c[2])).withColumn("cy", cells(c[1], c[3]))
 
 
-def levels_of(rectangles: DataFrame, size: float = 64.0, corners: tuple[str, ...] = ("x0", "y0", "x1", "y1")) -> list[int]:
-    """The levels that occur: a logarithm of the largest side, so few."""
+def levels_of(rectangles: DataFrame, size: float = 64.0, corners: tuple[str, ...] = ("x0", "y0", "x1", "y1")) -> dict[int, int]:
+    """The levels that occur, a logarithm of the largest side, so few, and how many rectangles each has."""
     c = [F.col(x).cast("double") for x in corners]
-    return sorted(r[0] for r in rectangles.select(_level(*c, size)).distinct().collect() if r[0] is not None)
+    return {r[0]: r[1] for r in sorted(rectangles.groupBy(_level(*c, size).alias("level")).count().filter("level is not null").collect())}
 
 
 def outside(points: DataFrame, rectangles: DataFrame, size: float = 64.0) -> DataFrame:
     """Points in none of the rectangles; the border counts as inside. The join keys are cells whose size goes with that
-    of the rectangle, so a large one is in as few cells as a small one; each of the few sizes is a join of its own."""
+    of the rectangle, so a large one is in as few cells as a small one; each of the few sizes is a join of its own, and
+    the rectangles of a size are broadcast where they are few, so a large one is no hot key."""
     r = in_cells(rectangles.select("x0", "y0", "x1", "y1"), size=size).select("level", "cx", "cy", "x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
-    for level in levels_of(rectangles, size):
+    for level, n in levels_of(rectangles, size).items():
         wide = size * 4.0**level
         own = r.filter(F.col("level") == level)
+        own = F.broadcast(own) if n <= covering.BROADCAST_CELLS // 4 else own
         here = (F.floor(points.x / wide) == own.cx) & (F.floor(points.y / wide) == own.cy)
         points = points.join(own, here & (points.x >= own.x0) & (points.x <= own.xe) & (points.y >= own.y0) & (points.y <= own.ye), "left_anti")
     return points
@@ -164,40 +167,54 @@ def clear_of(boxes: DataFrame, rectangles: DataFrame, keys: list[str], size: flo
     return boxes.join(hit, keys, "left_anti")
 
 
-def _with_box(polygons: DataFrame) -> DataFrame:
-    ends = {"x0": F.array_min("ring.x"), "y0": F.array_min("ring.y"), "x1": F.array_max("ring.x"), "y1": F.array_max("ring.y")}
-    return polygons.select("ring").filter(F.size("ring") > 2).withColumns(ends)
-
-
-def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None, size: float = 64.0) -> DataFrame:
+def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None) -> DataFrame:
     """Points in none of the polygons (`ring`, an array of x, y); the line counts as inside. With a boundary, a ring of
-    its own, only what is inside it removes a point. Polygons meet points in the cells of their bounding boxes, as in
-    `outside`."""
-    area = _with_box(polygons)
-    r = in_cells(area, size=size).select("level", "cx", "cy", "ring")
-    for level in levels_of(area, size):
-        wide = size * 4.0**level
-        own = r.filter(F.col("level") == level)
-        here = (F.floor(points.x / wide) == own.cx) & (F.floor(points.y / wide) == own.cy)
-        hit = here & covers(own.ring, points.x, points.y)
-        points = points.join(own, hit if boundary is None else hit & covers(boundary, points.x, points.y), "left_anti")
-    return points
-
-
-def clear_of_polygons(shapes: DataFrame, polygons: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
+    its own, only what is inside it removes a point. Points meet the cells of the polygons' coverings."""
+    return covering.meeting(points, checkpointed(covering.cells(polygons)), "left_anti", None if boundary is None else covers(boundary, points.x, points.y))
+
+
+def segments(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
+    """keys, px, py, qx, qy and the bounding box (x0, y0, x1, y1) of each edge."""
+    e = rings.filter(F.size(ring) > 2).select(*keys, F.explode(_edges(F.col(ring))).alias("e")).select(*keys, "e.*")
+    return e.select("*", F.least("px", "qx").alias("x0"), F.least("py", "qy").alias("y0"), F.greatest("px", "qx").alias("x1"), F.greatest("py", "qy").alias("y1"))
+
+
+def touching(a: DataFrame, b: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
+    """keys of a for each pair of segments of a and b that cross or touch. They meet in the cells of the longer one's
+    size; on each level the side with the long ones is broadcast where it is small."""
+    far = {c: f"{c}_b" for c in ("px", "py", "qx", "qy", "x0", "y0", "x1", "y1")}
+    b = b.select(*[F.col(c).alias(n) for c, n in far.items()])
+    corners = ("x0_b", "y0_b", "x1_b", "y1_b")
+    la, lb = levels_of(a, size), levels_of(b, size, corners)
+    found = None
+    for level in sorted({*la, *lb}):
+        left = in_cells(a, [level], size).withColumnRenamed("own_level", "la").drop("level")
+        right = in_cells(b, [level], size, corners).withColumnRenamed("own_level", "lb").drop("level")
+        for one, two, n in ((left, right.filter(F.col("lb") == level), lb.get(level, 0)), (left.filter(F.col("la") == level), right.filter(F.col("lb") < level), sum(n for k, n in lb.items() if k < level))):
+            if not n:
+                continue
+            two = F.broadcast(two) if n <= covering.BROADCAST_CELLS // 4 else two
+            near = F.expr("x0 <= x1_b and x1 >= x0_b and y0 <= y1_b and y1 >= y0_b")
+            e, f = (F.struct(*[F.col(n).alias(c) for c, n in list(names.items())[:4]]) for names in ({c: c for c in far}, far))
+            met = one.join(two, ["cx", "cy"]).filter(near & _meet(e, f)).select(*keys)
+            found = met if found is None else found.unionByName(met)
+    return a.select(*keys).limit(0) if found is None else found
+
+
+def clear_of_polygons(shapes: DataFrame, polygons: DataFrame, keys: list[str]) -> DataFrame:
     """Shapes (`ring`, told apart by keys) that meet none of the polygons: no edges cross or touch, and neither holds
-    the other."""
-    ends = {"x1": F.array_min("ring.x"), "y1": F.array_min("ring.y"), "x2": F.array_max("ring.x"), "y2": F.array_max("ring.y")}
-    a = shapes.select(*keys, F.col("ring").alias("shape"), *[v.alias(k) for k, v in ends.items()])
-    b = _with_box(polygons).withColumnRenamed("x1", "xe").withColumnRenamed("y1", "ye")
-    own, far = ("x1", "y1", "x2", "y2"), ("x0", "y0", "xe", "ye")
-    levels = sorted({*levels_of(a, size, own), *levels_of(b, size, far)})
-    if not levels:
-        return shapes
-    met = in_cells(a, levels, size, own).withColumnRenamed("own_level", "la").join(in_cells(b, levels, size, far).withColumnRenamed("own_level", "lb"), ["level", "cx", "cy"])
-    near = met.filter((F.col("level") == F.greatest("la", "lb")) & F.expr("x1 <= xe and x2 >= x0 and y1 <= ye and y2 >= y0"))
-    hit = near.filter(intersects(F.col("shape"), F.col("ring"))).select(*keys).distinct()
-    return shapes.join(hit, keys, "left_anti")
+    the other. Edges meet edges; a corner of each shape meets the cells of the polygons, and a corner of each polygon those
+    of the shapes."""
+    at = lambda c: F.col("ring")[0][c]
+    rings = polygons.select("ring")
+    hit = touching(segments(shapes, keys), segments(rings, []), keys)
+    corners = shapes.filter(F.size("ring") > 2).select(*keys, at("x").alias("x"), at("y").alias("y"))
+    for met in covering.meeting(corners, checkpointed(covering.cells(polygons)), "left_semi"):
+        hit = hit.unionByName(met.select(*keys))
+    tips = rings.filter(F.size("ring") > 2).select(at("x").alias("x"), at("y").alias("y")).distinct()
+    for met in covering.meeting(tips, checkpointed(covering.cells(shapes, tuple(keys))), "inner", kept=tuple(keys)):
+        hit = hit.unionByName(met.select(*keys))
+    return shapes.join(hit.distinct(), keys, "left_anti")
 
 
 def points_within(rings: DataFrame, step: float) -> DataFrame:
@@ -222,19 +239,20 @@ def _side(e: Column, x: Column, y: Column) -> Column:
     return (e["qx"] - e["px"]) * (y - e["py"]) - (e["qy"] - e["py"]) * (x - e["px"])
 
 
-def intersects(a: Column, b: Column) -> Column:
-    """Whether two rings have a point in common, on their lines or inside."""
+def _meet(e: Column, f: Column) -> Column:
+    """Whether two edges cross or touch."""
 
     def between(e, x, y):
         return (x >= F.least(e["px"], e["qx"])) & (x <= F.greatest(e["px"], e["qx"])) & (y >= F.least(e["py"], e["qy"])) & (y <= F.greatest(e["py"], e["qy"]))
 
-    def meet(e, f):
-        s1, s2, s3, s4 = _side(e, f["px"], f["py"]), _side(e, f["qx"], f["qy"]), _side(f, e["px"], e["py"]), _side(f, e["qx"], e["qy"])
-        crossing = (s1 * s2 < 0) & (s3 * s4 < 0)
-        touching = ((s1 == 0) & between(e, f["px"], f["py"])) | ((s2 == 0) & between(e, f["qx"], f["qy"])) | ((s3 == 0) & between(f, e["px"], e["py"])) | ((s4 == 0) & between(f, e["qx"], e["qy"]))
-        return crossing | touching
+    s1, s2, s3, s4 = _side(e, f["px"], f["py"]), _side(e, f["qx"], f["qy"]), _side(f, e["px"], e["py"]), _side(f, e["qx"], e["qy"])
+    touching = ((s1 == 0) & between(e, f["px"], f["py"])) | ((s2 == 0) & between(e, f["qx"], f["qy"])) | ((s3 == 0) & between(f, e["px"], e["py"])) | ((s4 == 0) & between(f, e["qx"], e["qy"]))
+    return ((s1 * s2 < 0) & (s3 * s4 < 0)) | touching
 
-    lines = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: meet(e, f)))
+
+def intersects(a: Column, b: Column) -> Column:
+    """Whether two rings have a point in common, on their lines or inside."""
+    lines = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: _meet(e, f)))
     return lines | inside(a, b[0]["x"], b[0]["y"]) | inside(b, a[0]["x"], a[0]["y"])
 
 

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarryline.functions import boxes as B
-from quarryline.operators import compare, dataflow, detection, inference, raster, spatial
+from quarryline.operators import compare, covering, dataflow, detection, inference, raster, spatial
 
 
 def test_measure_a_rectangle(spark):
@@ -48,6 +48,88 @@ def test_points_inside_a_concave_ring(spark):
     assert (1, 1) in got and (4, 1) in got and (4, 3) not in got and (4, 2) not in got and (0, 4) not in got and (1, 5) in got
 
 
+RINGS = "fid long, ring array<struct<x:double,y:double>>"
+
+
+def ring_rows(rings):
+    return [(k, [{"x": float(x), "y": float(y)} for x, y in ring]) for k, ring in enumerate(rings)]
+
+
+def within(ring, x, y):
+    """Inside or on the line, by exact whole numbers."""
+    odd, n = False, len(ring)
+    for k in range(n):
+        (px, py), (qx, qy) = ring[k], ring[(k + 1) % n]
+        c = (qx - px) * (y - py) - (qy - py) * (x - px)
+        if c == 0 and min(px, qx) <= x <= max(px, qx) and min(py, qy) <= y <= max(py, qy):
+            return True
+        if (py > y) != (qy > y) and (c > 0) == (qy > py):
+            odd = not odd
+    return odd
+
+
+def decided(ring, points, limit):
+    """What the covering says of points."""
+    found = [[] for _ in points]
+    for level, cx, cy, inner, corner, starts, edges in covering.cover(np.asarray(ring, float), limit, 12):
+        side = covering.SIZE * 2.0**level
+        at = {(int(x), int(y)): k for k, (x, y) in enumerate(zip(cx, cy))}
+        for i, (x, y) in enumerate(points):
+            k = at.get((int(np.floor((x - covering.OFFSET) / side)), int(np.floor((y - covering.OFFSET) / side))))
+            if k is not None:
+                own = edges[starts[k] : starts[k + 1]]
+                odd = covering._crossed(own, x, y, covering.OFFSET + (cx[k] + 1) * side, covering.OFFSET + cy[k] * side).sum() % 2 == 1
+                line = [(e[2] - e[0]) * (y - e[1]) == (e[3] - e[1]) * (x - e[0]) and min(e[0], e[2]) <= x <= max(e[0], e[2]) and min(e[1], e[3]) <= y <= max(e[1], e[3]) for e in own]
+                found[i].append(bool(inner[k]) or bool(corner[k]) != odd or any(line))
+    assert all(len(f) <= 1 for f in found)  # no two cells share a point
+    return [any(f) for f in found]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(-30, 30), st.integers(-30, 30)), min_size=3, max_size=14), st.integers(1, 5))
+def test_coverings_decide_as_the_whole_ring(ring, limit):
+    """Rings that cross themselves, fold back and repeat points, and points on corners and lines."""
+    points = [*ring, *((x, y) for x in range(-31, 32, 3) for y in range(-31, 32, 4))]
+    assert decided(ring, points, limit) == [within(ring, x, y) for x, y in points]
+
+
+def test_large_polygons_are_no_hot_key(spark):
+    """One over the whole map and one of 200,000 corners, against plain loops; no cell carries more than a few edges."""
+    turn = np.linspace(0, 2 * np.pi, 200_000, endpoint=False)
+    far = 3000 + 400 * np.sin(9 * turn) + 40 * np.sin(900 * turn)
+    star = np.column_stack([5000 + far * np.cos(turn), 5000 + far * np.sin(turn)])
+    polygons = spark.createDataFrame(ring_rows([star, [(0, 0), (20000, 0), (20000, 12000), (9000, 12000), (9000, 20000), (0, 20000)]]), RINGS)
+    cells = covering.cells(polygons, ("fid",)).select("fid", "inner", F.size("edges").alias("n")).collect()
+    assert max(r.n for r in cells) <= covering.EDGES and any(r.inner for r in cells) and len(cells) < 500_000
+    rng = np.random.default_rng(7)
+    at = rng.uniform(0, 20000, (4000, 2)).round(3)
+    angle, r = np.arctan2(at[:, 1] - 5000, at[:, 0] - 5000), np.hypot(at[:, 0] - 5000, at[:, 1] - 5000)
+    edge = 3000 + 400 * np.sin(9 * angle) + 40 * np.sin(900 * angle)
+    sure = np.abs(r - edge) > 0.01
+    out = (r > edge) & (at[:, 0] > 9000) & (at[:, 1] > 12000)
+    points = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(at)], "id long, x double, y double")
+    got = {r.id for r in spatial.outside_polygons(points, polygons).collect()}
+    assert all((k in got) == out[k] for k in range(len(at)) if sure[k]) and 100 < len(got)
+
+
+def test_cleaning_against_whole_rings(spark, monkeypatch):
+    """Points and shapes, small and large, broadcast and not."""
+    rng = np.random.default_rng(11)
+    rings = [[tuple(map(int, p)) for p in rng.integers(0, size, (n, 2)) + rng.integers(0, 300, 2)] for n, size in ((3, 9), (5, 30), (4, 200), (7, 90), (3, 4), (40, 150))]
+    polygons = spark.createDataFrame(ring_rows(rings), RINGS)
+    at = [tuple(map(int, p)) for p in rng.integers(-20, 420, (900, 2))] + [p for r in rings for p in r]
+    points = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(at)], "id long, x double, y double")
+    want = {k for k, p in enumerate(at) if not any(within(r, *p) for r in rings)}
+    shapes = [[(x, y), (x + w, y), (x + w, y + h), (x, y + h)] for x, y, w, h in np.column_stack([rng.integers(-60, 420, (250, 2)), rng.integers(1, 40, (250, 2))]).tolist()] + [[(-99, -99), (900, -99), (900, 900), (-99, 900)]]
+    own = spark.createDataFrame(ring_rows(shapes), RINGS)
+    whole = own.crossJoin(polygons.select(F.col("ring").alias("other"))).filter(spatial.intersects(F.col("ring"), F.col("other"))).select("fid").distinct()
+    hit = {r.fid for r in whole.collect()}
+    for few in (covering.BROADCAST_CELLS, 0):
+        monkeypatch.setattr(covering, "BROADCAST_CELLS", few)
+        assert {r.id for r in spatial.outside_polygons(points, polygons).collect()} == want
+        assert {r.fid for r in spatial.clear_of_polygons(own, polygons, ["fid"]).collect()} == {k for k in range(len(shapes))} - hit and 20 < len(hit) < 240
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(*[st.integers(0, 20)] * 2, *[st.integers(1, 12)] * 2), min_size=1, max_size=12))
 def test_rectangle_holds_its_points(items):
