@@ -4,8 +4,9 @@ Texts become shards: rows of a few MB of one language, cut at piece boundaries.
 and its shorter phrases are, so candidates are found in three turns, words, pairs, and phrases of three to five words.
 In each turn a shard counts the cells of its phrases in a sketch of one hash row, whose width goes with the words of the
 table; the sums are upper bounds, and only phrases whose cell reaches the threshold go on. The sketch is kept sparse, as
-rows of cells that Spark sums and joins, so it is never whole in one place, and each shard gets back those of its own cells
-that passed.
+rows of cells that Spark sums, so it is never whole in one place. The cells that pass go to the shards as a bitmap, which
+may let more through, while they are few enough for one of a bounded size; beyond that each shard gets back those of its
+own cells that passed, by a join.
 
 The candidates of a shard are compiled, with a guard on both sides, into automata of a bounded number of phrases each;
 scanning the shard's text counts all their matches, overlapping ones too, by their content. Sums over shards are exact,
@@ -22,6 +23,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ SHARD, HELD = 4 << 20, 32 << 20
 AUTOMATON = 50_000
 #: Cells of the sketch for each word of the table, as a power of two.
 WIDTH = 3
+#: Bits of a bitmap of cells at most (32 MB), and cells up to which it has eight bits or more for each or is that large.
+BITMAP, PASSING = 28, 1 << 26
 #: Copies of the counts of first and last parts, so that a common word's phrases are not one key.
 SALTS = 8
 #: Languages that are broadcast at most (a few MB).
@@ -98,9 +102,29 @@ def _cells(ids: np.ndarray, hashes: np.ndarray, size: int, bits: int) -> tuple[n
 
 
 def _hashes(lang: str, vocab: list[str]) -> np.ndarray:
+    """The hashes of words as Spark's xxhash64 has them."""
     from xxhash import xxh64_intdigest
 
-    return np.fromiter((xxh64_intdigest(f"{lang}\0{w}") for w in vocab), np.uint64, len(vocab))
+    return np.fromiter((xxh64_intdigest(f"{lang}\0{w}", 42) for w in vocab), np.uint64, len(vocab))
+
+
+def _word_cell(lang: Column, word: Column) -> Column:
+    return F.xxhash64(F.concat(lang, F.lit("\0"), word))
+
+
+class Passed:
+    """The cells that passed: a bitmap of all, or, with a row of the joined column `passed`, those of a shard."""
+
+    def __init__(self, bitmap: Broadcast | None):
+        self.bitmap = bitmap
+
+    def among(self, cells: np.ndarray, passed: pa.Scalar | None) -> np.ndarray:
+        if self.bitmap is not None:
+            bits = self.bitmap.value
+            slot = cells & (64 * len(bits) - 1)
+            return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        own = np.sort(np.asarray(passed.values)) if passed.is_valid else np.zeros(0, np.int64)
+        return own[np.minimum(np.searchsorted(own, cells), len(own) - 1)] == cells if len(own) else np.zeros(len(cells), bool)
 
 
 def _without_lone(ids: np.ndarray) -> np.ndarray:
@@ -118,47 +142,47 @@ def _sketch_row(shard: int, lang: str, vocab: list[str], ids: np.ndarray, found:
     return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "vocab", "ids", "cells", "counts"])
 
 
-def _pairs(bits: int):
+def _passed_of(batch: pa.RecordBatch, k: int) -> pa.Scalar | None:
+    return batch.column("passed")[k] if "passed" in batch.schema.names else None
+
+
+def _pairs(bits: int, ask: Passed):
     """Shards with their frequent words as ids and breaks, and the cells of their pairs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                shard, lang, text, vocab = (batch.column(c)[k].as_py() for c in ("shard", "lang", "text", "passed"))
+                shard, lang, text, words = (batch.column(c)[k].as_py() for c in ("shard", "lang", "text", "words"))
+                hashes = _hashes(lang, words)
+                kept = np.flatnonzero(ask.among(hashes.view(np.int64), _passed_of(batch, k)))
+                vocab = [words[i] for i in kept]
                 number = {w.encode(): i for i, w in enumerate(vocab)}
                 tokens = text.replace(b"\n", b" \n ").split(b" ")
                 ids = _without_lone(np.fromiter(map(number.get, tokens, repeat(-1)), np.int64, len(tokens)))
-                _, cells = _cells(ids, _hashes(lang, vocab), 2, bits)
-                yield _sketch_row(shard, lang, vocab, ids, [cells])
+                yield _sketch_row(shard, lang, vocab, ids, [_cells(ids, hashes[kept], 2, bits)[1]])
 
     return run
 
 
 def _state(batch: pa.RecordBatch, k: int) -> tuple[int, str, list[str], np.ndarray, np.ndarray]:
-    """shard, lang, vocab, ids and the cells that passed, sorted."""
+    """shard, lang, vocab, the words' hashes and the ids."""
     shard, lang, vocab, raw = (batch.column(c)[k].as_py() for c in ("shard", "lang", "vocab", "ids"))
-    passed = batch.column("passed")[k]
-    own = np.sort(np.asarray(passed.values)) if passed.is_valid else np.zeros(0, np.int64)
-    return shard, lang, vocab, np.frombuffer(raw, "<i4").astype(np.int64), own
-
+    return shard, lang, vocab, _hashes(lang, vocab), np.frombuffer(raw, "<i4").astype(np.int64)
 
-def _among(cells: np.ndarray, passed: np.ndarray) -> np.ndarray:
-    if not len(passed):
-        return np.zeros(len(cells), bool)
-    return passed[np.minimum(np.searchsorted(passed, cells), len(passed) - 1)] == cells
 
-
-def _longer(bits: int, longest: int):
+def _longer(bits: int, ask: Passed, longest: int):
     """Shards cut between words whose pair did not pass, and the cells of their longer phrases."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                shard, lang, vocab, ids, passed = _state(batch, k)
-                hashes = _hashes(lang, vocab)
+                shard, lang, vocab, hashes, ids = _state(batch, k)
                 at, cells = _cells(ids, hashes, 2, bits)
-                cut = at[~_among(cells, passed)] + 1
+                cut = at[~ask.among(cells, _passed_of(batch, k))] + 1
                 ids = _without_lone(np.insert(ids, cut, -1))
+                used, place = np.unique(ids[ids >= 0], return_inverse=True)
+                ids[ids >= 0] = place
+                vocab, hashes = [vocab[i] for i in used.tolist()], hashes[used]
                 yield _sketch_row(shard, lang, vocab, ids, [_cells(ids, hashes, size, bits)[1] for size in range(3, longest + 1)])
 
     return run
@@ -179,18 +203,18 @@ def _matches(text: str, phrases: list[str]) -> np.ndarray:
     return n
 
 
-def _count(bits: int, longest: int):
+def _count(bits: int, ask: Passed, longest: int):
     """The candidates of each shard and how often its text has them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                _, lang, vocab, ids, passed = _state(batch, k)
-                hashes, phrases, sizes = _hashes(lang, vocab), [], []
+                _, lang, vocab, hashes, ids = _state(batch, k)
+                phrases, sizes = [], []
                 for size in range(2, longest + 1):
                     at, cells = _cells(ids, hashes, size, bits)
                     if size > 2:  # pairs that did not pass are breaks by now
-                        at = at[_among(cells, passed)]
+                        at = at[ask.among(cells, _passed_of(batch, k))]
                     if not len(at):
                         break
                     rows = np.unique(ids[at[:, None] + np.arange(size)], axis=0)
@@ -216,21 +240,36 @@ def counts(scratch: common.Scratch, df: DataFrame, lang_col: str = "lang", text_
     words = words.filter(F.col("n") >= least)
     bits = max(4, min(62, math.ceil(math.log2(1 + (totals.agg(F.sum("n")).first()[0] or 0))) + WIDTH))
 
-    def passing(rows: DataFrame, name: str) -> DataFrame:
-        """shard, passed: of each shard the cells whose sum over all shards reaches the threshold."""
+    def answered(rows: DataFrame, cells: DataFrame, passing: DataFrame) -> tuple[DataFrame, Passed]:
+        """rows, and how they learn which of their cells (shard, cell) are passing."""
+        many = passing.count()
+        if many > PASSING:
+            return rows.join(cells.join(passing, "cell").groupBy("shard").agg(F.collect_list("cell").alias("passed")), "shard", "left"), Passed(None)
+        slots = 1 << max(6, min(BITMAP, (8 * many).bit_length()))
+        slot = F.col("cell").bitwiseAND(F.lit(slots - 1).cast("long"))
+        one = F.expr("shiftleft(1L, CAST(cell & 63 AS INT))").alias("bit")
+        found = passing.select(F.shiftright(slot, 6).alias("place"), one).groupBy("place").agg(F.bit_or("bit").alias("bits")).toArrow()
+        bitmap = np.zeros(slots // 64, np.uint64)
+        bitmap[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+        return rows, Passed(scratch.spark.sparkContext.broadcast(bitmap))
+
+    def sketched(rows: DataFrame, name: str) -> tuple[DataFrame, Passed]:
+        """rows of _CELLS and which of their cells have a sum over all shards that reaches the threshold."""
         cells = rows.select("shard", F.explode(F.arrays_zip("cells", "counts")).alias("c")).select("shard", F.col("c.cells").alias("cell"), F.col("c.counts").alias("n"))
         bound = scratch.write(cells.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("cell"), f"sketch-{name}")
-        return cells.join(bound, "cell").groupBy("shard").agg(F.collect_list("cell").alias("passed"))
-
-    frequent = used.join(words.select("lang", "phrase"), ["lang", "phrase"]).groupBy("shard").agg(F.collect_list("phrase").alias("passed"))
-    pairs = shards.select("shard", "lang", "text").join(frequent, "shard").mapInArrow(tk.resting(_pairs(bits)), _CELLS)
-    pairs = scratch.write(pairs, "pairs")
-    longer = pairs.drop("cells", "counts").join(passing(pairs, "pairs"), "shard").mapInArrow(tk.resting(_longer(bits, longest)), _CELLS)
-    longer = scratch.write(longer, "longer")
+        return answered(rows.drop("cells", "counts"), cells, bound)
+
+    cell = _word_cell(F.col("lang"), F.col("phrase")).alias("cell")
+    rows, ask = answered(shards.drop("counts"), used.select("shard", cell), words.select(cell).distinct())
+    pairs = scratch.write(rows.mapInArrow(tk.resting(_pairs(bits, ask)), _CELLS), "pairs")
+    scratch.drop("shards")
+    rows, ask = sketched(pairs, "pairs")
+    longer = scratch.write(rows.mapInArrow(tk.resting(_longer(bits, ask, longest)), _CELLS), "longer")
     scratch.drop("pairs")
-    found = longer.drop("cells", "counts").join(passing(longer, "longer"), "shard", "left").mapInArrow(tk.resting(_count(bits, longest)), _FOUND)
+    rows, ask = sketched(longer, "longer")
+    found = rows.mapInArrow(tk.resting(_count(bits, ask, longest)), _FOUND)
     phrases = scratch.write(found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases")
-    scratch.drop("longer", "shards")
+    scratch.drop("longer")
     return totals.unionByName(words.select("lang", F.lit(1).alias("size"), "phrase", "n")).unionByName(phrases)
 
 

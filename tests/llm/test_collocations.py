@@ -52,9 +52,11 @@ def texts(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("shard, automaton, width", [(4 << 20, 50_000, 3), (200, 3, 3), (900, 50_000, -60)])
-def test_against_brute_force(spark, monkeypatch, shard, automaton, width):
-    """As it is; with many small shards and automata; with a sketch in which nearly all cells are shared."""
+@pytest.mark.parametrize("shard, automaton, width, passing", [(4 << 20, 50_000, 3, 1 << 26), (200, 3, 3, 1 << 26), (900, 50_000, -60, 1 << 26), (200, 50_000, 3, -1)])
+def test_against_brute_force(spark, monkeypatch, shard, automaton, width, passing):
+    """As it is; with many small shards and automata; with a sketch in which nearly all cells are shared; with cells that
+    are joined, as too many pass for a bitmap."""
+    monkeypatch.setattr(collocations, "PASSING", passing)
     monkeypatch.setattr(collocations, "SHARD", shard)
     monkeypatch.setattr(collocations, "HELD", 4 * shard)
     monkeypatch.setattr(collocations, "AUTOMATON", automaton)
