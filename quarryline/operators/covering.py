@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,35 +56,54 @@ def _touched(edges: np.ndarray, x, y, side) -> np.ndarray:
     return near & (least <= room) & (most >= -room)
 
 
-def cover(ring: np.ndarray, limit: int = EDGES, depth: int = DEPTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """level, cx, cy, inner, corner, where the edges of each cell start (and the end), edges; a step of levels each."""
-    edges = np.hstack([ring, np.roll(ring, -1, axis=0)])
-    low, high = ring.min(axis=0), ring.max(axis=0)
-    level = int(np.ceil(np.log2(max((high - low).max(), 1e-9) / SIZE)))
-    side = SIZE * 2.0**level
-    first, last = (np.floor((v - OFFSET) / side).astype(np.int64) for v in (low, high))
-    cx, cy = (v.ravel() for v in np.meshgrid(np.arange(first[0], last[0] + 1), np.arange(first[1], last[1] + 1)))
-    corner = np.zeros(len(cx), bool)
-    for k in range(len(cx)):  # four at most
-        x, y = OFFSET + (cx[k] + 1) * side, OFFSET + cy[k] * side
-        corner[k] = (((edges[:, 1] > y) != (edges[:, 3] > y)) & (_side(edges, x, y) == (edges[:, 3] > edges[:, 1]))).sum() % 2
-    # Each cell starts with all edges; what touches it is found as for its children.
-    cell, own = np.repeat(np.arange(len(cx)), len(edges)), np.tile(np.arange(len(edges)), len(cx))
-    hit = _touched(edges[own], OFFSET + cx[cell] * side, OFFSET + cy[cell] * side, side)
+class Cells:
+    """Cells of several rings: of each its ring, level, place, and whether it is inside and has its corner inside; where
+    its edges start (and the end) in `edges`."""
+
+    def __init__(self, ring, level, cx, cy, inner, corner, starts, edges):
+        self.ring, self.level, self.cx, self.cy = ring, level, cx, cy
+        self.inner, self.corner, self.starts, self.edges = inner, corner, starts, edges
+
+
+def cover(rings: list[np.ndarray], limit: int = EDGES, depth: int = DEPTH) -> Iterator[Cells]:
+    """The coverings of rings, all together, a step of levels each."""
+    size = np.array([len(r) for r in rings])
+    edges = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
+    owner = np.repeat(np.arange(len(rings)), size)
+    first_of = np.cumsum(size) - size
+    low, high = np.minimum.reduceat(edges[:, :2], first_of), np.maximum.reduceat(edges[:, :2], first_of)
+    top = np.ceil(np.log2(np.maximum((high - low).max(axis=1), 1e-9) / SIZE)).astype(np.int64)
+    wide = SIZE * 2.0**top
+    first, last = (np.floor((v - OFFSET) / wide[:, None]).astype(np.int64) for v in (low, high))
+    # A ring starts with the cells of its own size, four at most, each with all edges that may touch it.
+    parts, n = [], 0
+    for a in (0, 1):
+        for b in (0, 1):
+            there = (first[:, 0] + a <= last[:, 0]) & (first[:, 1] + b <= last[:, 1])
+            number = np.cumsum(there) - 1 + n
+            own = np.flatnonzero(there[owner])
+            parts.append((np.flatnonzero(there), first[there, 0] + a, first[there, 1] + b, number[owner[own]], own))
+            n += int(there.sum())
+    ring, cx, cy, cell, own = (np.concatenate(v) for v in zip(*parts[:4]))
+    level, side = top[ring], wide[ring]
+    x, y = (OFFSET + (cx + 1) * side)[cell], (OFFSET + cy * side)[cell]
+    e = edges[own]
+    beyond = ((e[:, 1] > y) != (e[:, 3] > y)) & (_side(e, x, y) == (e[:, 3] > e[:, 1]))
+    corner = np.bincount(cell[beyond], minlength=len(cx)) % 2 == 1
+    hit = _touched(e, x - side[cell], y, side[cell])
     cell, own = cell[hit], own[hit]
     for turn in range(depth + 1):
         n = np.bincount(cell, minlength=len(cx))
         done = (n <= limit) | (turn == depth)
         kept = done & ((n > 0) | corner)
         order = np.argsort(cell[done[cell]], kind="stable")
-        yield level, cx[kept], cy[kept], n[kept] == 0, corner[kept], np.concatenate([[0], np.cumsum(n[kept])]), edges[own[done[cell]][order]]
+        yield Cells(ring[kept], level[kept], cx[kept], cy[kept], n[kept] == 0, corner[kept], np.concatenate([[0], np.cumsum(n[kept])]), edges[own[done[cell]][order]])
         if done.all():
             return
-        number = np.cumsum(~done) - 1
-        open_ = ~done[cell]
+        number, open_ = np.cumsum(~done) - 1, ~done[cell]
         cell, own = number[cell[open_]], own[open_]
-        px, py, was = cx[~done], cy[~done], corner[~done]
-        half, right, bottom = side / 2, OFFSET + (px + 1) * side, OFFSET + py * side
+        up, px, py, was, half, below = ring[~done], cx[~done], cy[~done], corner[~done], side[~done] / 2, level[~done] - 1
+        right, bottom = OFFSET + (px + 1) * 2 * half, OFFSET + py * 2 * half
         parts = []
         for a in (0, 1):
             for b in (0, 1):
@@ -91,10 +111,9 @@ def cover(ring: np.ndarray, limit: int = EDGES, depth: int = DEPTH) -> Iterator[
                 left, base = OFFSET + x * half, OFFSET + y * half
                 odd = _crossed(edges[own], (OFFSET + (x + 1) * half)[cell], base[cell], right[cell], bottom[cell])
                 flag = was ^ (np.bincount(cell[odd], minlength=len(px)) % 2 == 1)
-                hit = _touched(edges[own], left[cell], base[cell], half)
-                parts.append((x, y, flag, cell[hit] + len(parts) * len(px), own[hit]))
-        cx, cy, corner, cell, own = (np.concatenate(v) for v in zip(*parts))
-        level, side = level - 1, half
+                hit = _touched(edges[own], left[cell], base[cell], half[cell])
+                parts.append((up, below, half, x, y, flag, cell[hit] + len(parts) * len(px), own[hit]))
+        ring, level, side, cx, cy, corner, cell, own = (np.concatenate(v) for v in zip(*parts))
 
 
 def cells(polygons: DataFrame, keys: tuple[str, ...] = (), ring: str = "ring") -> DataFrame:
@@ -105,17 +124,15 @@ def cells(polygons: DataFrame, keys: tuple[str, ...] = (), ring: str = "ring") -
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             points = batch.column(len(keys))
-            for k in range(batch.num_rows):
-                flat = points[k].values.flatten()
-                own = np.column_stack([c.to_numpy(zero_copy_only=False) for c in flat])
-                for level, cx, cy, inner, corner, starts, edges in cover(own):
-                    if not len(cx):
-                        continue
-                    held = pa.StructArray.from_arrays([pa.array(c) for c in edges.T], names=["px", "py", "qx", "qy"])
-                    columns = [pa.array([batch.column(i)[k].as_py()] * len(cx), batch.schema.field(i).type) for i in range(len(keys))]
-                    columns += [pa.array(np.full(len(cx), level, np.int32)), pa.array(cx), pa.array(cy), pa.array(inner), pa.array(corner), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), held)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*keys, "level", "cx", "cy", "inner", "corner", "edges"])
+            flat = np.column_stack([c.to_numpy(zero_copy_only=False) for c in points.flatten().flatten()])
+            for c in cover(np.split(flat, np.cumsum(pa.compute.list_value_length(points).to_numpy())[:-1])):
+                held = pa.StructArray.from_arrays([pa.array(v) for v in c.edges.T], names=["px", "py", "qx", "qy"])
+                columns = [batch.column(i).take(pa.array(c.ring)) for i in range(len(keys))]
+                columns += [pa.array(c.level.astype(np.int32)), pa.array(c.cx), pa.array(c.cy), pa.array(c.inner), pa.array(c.corner), pa.ListArray.from_arrays(pa.array(c.starts.astype(np.int32)), held)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "level", "cx", "cy", "inner", "corner", "edges"])
 
     flat = F.transform(ring, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
     return polygons.filter(F.size(ring) > 2).select(*keys, flat.alias("ring")).mapInArrow(run, schema)

@@ -179,7 +179,7 @@ def segments(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame
     return e.select("*", F.least("px", "qx").alias("x0"), F.least("py", "qy").alias("y0"), F.greatest("px", "qx").alias("x1"), F.greatest("py", "qy").alias("y1"))
 
 
-def touching(a: DataFrame, b: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
+def touching(a: DataFrame, b: DataFrame, keys: list[str], size: float = 8.0) -> DataFrame:
     """keys of a for each pair of segments of a and b that cross or touch. They meet in the cells of the longer one's
     size; on each level the side with the long ones is broadcast where it is small."""
     far = {c: f"{c}_b" for c in ("px", "py", "qx", "qy", "x0", "y0", "x1", "y1")}
@@ -203,18 +203,19 @@ def touching(a: DataFrame, b: DataFrame, keys: list[str], size: float = 64.0) ->
 
 def clear_of_polygons(shapes: DataFrame, polygons: DataFrame, keys: list[str]) -> DataFrame:
     """Shapes (`ring`, told apart by keys) that meet none of the polygons: no edges cross or touch, and neither holds
-    the other. Edges meet edges; a corner of each shape meets the cells of the polygons, and a corner of each polygon those
-    of the shapes."""
+    the other. A corner of each polygon meets the cells of the shapes, a corner of each shape those of the polygons, and
+    edges meet edges where no corner was inside."""
     at = lambda c: F.col("ring")[0][c]
-    rings = polygons.select("ring")
-    hit = touching(segments(shapes, keys), segments(rings, []), keys)
-    corners = shapes.filter(F.size("ring") > 2).select(*keys, at("x").alias("x"), at("y").alias("y"))
-    for met in covering.meeting(corners, checkpointed(covering.cells(polygons)), "left_semi"):
-        hit = hit.unionByName(met.select(*keys))
-    tips = rings.filter(F.size("ring") > 2).select(at("x").alias("x"), at("y").alias("y")).distinct()
-    for met in covering.meeting(tips, checkpointed(covering.cells(shapes, tuple(keys))), "inner", kept=tuple(keys)):
-        hit = hit.unionByName(met.select(*keys))
-    return shapes.join(hit.distinct(), keys, "left_anti")
+    rings = polygons.select("ring").filter(F.size("ring") > 2)
+    tips = rings.select(at("x").alias("x"), at("y").alias("y")).distinct()
+    holders = [met.select(*keys) for met in covering.meeting(tips, checkpointed(covering.cells(shapes, tuple(keys))), "inner", kept=tuple(keys))]
+    for met in holders:
+        shapes = shapes.join(met.distinct(), keys, "left_anti")
+    held = covering.meeting(shapes.filter(F.size("ring") > 2).select(*keys, at("x").alias("x"), at("y").alias("y")), checkpointed(covering.cells(polygons)), "left_semi")
+    for met in held:
+        shapes = shapes.join(met.select(*keys), keys, "left_anti")
+    shapes = checkpointed(shapes)
+    return shapes.join(touching(segments(shapes, keys), segments(rings, []), keys).distinct(), keys, "left_anti")
 
 
 def points_within(rings: DataFrame, step: float) -> DataFrame:

@@ -68,21 +68,21 @@ def within(ring, x, y):
     return odd
 
 
-def decided(ring, points, limit):
-    """What the covering says of points."""
-    found = [[] for _ in points]
-    for level, cx, cy, inner, corner, starts, edges in covering.cover(np.asarray(ring, float), limit, 12):
-        side = covering.SIZE * 2.0**level
-        at = {(int(x), int(y)): k for k, (x, y) in enumerate(zip(cx, cy))}
-        for i, (x, y) in enumerate(points):
-            k = at.get((int(np.floor((x - covering.OFFSET) / side)), int(np.floor((y - covering.OFFSET) / side))))
+def decided(rings, points, limit):
+    """What the coverings say of points, for each ring."""
+    found = [[[] for _ in points] for _ in rings]
+    for c in covering.cover([np.asarray(r, float) for r in rings], limit, 12):
+        at = {(int(r), int(v), int(x), int(y)): k for k, (r, v, x, y) in enumerate(zip(c.ring, c.level, c.cx, c.cy))}
+        for n, i, level in ((n, i, v) for n in range(len(rings)) for i in range(len(points)) for v in {k[1] for k in at if k[0] == n}):
+            (x, y), side = points[i], covering.SIZE * 2.0**level
+            k = at.get((n, level, int(np.floor((x - covering.OFFSET) / side)), int(np.floor((y - covering.OFFSET) / side))))
             if k is not None:
-                own = edges[starts[k] : starts[k + 1]]
-                odd = covering._crossed(own, x, y, covering.OFFSET + (cx[k] + 1) * side, covering.OFFSET + cy[k] * side).sum() % 2 == 1
+                own = c.edges[c.starts[k] : c.starts[k + 1]]
+                odd = covering._crossed(own, x, y, covering.OFFSET + (c.cx[k] + 1) * side, covering.OFFSET + c.cy[k] * side).sum() % 2 == 1
                 line = [(e[2] - e[0]) * (y - e[1]) == (e[3] - e[1]) * (x - e[0]) and min(e[0], e[2]) <= x <= max(e[0], e[2]) and min(e[1], e[3]) <= y <= max(e[1], e[3]) for e in own]
-                found[i].append(bool(inner[k]) or bool(corner[k]) != odd or any(line))
-    assert all(len(f) <= 1 for f in found)  # no two cells share a point
-    return [any(f) for f in found]
+                found[n][i].append(bool(c.inner[k]) or bool(c.corner[k]) != odd or any(line))
+    assert all(len(f) <= 1 for own in found for f in own)  # no two cells of a ring share a point
+    return [[any(f) for f in own] for own in found]
 
 
 @settings(max_examples=150, deadline=None)
@@ -90,7 +90,8 @@ def decided(ring, points, limit):
 def test_coverings_decide_as_the_whole_ring(ring, limit):
     """Rings that cross themselves, fold back and repeat points, and points on corners and lines."""
     points = [*ring, *((x, y) for x in range(-31, 32, 3) for y in range(-31, 32, 4))]
-    assert decided(ring, points, limit) == [within(ring, x, y) for x, y in points]
+    rings = [ring, [(-1, -1), (90, 0), (0, 90)], ring[::-1]]
+    assert decided(rings, points, limit) == [[within(r, x, y) for x, y in points] for r in rings]
 
 
 def test_large_polygons_are_no_hot_key(spark):
