@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import inference, scenes, spatial
 from ..operators.dataflow import CROP, OVERLAP
 from ..session import ship
+from ..sources import shapefile
 
 # Where a scene's name has the sensor, date, time and catalogue number (from 1, length).
 NAME = (("Sensor", 1, 4), ("Date", 6, 8), ("Time", 14, 6), ("CatalogID", 21, 16))
@@ -61,6 +62,6 @@ def save(rows: DataFrame, root: str, run: str, wkt: str | None = None) -> str:
     """One shapefile for each scene in a folder of the run."""
     path = f"{root}/{run}"
     fields = ["Class", *[c for c, _, _ in NAME], *[n for n, _ in NUMBERS]]
-    out = rows.select(F.array("ring").alias("geometry"), "image_name", *fields).repartition("image_name").write.format("shapefile").mode("append").option("by", "image_name")
-    (out.option("wkt", wkt) if wkt else out).save(path)
+    named = rows.select(F.array("ring").alias("geometry"), "image_name", *fields)
+    shapefile.split_by(named, path, ["image_name"], wkt)
     return path

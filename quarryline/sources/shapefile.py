@@ -5,12 +5,13 @@ final names, in the commit."""
 from __future__ import annotations
 
 import math
+import re
 import struct
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import ArrayType, ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
@@ -166,8 +167,8 @@ def encode(rows: list[tuple[list, list]], columns: list[tuple[str, str, int, int
 
 
 class _Message(WriterCommitMessage):
-    def __init__(self, names: list[tuple[str, str]]):
-        self.names = names
+    def __init__(self, staged: list[tuple[str, str, list[str]]]):
+        self.staged = staged
 
 
 def _column(field: StructField, values: list) -> tuple[str, str, int, int]:
@@ -187,18 +188,31 @@ def _column(field: StructField, values: list) -> tuple[str, str, int, int]:
     return field.name, "C", wide, 0
 
 
+def file_name(values: list) -> str:
+    """The place of a file by its values, all but the last of which are folders. Null is `null`."""
+    return "/".join(re.sub(r"[/\\\0]|^\.+", "_", "null" if v is None else str(v)) or "_" for v in values)
+
+
 class _Writer(DataSourceWriter):
     def __init__(self, path: str, schema: StructType, wkt: str | None, by: str | None = None, overwrite: bool = False):
-        self.root, self.schema, self.wkt, self.by, self.overwrite = path, schema, wkt, by, overwrite
+        self.root, self.schema, self.wkt, self.overwrite = path, schema, wkt, overwrite
+        self.by = [c.strip() for c in by.split(",")] if by else []
+        names = [f.name for f in schema if f.name not in OWN]
+        missing = [c for c in self.by if c not in schema.fieldNames()]
+        long = [n for n in names if len(n.encode()) > 10]
+        if missing or long:
+            raise ValueError(f"no column {missing}" if missing else f"a shapefile's column names have 10 bytes at most: {long}; rename them")
+        if len({n.lower() for n in names}) < len(names):
+            raise ValueError("column names differ in more than case")
 
     def write(self, rows: Iterator[Row]) -> _Message:
         fields = [f for f in self.schema if f.name not in OWN]
         groups: dict[str, list] = {}
         for r in rows:
-            groups.setdefault(str(r[self.by]) if self.by else "", []).append((r["geometry"], [r[f.name] for f in fields]))
+            groups.setdefault(file_name([r[c] for c in self.by]) if self.by else "", []).append((r["geometry"], [r[f.name] for f in fields]))
         store, folder = open_store(self.root)
         store.create_dir(folder, recursive=True)
-        moved = []
+        staged = []
         for group, found in groups.items():
             parts = encode(found, [_column(f, [v[k] for _, v in found]) for k, f in enumerate(fields)])
             if self.wkt:
@@ -207,25 +221,40 @@ class _Writer(DataSourceWriter):
             for kind, data in parts.items():
                 with store.open_output_stream(f"{folder}/.{own}.{kind}") as out:
                     out.write(data)
-                moved.append((f"{folder}/.{own}.{kind}", f"{folder}/{group or f'part-{own}'}.{kind}"))
-        return _Message(moved)
+            staged.append((own, group or f"part-{own}", list(parts)))
+        return _Message(staged)
 
     def commit(self, messages: list[_Message | None]) -> None:
+        """Every staged file gets a name of its own: the first of a value the value's, further ones, of rows that lay in
+        other partitions or runs, the same with a number. With overwrite the files from before go when the new ones are
+        there."""
+        from pyarrow import fs
+
         store, folder = open_store(self.root)
+        store.create_dir(folder, recursive=True)
+        found = store.get_file_info(fs.FileSelector(folder, recursive=True))
+        before = {f.path for f in found if f.is_file and not f.base_name.startswith(".") and f.extension in ("shp", "shx", "dbf", "prj")}
+        new, taken = set(), set() if self.overwrite else {f.rsplit(".", 1)[0] for f in before}
+        for own, name, kinds in (x for m in messages if m for x in m.staged):
+            target, n = f"{folder}/{name}", 1
+            while target in taken:
+                n += 1
+                target = f"{folder}/{name}-{n}"
+            taken.add(target)
+            if "/" in name:
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            for kind in kinds:
+                store.move(f"{folder}/.{own}.{kind}", f"{target}.{kind}")
+                new.add(f"{target}.{kind}")
         if self.overwrite:
-            from pyarrow import fs
-
-            old = store.get_file_info(fs.FileSelector(folder, recursive=False, allow_not_found=True))
-            for f in old:
-                if f.is_file and not f.base_name.startswith(".") and f.extension in ("shp", "shx", "dbf", "prj"):
-                    store.delete_file(f.path)
-        for old, new in (x for m in messages if m for x in m.names):
-            store.move(old, new)
+            for path in before - new:
+                store.delete_file(path)
 
     def abort(self, messages: list[_Message | None]) -> None:
-        store, _ = open_store(self.root)
-        for old, _ in (x for m in messages if m for x in m.names):
-            store.delete_file(old)
+        store, folder = open_store(self.root)
+        for own, _, kinds in (x for m in messages if m for x in m.staged):
+            for kind in kinds:
+                store.delete_file(f"{folder}/.{own}.{kind}")
 
 
 class ShapefileSource(DataSource):
@@ -233,9 +262,10 @@ class ShapefileSource(DataSource):
 
     Reading gives the columns of all files by name, null where a file lacks one, then file and _fid, the place in the
     file; records marked as deleted are left out. Writing makes columns as wide as their values need, and fails for a
-    text of more than 254 bytes; doubles are rounded to 3 decimals, as a result layer has them. mode("overwrite") deletes
-    the shapefiles of the folder. option("by", column) makes one file for each of its values, named by it; rows of a value
-    then have to be in one partition."""
+    text of more than 254 bytes or a column name of more than 10; doubles are rounded to 3 decimals, as a result layer
+    has them. mode("overwrite") deletes the shapefiles that were in the folder. option("by", "area,country,name") makes files
+    by the values of columns, the last the file's name, the others its folders. Rows of a value that lie in several
+    partitions give several files, numbered; split_by brings them together."""
 
     @classmethod
     def name(cls) -> str:
@@ -258,6 +288,13 @@ class ShapefileSource(DataSource):
         return _Writer(self.options["path"], schema, self.options.get("wkt"), self.options.get("by"), overwrite)
 
 
+def split_by(rows: DataFrame, path: str, by: list[str], wkt: str | None = None, mode: str = "append") -> None:
+    """One shapefile for each combination of values: layers of footprints by area, country, grid cell and name."""
+    register(rows.sparkSession)
+    out = rows.repartition(*by).write.format("shapefile").mode(mode).option("by", ",".join(by))
+    (out.option("wkt", wkt) if wkt else out).save(path)
+
+
 def register(spark: SparkSession) -> None:
     ship(spark)
     spark.dataSource.register(ShapefileSource)

@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarryline.functions import crs
@@ -26,6 +27,27 @@ def test_shapefile_round_trip(spark, tmp_path):
     assert {p.read_text() for p in (tmp_path / "out").glob("*.prj")} == {WKT}
 
 
+def test_shapefiles_by_value_keep_every_row(spark, tmp_path):
+    """However the rows lie; values as folders; long names are refused; overwriting replaces what was there."""
+    shapefile.register(spark)
+    square = [[{"x": 0.0, "y": 0.0}, {"x": 0.0, "y": 3.0}, {"x": 4.0, "y": 3.0}, {"x": 0.0, "y": 0.0}]]
+    rows = [(square, f"v{k % 3}" if k % 5 else None, "x/y" if k % 2 else "z", k) for k in range(40)]
+    df = spark.createDataFrame(rows, "geometry array<array<struct<x:double,y:double>>>, area string, name string, n long")
+    for mode in ("overwrite", "append", "overwrite"):
+        df.repartition(4).write.format("shapefile").option("by", "area,name").mode(mode).save(str(tmp_path / "out"))
+    back = spark.read.format("shapefile").load(str(tmp_path / "out"))
+    assert sorted(r.n for r in back.collect()) == list(range(40))
+    shapefile.split_by(df, str(tmp_path / "split"), ["area", "name"], WKT)
+    back = spark.read.format("shapefile").load(str(tmp_path / "split")).collect()
+    assert sorted(r.n for r in back) == list(range(40)) and {r.file[len(str(tmp_path / "split")) + 1 :] for r in back} == {f"{a}/{n}.shp" for a in ("v0", "v1", "v2", "null") for n in ("x_y", "z")}
+    df.write.format("shapefile").option("by", "area").mode("append").save(str(tmp_path / "split"))
+    assert spark.read.format("shapefile").load(str(tmp_path / "split")).count() == 80
+    for names in ("measurement_a", "measurement_b"), ("Area", "AREA"):
+        wide = df.select("geometry", *[F.col("n").alias(n) for n in names])
+        with pytest.raises(Exception, match="10 bytes|in more than case|AMBIGUOUS|COLUMN_ALREADY_EXISTS"):
+            wide.write.format("shapefile").mode("append").save(str(tmp_path / "long"))
+
+
 def test_geotiff_round_trip_and_errors(spark, tmp_path):
     rng = np.random.default_rng(0)
     image = rng.integers(0, 65535, (4, 7, 5)).astype("<u2")
