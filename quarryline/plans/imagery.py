@@ -85,15 +85,27 @@ def byte_values(spark, sf_dir):
     return A.scene_rows(spark, sf_dir).select("image_name", "data").mapInArrow(run, "image_name string, total long, most int")
 
 
-_FIT = """SELECT image, CAST((128 - h) // 2 AS INT) AS y1, CAST((128 - w) // 2 AS INT) AS x1, CAST((128 - h) // 2 + h AS INT) AS y2, CAST((128 - w) // 2 + w AS INT) AS x2, round(scale, 6) AS scale, CAST(total AS BIGINT) AS total FROM
- (SELECT *, CAST(round_even(height * scale, 0) AS INT) AS h, CAST(round_even(width * scale, 0) AS INT) AS w, height * width * 7 AS total FROM
- (SELECT image, height, width, CASE WHEN round_even(greatest(height, width) * greatest(1, 64.0::DOUBLE / least(height, width)), 0) > 128 THEN 128.0::DOUBLE / greatest(height, width) ELSE greatest(1, 64.0::DOUBLE / least(height, width)) END AS scale
- FROM (SELECT vec_id AS image, CAST(4 + vec_id % 40 AS INT) AS height, CAST(4 + vec_id % 90 AS INT) AS width FROM embeddings)))"""
+def _sampled(at: str, fy: str, fx: str) -> str:
+    """Bilinear sampling of the four values that `at` names by a row and a column of 0 or 1."""
+    v = {k: at.format(*k) for k in ((0, 0), (0, 1), (1, 0), (1, 1))}
+    return f"(({v[0, 0]}) * (1 - {fy}) + ({v[1, 0]}) * {fy}) * (1 - {fx}) + (({v[0, 1]}) * (1 - {fy}) + ({v[1, 1]}) * {fy}) * {fx}"
+
+
+# The pixel of an image of the query below, 0 outside; rows and columns count from the padded image's.
+_PIXEL = "CASE WHEN ly + {0} BETWEEN 1 AND height AND lx + {1} BETWEEN 1 AND width THEN ((ly + {0} - 1) * 31 + (lx + {1} - 1) * 17 + image) % 251 ELSE 0 END"
+_FIT = f"""WITH s AS (SELECT *, CASE WHEN round_even(greatest(height, width) * greatest(1, 64.0::DOUBLE / least(height, width)), 0) > 128 THEN 128.0::DOUBLE / greatest(height, width) ELSE greatest(1, 64.0::DOUBLE / least(height, width)) END AS scale
+ FROM (SELECT vec_id AS image, CAST(4 + vec_id % 40 AS INT) AS height, CAST(4 + vec_id % 90 AS INT) AS width FROM embeddings)),
+ n AS (SELECT *, CAST(round_even(height * scale, 0) AS INT) AS h, CAST(round_even(width * scale, 0) AS INT) AS w FROM s),
+ p AS (SELECT *, unnest(range(w)) AS j FROM (SELECT *, unnest(range(h)) AS i FROM n)), q AS (SELECT *, (i + 0.5::DOUBLE) * height / h + 0.5::DOUBLE AS ay, (j + 0.5::DOUBLE) * width / w + 0.5::DOUBLE AS ax FROM p),
+ l AS (SELECT *, CAST(floor(ay) AS BIGINT) AS ly, ay - floor(ay) AS fy, CAST(floor(ax) AS BIGINT) AS lx, ax - floor(ax) AS fx FROM q), v AS (SELECT *, CAST(floor({_sampled(_PIXEL, "fy", "fx")}) AS BIGINT) AS v FROM l)
+ SELECT image, CAST((128 - h) // 2 AS INT) AS y1, CAST((128 - w) // 2 AS INT) AS x1, CAST((128 - h) // 2 + h AS INT) AS y2, CAST((128 - w) // 2 + w AS INT) AS x2, round(scale, 6) AS scale, CAST(sum(v) AS BIGINT) AS total,
+ CAST(sum(v * ((i * 7 + j * 3) % 11)) AS BIGINT) AS texture, CAST(max(v) FILTER (i = h // 2 AND j = w // 2) AS INT) AS middle FROM v GROUP BY image, h, w, scale"""
 
 
 @query("fit_square", _FIT)
 def fit_square(spark, sf_dir):
-    """Images of many shapes brought to a square of 128 amid zeros: the window, the scale, and the sum before."""
+    """Images of many shapes brought to a square of 128 amid zeros: the window, the scale, and of the pixels there the sum,
+    a sum with weights that tell their places, and the one in the middle."""
     ship(spark)
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image"), (F.col("vec_id") % 40 + 4).cast("int").alias("height"), (F.col("vec_id") % 90 + 4).cast("int").alias("width"))
 
@@ -101,35 +113,48 @@ def fit_square(spark, sf_dir):
         for batch in batches:
             rows = []
             for image, h, w in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                before = np.full((h, w, 1), 7, np.uint8)
-                after, window, scale = images.fit_square(before, 64, 128)
-                assert after.shape == (128, 128, 1)
-                rows.append((image, *window, round(scale, 6), int(before.sum())))
-            kinds = (pa.int64(), *[pa.int32()] * 4, pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds)], names=["image", "y1", "x1", "y2", "x2", "scale", "total"])
-
-    return e.mapInArrow(run, "image long, y1 int, x1 int, y2 int, x2 int, scale double, total long")
-
-
-@query("mask_shapes", with_views(V.BOXES) + "SELECT image, box, CAST((y2 - y1) * (x2 - x1) AS BIGINT) AS pixels FROM boxes")
+                r, c = np.mgrid[:h, :w]
+                after, window, scale = images.fit_square(((r * 31 + c * 17 + image) % 251).astype(np.uint8)[:, :, None], 64, 128)
+                assert after.shape == (128, 128, 1) and after.sum() == after[window[0] : window[2], window[1] : window[3]].sum()
+                part = after[window[0] : window[2], window[1] : window[3], 0].astype(np.int64)
+                i, j = np.mgrid[: part.shape[0], : part.shape[1]]
+                rows.append((image, *window, round(scale, 6), int(part.sum()), int((part * ((i * 7 + j * 3) % 11)).sum()), int(part[part.shape[0] // 2, part.shape[1] // 2])))
+            kinds = (pa.int64(), *[pa.int32()] * 4, pa.float64(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 9, kinds)], names=["image", "y1", "x1", "y2", "x2", "scale", "total", "texture", "middle"])
+
+    return e.mapInArrow(run, "image long, y1 int, x1 int, y2 int, x2 int, scale double, total long, texture long, middle int")
+
+
+# A pixel of the mask of the query below, of the full mask in its box and of the small one made from it.
+_FULL = "CASE WHEN m{0}y + {{0}} BETWEEN 1 AND h AND m{1}x + {{1}} BETWEEN 1 AND w AND ((m{0}y + {{0}} - 1) * 5 + (m{1}x + {{1}} - 1) * 3 + box) % 7 < 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+_SMALL = {(a, b): f"CASE WHEN ly + {a} BETWEEN 1 AND 28 AND lx + {b} BETWEEN 1 AND 28 AND {_sampled(_FULL.format(a, b), f'g{a}y', f'g{b}x')} > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for a in (0, 1) for b in (0, 1)}
+_MASKS = with_views(V.BOXES) + f""", b AS (SELECT image, box, CAST(y2 - y1 AS INT) AS h, CAST(x2 - x1 AS INT) AS w FROM boxes), p AS (SELECT *, unnest(range(w)) AS j FROM (SELECT *, unnest(range(h)) AS i FROM b)),
+ q AS (SELECT *, (i + 0.5::DOUBLE) * 28 / h + 0.5::DOUBLE AS ay, (j + 0.5::DOUBLE) * 28 / w + 0.5::DOUBLE AS ax FROM p), l AS (SELECT *, CAST(floor(ay) AS BIGINT) AS ly, ay - floor(ay) AS fy, CAST(floor(ax) AS BIGINT) AS lx, ax - floor(ax) AS fx FROM q),
+ s AS (SELECT *, {", ".join(f"(l{c} + {a} - 1 + 0.5::DOUBLE) * {n} / 28 + 0.5::DOUBLE AS b{a}{c}" for c, n in (("y", "h"), ("x", "w")) for a in (0, 1))} FROM l),
+ m AS (SELECT *, {", ".join(f"CAST(floor(b{a}{c}) AS BIGINT) AS m{a}{c}, b{a}{c} - floor(b{a}{c}) AS g{a}{c}" for c in "yx" for a in (0, 1))} FROM s),
+ t AS (SELECT *, {", ".join(f"{v} AS s{a}{b}" for (a, b), v in _SMALL.items())} FROM m)
+ SELECT image, box, count(*) FILTER ({_sampled("s{0}{1}", "fy", "fx")} >= 0.5) AS pixels, CAST(coalesce(sum(i * 7 + j) FILTER ({_sampled("s{0}{1}", "fy", "fx")} >= 0.5), 0) AS BIGINT) AS places FROM t GROUP BY image, box"""
+
+
+@query("mask_shapes", _MASKS)
 def mask_shapes(spark, sf_dir):
-    """Full masks from small ones of 28 x 28, made from full ones: a mask that fills its box comes back whole."""
+    """Masks with a texture made small, 28 x 28, and full again in their boxes: how many pixels there are, and where."""
     ship(spark)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for y1, x1, y2, x2 in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+            pixels, places = [], []
+            for box, y1, x1, y2, x2 in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+                y, x = np.mgrid[: y2 - y1, : x2 - x1]
                 full = np.zeros((96, 96), bool)
-                full[y1:y2, x1:x2] = True
-                # A border of ones keeps the edge from fading into the zeros outside.
-                small = images.small_mask(full, (y1, x1, y2, x2), 28, 28)
-                small[[0, -1]] = small[:, [0, -1]] = True
-                out.append(int(images.full_mask(np.where(small, 4.0, 0.0), (y1, x1, y2, x2), 96, 96).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], names=["image", "box", "pixels"])
+                full[y1:y2, x1:x2] = (y * 5 + x * 3 + box) % 7 < 4
+                back = images.full_mask(images.small_mask(full, (y1, x1, y2, x2), 28, 28), (y1, x1, y2, x2), 96, 96)[y1:y2, x1:x2]
+                pixels.append(int(back.sum()))
+                places.append(int((y * 7 + x)[back].sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pixels, pa.int64()), pa.array(places, pa.int64())], names=["image", "box", "pixels", "places"])
 
     whole = A.boxes(spark, sf_dir).select("image", F.col("box").cast("long").alias("box"), *[F.col(c).cast("int").alias(c) for c in ("y1", "x1", "y2", "x2")])
-    return whole.mapInArrow(run, "image long, box long, pixels long").withColumn("box", F.col("box").cast("int"))
+    return whole.mapInArrow(run, "image long, box long, pixels long, places long").withColumn("box", F.col("box").cast("int"))
 
 
 @query("rasterise", with_views(V.DIAMONDS) + "SELECT fid, CAST(2 * r * r + 2 * r + 1 AS BIGINT) AS pixels FROM diamonds")
