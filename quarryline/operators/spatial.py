@@ -175,7 +175,7 @@ def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column |
 
 def segments(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
     """keys, px, py, qx, qy and the bounding box (x0, y0, x1, y1) of each edge."""
-    e = rings.filter(F.size(ring) > 2).select(*keys, F.explode(_edges(F.col(ring))).alias("e")).select(*keys, "e.*")
+    e = rings.filter(F.size(ring) > 2).select(*keys, F.explode(edges_of(F.col(ring))).alias("e")).select(*keys, "e.*")
     return e.select("*", F.least("px", "qx").alias("x0"), F.least("py", "qy").alias("y0"), F.greatest("px", "qx").alias("x1"), F.greatest("py", "qy").alias("y1"))
 
 
@@ -230,7 +230,7 @@ def points_within(rings: DataFrame, step: float) -> DataFrame:
     return grid.filter(inside(F.col("ring"), F.col("gx"), F.col("gy"))).select("image", "gx", "gy")
 
 
-def _edges(ring: Column) -> Column:
+def edges_of(ring: Column) -> Column:
     after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
     return F.zip_with(ring, after, lambda p, q: F.struct(p["x"].alias("px"), p["y"].alias("py"), q["x"].alias("qx"), q["y"].alias("qy")))
 
@@ -253,7 +253,7 @@ def _meet(e: Column, f: Column) -> Column:
 
 def intersects(a: Column, b: Column) -> Column:
     """Whether two rings have a point in common, on their lines or inside."""
-    lines = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: _meet(e, f)))
+    lines = F.exists(edges_of(a), lambda e: F.exists(edges_of(b), lambda f: _meet(e, f)))
     return lines | inside(a, b[0]["x"], b[0]["y"]) | inside(b, a[0]["x"], a[0]["y"])
 
 
@@ -268,7 +268,7 @@ def inside(ring: Column, x: Column, y: Column) -> Column:
 
 
 def _within(ring: Column, x: Column, y: Column, line: bool) -> Column:
-    edges = _edges(ring)
+    edges = edges_of(ring)
 
     def cross(e):
         return (e["qx"] - e["px"]) * (y - e["py"]) - (e["qy"] - e["py"]) * (x - e["px"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..functions import geometry, images
-from ..operators import inference, scenes, spatial
+from ..operators import inference, overlay, scenes, spatial
 from ..session import ship, table
 from ..sources import adapters as A
 from . import flow
@@ -203,6 +203,31 @@ def ring_text(spark, sf_dir):
     return A.diamonds(spark, sf_dir).select("fid", geometry.wkt(F.col("ring")).alias("wkt"), geometry.is_simple(F.col("ring")).alias("simple"))
 
 
+# Repair and union.
+@query("repair_rings", """SELECT p_partkey AS fid, CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END AS rings, round(CASE p_partkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 4 ELSE 7 END * r * r, 3) + 0.0 AS area,
+ round(CASE p_partkey % 3 WHEN 0 THEN 4 + 4 * sqrt(2) WHEN 1 THEN 8 ELSE 12 END * r, 3) + 0.0 AS perimeter FROM (SELECT *, CAST(p_size % 6 + 1 AS DOUBLE) AS r FROM part)""")
+def repair_rings(spark, sf_dir):
+    """Rings that cross themselves as valid ones: how many, their area and perimeter, against what their shapes have."""
+    fixed = overlay.repaired(A.tangles(spark, sf_dir), ["fid"]).withColumn("p", overlay.perimeter(F.col("ring")))
+    return fixed.groupBy("fid").agg(F.count(F.lit(1)).cast("int").alias("rings"), (F.round(F.sum("area"), 3) + 0.0).alias("area"), (F.round(F.sum("p"), 3) + 0.0).alias("perimeter"))
+
+
+def _strips(x: str, y: str) -> str:
+    """Strips between the ends of the rectangles of a layer along x: in each, the intervals along y that are covered."""
+    return f"""l{x} AS (SELECT layer, lo, lead(lo) OVER (PARTITION BY layer ORDER BY lo) AS hi FROM (SELECT layer, {x}0 AS lo FROM layers UNION SELECT layer, {x}1 FROM layers)),
+ a{x} AS (SELECT l.layer, l.lo, l.hi, r.{y}0 AS y0, r.{y}1 AS y1, max(r.{y}1) OVER (PARTITION BY l.layer, l.lo ORDER BY r.{y}0, r.{y}1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM l{x} l JOIN layers r ON l.layer = r.layer AND r.{x}0 <= l.lo AND r.{x}1 >= l.hi WHERE l.hi > l.lo),
+ s{x} AS (SELECT layer, sum((hi - lo) * greatest(y1 - greatest(coalesce(before, y0), y0), 0)) AS area, sum(CASE WHEN before IS NULL OR before < y0 THEN 2 * (hi - lo) ELSE 0 END) AS along FROM a{x} GROUP BY layer)"""
+
+
+@query("dissolve_union", with_views(V.LAYERS, _strips("x", "y"), _strips("y", "x")) + "SELECT layer, round(sx.area, 3) + 0.0 AS area, round(sx.along + sy.along, 3) + 0.0 AS perimeter FROM sx JOIN sy USING (layer)")
+def dissolve_union(spark, sf_dir):
+    """The union of the rectangles of each layer as rings: area and perimeter."""
+    at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    shapes = A.clean_layers(spark, sf_dir).select("layer", "fid", F.array(at("x0", "y0"), at("x1", "y0"), at("x1", "y1"), at("x0", "y1")).alias("ring"))
+    rings = overlay.dissolved(shapes, ["fid"], ["layer"]).withColumn("p", overlay.perimeter(F.col("ring")))
+    return rings.groupBy("layer").agg((F.round(F.sum("area"), 3) + 0.0).alias("area"), (F.round(F.sum("p"), 3) + 0.0).alias("perimeter"))
+
+
 # Result layers.
 _LAYER = """names AS (SELECT image, split_part(split_part(path, '/', -1), '.tif', 1) AS image_name FROM scenes)"""
 

@@ -82,6 +82,17 @@ def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(p.alias("fid"), F.array(at(x - r, y), at(x, y + r), at(x + r, y), at(x, y - r)).alias("ring"))
 
 
+def tangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fid, kind, ring: for each part a ring that crosses itself: a bow-tie, a square that is run through twice, or two
+    squares that overlap, joined by a way there and back."""
+    p = F.col("p_partkey")
+    x, y, r = (p * 37 % 480).cast("double"), (p * 91 % 1400).cast("double"), (F.col("p_size") % 6 + 1).cast("double")
+    at = lambda *steps: F.array(*[F.struct((x + a * r).alias("x"), (y + b * r).alias("y")) for a, b in steps])
+    square = ((0, 0), (2, 0), (2, 2), (0, 2))
+    ring = F.when(p % 3 == 0, at((-1, -1), (1, 1), (1, -1), (-1, 1))).when(p % 3 == 1, at(*square, *square)).otherwise(at(*square, (0, 0), *((a + 1, b + 1) for a, b in square), (1, 1)))
+    return table(spark, sf_dir, "part").select(p.alias("fid"), (p % 3).cast("int").alias("kind"), ring.alias("ring"))
+
+
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image, idx, id_i, id_j, x, y: detections with the tile they come from."""
     minute = F.hour("ts") * 60 + F.minute("ts")
