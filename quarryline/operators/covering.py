@@ -65,11 +65,12 @@ class Cells:
         self.inner, self.corner, self.starts, self.edges = inner, corner, starts, edges
 
 
-def cover(rings: list[np.ndarray], limit: int = EDGES, depth: int = DEPTH) -> Iterator[Cells]:
-    """The coverings of rings, all together, a step of levels each."""
-    size = np.array([len(r) for r in rings])
+def cover(rings: list[np.ndarray], limit: int = EDGES, depth: int = DEPTH, polygon: np.ndarray | None = None) -> Iterator[Cells]:
+    """The coverings of rings, all together, a step of levels each. With `polygon`, ascending numbers from 0, the rings of
+    a number are one polygon: what an odd number of them holds."""
     edges = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
-    owner = np.repeat(np.arange(len(rings)), size)
+    owner = np.repeat(np.arange(len(rings)) if polygon is None else polygon, [len(r) for r in rings])
+    size = np.bincount(owner)
     first_of = np.cumsum(size) - size
     low, high = np.minimum.reduceat(edges[:, :2], first_of), np.maximum.reduceat(edges[:, :2], first_of)
     top = np.ceil(np.log2(np.maximum((high - low).max(axis=1), 1e-9) / SIZE)).astype(np.int64)
@@ -117,7 +118,8 @@ def cover(rings: list[np.ndarray], limit: int = EDGES, depth: int = DEPTH) -> It
 
 
 def cells(polygons: DataFrame, keys: tuple[str, ...] = (), ring: str = "ring") -> DataFrame:
-    """keys, level, cx, cy, inner, corner, edges: the covering of each ring of three points or more."""
+    """keys, level, cx, cy, inner, corner, edges: the covering of each ring of three points or more, or of each polygon
+    where the column holds arrays of rings."""
     ship(polygons.sparkSession)
     kinds = dict(polygons.dtypes)
     schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], f"level int, cx long, cy long, inner boolean, corner boolean, edges array<{EDGE}>"])
@@ -126,16 +128,19 @@ def cells(polygons: DataFrame, keys: tuple[str, ...] = (), ring: str = "ring") -
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = batch.column(len(keys))
-            flat = np.column_stack([c.to_numpy(zero_copy_only=False) for c in points.flatten().flatten()])
-            for c in cover(np.split(flat, np.cumsum(pa.compute.list_value_length(points).to_numpy())[:-1])):
+            lists = batch.column(len(keys))
+            rings = lists.flatten()
+            flat = np.column_stack([c.to_numpy(zero_copy_only=False) for c in rings.flatten().flatten()])
+            split = np.split(flat, np.cumsum(pa.compute.list_value_length(rings).to_numpy())[:-1])
+            for c in cover(split, polygon=np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())):
                 held = pa.StructArray.from_arrays([pa.array(v) for v in c.edges.T], names=["px", "py", "qx", "qy"])
                 columns = [batch.column(i).take(pa.array(c.ring)) for i in range(len(keys))]
                 columns += [pa.array(c.level.astype(np.int32)), pa.array(c.cx), pa.array(c.cy), pa.array(c.inner), pa.array(c.corner), pa.ListArray.from_arrays(pa.array(c.starts.astype(np.int32)), held)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keys, "level", "cx", "cy", "inner", "corner", "edges"])
 
-    flat = F.transform(ring, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
-    return polygons.filter(F.size(ring) > 2).select(*keys, flat.alias("ring")).mapInArrow(run, schema)
+    own = F.col(ring) if kinds[ring].startswith("array<array") else F.array(ring)
+    flat = F.transform(F.filter(own, lambda r: F.size(r) > 2), lambda r: F.transform(r, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"))))
+    return polygons.filter(F.col(ring).isNotNull()).select(*keys, flat.alias("rings")).filter(F.size("rings") > 0).mapInArrow(run, schema)
 
 
 def _cell(v: Column, side: float) -> Column:

@@ -99,20 +99,22 @@ def windows_of(scenes: DataFrame, side: int = SIDE, step: int | None = None, bef
                 name, dtype, n, height, width, gt, data = (batch.column(i)[k] for i in range(7))
                 if not data.is_valid:
                     continue
+                prj = batch.column(7)[k].as_py()
                 name, n, height, width, gt = (v.as_py() for v in (name, n, height, width, gt))
                 scene = np.frombuffer(data.as_buffer(), np.dtype(dtype.as_py())).reshape(n, height, width)
                 high, wide = geotiff.window_sides(height, width, False, side, step)
                 for y, x in geotiff.window_places(height, width, high, wide):
                     h, w, top, left = min(high, height - y), min(wide, width - x), min(before, y), min(before, x)
                     own = scene[:, y - top : y + h + after, x - left : x + w + after]
-                    yield _batch(geotiff.WINDOW, (None, name, y, x, h, w, top, left, *own.shape[1:], height, width, n, gt, None, dtype.as_py(), own.tobytes(), None))
+                    yield _batch(geotiff.WINDOW, (None, name, y, x, h, w, top, left, *own.shape[1:], height, width, n, gt, None, prj, dtype.as_py(), own.tobytes(), None))
 
-    return scenes.select(*COLUMNS).mapInArrow(run, geotiff.WINDOW)
+    prj = F.col("prj") if "prj" in scenes.columns else F.lit(None).cast("string").alias("prj")
+    return scenes.select(*COLUMNS, prj).mapInArrow(run, geotiff.WINDOW)
 
 
-def beside(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+def beside(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """rows with the columns of a side table, which is broadcast while it is small, so that pixels stay where they are."""
-    return rows.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, keys)
+    return rows.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, keys, how)
 
 
 # The land mask, a window at a time.
@@ -166,7 +168,7 @@ def _land_of(p: Part, threshold: float, nir: int) -> np.ndarray:
     return blur(raster.disk_median(images.to_byte(p.data[nir]), RADIUS)) > threshold
 
 
-MASK = "image_name string, y int, x int, h int, w int, height int, width int, gt array<double>, mask binary"
+MASK = "image_name string, y int, x int, h int, w int, height int, width int, gt array<double>, prj string, mask binary"
 
 
 def masks(windows: DataFrame, nir: int = NIR) -> DataFrame:
@@ -174,7 +176,7 @@ def masks(windows: DataFrame, nir: int = NIR) -> DataFrame:
 
     def mask(p: Part, threshold: float) -> Iterator[tuple]:
         own = p.within(_land_of(p, threshold, nir), 0)
-        yield p.image_name, p.y, p.x, p.h, p.w, p.height, p.width, p.gt, np.packbits(own, axis=1).tobytes()
+        yield p.image_name, p.y, p.x, p.h, p.w, p.height, p.width, p.gt, p.prj, np.packbits(own, axis=1).tobytes()
 
     return _each(beside(windows, checkpointed(thresholds(windows, nir)), ["image_name"]), MASK, mask, nir + 1, ("threshold",))
 

@@ -168,9 +168,11 @@ def clear_of(boxes: DataFrame, rectangles: DataFrame, keys: list[str], size: flo
 
 
 def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None) -> DataFrame:
-    """Points in none of the polygons (`ring`, an array of x, y); the line counts as inside. With a boundary, a ring of
-    its own, only what is inside it removes a point. Points meet the cells of the polygons' coverings."""
-    return covering.meeting(points, checkpointed(covering.cells(polygons)), "left_anti", None if boundary is None else covers(boundary, points.x, points.y))
+    """Points in none of the polygons (`ring`, an array of x, y, or `geometry`, an array of rings, of which those in others
+    are holes); the line counts as inside. With a boundary, a ring of its own, only what is inside it removes a point.
+    Points meet the cells of the polygons' coverings."""
+    column = "geometry" if "geometry" in polygons.columns else "ring"
+    return covering.meeting(points, checkpointed(covering.cells(polygons, ring=column)), "left_anti", None if boundary is None else covers(boundary, points.x, points.y))
 
 
 def segments(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import inference, scenes, spatial
+from ..functions import crs
+from ..operators import inference, overlay, scenes, spatial
 from ..operators.dataflow import CROP, OVERLAP
 from ..session import ship
 from ..sources import shapefile
@@ -51,17 +52,34 @@ def layer(found: DataFrame) -> DataFrame:
     return attributes(kept.select("*", "sides.length", "sides.width").drop("sides"))
 
 
+def cleaning(layers: DataFrame, target: str | None = None) -> DataFrame:
+    """The polygons of cleaning layers (rows of the shapefile source) as `run` takes them: in the scenes' system, and each
+    feature repaired, holes and all."""
+    rows = layers if target is None else crs.aligned(layers, target, "geometry")
+    rings = rows.select("file", "_fid", F.explode("geometry").alias("ring"))
+    return overlay.boundaries(rings, ["file", "_fid"]).groupBy("file", "_fid").agg(F.collect_list("ring").alias("geometry"))
+
+
+def projections(found: DataFrame) -> DataFrame:
+    """image_name and prj of each scene of windows or whole scenes."""
+    return found.filter("prj is not null").groupBy("image_name").agg(F.min("prj").alias("prj"))
+
+
 def run(found: DataFrame, make: Callable[[], object], clean: DataFrame | None = None, crop: int = CROP, overlap: float = OVERLAP, water: bool = True) -> DataFrame:
-    """The cleaned result layer of scenes (rows of sources.geotiff.read); clean has the polygons of false positives."""
+    """The cleaned result layer of scenes (rows of sources.geotiff.read, or its windows); clean has the polygons of false
+    positives, as `cleaning` gives them or one ring each."""
     ship(found.sparkSession)
     out = layer(detections(scenes.tiles(found, crop, overlap, water), make))
     return out if clean is None else spatial.outside_polygons(out, clean)
 
 
-def save(rows: DataFrame, root: str, run: str, wkt: str | None = None) -> str:
-    """One shapefile for each scene in a folder of the run."""
+def save(rows: DataFrame, root: str, run: str, wkt: str | None = None, found: DataFrame | None = None) -> str:
+    """One shapefile for each scene in a folder of the run, with the text wkt or else the system of its own scene in `found`
+    as its .prj."""
     path = f"{root}/{run}"
     fields = ["Class", *[c for c, _, _ in NAME], *[n for n, _ in NUMBERS]]
     named = rows.select(F.array("ring").alias("geometry"), "image_name", *fields)
+    if wkt is None and found is not None:
+        named = scenes.beside(named, projections(found), ["image_name"], "left")
     shapefile.split_by(named, path, ["image_name"], wkt)
     return path

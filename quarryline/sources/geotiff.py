@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from ..functions import crs
 from ..session import ship
 from .shapefile import open_store
 
@@ -24,9 +25,9 @@ _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 11: 4, 12: 8, 16: 8}
 _CODE = {1: "B", 3: "H", 4: "I", 11: "f", 12: "d", 16: "Q"}
 WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS, COUNTS, PLANAR, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 284, 339
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
-SCALE, TIEPOINT, MATRIX, ASCII = 33550, 33922, 34264, 34737
+SCALE, TIEPOINT, MATRIX, KEYS, NUMBERS, ASCII = 33550, 33922, 34264, 34735, 34736, 34737
 
-SCHEMA = "path string, image_name string, height int, width int, bands int, gt array<double>, citation string, dtype string, data binary, error string"
+SCHEMA = "path string, image_name string, height int, width int, bands int, gt array<double>, citation string, prj string, dtype string, data binary, error string"
 
 
 def _lzw(data: bytes) -> bytes:
@@ -128,6 +129,14 @@ class Raster:
         text = self.values(ASCII)
         return text.split(b"\0")[0].decode("latin-1").rstrip("|") if text else None
 
+    @property
+    def prj(self) -> str | None:
+        """The text of the coordinate system, of the keys, or of a citation that is one."""
+        found = crs.from_keys(self.values(KEYS), self.values(NUMBERS))
+        if found is None and (self.citation or "").startswith(("PROJCS[", "GEOGCS[")) and "SPHEROID" in self.citation:
+            found = crs.parse(self.citation)
+        return crs.text(found) if found else None
+
     def _rows(self, at: int, size: int, line: int, first: int, stop: int, rows: int) -> bytes:
         """The rows first to stop, of `line` bytes each, of a strip or tile."""
         if self.pack == 1:
@@ -192,9 +201,12 @@ def decode(raw: bytes, window: tuple[int, int, int, int] | None = None) -> tuple
     return image.window(*(window or (0, 0, image.height, image.width))), image.gt, image.citation
 
 
-def _place(gt: list[float] | None, citation: str | None) -> list[tuple]:
-    """The tags of a geotransform and a citation."""
+def _place(gt: list[float] | None, citation: str | None, prj: str | None = None) -> list[tuple]:
+    """The tags of a geotransform, a citation and a coordinate system."""
     tags = []
+    if prj:
+        keys, numbers = crs.to_keys(crs.parse(prj))
+        tags += [(KEYS, 3, keys)] + ([(NUMBERS, 12, numbers)] if numbers else [])
     if gt and (gt[2] or gt[4]):
         tags.append((MATRIX, 12, [gt[1], gt[2], 0.0, gt[0], gt[4], gt[5], 0.0, gt[3], *[0.0] * 7, 1.0]))
     elif gt:
@@ -216,21 +228,21 @@ def _directory(tags: list[tuple], at: int) -> bytes:
     return body + struct.pack("<I", 0) + extra
 
 
-def encode(image: np.ndarray, gt: list[float] | None = None, citation: str | None = None, one_bit: bool = False) -> bytes:
+def encode(image: np.ndarray, gt: list[float] | None = None, citation: str | None = None, one_bit: bool = False, prj: str | None = None) -> bytes:
     """A little-endian TIFF of one strip; with one_bit a mask of one bit a pixel."""
     bands, h, w = image.shape
     data = np.packbits(image[0] > 0, axis=1).tobytes() if one_bit else np.ascontiguousarray(image.transpose(1, 2, 0)).tobytes()
     bits = 1 if one_bit else image.dtype.itemsize * 8
     tags = [(WIDTH, 4, [w]), (HEIGHT, 4, [h]), (BITS, 3, [bits] * bands), (COMPRESSION, 3, [1]), (262, 3, [1]), (OFFSETS, 4, [8]), (SAMPLES, 3, [bands]), (ROWS, 4, [h]), (COUNTS, 4, [len(data)]), (PLANAR, 3, [1]), (FORMAT, 3, [{"u": 1, "i": 2, "f": 3}.get(image.dtype.kind, 1)] * bands)]
     at = 8 + len(data) + len(data) % 2
-    return struct.pack("<2sHI", b"II", 42, at) + data + b"\0" * (len(data) % 2) + _directory(tags + _place(gt, citation), at)
+    return struct.pack("<2sHI", b"II", 42, at) + data + b"\0" * (len(data) % 2) + _directory(tags + _place(gt, citation, prj), at)
 
 
-def encode_mask(height: int, width: int, tiles: list[bytes], side: int, gt: list[float] | None, citation: str | None) -> Iterator[bytes]:
+def encode_mask(height: int, width: int, tiles: list[bytes], side: int, gt: list[float] | None, citation: str | None, prj: str | None = None) -> Iterator[bytes]:
     """A TIFF of one bit a pixel in deflated tiles: the directory first, then the tiles in their order."""
     sizes = [len(t) for t in tiles]
     tags = [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (BITS, 3, [1]), (COMPRESSION, 3, [8]), (262, 3, [1]), (SAMPLES, 3, [1]), (PLANAR, 3, [1]), (TILE_WIDTH, 4, [side]), (TILE_HEIGHT, 4, [side]), (TILE_COUNTS, 4, sizes)]
-    tags += _place(gt, citation)
+    tags += _place(gt, citation, prj)
     at = 8 + len(_directory([*tags, (TILE_OFFSETS, 4, sizes)], 8))
     offsets = [at + before for before in itertools.accumulate(sizes, initial=0)][:-1]
     yield struct.pack("<2sHI", b"II", 42, 8) + _directory([*tags, (TILE_OFFSETS, 4, offsets)], 8)
@@ -248,10 +260,11 @@ def read(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
             rows = []
             for p, n, raw in zip(frame["path"], frame["image_name"], frame["content"]):
                 try:
-                    image, gt, citation = decode(raw)
-                    rows.append((p, n, image.shape[1], image.shape[2], image.shape[0], gt, citation, image.dtype.str, image.tobytes(), None))
+                    own = Raster(lambda at, n, raw=raw: raw[at : at + n])
+                    image = own.window(0, 0, own.height, own.width)
+                    rows.append((p, n, image.shape[1], image.shape[2], image.shape[0], own.gt, own.citation, own.prj, image.dtype.str, image.tobytes(), None))
                 except (ValueError, KeyError, IndexError, struct.error, zlib.error) as error:
-                    rows.append((p, n, None, None, None, None, None, None, None, str(error)))
+                    rows.append((p, n, *[None] * 8, str(error)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return found.select("path", name.alias("image_name"), "content").mapInPandas(run, SCHEMA)
@@ -267,7 +280,7 @@ def pixels(row) -> np.ndarray:
 #: columns before it to as far behind it as asked for and as the scene goes.
 WINDOW = (
     "path string, image_name string, y int, x int, h int, w int, top int, left int, rows int, cols int, height int, width int, bands int, "
-    "gt array<double>, citation string, dtype string, data binary, error string"
+    "gt array<double>, citation string, prj string, dtype string, data binary, error string"
 )
 #: Windows of a partition at most.
 GROUP = 8
@@ -322,11 +335,11 @@ class _WindowReader(DataSourceReader):
 
     def read(self, partition: _Windows) -> Iterator[pa.RecordBatch]:
         name = partition.path.rsplit("/", 1)[-1].split(".tif")[0]
-        kinds = [pa.string(), pa.string(), *[pa.int32()] * 11, pa.list_(pa.float64()), pa.string(), pa.string(), pa.binary(), pa.string()]
+        kinds = [pa.string(), pa.string(), *[pa.int32()] * 11, pa.list_(pa.float64()), *[pa.string()] * 3, pa.binary(), pa.string()]
         names = [c.split()[0] for c in WINDOW.split(", ")]
         batch = lambda row: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
         if partition.error:
-            yield batch((partition.path, name, *[None] * 15, partition.error))
+            yield batch((partition.path, name, *[None] * 16, partition.error))
             return
         store, _ = open_store(self.root)
         with store.open_input_file(partition.path) as f:
@@ -337,9 +350,9 @@ class _WindowReader(DataSourceReader):
                 try:
                     data = image.window(y - top, x - left, y + h + self.after, x + w + self.after, self.bands)
                 except (ValueError, IndexError, struct.error, zlib.error) as error:
-                    yield batch((partition.path, name, y, x, h, w, *[None] * 11, str(error) or type(error).__name__))
+                    yield batch((partition.path, name, y, x, h, w, *[None] * 12, str(error) or type(error).__name__))
                     continue
-                yield batch((partition.path, name, y, x, h, w, top, left, *data.shape[1:], image.height, image.width, len(data), image.gt, image.citation, data.dtype.str, data.tobytes(), None))
+                yield batch((partition.path, name, y, x, h, w, top, left, *data.shape[1:], image.height, image.width, len(data), image.gt, image.citation, image.prj, data.dtype.str, data.tobytes(), None))
 
 
 class GeotiffWindows(DataSource):
@@ -406,7 +419,7 @@ class _MaskWriter(DataSourceWriter):
                 raise ValueError(f"{name}: {len(places) - len(found)} of {len(places)} tiles are missing")
             moves.append((f"{folder}/.{uuid.uuid4().hex}.tif", target))
             with store.open_output_stream(moves[-1][0]) as out:
-                for data in encode_mask(last["height"], last["width"], [found[p] for p in places], self.side, last["gt"], self.citation):
+                for data in encode_mask(last["height"], last["width"], [found[p] for p in places], self.side, last["gt"], self.citation, last["prj"]):
                     out.write(data)
         return _Moves(moves)
 
@@ -434,7 +447,7 @@ class _MaskWriter(DataSourceWriter):
 
 class MaskSink(DataSource):
     """A file for each scene, of one bit a pixel in deflated tiles with the scene's geotransform, from windows of masks
-    (image_name, y, x, h, w, height, width, gt, mask). The windows of a scene have to be in one partition, one after the
+    (image_name, y, x, h, w, height, width, gt, prj, mask). The windows of a scene have to be in one partition, one after the
     other; save_masks sees to it. Tiles that no window has are an error."""
 
     @classmethod
@@ -448,7 +461,7 @@ class MaskSink(DataSource):
 def save_masks(masks: DataFrame, path: str, citation: str | None = None, tile: int = MASK_TILE, mode: str = "append") -> None:
     """One mask file for each scene; a task holds the bits of one scene, deflated."""
     register(masks.sparkSession)
-    out = masks.select("image_name", "y", "x", "h", "w", "height", "width", "gt", "mask").repartition("image_name").sortWithinPartitions("image_name", "y", "x")
+    out = masks.select("image_name", "y", "x", "h", "w", "height", "width", "gt", "prj", "mask").repartition("image_name").sortWithinPartitions("image_name", "y", "x")
     out = out.write.format("geotiff_masks").mode(mode).option("tile", tile)
     (out.option("citation", citation) if citation else out).save(path)
 

@@ -25,7 +25,7 @@ POLYGON = 5
 
 
 #: Columns of a read table that no file has.
-OWN = ("geometry", "file", "_fid")
+OWN = ("geometry", "prj", "file", "_fid")
 
 
 def open_store(path: str):
@@ -105,11 +105,19 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File) -> Iterator[tuple]:
         store, _ = open_store(self.root)
         table = _bytes(store, partition.path[:-4] + ".dbf")
-        own = [c[0] for c in fields_of(table)]
+        own, prj = [c[0] for c in fields_of(table)], projection(store, partition.path)
         for fid, (rings, values) in enumerate(zip(rings_of(_bytes(store, partition.path)), records_of(table))):
             if values is not None:
                 named = dict(zip(own, values))
-                yield ([[Row(x=x, y=y) for x, y in ring] for ring in rings], *[named.get(n) for n in self.names], partition.path, fid)
+                yield ([[Row(x=x, y=y) for x, y in ring] for ring in rings], *[named.get(n) for n in self.names], prj, partition.path, fid)
+
+
+def projection(store, path: str) -> str | None:
+    """The text of the .prj file beside a .shp file."""
+    from pyarrow import fs
+
+    beside = path[:-4] + ".prj"
+    return _bytes(store, beside).decode("utf-8", "replace").strip() if store.get_file_info(beside).type == fs.FileType.File else None
 
 
 def files(root: str, folder: str = "") -> list[str]:
@@ -208,15 +216,22 @@ class _Writer(DataSourceWriter):
     def write(self, rows: Iterator[Row]) -> _Message:
         fields = [f for f in self.schema if f.name not in OWN]
         groups: dict[str, list] = {}
+        texts: dict[str, set[str]] = {}
         for r in rows:
-            groups.setdefault(file_name([r[c] for c in self.by]) if self.by else "", []).append((r["geometry"], [r[f.name] for f in fields]))
+            own = file_name([r[c] for c in self.by]) if self.by else ""
+            groups.setdefault(own, []).append((r["geometry"], [r[f.name] for f in fields]))
+            if "prj" in self.schema.fieldNames() and r["prj"]:
+                texts.setdefault(own, set()).add(r["prj"])
         store, folder = open_store(self.root)
         store.create_dir(folder, recursive=True)
         staged = []
         for group, found in groups.items():
             parts = encode(found, [_column(f, [v[k] for _, v in found]) for k, f in enumerate(fields)])
-            if self.wkt:
-                parts["prj"] = self.wkt.encode()
+            if len(texts.get(group, ())) > 1:
+                raise ValueError(f"rows of {group or 'a file'} have several coordinate systems; align them, or write them apart")
+            wkt = self.wkt or next(iter(texts.get(group, ())), None)
+            if wkt:
+                parts["prj"] = wkt.encode()
             own = uuid.uuid4().hex
             for kind, data in parts.items():
                 with store.open_output_stream(f"{folder}/.{own}.{kind}") as out:
@@ -260,10 +275,11 @@ class _Writer(DataSourceWriter):
 class ShapefileSource(DataSource):
     """spark.read.format("shapefile").load(path); df.write.format("shapefile").option("wkt", ...).save(path).
 
-    Reading gives the columns of all files by name, null where a file lacks one, then file and _fid, the place in the
+    Reading gives the columns of all files by name, null where a file lacks one, then prj, the text of the coordinate
+    system (null without one), file and _fid, the place in the
     file; records marked as deleted are left out. Writing makes columns as wide as their values need, and fails for a
     text of more than 254 bytes or a column name of more than 10; doubles are rounded to 3 decimals, as a result layer
-    has them. mode("overwrite") deletes the shapefiles that were in the folder. option("by", "area,country,name") makes files
+    has them. The .prj file has the option wkt, or else the text in a column prj. mode("overwrite") deletes the shapefiles that were in the folder. option("by", "area,country,name") makes files
     by the values of columns, the last the file's name, the others its folders. Rows of a value that lie in several
     partitions give several files, numbered; split_by brings them together."""
 
@@ -279,7 +295,7 @@ class ShapefileSource(DataSource):
             for n, k, _, d in fields_of(_head(store, path[:-4] + ".dbf")):
                 kinds[n] = max(kinds.get(n, 0), 2 if k not in "NF" else 1 if d else 0)
         types = (LongType(), DoubleType(), StringType())
-        return StructType([StructField("geometry", GEOMETRY), *[StructField(n, types[k]) for n, k in kinds.items()], StructField("file", StringType()), StructField("_fid", LongType())])
+        return StructType([StructField("geometry", GEOMETRY), *[StructField(n, types[k]) for n, k in kinds.items()], *[StructField(n, StringType()) for n in OWN[1:3]], StructField("_fid", LongType())])
 
     def reader(self, schema: StructType) -> _Reader:
         return _Reader(self.options["path"], [f.name for f in schema if f.name not in OWN])
