@@ -7,6 +7,7 @@ is a row for each pixel.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -40,11 +41,22 @@ def names_of(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _batch(schema: str, row: Iterable) -> pa.RecordBatch:
-    """One row as a batch."""
-    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64())}
-    columns = [c.split() for c in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([v], kinds[t]) for v, (_, t) in zip(row, columns)], names=[c for c, _ in columns])
+#: Bytes of rows that leave together.
+TOGETHER = 4 << 20
+_KINDS = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64()), "array<long>": pa.list_(pa.int64())}
+
+
+def _batches(schema: str, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of a few MB at most, or of one row."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    held, size = [], 0
+    for row in itertools.chain(rows, [None]):
+        if row is not None:
+            held.append(row)
+            size += 200 + sum(len(v) for v in row if isinstance(v, bytes))
+        if held and (row is None or size >= TOGETHER):
+            yield pa.RecordBatch.from_arrays([pa.array(c, _KINDS[t]) for c, t in zip(zip(*held), kinds)], names=list(names))
+            held, size = [], 0
 
 
 def land(scene: np.ndarray, nir: int = NIR, radius: int = RADIUS, sigma: float = SIGMA) -> np.ndarray:
@@ -78,13 +90,15 @@ class Part:
 def _each(windows: DataFrame, schema: str, f: Callable[[Part], Iterator[tuple]], need: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """f's rows for each window that could be read and has the bands that are needed; f also gets extra columns."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for k in range(batch.num_rows):
                 part = Part(batch, k)
                 if part.data is not None and part.bands >= need:
-                    for row in f(part, *(batch.column(c)[k].as_py() for c in extra)):
-                        yield _batch(schema, row)
+                    yield from f(part, *(batch.column(c)[k].as_py() for c in extra))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(schema, rows(batches))
 
     return windows.select(*names_of(geotiff.WINDOW), *extra).mapInArrow(run, schema)
 
@@ -93,7 +107,7 @@ def windows_of(scenes: DataFrame, side: int = SIDE, step: int | None = None, bef
     """Windows of scenes that are whole rows (COLUMNS); a scene without data gives none."""
     step = step or side
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for k in range(batch.num_rows):
                 name, dtype, n, height, width, gt, data = (batch.column(i)[k] for i in range(7))
@@ -106,7 +120,10 @@ def windows_of(scenes: DataFrame, side: int = SIDE, step: int | None = None, bef
                 for y, x in geotiff.window_places(height, width, high, wide):
                     h, w, top, left = min(high, height - y), min(wide, width - x), min(before, y), min(before, x)
                     own = scene[:, y - top : y + h + after, x - left : x + w + after]
-                    yield _batch(geotiff.WINDOW, (None, name, y, x, h, w, top, left, *own.shape[1:], height, width, n, gt, None, prj, dtype.as_py(), own.tobytes(), None))
+                    yield (None, name, y, x, h, w, top, left, *own.shape[1:], height, width, n, gt, None, prj, dtype.as_py(), own.tobytes(), None)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batches(geotiff.WINDOW, rows(batches))
 
     prj = F.col("prj") if "prj" in scenes.columns else F.lit(None).cast("string").alias("prj")
     return scenes.select(*COLUMNS, prj).mapInArrow(run, geotiff.WINDOW)
@@ -137,18 +154,18 @@ def thresholds(windows: DataFrame, nir: int = NIR) -> DataFrame:
         own = np.frombuffer(batch.column("data")[k].as_buffer(), np.uint8).reshape(rows, cols)
         return blur(own)[top : top + h, left : left + w]
 
-    def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for k in range(batch.num_rows):
                 own = blurred(batch, k)
-                yield _batch("image_name string, lo double, hi double", (batch.column("image_name")[k].as_py(), own.min(), own.max()))
+                yield batch.column("image_name")[k].as_py(), own.min(), own.max()
 
-    def bins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bins(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for k in range(batch.num_rows):
                 lo, hi = batch.column("lo")[k].as_py(), batch.column("hi")[k].as_py()
                 n = np.histogram(blurred(batch, k), BINS, (lo, hi))[0] if lo < hi else np.zeros(BINS, np.int64)
-                yield _batch("image_name string, counts array<long>", (batch.column("image_name")[k].as_py(), n.tolist()))
+                yield batch.column("image_name")[k].as_py(), n.tolist()
 
     def split(table: pa.Table) -> pa.Table:
         n = np.zeros(BINS, np.int64)
@@ -156,9 +173,10 @@ def thresholds(windows: DataFrame, nir: int = NIR) -> DataFrame:
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         return pa.table({"image_name": table.column("image_name").slice(0, 1), "threshold": pa.array([images.otsu_of(n, lo, hi)])})
 
-    range_ = smoothed.mapInArrow(ends, "image_name string, lo double, hi double").groupBy("image_name").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    range_kind, bins_kind = "image_name string, lo double, hi double", "image_name string, counts array<long>"
+    range_ = smoothed.mapInArrow(lambda b: _batches(range_kind, ends(b)), range_kind).groupBy("image_name").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     range_ = checkpointed(range_)
-    counted = beside(smoothed, range_, ["image_name"]).mapInArrow(bins, "image_name string, counts array<long>")
+    counted = beside(smoothed, range_, ["image_name"]).mapInArrow(lambda b: _batches(bins_kind, bins(b)), bins_kind)
     counted = counted.select("image_name", F.posexplode("counts").alias("bin", "n")).groupBy("image_name", "bin").agg(F.sum("n").alias("n"))
     return counted.join(range_, "image_name").groupBy("image_name").applyInArrow(split, "image_name string, threshold double")
 
