@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
+from .spatial import checkpointed
 
 BOX = ("y1", "x1", "y2", "x2")
 # The deviations of box deltas.
 DEVIATIONS = (0.1, 0.1, 0.2, 0.2)
 
 
+#: Boxes of a group that are folded as one array at most.
+FOLD = 4096
 #: Side of the cells that boxes meet in; boxes of a tile of 200 pixels are in at most 16.
 CELL = 64.0
 
@@ -45,10 +48,20 @@ def top(df: DataFrame, keys: list[str], k: int, score: str = "score", tie: str =
 
 def suppress(df: DataFrame, keys: list[str], threshold: float, cap: int | None = None, tie: str = "box") -> DataFrame:
     """Greedy non-maximum suppression in each group: boxes by falling score (ties by id), each kept unless a kept one
-    overlaps it by more than the threshold. A fold over the sorted array of the group, inside the JVM; cap bounds the
-    boxes of a group before the fold and thus the array."""
+    overlaps it by more than the threshold. Groups of at most FOLD boxes are folded as sorted arrays inside the JVM; larger
+    ones, if there are any, are solved in rounds over their overlaps. cap bounds the boxes of a group."""
     if cap:
         df = top(df, keys, cap, tie=tie).drop("rank")
+    df = df.select(*keys, tie, "score", *BOX)
+    large = df.groupBy(*keys).count().filter(F.col("count") > FOLD).select(*keys)
+    if not large.limit(1).count():
+        return _folded(df, keys, threshold, tie)
+    large = checkpointed(large)
+    small = _folded(df.join(large, keys, "left_anti"), keys, threshold, tie)
+    return small.unionByName(_in_rounds(df.join(large, keys, "left_semi"), keys, threshold, tie))
+
+
+def _folded(df: DataFrame, keys: list[str], threshold: float, tie: str) -> DataFrame:
     item = F.struct((-F.col("score")).alias("s"), F.col(tie).alias("id"), *BOX)
     grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("sorted"))
 
@@ -63,6 +76,25 @@ def suppress(df: DataFrame, keys: list[str], threshold: float, cap: int | None =
     )
 
 
+def _in_rounds(df: DataFrame, keys: list[str], threshold: float, tie: str) -> DataFrame:
+    """A box without a better one among its neighbours is settled, and its neighbours fall; what is left goes on. Only pairs
+    that overlap by more than the threshold are rows."""
+    df = checkpointed(df)
+    own = df.select(F.struct(*keys).alias("image"), F.col(tie).alias("id"), "score", *BOX)
+    pairs = overlaps(own, own, least=threshold).filter("score > score_b or (score = score_b and id < id_b)")
+    pairs = checkpointed(pairs.select("image", F.col("id").alias("a"), F.col("id_b").alias("b")))
+    fallen = []
+    while pairs.limit(1).count():
+        settled = checkpointed(pairs.select("image", "a").distinct().join(pairs.select("image", F.col("b").alias("a")), ["image", "a"], "left_anti"))
+        gone = checkpointed(pairs.join(settled, ["image", "a"], "left_semi").select("image", "b").distinct())
+        fallen.append(gone)
+        pairs = pairs.join(settled, ["image", "a"], "left_anti").join(gone, ["image", "b"], "left_anti")
+        pairs = checkpointed(pairs.join(gone.withColumnRenamed("b", "a"), ["image", "a"], "left_anti"))
+    for gone in fallen:
+        df = df.join(gone.select(*[F.col(f"image.{k}").alias(k) for k in keys], F.col("b").alias(tie)), [*keys, tie], "left_anti")
+    return df
+
+
 def refine(df: DataFrame, confidence: float = 0.3, threshold: float = 0.3, limit: int = 200) -> DataFrame:
     """Detections of an image: foreground, confident, not empty, suppressed by class, the best `limit`."""
     good = df.filter((F.col("class_id") > 0) & (F.col("score") >= confidence) & (B.area(B.box()) > 0))
@@ -72,8 +104,18 @@ def refine(df: DataFrame, confidence: float = 0.3, threshold: float = 0.3, limit
 def match(pred: DataFrame, pairs: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
     """image, threshold, box, score, gt: predictions by falling score each take the best free ground truth with at least
     the overlap; gt is null without one. pairs (image, box, gt_b, iou) are the overlaps of equal classes, of boxes
-    (`overlaps`) or of masks (`mask_overlaps`); they are made once for all thresholds."""
+    (`overlaps`) or of masks (`mask_overlaps`); they are made once for all thresholds. Images of at most FOLD predictions
+    are folded, larger ones, if there are any, are solved in rounds."""
     pairs = pairs.filter(F.col("iou") >= min(thresholds))
+    large = pred.groupBy("image").count().filter(F.col("count") > FOLD).select("image")
+    if not large.limit(1).count():
+        return _matched_folded(pred, pairs, thresholds)
+    large = checkpointed(large)
+    small = _matched_folded(pred.join(large, "image", "left_anti"), pairs.join(large, "image", "left_anti"), thresholds)
+    return small.unionByName(_matched_in_rounds(pred.join(large, "image", "left_semi"), pairs.join(large, "image", "left_semi"), thresholds))
+
+
+def _matched_folded(pred: DataFrame, pairs: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
     offers = pairs.groupBy("image", "box").agg(F.array_sort(F.collect_list(F.struct((-F.col("iou")).alias("s"), F.col("gt_b").alias("gt")))).alias("offers"))
     item = F.struct((-F.col("score")).alias("s"), F.col("box").alias("id"), F.coalesce("offers", F.expr("CAST(array() AS array<struct<s:double,gt:int>>)")).alias("offers"))
     lists = pred.join(offers, ["image", "box"], "left").groupBy("image").agg(F.array_sort(F.collect_list(item)).alias("preds"))
@@ -89,6 +131,25 @@ def match(pred: DataFrame, pairs: DataFrame, thresholds: tuple[float, ...] = (0.
     return rows.select("image", "threshold", F.col("z.preds.id").alias("box"), (-F.col("z.preds.s")).alias("score"), F.when(gt_of >= 0, gt_of).alias("gt"))
 
 
+def _matched_in_rounds(pred: DataFrame, pairs: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
+    """A prediction takes the best ground truth that is free once no better prediction may want that one: it stays free,
+    and stays the best, until the prediction's turn."""
+    pred = checkpointed(pred.select("image", "box", "score"))
+    key = ["image", "threshold"]
+    offers = pairs.join(pred, ["image", "box"]).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds)))).filter("iou >= threshold")
+    offers = checkpointed(offers.select(*key, "box", "score", F.col("gt_b").alias("gt"), "iou"))
+    taken = None
+    while offers.limit(1).count():
+        wish = offers.groupBy(*key, "box").agg(F.max(F.struct("iou", (-F.col("gt")).alias("less"))).alias("best")).select(*key, "box", (-F.col("best.less")).cast("int").alias("gt"))
+        first = offers.groupBy(*key, "gt").agg(F.max(F.struct("score", (-F.col("box")).alias("less"))).alias("best")).select(*key, (-F.col("best.less")).cast("int").alias("box"), "gt")
+        won = checkpointed(wish.join(first, [*key, "box", "gt"]))
+        taken = won if taken is None else taken.unionByName(won)
+        offers = checkpointed(offers.join(won.select(*key, "box"), [*key, "box"], "left_anti").join(won.select(*key, "gt"), [*key, "gt"], "left_anti"))
+    every = pred.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
+    met = every.withColumn("gt", F.lit(None).cast("int")) if taken is None else every.join(taken, [*key, "box"], "left")
+    return met.select(*key, "box", "score", "gt")
+
+
 def mask_overlaps(pred: DataFrame, gt: DataFrame) -> DataFrame:
     """image, box, gt_b, iou of masks in long form: pred has image, box, class_id and a pixel (r, c) a row, gt the same
     with gt. Masks meet by pixel; only classes that agree."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import compare, dataflow, detection, raster, spatial
+from ..operators import compare, dataflow, dataset, detection, raster, spatial
 from ..session import ship, table
 from ..sources import adapters as A
 from . import oracle_views as V
@@ -58,6 +58,7 @@ def scene_fields(spark, sf_dir):
     )
 
 
+# Fixed values in the query and its SQL: the patterns of a checkpoint's name and of the layers that heads have.
 @query("checkpoint_names", """SELECT image, regexp_extract(name, '^mask_rcnn_(\\w+)_(\\d{4})\\.h5$', 1) AS run, CAST(regexp_extract(name, '^mask_rcnn_(\\w+)_(\\d{4})\\.h5$', 2) AS INT) AS epoch,
  regexp_full_match(layer, '(mrcnn\\_.*)|(rpn\\_.*)|(fpn\\_.*)') AS is_head FROM (SELECT o_orderkey AS image, 'mask_rcnn_run' || (o_orderkey % 7) || '_' || lpad(CAST(o_orderkey % 40 AS VARCHAR), 4, '0') || '.h5' AS name,
  CASE o_orderkey % 4 WHEN 0 THEN 'rpn_' WHEN 1 THEN 'res_' WHEN 2 THEN 'mrcnn_' ELSE 'xfpn_' END || 'conv' AS layer FROM orders)""")
@@ -490,6 +491,31 @@ def source_classes(spark, sf_dir):
     return e.select(F.col("event_type").alias("source"), (F.col("user_id") % 5).alias("source_id"), F.concat_ws(".", "event_type", (F.col("user_id") % 5).cast("string")).alias("key"), F.substring_index(both, ",", 1).alias("head")).distinct()
 
 
+_CLASSES = """c AS (SELECT event_type AS source, user_id % 5 AS id, min(event_id) AS first_at FROM events GROUP BY ALL), ids AS (SELECT *, row_number() OVER (ORDER BY first_at, source, id) AS class_id FROM c),
+ act AS (SELECT source, list_prepend(0, list_sort(list(class_id))) AS active FROM ids GROUP BY source)"""
+
+
+@query("class_registry", _with(_CLASSES) + """SELECT CAST(i.class_id AS INT) AS class_id, i.source, i.source || '.' || i.id AS key, i.source || ' of ' || e.user_id AS name, array_to_string(active, ',') AS active
+ FROM ids i JOIN act USING (source) JOIN events e ON e.event_id = i.first_at UNION ALL SELECT 0, '', '.0', 'BG', NULL""")
+def class_registry(spark, sf_dir):
+    """Classes of several sources under common ids, in the order of their first appearance, with the classes of the source."""
+    classes = dataset.registry(_classes(spark, sf_dir))
+    return classes.join(dataset.active(classes), "source", "left").select("class_id", "source", "key", "name", F.concat_ws(",", F.col("active").cast("array<string>")).alias("active")).withColumn("active", F.when(F.col("class_id") > 0, F.col("active")))
+
+
+@query("class_lookup", _with(_CLASSES) + "SELECT event_id, CAST(class_id AS INT) AS class_id, CAST(len(active) AS INT) AS active FROM events e JOIN ids i ON i.source = e.event_type AND i.id = e.user_id % 5 JOIN act ON act.source = e.event_type")
+def class_lookup(spark, sf_dir):
+    """The class of each row by its source's own id, and how many classes are active for it."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("source"), (F.col("user_id") % 5).alias("id"))
+    found = dataset.with_class(rows, dataset.registry(_classes(spark, sf_dir)))
+    return found.select("event_id", "class_id", F.size("active").alias("active"))
+
+
+def _classes(spark, sf_dir):
+    named = F.concat("event_type", F.lit(" of "), F.col("user_id").cast("string"), F.lit(", "), F.col("event_type"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), (F.col("user_id") % 5).alias("id"), named.alias("name"), F.col("event_id").alias("at"))
+
+
 @query("annotation_json", """SELECT event_id, k, CASE WHEN k IS NULL THEN NULL ELSE k * 2 END AS twice FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
 def annotation_json(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
-from ..operators import detection
+from ..operators import dataset, detection
 from ..sources import adapters as A
 from . import oracle_views as V
 from .queries import _BEST, QUERIES, r3
@@ -70,3 +70,33 @@ def trim_zero_rows(spark, sf_dir):
     """Rows of padding, all of whose numbers are 0, go."""
     padded = A.boxes(spark, sf_dir).select("image", "box", *[F.when(F.col("class_id") == 0, 0.0).otherwise(F.col(c)).alias(c) for c in ("y1", "x1")])
     return detection.without_padding(padded, ["y1", "x1"]).select("image", "box")
+
+
+def _drawn(roi: str, axis: int) -> str:
+    """The number that is drawn for an image, a region and a counter, as SQL."""
+    z = "image % 2147483647"
+    for c in (roi, str(axis), "0"):
+        at = f"(({z} + {c}) % 2147483647)"
+        z = f"list_reduce([0, {at}], lambda a, z: ((z * z % 2147483647) * (z * z % 2147483647) % 2147483647 * z % 2147483647 * 48271 + 12345) % 2147483647)"
+    return z
+
+
+def _pair(low: str, high: str, axis: int) -> str:
+    a = f"CAST(floor({_drawn('roi', 2 * axis)} * ({high} - {low}) / 2147483647) AS BIGINT)"
+    b = f"CAST(floor({_drawn('roi', 2 * axis + 1)} * ({high} - {low} - 1) / 2147483647) AS BIGINT)"
+    return f"{a} AS a{axis}, {b} AS b{axis}"
+
+
+_HEIGHT, _WIDTH, _COUNT = 96, 80, 10
+
+
+@query("random_rois", with_views(V.BOXES, V.GT) + f""", im AS (SELECT DISTINCT l_orderkey AS image FROM lineitem), g AS (SELECT image, row_number() OVER (PARTITION BY image ORDER BY gt) AS nth, count(*) OVER (PARTITION BY image) AS n, CAST(y1 AS BIGINT) AS y1, CAST(x1 AS BIGINT) AS x1, CAST(y2 AS BIGINT) AS y2, CAST(x2 AS BIGINT) AS x2 FROM gts WHERE y1 < {_HEIGHT}),
+ near AS (SELECT image, unnest(range((nth - 1) * (9 // n), nth * (9 // n))) AS roi, greatest(y1 - (y2 - y1), 0) AS ly, least(y2 + (y2 - y1), {_HEIGHT}) AS hy, greatest(x1 - (x2 - x1), 0) AS lx, least(x2 + (x2 - x1), {_WIDTH}) AS hx FROM g),
+ rest AS (SELECT image, unnest(range(coalesce(n, 0) * CASE WHEN n > 0 THEN 9 // n ELSE 0 END, {_COUNT})) AS roi, 0 AS ly, {_HEIGHT} AS hy, 0 AS lx, {_WIDTH} AS hx FROM im LEFT JOIN (SELECT image, max(n) AS n FROM g GROUP BY image) USING (image)),
+ d AS (SELECT *, {_pair("ly", "hy", 0)}, {_pair("lx", "hx", 1)} FROM (SELECT * FROM near UNION ALL SELECT * FROM rest) WHERE hy - ly > 1 AND hx - lx > 1),
+ e AS (SELECT *, CASE WHEN b0 >= a0 THEN b0 + 1 ELSE b0 END AS c0, CASE WHEN b1 >= a1 THEN b1 + 1 ELSE b1 END AS c1 FROM d)
+ SELECT image, roi, ly + least(a0, c0) AS y1, lx + least(a1, c1) AS x1, ly + greatest(a0, c0) AS y2, lx + greatest(a1, c1) AS x2 FROM e""")
+def random_rois(spark, sf_dir):
+    """Random regions of images of 96 x 80, most around their boxes, drawn by counters."""
+    images = A.boxes(spark, sf_dir).select("image").distinct().withColumn("height", F.lit(_HEIGHT)).withColumn("width", F.lit(_WIDTH))
+    return dataset.random_rois(images, A.ground_truth(spark, sf_dir).filter(F.col("y1") < _HEIGHT), _COUNT)

@@ -187,6 +187,22 @@ def test_suppression_is_idempotent_and_exact(spark):
     assert {(r.image, r.box) for r in detection.suppress(once, ["image"], 0.3).collect()} == kept
 
 
+def test_rounds_equal_folds(spark, monkeypatch):
+    """Suppression and matching of large groups, ties and chains among them, against the fold."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 3), int(i % 2), i, float(s), float(y), float(x), float(y + 9), float(x + 9)) for i, (s, y, x) in enumerate(zip(rng.random(240).round(1), *rng.integers(0, 40, (2, 240))))]
+    rows += [(7, 0, 1000 + i, 1 - i / 100, 0.0, 4.0 * i, 9.0, 4.0 * i + 9) for i in range(12)]
+    df = spark.createDataFrame(rows, "image long, class_id int, box int, score double, y1 double, x1 double, y2 double, x2 double")
+    gt = df.filter("box % 4 < 3").select("image", "class_id", F.col("box").alias("gt"), *[(F.col(c) + 1).alias(c) for c in ("y1", "x1", "y2", "x2")])
+    pairs = detection.overlaps(df, gt, same_class=True).select("image", "box", "gt_b", "iou")
+    answer = lambda: [sorted(map(tuple, d.collect()), key=str) for d in (detection.suppress(df, ["image", "class_id"], 0.3), detection.match(df, pairs, (0.3, 0.6)))]
+    want = answer()
+    for fold in (50, 0):  # some groups in rounds, all
+        monkeypatch.setattr(detection, "FOLD", fold)
+        assert answer() == want
+    assert sum(r[0] == 7 for r in want[0]) == 6 and any(r[4] is not None for r in want[1])
+
+
 def test_deltas_round_trip(spark):
     df = spark.createDataFrame([(1.0, 2.0, 9.0, 8.0, 2.0, 1.0, 12.0, 5.0)], "y1 double, x1 double, y2 double, x2 double, y1_b double, x1_b double, y2_b double, x2_b double")
     moved = B.apply_deltas(B.box(), B.refinement(B.box(), B.box(suffix="_b")))
