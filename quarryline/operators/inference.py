@@ -114,6 +114,13 @@ def check_errors(found: DataFrame, most: int) -> DataFrame:
     return found.filter("error is null")
 
 
+def lost(found: DataFrame) -> DataFrame:
+    """image_name, failed_tiles, no_contour: how many tiles failed in an image, and how many detections have no ring; images
+    without either are left out. infer() should be written once and read here and by the layer."""
+    counts = found.groupBy("image_name").agg(F.count_if(F.col("error").isNotNull()).alias("failed_tiles"), F.count_if(F.col("error").isNull() & F.col("ring").isNull()).alias("no_contour"))
+    return counts.filter("failed_tiles + no_contour > 0")
+
+
 def least_rectangle(points: np.ndarray) -> tuple[float, float]:
     """(length, width) of the rectangle of least area around the points: one side lies on an edge of their hull."""
     p = np.unique(points, axis=0)
