@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -47,14 +49,25 @@ def close_pairs(df: DataFrame, radius: float = RADIUS) -> DataFrame:
     return met.filter((F.col("d") > 0) & (F.col("d") < radius)).select("image", "a", "b").distinct()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared folder (spark.checkpoint.dir). Only a local master may leave it unset."""
-    sc = df.sparkSession.sparkContext
+def _checkpoint_dir(spark: SparkSession) -> None:
+    """Set the cluster's shared folder (spark.checkpoint.dir). Only a local master may leave it unset."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quarryline-cp-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for tables, in the folder that all executors share."""
+    _checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the cluster's shared folder."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -9,6 +9,7 @@ from ..functions import boxes as B
 from ..operators import compare, dataflow, dataset, detection, raster, spatial
 from ..session import ship, table
 from ..sources import adapters as A
+from ..streaming import detections
 from . import oracle_views as V
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 from .registry import with_views as _with
@@ -220,6 +221,17 @@ def deduplicate(spark, sf_dir):
     return spatial.deduplicate(A.centroids(spark, sf_dir))
 
 
+@query("stream_deduplicate", ORACLES["deduplicate"])
+def stream_deduplicate(spark, sf_dir):
+    """The detections come as a stream of files, in two batches and in an order that has nothing to do with their place."""
+    root, parts = spatial.shared_folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    A.centroids(spark, sf_dir).repartition(parts, "idx").write.parquet(f"{root}/in")
+    came = spark.read.parquet(f"{root}/in")
+    stream = spark.readStream.schema(came.schema).option("maxFilesPerTrigger", (parts + 1) // 2).parquet(f"{root}/in")
+    detections.start(stream, f"{root}/roots", f"{root}/state", availableNow=True).awaitTermination()
+    return detections.kept(came, f"{root}/roots")
+
+
 @query("dedup_counts", _with(V.CENTROIDS, _BLOCKS, _PAIRS, _ROOTS, recursive=True) + """SELECT c.image, count(*) AS before, count(*) FILTER (r.root IS NULL OR r.root = c.idx) AS after, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1
  FROM cents c LEFT JOIN roots r ON r.image = c.image AND r.idx = c.idx GROUP BY c.image""")
 def dedup_counts(spark, sf_dir):

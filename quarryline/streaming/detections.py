@@ -19,8 +19,8 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from ..operators import spatial
 from ..session import ship
 
-#: Side of a cell in radii: about 1.6 copies of a detection.
-WIDTH = 8
+#: Side of a cell in radii: about 1.13 copies of a detection, and some hundred objects of a few radii in a cell.
+WIDTH = 32
 #: Kept detections that are compared at once.
 AT_ONCE = 4096
 #: Batches after which the table of components is written whole.
