@@ -2,10 +2,10 @@
 
 A store is a folder: data/ holds shard files that are never changed, manifest/ one file for each version. append()
 writes arrivals as small shards. compact() takes the live shards of each size tier, merges them into files near the
-target size and commits a version that lists them in place of their inputs. A version becomes visible by one
-rename to a name that must not exist yet, so a reader sees all of a commit or none and, on a file system whose rename
-checks this in one step (HDFS), two writers can't both commit the same version. Local disks and object stores check
-first and rename then; there only one writer may work at a time. Files of tasks that fail or of writers that lose are never listed.
+target size and commits a version that lists them in place of their inputs. A version becomes visible in one step, by a
+name that must not exist yet: a hard link on local disks and mounts, a rename elsewhere. So a reader sees all of a commit
+or none and, on these and on HDFS, two writers can't both commit the same version. Object stores check first and rename
+then; there only one writer may work at a time. Files of tasks that fail or of writers that lose are never listed.
 
 Merging is one narrow job per tier and run: the scan planner packs whole small files into partitions of the target
 size (largest first, so similar sizes meet), and each partition writes one file. No row is shuffled.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -70,26 +71,35 @@ class Store:
 
     def _commit(self, base: int, schema: str | None, shards: list[Shard]) -> int:
         """Make shards the version after base, or raise CommitConflict. The manifest is written whole under a name that
-        no reader looks at; the link to the final name fails if that name exists."""
+        no reader looks at; the step to the final name fails if that name exists."""
+        if self.version() > base:  # whose names vacuum() may have taken away
+            raise CommitConflict(f"version {base + 1} exists")
         text = json.dumps({"schema": schema, "shards": [asdict(s) for s in shards]})
         temporary = self._path(f"{self.root}/manifest/.{uuid.uuid4().hex}")
         final = self._path(f"{self.root}/manifest/v{base + 1:012d}.json")
         out = self._fs.create(temporary, True)
         out.write(bytearray(text.encode()))
         out.close()
-        options = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(temporary.toUri() if temporary.toUri().getScheme() else self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        none = self.spark.sparkContext._gateway.new_array(options, 1)
-        none[0] = options.NONE
         try:
-            context.rename(temporary, final, none)
+            if self._fs.getUri().getScheme() == "file":
+                os.link(*(self._fs.makeQualified(at).toUri().getPath() for at in (temporary, final)))
+                self._fs.delete(temporary, False)
+            else:
+                self._rename(temporary, final)
         except Exception as error:
             self._fs.delete(temporary, False)
-            if "FileAlreadyExists" in str(error) or "exists" in str(error):
+            if isinstance(error, FileExistsError) or "FileAlreadyExists" in str(error) or "exists" in str(error):
                 raise CommitConflict(f"version {base + 1} exists") from error
             raise
         return base + 1
 
+    def _rename(self, temporary, final) -> None:
+        options = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
+        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(temporary.toUri() if temporary.toUri().getScheme() else self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(options, 1)
+        none[0] = options.NONE
+        context.rename(temporary, final, none)
+
     def _written(self, df: DataFrame, level: int, version: int, **options) -> list[Shard]:
         """Write df as new files and list those that the writer's own commit has kept."""
         folder = f"{self.root}/data/{uuid.uuid4().hex}"

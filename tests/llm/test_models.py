@@ -1,4 +1,6 @@
+import threading
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -100,6 +102,38 @@ def test_compaction_keeps_every_row_and_shrinks(spark, odd, tmp_path):
         store._commit(store.version() - 1, None, [])
 
 
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+    """All that start from one version meet at its link: one commits, the others conflict, and what they list is whole."""
+    store = sharding.Store(spark, f"file://{tmp_path}/s")
+    monkeypatch.setattr(sharding.Store, "version", lambda _: 0)  # as if all had looked before any of them was done
+    for base in range(8):
+        together = threading.Barrier(4)
+
+        def commit(k, base=base, together=together):
+            together.wait()
+            try:
+                return store._commit(base, str(k), [])
+            except sharding.CommitConflict:
+                return None
+
+        with ThreadPoolExecutor(4) as pool:
+            done = list(pool.map(commit, range(4)))
+        assert sorted(done, key=str) == sorted([base + 1, None, None, None], key=str)
+        assert store._manifest(base + 1)["schema"] == str(done.index(base + 1))
+    monkeypatch.undo()
+    assert store.version() == 8 and len(list((tmp_path / "s" / "manifest").iterdir())) == 8
+
+
+def test_an_old_writer_fails_after_vacuum(spark, odd, tmp_path):
+    store = sharding.Store(spark, f"file://{tmp_path}/s")
+    for _ in range(3):
+        store.append(odd.limit(3))
+    store.vacuum()
+    with pytest.raises(sharding.CommitConflict):
+        store._commit(0, None, [])
+    assert store.version() == 3
+
+
 def test_tiers_merge_similar_sizes_only(spark, tmp_path):
     store = sharding.Store(spark, f"file://{tmp_path}/s", target=1000)
     shard = lambda n, size: sharding.Shard(f"p{n}", size, 0, n)
