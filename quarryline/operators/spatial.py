@@ -36,7 +36,8 @@ def close_pairs(df: DataFrame, radius: float = RADIUS) -> DataFrame:
     """image, a, b (a < b): polygons of a common block whose centroids are nearer than the radius but not equal.
 
     The join is on (image, block) and a radius cell, so neither a large image nor a crowded block meets in one task:
-    a point is tested against the points of its own and the neighbouring cells of the block only."""
+    a point is tested against the points of its own and the neighbouring cells of the block only. It is merged by hint:
+    the copies are not in Spark's estimate of a side's size, by which it would broadcast what is some hundred MB."""
     cell = lambda c: F.floor(F.col(c) / radius).cast("long")
     m = block_members(df).withColumn("cx", cell("x")).withColumn("cy", cell("y"))
     near = F.expr("sequence(-1L, 1L)")
@@ -45,7 +46,7 @@ def close_pairs(df: DataFrame, radius: float = RADIUS) -> DataFrame:
         "image", "bi", "bj", F.col("idx").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy")
     )
     d = F.sqrt((F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by")))
-    met = left.join(right, ["image", "bi", "bj", "cx", "cy"]).filter(F.col("a") < F.col("b")).withColumn("d", d)
+    met = left.hint("merge").join(right, ["image", "bi", "bj", "cx", "cy"]).filter(F.col("a") < F.col("b")).withColumn("d", d)
     return met.filter((F.col("d") > 0) & (F.col("d") < radius)).select("image", "a", "b").distinct()
 
 

@@ -256,3 +256,9 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((r.image, r.points) for r in spark.sql("SELECT * FROM counts").collect()) == [(1, 1), (2, 1)]
+
+
+def test_close_pairs_are_merged_whatever_the_estimates(spark):
+    rows = [(1, i, 0, 0, float(i), 0.0) for i in range(50)]
+    pairs = spatial.close_pairs(spark.createDataFrame(rows, "image long, idx long, id_i int, id_j int, x double, y double"))
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
