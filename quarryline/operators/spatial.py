@@ -151,34 +151,51 @@ def levels_of(rectangles: DataFrame, size: float = 64.0, corners: tuple[str, ...
     return {r[0]: r[1] for r in sorted(rectangles.groupBy(_level(*c, size).alias("level")).count().filter("level is not null").collect())}
 
 
-def outside(points: DataFrame, rectangles: DataFrame, size: float = 64.0) -> DataFrame:
+def largest(rectangles: DataFrame) -> DataFrame:
+    """x0, y0, x1, y1 without the rectangles that another one with the same lower corner holds: what they cover together is
+    the same, and layers on a grid have as many corners as the grid, however many rectangles there are."""
+    wide = rectangles.groupBy("x0", "y0", "x1").agg(F.max("y1").alias("y1"))
+    wider = Window.partitionBy("x0", "y0").orderBy(F.desc("x1")).rowsBetween(Window.unboundedPreceding, -1)
+    high = wide.withColumn("high", F.max("y1").over(wider))
+    return high.filter(F.col("high").isNull() | (F.col("y1") > F.col("high"))).select("x0", "y0", "x1", "y1")
+
+
+def outside(points: DataFrame, rectangles: DataFrame, size: float = 16.0) -> DataFrame:
     """Points in none of the rectangles; the border counts as inside. The join keys are cells whose size goes with that
     of the rectangle, so a large one is in as few cells as a small one; each of the few sizes is a join of its own, and
     the rectangles of a size are broadcast where they are few, so a large one is no hot key."""
-    r = in_cells(rectangles.select("x0", "y0", "x1", "y1"), size=size).select("level", "cx", "cy", "x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
+    rectangles = checkpointed(largest(rectangles))
+    r = in_cells(rectangles, size=size).select("level", "cx", "cy", "x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
     for level, n in levels_of(rectangles, size).items():
         wide = size * 4.0**level
         own = r.filter(F.col("level") == level)
-        own = F.broadcast(own) if n <= covering.BROADCAST_CELLS // 4 else own
+        own = F.broadcast(own) if n <= covering.BROADCAST_CELLS // 4 else own.hint("merge")
         here = (F.floor(points.x / wide) == own.cx) & (F.floor(points.y / wide) == own.cy)
         points = points.join(own, here & (points.x >= own.x0) & (points.x <= own.xe) & (points.y >= own.y0) & (points.y <= own.ye), "left_anti")
     return points
 
 
-def clear_of(boxes: DataFrame, rectangles: DataFrame, keys: list[str], size: float = 64.0) -> DataFrame:
-    """Boxes (x1, y1, x2, y2, told apart by keys) that touch none of the rectangles; borders that touch intersect. A box
-    meets a rectangle on the larger of their two levels."""
-    own = ("x1", "y1", "x2", "y2")
-    a, b = boxes.select(*keys, *own), rectangles.select("x0", "y0", F.col("x1").alias("xe"), F.col("y1").alias("ye"))
-    far = ("x0", "y0", "xe", "ye")
-    levels = sorted({*levels_of(a, size, own), *levels_of(b, size, far)})
-    if not levels:
-        return boxes
-    left = in_cells(a, levels, size, own).withColumnRenamed("own_level", "la")
-    right = in_cells(b, levels, size, far).withColumnRenamed("own_level", "lb")
-    met = left.join(right, ["level", "cx", "cy"]).filter(F.col("level") == F.greatest("la", "lb"))
-    hit = met.filter("x1 <= xe and x2 >= x0 and y1 <= ye and y2 >= y0").select(*keys).distinct()
-    return boxes.join(hit, keys, "left_anti")
+def clear_of(boxes: DataFrame, rectangles: DataFrame, size: float = 8.0) -> DataFrame:
+    """Boxes (x1, y1, x2, y2) that touch none of the rectangles; borders that touch intersect. A box
+    meets a rectangle on the larger of their two levels, a join for each: by the cell of its lower corner alone, for a
+    rectangle is in all cells where boxes that reach it may have theirs. So no box is copied, and where the rectangles
+    are few they are broadcast and a crowd of boxes is no hot key."""
+    own, far = ("x1", "y1", "x2", "y2"), ("x0", "y0", "xe", "ye")
+    b = checkpointed(largest(rectangles).toDF(*far))
+    la, lb = levels_of(boxes, size, own), levels_of(b, size, far)
+    b = b.withColumn("lb", _level(*map(F.col, far), size))
+    left = boxes.withColumn("_level", _level(*[F.col(c).cast("double") for c in own], size))
+    for level in sorted({*la, *lb}):
+        wide, n = size * 4.0**level, sum(n for k, n in lb.items() if k <= level)
+        if not n:
+            continue
+        # A hair more than the cell, as a level is rounded.
+        cells = lambda lo, hi: F.explode(F.sequence(F.floor((F.col(lo) - 1.001 * wide) / wide), F.floor(F.col(hi) / wide)))
+        right = b.filter(F.col("lb") <= level).withColumn("cell_x", cells("x0", "xe")).withColumn("cell_y", cells("y0", "ye"))
+        right = F.broadcast(right) if n <= covering.BROADCAST_CELLS // 4 else right.hint("merge")
+        here = (F.floor(left.x1 / wide) == right.cell_x) & (F.floor(left.y1 / wide) == right.cell_y) & (F.greatest(left._level, right.lb) == level)
+        left = left.join(right, here & (left.x1 <= right.xe) & (left.x2 >= right.x0) & (left.y1 <= right.ye) & (left.y2 >= right.y0), "left_anti")
+    return left.drop("_level")
 
 
 def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None) -> DataFrame:

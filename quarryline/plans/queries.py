@@ -261,7 +261,7 @@ def clean_in_boundary(spark, sf_dir):
 @query("clean_rectangles", _with(V.BOXES, V.LAYERS) + "SELECT image, box FROM boxes b WHERE NOT EXISTS (SELECT 1 FROM layers l WHERE b.x1 <= l.x1 AND b.x2 >= l.x0 AND b.y1 <= l.y1 AND b.y2 >= l.y0)")
 def clean_rectangles(spark, sf_dir):
     """Rectangles that intersect no layer; borders that touch intersect."""
-    return spatial.clear_of(A.boxes(spark, sf_dir), A.clean_layers(spark, sf_dir), ["image", "box"]).select("image", "box")
+    return spatial.clear_of(A.boxes(spark, sf_dir), A.clean_layers(spark, sf_dir)).select("image", "box")
 
 
 @query("grid_points_within", _with(V.SCENES) + """SELECT image, CAST(gx AS DOUBLE) AS gx, CAST(gy AS DOUBLE) AS gy FROM (SELECT *, unnest(range(0, 1 + width // 40 * 40, 40)) AS gx FROM (SELECT *, unnest(range(0, 1 + height // 40 * 40, 40)) AS gy FROM scenes))

@@ -262,3 +262,21 @@ def test_close_pairs_are_merged_whatever_the_estimates(spark):
     rows = [(1, i, 0, 0, float(i), 0.0) for i in range(50)]
     pairs = spatial.close_pairs(spark.createDataFrame(rows, "image long, idx long, id_i int, id_j int, x double, y double"))
     assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rectangles_on_a_grid_are_met_once_a_corner(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(x), float(y), float(x + w), float(y + h)) for x, y, w, h in zip(rng.integers(0, 6, 400) * 40, rng.integers(0, 6, 400) * 40, rng.integers(0, 30, 400), rng.integers(0, 90, 400) / 3)]
+    rectangles = spark.createDataFrame([*rows, (-50.0, -50.0, -5.0, 400.0)], "x0 double, y0 double, x1 double, y1 double")
+    few = [tuple(r) for r in spatial.largest(rectangles).collect()]
+    steps = {(x0, y0) for x0, y0, *_ in few}
+    assert len(steps) == 37 and all(not (a != b and a[:2] == b[:2] and a[2] <= b[2] and a[3] <= b[3]) for a in few for b in few)
+    boxes = [(i, float(x), float(y), float(x + w), float(y + h)) for i, (x, y, w, h) in enumerate(zip(rng.uniform(-60, 300, 500), rng.uniform(-60, 300, 500), rng.choice([0, 1, 7, 100], 500), rng.choice([0, 3, 40], 500)))]
+    every = [*rows, (-50.0, -50.0, -5.0, 400.0)]
+    clear = {i for i, *b in boxes if not any(b[0] <= r[2] and b[2] >= r[0] and b[1] <= r[3] and b[3] >= r[1] for r in every)}
+    df = spark.createDataFrame(boxes, "box long, x1 double, y1 double, x2 double, y2 double")
+    got = spatial.clear_of(df, rectangles)
+    assert {r.box for r in got.collect()} == clear and 0 < len(clear) < 500
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    out = {i for i, x, y, *_ in boxes if not any(r[0] <= x <= r[2] and r[1] <= y <= r[3] for r in every)}
+    assert {r.box for r in spatial.outside(df.withColumnsRenamed({"x1": "x", "y1": "y"}), rectangles).collect()} == out
