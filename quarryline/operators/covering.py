@@ -178,9 +178,10 @@ def levels_of(covering: DataFrame) -> dict[int, int]:
 def meeting(points: DataFrame, covering: DataFrame, how: str, extra: Column | None = None, kept: tuple[str, ...] = ()) -> Iterator[DataFrame] | DataFrame:
     """points joined with the cells that cover them, a level after the other: the cells of a level are broadcast where
     they are few, so a large cell is no hot key; where they are many, each is small, and adaptive execution splits a
-    crowd of points in one. For `left_anti` what no level covers, else one table a level, with the columns `kept`."""
+    crowd of points in one. For `left_anti` what no level covers, else one table a level, with the columns `kept`. The
+    largest cells, which decide most, come first."""
     found = []
-    for level, n in levels_of(covering).items():
+    for level, n in sorted(levels_of(covering).items(), reverse=True):
         side = SIZE * 2.0**level
         own = covering.filter(F.col("level") == level).select(*kept, "inner", "corner", "edges", F.col("cx").alias("cell_x"), F.col("cy").alias("cell_y"))
         own = F.broadcast(own) if n <= BROADCAST_CELLS else own

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from . import covering
 RADIUS = 10.0
 #: Pairs of an image that one task solves at most (a few MB).
 GRAPH = 200_000
+#: Corners of a shape whose edges are compared with all that its bounding box meets.
+CORNERS = 32
 #: Twice the area up to which a ring counts as flat.
 FLAT = 1e-3
 
@@ -175,35 +178,49 @@ def outside(points: DataFrame, rectangles: DataFrame, size: float = 16.0) -> Dat
     return points
 
 
-def clear_of(boxes: DataFrame, rectangles: DataFrame, size: float = 8.0) -> DataFrame:
-    """Boxes (x1, y1, x2, y2) that touch none of the rectangles; borders that touch intersect. A box
-    meets a rectangle on the larger of their two levels, a join for each: by the cell of its lower corner alone, for a
-    rectangle is in all cells where boxes that reach it may have theirs. So no box is copied, and where the rectangles
-    are few they are broadcast and a crowd of boxes is no hot key."""
-    own, far = ("x1", "y1", "x2", "y2"), ("x0", "y0", "xe", "ye")
-    b = checkpointed(largest(rectangles).toDF(*far))
-    la, lb = levels_of(boxes, size, own), levels_of(b, size, far)
-    b = b.withColumn("lb", _level(*map(F.col, far), size))
-    left = boxes.withColumn("_level", _level(*[F.col(c).cast("double") for c in own], size))
-    for level in sorted({*la, *lb}):
+def _apart(left: DataFrame, right: DataFrame, own: tuple[str, ...], far: tuple[str, ...], size: float, hit: Callable[[DataFrame, DataFrame], Column], whole: DataFrame | None = None) -> DataFrame:
+    """Rows of left (rectangles `own`) whose rectangle meets none of right's (`far`) that `hit` accepts. A row meets the other
+    side on the larger of their two levels, a join for each: by the cell of its lower corner alone, for a rectangle of right
+    is in all cells where one that reaches it may have its corner. So no row of left is copied, and where those of right are
+    few they are broadcast and a crowd on the left is no hot key. What lies beyond all of left goes first; levels and ends are
+    those of `whole`, if left is what joins have left of it."""
+    x0, y0, x1, y1 = own
+    at = _level(*[F.col(c).cast("double") for c in own], size)
+    ends = [f(c).alias(c) for f, c in ((F.min, x0), (F.min, y0), (F.max, x1), (F.max, y1))]
+    found = (left if whole is None else whole).groupBy(at.alias("_level")).agg(*ends).filter("_level is not null").collect()
+    if not found:
+        return left
+    low, high = ([f(r[c] for r in found if r[c] is not None) for c in names] for f, names in ((min, (x0, y0)), (max, (x1, y1))))
+    right = right.filter((F.col(far[0]) <= high[0]) & (F.col(far[2]) >= low[0]) & (F.col(far[1]) <= high[1]) & (F.col(far[3]) >= low[1]))
+    right = checkpointed(right.withColumn("lb", _level(*map(F.col, far), size)))
+    lb = {r[0]: r[1] for r in right.groupBy("lb").count().filter("lb is not null").collect()}
+    left = left.withColumn("_level", at)
+    for level in sorted({*(r[0] for r in found), *lb}, reverse=True):
         wide, n = size * 4.0**level, sum(n for k, n in lb.items() if k <= level)
         if not n:
             continue
         # A hair more than the cell, as a level is rounded.
         cells = lambda lo, hi: F.explode(F.sequence(F.floor((F.col(lo) - 1.001 * wide) / wide), F.floor(F.col(hi) / wide)))
-        right = b.filter(F.col("lb") <= level).withColumn("cell_x", cells("x0", "xe")).withColumn("cell_y", cells("y0", "ye"))
-        right = F.broadcast(right) if n <= covering.BROADCAST_CELLS // 4 else right.hint("merge")
-        here = (F.floor(left.x1 / wide) == right.cell_x) & (F.floor(left.y1 / wide) == right.cell_y) & (F.greatest(left._level, right.lb) == level)
-        left = left.join(right, here & (left.x1 <= right.xe) & (left.x2 >= right.x0) & (left.y1 <= right.ye) & (left.y2 >= right.y0), "left_anti")
+        r = right.filter(F.col("lb") <= level).withColumn("cell_x", cells(far[0], far[2])).withColumn("cell_y", cells(far[1], far[3]))
+        r = F.broadcast(r) if n <= covering.BROADCAST_CELLS // 4 else r.hint("merge")
+        here = (F.floor(left[x0] / wide) == r.cell_x) & (F.floor(left[y0] / wide) == r.cell_y) & (F.greatest(left._level, r.lb) == level)
+        near = (left[x0] <= r[far[2]]) & (left[x1] >= r[far[0]]) & (left[y0] <= r[far[3]]) & (left[y1] >= r[far[1]])
+        left = left.join(r, here & near & hit(left, r), "left_anti")
     return left.drop("_level")
 
 
+def clear_of(boxes: DataFrame, rectangles: DataFrame, size: float = 8.0) -> DataFrame:
+    """Boxes (x1, y1, x2, y2) that touch none of the rectangles; borders that touch intersect."""
+    far = ("x0", "y0", "xe", "ye")
+    return _apart(boxes, largest(rectangles).toDF(*far), ("x1", "y1", "x2", "y2"), far, size, lambda *_: F.lit(True))
+
+
 def outside_polygons(points: DataFrame, polygons: DataFrame, boundary: Column | None = None) -> DataFrame:
     """Points in none of the polygons (`ring`, an array of x, y, or `geometry`, an array of rings, of which those in others
     are holes); the line counts as inside. With a boundary, a ring of its own, only what is inside it removes a point.
-    Points meet the cells of the polygons' coverings."""
+    Points meet the cells of the polygons' coverings; polygons that are the same are covered once."""
     column = "geometry" if "geometry" in polygons.columns else "ring"
-    return covering.meeting(points, checkpointed(covering.cells(polygons, ring=column)), "left_anti", None if boundary is None else covers(boundary, points.x, points.y))
+    return covering.meeting(points, checkpointed(covering.cells(polygons.select(column).distinct(), ring=column)), "left_anti", None if boundary is None else covers(boundary, points.x, points.y))
 
 
 def segments(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
@@ -236,17 +253,32 @@ def touching(a: DataFrame, b: DataFrame, keys: list[str], size: float = 8.0) ->
 
 def clear_of_polygons(shapes: DataFrame, polygons: DataFrame, keys: list[str]) -> DataFrame:
     """Shapes (`ring`, told apart by keys) that meet none of the polygons: no edges cross or touch, and neither holds
-    the other. A corner of each polygon meets the cells of the shapes, a corner of each shape those of the polygons, and
-    edges meet edges where no corner was inside."""
-    at = lambda c: F.col("ring")[0][c]
-    rings = polygons.select("ring").filter(F.size("ring") > 2)
-    tips = rings.select(at("x").alias("x"), at("y").alias("y")).distinct()
-    holders = [met.select(*keys) for met in covering.meeting(tips, checkpointed(covering.cells(shapes, tuple(keys))), "inner", kept=tuple(keys))]
-    for met in holders:
-        shapes = shapes.join(met.distinct(), keys, "left_anti")
-    held = covering.meeting(shapes.filter(F.size("ring") > 2).select(*keys, at("x").alias("x"), at("y").alias("y")), checkpointed(covering.cells(polygons)), "left_semi")
-    for met in held:
-        shapes = shapes.join(met.select(*keys), keys, "left_anti")
+    the other. A corner of each shape meets the cells of the polygons. Then shapes of few corners meet the edges of the
+    polygons by their bounding boxes, and an edge that crosses one or starts in it removes it; of larger ones the cells
+    meet a corner of each polygon, and edges meet edges where no corner was inside."""
+    rings = checkpointed(polygons.filter(F.size("ring") > 2).select("ring").distinct())
+    held, whole = checkpointed(covering.cells(rings)), shapes
+    corner = lambda k: F.col("ring")[k]
+    for k in (0, 2):  # one would do, the other makes what is left fewer
+        at = corner(k)
+        shapes = covering.meeting(shapes.withColumn("x", F.when(F.size("ring") > 2, at["x"])).withColumn("y", at["y"]), held, "left_anti").drop("x", "y")
+    small = F.coalesce(F.size("ring") <= CORNERS, F.lit(True))
+    ends = {n: f(F.col(f"ring.{c}")) for n, f, c in (("_x0", F.array_min, "x"), ("_y0", F.array_min, "y"), ("_x1", F.array_max, "x"), ("_y1", F.array_max, "y"))}
+
+    def hit(a: DataFrame, b: DataFrame) -> Column:
+        f = F.struct(b.px.alias("px"), b.py.alias("py"), b.qx.alias("qx"), b.qy.alias("qy"))
+        return (F.size(a.ring) > 2) & (F.exists(a["_edges"], lambda e: _meet(e, f)) | covers(a["_edges"], b.px, b.py, edges=True))
+
+    few = shapes.filter(small).withColumns(ends).withColumn("_edges", edges_of(F.col("ring")))
+    few = _apart(few, segments(rings, []).distinct(), tuple(ends), ("x0", "y0", "x1", "y1"), 8.0, hit, whole.filter(small).withColumns(ends)).drop(*ends, "_edges")
+    return few.unionByName(_clear_of_edges(shapes.filter(~small), rings, keys)) if whole.filter(~small).limit(1).count() else few
+
+
+def _clear_of_edges(shapes: DataFrame, rings: DataFrame, keys: list[str]) -> DataFrame:
+    """Shapes that hold no corner of a ring and touch none of its edges."""
+    tips = rings.select(F.col("ring")[0]["x"].alias("x"), F.col("ring")[0]["y"].alias("y")).distinct()
+    for met in covering.meeting(tips, checkpointed(covering.cells(shapes, tuple(keys))), "inner", kept=tuple(keys)):
+        shapes = shapes.join(met.select(*keys).distinct(), keys, "left_anti")
     shapes = checkpointed(shapes)
     return shapes.join(touching(segments(shapes, keys), segments(rings, []), keys).distinct(), keys, "left_anti")
 
@@ -290,19 +322,17 @@ def intersects(a: Column, b: Column) -> Column:
     return lines | inside(a, b[0]["x"], b[0]["y"]) | inside(b, a[0]["x"], a[0]["y"])
 
 
-def covers(ring: Column, x: Column, y: Column) -> Column:
-    """Inside or on the line."""
-    return _within(ring, x, y, True)
+def covers(ring: Column, x: Column, y: Column, edges: bool = False) -> Column:
+    """Inside or on the line; the ring may be given as its edges."""
+    return _within(ring if edges else edges_of(ring), x, y, True)
 
 
 def inside(ring: Column, x: Column, y: Column) -> Column:
     """Strictly inside: an odd number of edges right of the point, and on none of them."""
-    return _within(ring, x, y, False)
-
+    return _within(edges_of(ring), x, y, False)
 
-def _within(ring: Column, x: Column, y: Column, line: bool) -> Column:
-    edges = edges_of(ring)
 
+def _within(edges: Column, x: Column, y: Column, line: bool) -> Column:
     def cross(e):
         return (e["qx"] - e["px"]) * (y - e["py"]) - (e["qy"] - e["py"]) * (x - e["px"])
 

@@ -280,3 +280,17 @@ def test_rectangles_on_a_grid_are_met_once_a_corner(spark):
     assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
     out = {i for i, x, y, *_ in boxes if not any(r[0] <= x <= r[2] and r[1] <= y <= r[3] for r in every)}
     assert {r.box for r in spatial.outside(df.withColumnsRenamed({"x1": "x", "y1": "y"}), rectangles).collect()} == out
+
+
+def test_polygons_that_repeat_are_covered_once_and_small_shapes_are_not_copied(spark, monkeypatch):
+    covered = []
+    cells = covering.cells
+    monkeypatch.setattr(covering, "cells", lambda rows, *keys, **own: covered.append(rows.count()) or cells(rows, *keys, **own))
+    polygons = spark.createDataFrame(ring_rows([[(0, 0), (9, 0), (0, 9)]] * 50 + [[(40, 40), (44, 40), (42, 47)]]), RINGS)
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 30.0, 2.0), (3, 42.0, 47.0)], "id long, x double, y double")
+    assert {r.id for r in spatial.outside_polygons(points, polygons).collect()} == {2}
+    round_ = [(42 + 30 * np.cos(a), 42 + 30 * np.sin(a)) for a in np.linspace(0, 6, 2 * spatial.CORNERS)]
+    shapes = spark.createDataFrame(ring_rows([[(39, 39), (50, 39), (50, 50), (39, 50)], [(1, 1), (2, 1), (2, 2)], [(8, 8), (12, 8), (12, 12)], [(8, -5), (12, -5), (12, 12)], round_]), RINGS)
+    assert {r.fid for r in spatial.clear_of_polygons(shapes, polygons, ["fid"]).collect()} == {2, 3}
+    assert {r.fid for r in spatial.clear_of_polygons(shapes.filter("fid < 4"), polygons, ["fid"]).collect()} == {2, 3}
+    assert covered == [2, 2, 1, 2]
