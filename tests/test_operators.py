@@ -294,3 +294,13 @@ def test_polygons_that_repeat_are_covered_once_and_small_shapes_are_not_copied(s
     assert {r.fid for r in spatial.clear_of_polygons(shapes, polygons, ["fid"]).collect()} == {2, 3}
     assert {r.fid for r in spatial.clear_of_polygons(shapes.filter("fid < 4"), polygons, ["fid"]).collect()} == {2, 3}
     assert covered == [2, 2, 1, 2]
+
+
+def test_an_overlap_of_the_threshold_is_not_over_it(spark):
+    """The same boxes of an overlap of 0.7, moved and scaled by factors that leave noise."""
+    rows = []
+    for k, (f, d) in enumerate((f, d) for f in (1.0, np.exp(0.1), np.exp(-0.07), 0.1) for d in (0.0, 0.1, 1 / 3)):
+        rows += [(k, b, 1.0 - b / 10, d, d, float(d + y * f), float(d + 10 * f)) for b, y in enumerate((10, 7))]
+    df = spark.createDataFrame(rows, "image int, box int, score double, y1 double, x1 double, y2 double, x2 double")
+    assert detection.suppress(df, ["image"], 0.7).count() == len(rows)
+    assert detection.suppress(df, ["image"], 0.69999).count() == len(rows) // 2
