@@ -6,12 +6,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..functions import geometry, images
 from ..operators import inference, overlay, scenes, spatial
-from ..session import ship, table
+from ..session import ship, spread, table
 from ..sources import adapters as A
 from . import flow
 from . import oracle_views as V
@@ -51,7 +52,7 @@ _LAND = with_views(V.SCENE_PIXELS) + f""", px AS (SELECT image_name, r, c, least
 def land_mask(spark, sf_dir):
     """Median, blur and Otsu of a band as a mask, a bit a pixel, of the windows of each scene."""
     ship(spark)
-    windows = scenes.windows_of(A.scene_rows(spark, sf_dir), _WINDOW, before=scenes.MARGIN, after=scenes.MARGIN)
+    windows = scenes.windows_of(spread(A.scene_rows(spark, sf_dir)), _WINDOW, before=scenes.MARGIN, after=scenes.MARGIN)
     return scenes.masks(windows).select("image_name", "y", "x", F.lower(F.hex("mask")).alias("mask"))
 
 
@@ -125,6 +126,22 @@ def fit_square(spark, sf_dir):
     return e.mapInArrow(run, "image long, y1 int, x1 int, y2 int, x2 int, scale double, total long, texture long, middle int")
 
 
+#: Rows whose masks are made together (a few MB for each size of a box).
+_STACK = 4096
+
+
+def gathered(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have that many rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if sum(b.num_rows for b in held):
+        yield pa.concat_batches(held)
+
+
 # A pixel of the mask of the query below, of the full mask in its box and of the small one made from it.
 _FULL = "CASE WHEN m{0}y + {{0}} BETWEEN 1 AND h AND m{1}x + {{1}} BETWEEN 1 AND w AND ((m{0}y + {{0}} - 1) * 5 + (m{1}x + {{1}} - 1) * 3 + box) % 7 < 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 _SMALL = {(a, b): f"CASE WHEN ly + {a} BETWEEN 1 AND 28 AND lx + {b} BETWEEN 1 AND 28 AND {_sampled(_FULL.format(a, b), f'g{a}y', f'g{b}x')} > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for a in (0, 1) for b in (0, 1)}
@@ -142,16 +159,19 @@ def mask_shapes(spark, sf_dir):
     ship(spark)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pixels, places = [], []
-            for box, y1, x1, y2, x2 in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
-                y, x = np.mgrid[: y2 - y1, : x2 - x1]
-                full = np.zeros((96, 96), bool)
-                full[y1:y2, x1:x2] = (y * 5 + x * 3 + box) % 7 < 4
-                back = images.full_mask(images.small_mask(full, (y1, x1, y2, x2), 28, 28), (y1, x1, y2, x2), 96, 96)[y1:y2, x1:x2]
-                pixels.append(int(back.sum()))
-                places.append(int((y * 7 + x)[back].sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pixels, pa.int64()), pa.array(places, pa.int64())], names=["image", "box", "pixels", "places"])
+        for rows in gathered(batches, _STACK):
+            box, y1, x1, y2, x2 = (rows.column(i).to_numpy() for i in range(1, 6))
+            pixels, places = np.zeros((2, len(box)), np.int64)
+            # Masks of boxes of one size are the bands of an image.
+            shape, own = np.unique(np.column_stack([y2 - y1, x2 - x1]), axis=0, return_inverse=True)
+            for k, (h, w) in enumerate(shape.tolist()):
+                at = np.flatnonzero(own.ravel() == k)
+                y, x = np.mgrid[:h, :w]
+                full = ((y * 5 + x * 3)[:, :, None] + box[at]) % 7 < 4
+                back = images.full_mask(images.small_mask(full, (0, 0, h, w), 28, 28), (0, 0, h, w), h, w)
+                pixels[at] = back.sum(axis=(0, 1))
+                places[at] = np.einsum("yx,yxn->n", y * 7 + x, back)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(pixels), pa.array(places)], names=["image", "box", "pixels", "places"])
 
     whole = A.boxes(spark, sf_dir).select("image", F.col("box").cast("long").alias("box"), *[F.col(c).cast("int").alias(c) for c in ("y1", "x1", "y2", "x2")])
     return whole.mapInArrow(run, "image long, box long, pixels long, places long").withColumn("box", F.col("box").cast("int"))
@@ -164,14 +184,14 @@ def rasterise(spark, sf_dir):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for ring in batch.column(1).to_pylist():
-                p = np.asarray([(q["y"], q["x"]) for q in ring])
-                p -= p.min(axis=0)
-                out.append(int(images.rasterise(p, int(p[:, 0].max()) + 1, int(p[:, 1].max()) + 1).sum()))
+            ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(batch.column(1)).to_numpy())])
+            flat = batch.column(1).flatten()
+            yx = np.column_stack([flat.field(c).to_numpy() for c in ("y", "x")])
+            # Rings that differ by their place alone are the same in their frame, and made once.
+            out = [images.pixels_of((p - p.min(axis=0)).tobytes()) for p in (yx[a:b] for a, b in zip(ends, ends[1:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64())], names=["fid", "pixels"])
 
-    return A.diamonds(spark, sf_dir).mapInArrow(run, "fid long, pixels long")
+    return spread(A.diamonds(spark, sf_dir)).mapInArrow(run, "fid long, pixels long")
 
 
 # Cleaning with polygons.
@@ -208,7 +228,7 @@ def ring_text(spark, sf_dir):
  round(CASE p_partkey % 3 WHEN 0 THEN 4 + 4 * sqrt(2) WHEN 1 THEN 8 ELSE 12 END * r, 3) + 0.0 AS perimeter FROM (SELECT *, CAST(p_size % 6 + 1 AS DOUBLE) AS r FROM part)""")
 def repair_rings(spark, sf_dir):
     """Rings that cross themselves as valid ones: how many, their area and perimeter, against what their shapes have."""
-    fixed = overlay.repaired(A.tangles(spark, sf_dir), ["fid"]).withColumn("p", overlay.perimeter(F.col("ring")))
+    fixed = overlay.repaired(spread(A.tangles(spark, sf_dir)), ["fid"]).withColumn("p", overlay.perimeter(F.col("ring")))
     return fixed.groupBy("fid").agg(F.count(F.lit(1)).cast("int").alias("rings"), (F.round(F.sum("area"), 3) + 0.0).alias("area"), (F.round(F.sum("p"), 3) + 0.0).alias("perimeter"))
 
 
@@ -224,7 +244,7 @@ def dissolve_union(spark, sf_dir):
     """The union of the rectangles of each layer as rings: area and perimeter."""
     at = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     shapes = A.clean_layers(spark, sf_dir).select("layer", "fid", F.array(at("x0", "y0"), at("x1", "y0"), at("x1", "y1"), at("x0", "y1")).alias("ring"))
-    rings = overlay.dissolved(shapes, ["fid"], ["layer"]).withColumn("p", overlay.perimeter(F.col("ring")))
+    rings = overlay.dissolved(spread(shapes), ["fid"], ["layer"]).withColumn("p", overlay.perimeter(F.col("ring")))
     return rings.groupBy("layer").agg((F.round(F.sum("area"), 3) + 0.0).alias("area"), (F.round(F.sum("p"), 3) + 0.0).alias("perimeter"))
 
 

@@ -370,3 +370,25 @@ def test_errors_have_a_budget(spark):
     assert inference.check_errors(found, 2).count() == 1
     with pytest.raises(RuntimeError, match="2 tiles failed"):
         inference.check_errors(found, 1)
+
+
+def test_masks_of_one_box_as_bands():
+    rng = np.random.default_rng(2)
+    masks = rng.random((13, 22, 40)) < 0.5
+    small = images.small_mask(masks, (0, 0, 13, 22), 28, 28)
+    back = images.full_mask(small, (2, 3, 15, 25), 20, 30)
+    for k in range(40):
+        own = images.small_mask(masks[:, :, k], (0, 0, 13, 22), 28, 28)
+        assert (small[:, :, k] == own).all() and (back[:, :, k] == images.full_mask(own, (2, 3, 15, 25), 20, 30)).all()
+
+
+def test_small_rows_are_dealt_over_partitions(spark):
+    from quarryline.session import spread
+
+    assert spread(spark.range(1000).coalesce(1)).rdd.getNumPartitions() == 4
+
+
+def test_pixels_of_a_ring_that_repeats():
+    images.pixels_of.cache_clear()
+    ring = np.asarray([(0, 2), (2, 4), (4, 2), (2, 0)], float)
+    assert [images.pixels_of(ring.tobytes()) for _ in range(3)] == [13] * 3 and images.pixels_of.cache_info().misses == 1
