@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ RADIUS = 10.0
 GRAPH = 200_000
 #: Corners of a shape whose edges are compared with all that its bounding box meets.
 CORNERS = 32
+#: Points of a grid, times the edges that they are tested against, that are held at once.
+GRID = 1 << 18
 #: Twice the area up to which a ring counts as flat.
 FLAT = 1e-3
 
@@ -283,16 +286,51 @@ def _clear_of_edges(shapes: DataFrame, rings: DataFrame, keys: list[str]) -> Dat
     return shapes.join(touching(segments(shapes, keys), segments(rings, []), keys).distinct(), keys, "left_anti")
 
 
+def _grid_within(ring: np.ndarray, step: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """x and y of the grid points strictly inside a ring, some rows of the grid at a time: its edges times its points are
+    bounded, as far as a row of the grid is."""
+    px, py = (v[:, None, None] for v in ring.T)
+    qx, qy = (np.roll(v, -1, axis=0) for v in (px, py))
+    low, high = np.ceil(ring.min(axis=0) / step), np.floor(ring.max(axis=0) / step)
+    x = np.arange(low[0], high[0] + 1) * step
+    rows = max(1, GRID // max(1, len(ring) * len(x)))
+    for first in np.arange(low[1], high[1] + 1, rows):
+        y = np.arange(first, min(first + rows, high[1] + 1))[:, None] * step
+        cross = (qx - px) * (y - py) - (qy - py) * (x - px)
+        right = ((py > y) != (qy > y)) & ((cross > 0) == (qy > py))
+        on = (cross == 0) & (x >= np.minimum(px, qx)) & (x <= np.maximum(px, qx)) & (y >= np.minimum(py, qy)) & (y <= np.maximum(py, qy))
+        j, i = np.nonzero((right.sum(axis=0) % 2 == 1) & ~on.any(axis=0))
+        yield x[i], y[j, 0]
+
+
 def points_within(rings: DataFrame, step: float) -> DataFrame:
     """image, gx, gy: grid points strictly inside each ring (array `ring` of x, y structs), by crossing number. The
     bounding box bounds the grid; a point on an edge is outside."""
-    box = rings.select(
-        "image", "ring", *[f(F.col(f"ring.{c}")).alias(n) for n, f, c in (("x0", F.array_min, "x"), ("x1", F.array_max, "x"), ("y0", F.array_min, "y"), ("y1", F.array_max, "y"))]
-    )
-    grid = box.withColumn("i", F.explode(F.sequence(F.ceil(F.col("x0") / step), F.floor(F.col("x1") / step)))) \
-        .withColumn("j", F.explode(F.sequence(F.ceil(F.col("y0") / step), F.floor(F.col("y1") / step))))
-    grid = grid.withColumn("gx", F.col("i") * step).withColumn("gy", F.col("j") * step)
-    return grid.filter(inside(F.col("ring"), F.col("gx"), F.col("gy"))).select("image", "gx", "gy")
+    ship(rings.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, flat = pa.compute.list_value_length(batch.column(1)).to_numpy(), batch.column(1).flatten()
+            xy = np.column_stack([flat.field(c).to_numpy() for c in ("x", "y")])
+            held: list[tuple[int, np.ndarray, np.ndarray]] = []
+            points = 0
+            for k, end in enumerate(np.cumsum(n)):
+                for x, y in _grid_within(xy[end - n[k] : end], step):
+                    held.append((k, x, y))
+                    points += len(x)
+                    if points >= GRID:
+                        yield out(batch, held)
+                        held, points = [], 0
+            if held:
+                yield out(batch, held)
+
+    def out(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
+        own = np.repeat([h[0] for h in held], [len(h[1]) for h in held])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), *(pa.array(np.concatenate([h[c] for h in held])) for c in (1, 2))], names=["image", "gx", "gy"])
+
+    double = F.transform("ring", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    whole = rings.select("image", double.alias("ring")).filter((F.size("ring") > 0) & ~F.exists("ring", lambda p: p["x"].isNull() | p["y"].isNull()))
+    return whole.mapInArrow(run, f"image {dict(rings.dtypes)['image']}, gx double, gy double")
 
 
 def edges_of(ring: Column) -> Column:

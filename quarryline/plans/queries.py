@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as B
 from ..operators import compare, dataflow, dataset, detection, raster, spatial
-from ..session import ship, table
+from ..session import ship, spread, table
 from ..sources import adapters as A
 from ..streaming import detections
 from . import oracle_views as V
@@ -271,7 +271,7 @@ def grid_points_within(spark, sf_dir):
     s = A.scenes(spark, sf_dir)
     p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     ring = F.array(p(F.lit(0), F.lit(0)), p(F.col("width"), F.lit(0)), p(F.lit(0), F.col("height")))
-    return spatial.points_within(s.select("image", ring.alias("ring")), 40.0)
+    return spatial.points_within(spread(s.select("image", ring.alias("ring"))), 40.0)
 
 
 # Detection.

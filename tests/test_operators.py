@@ -304,3 +304,13 @@ def test_an_overlap_of_the_threshold_is_not_over_it(spark):
     df = spark.createDataFrame(rows, "image int, box int, score double, y1 double, x1 double, y2 double, x2 double")
     assert detection.suppress(df, ["image"], 0.7).count() == len(rows)
     assert detection.suppress(df, ["image"], 0.69999).count() == len(rows) // 2
+
+
+def test_grid_points_of_large_rings_come_in_parts(spark, monkeypatch):
+    ring = np.asarray([(-3, 1), (60, -7), (57.5, 44), (31, 9), (0, 52)], float)
+    whole = sorted(zip(*map(np.concatenate, zip(*spatial._grid_within(ring, 2.5)))))
+    monkeypatch.setattr(spatial, "GRID", 40)
+    parts = list(spatial._grid_within(ring, 2.5))
+    assert len(parts) > 10 and sorted(zip(*map(np.concatenate, zip(*parts)))) == whole and len(whole) > 100
+    none = spark.createDataFrame([(1, None), (2, []), (3, [{"x": 1.0, "y": 1.0}, {"x": 2.0, "y": 2.0}])], RINGS.replace("fid", "image"))
+    assert spatial.points_within(none, 5.0).count() == 0
