@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import boxes as B
-
 #: The id and source of the background, which belongs to every source.
 BACKGROUND, NOWHERE = 0, ""
 # The share of random regions around the boxes of an image.
@@ -57,14 +55,26 @@ def random(seed: Column, *counters: Column) -> Column:
     return F.aggregate(steps, F.pmod(seed.cast("long"), F.lit(PRIME).cast("long")), lambda z, c: spread((z + c) % PRIME))
 
 
-def _span(low: Column, high: Column, image: Column, roi: Column, axis: int) -> Column:
-    """Two different whole numbers from low up to high, the smaller first, all pairs alike: the second is drawn from those
-    that are left, so none is rejected; null where there is no second."""
-    n = high - low
-    a = F.floor(random(image, roi, F.lit(2 * axis)) * n / F.lit(PRIME))
-    b = F.floor(random(image, roi, F.lit(2 * axis + 1)) * (n - 1) / F.lit(PRIME))
-    both = F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), lambda p: F.sort_array(F.array(p["a"], F.when(p["b"] >= p["a"], p["b"] + 1).otherwise(p["b"]))))[0]
-    return F.when(n > 1, F.transform(both, lambda v: (low + v).cast("long")))
+def _drawn(rows: DataFrame, seed: str, roi: str) -> DataFrame:
+    """rows with r0 to r3, random(seed, roi, k): their steps are columns, so that none is worked out twice and the first,
+    which all four have, once."""
+    def step(rows: DataFrame, starts: dict[str, Column]) -> DataFrame:
+        z = rows.withColumns(starts)
+        z = z.withColumns({f"_s{n}": F.col(n) * F.col(n) % PRIME for n in starts})
+        return z.withColumns({n: (F.col(f"_s{n}") * F.col(f"_s{n}") % PRIME * F.col(n) % PRIME * FACTOR + SHIFT) % PRIME for n in starts}).drop(*[f"_s{n}" for n in starts])
+
+    rows = step(rows, {"_z": (F.pmod(F.col(seed).cast("long"), F.lit(PRIME).cast("long")) + F.col(roi).cast("long")) % PRIME})
+    rows = step(rows, {f"r{k}": (F.col("_z") + k) % PRIME for k in range(4)}).drop("_z")
+    return step(rows, {f"r{k}": F.col(f"r{k}") % PRIME for k in range(4)})
+
+
+def _span(rows: DataFrame, low: str, high: str, one: str, two: str, axis: str) -> DataFrame:
+    """rows with two different whole numbers from low up to high, as axis1 and axis2, the smaller first, all pairs alike:
+    the second is drawn from those that are left, so none is rejected. There have to be two."""
+    n = F.col(high) - F.col(low)
+    rows = rows.withColumns({"_a": F.floor(F.col(one) * n / F.lit(PRIME)), "_b": F.floor(F.col(two) * (n - 1) / F.lit(PRIME))})
+    rows = rows.withColumn("_b", F.when(F.col("_b") >= F.col("_a"), F.col("_b") + 1).otherwise(F.col("_b")))
+    return rows.withColumns({f"{axis}1": (F.col(low) + F.least("_a", "_b")).cast("long"), f"{axis}2": (F.col(low) + F.greatest("_a", "_b")).cast("long")})
 
 
 def random_rois(images: DataFrame, gt: DataFrame, count: int) -> DataFrame:
@@ -85,8 +95,6 @@ def random_rois(images: DataFrame, gt: DataFrame, count: int) -> DataFrame:
         "image", F.explode(F.sequence((F.col("each") * F.col("n")).cast("long"), F.lit(count).cast("long") - 1)).alias("roi"),
         F.lit(0).cast("long").alias("ly"), F.col("height").cast("long").alias("hy"), F.lit(0).cast("long").alias("lx"), F.col("width").cast("long").alias("hx"),
     )
-    every = near.unionByName(rest)
-    y, x = (_span(F.col(lo), F.col(hi), F.col("image"), F.col("roi"), axis) for axis, (lo, hi) in enumerate((("ly", "hy"), ("lx", "hx"))))
-    drawn = every.select("image", "roi", y.alias("y"), x.alias("x")).filter("y is not null and x is not null")
-    at = lambda c, k: F.col(c)[k]
-    return drawn.select("image", "roi", at("y", 0).alias("y1"), at("x", 0).alias("x1"), at("y", 1).alias("y2"), at("x", 1).alias("x2")).filter(B.area(B.box()) > 0)
+    every = near.unionByName(rest).filter("hy - ly > 1 and hx - lx > 1")
+    drawn = _drawn(every, "image", "roi")
+    return _span(_span(drawn, "ly", "hy", "r0", "r1", "y"), "lx", "hx", "r2", "r3", "x").select("image", "roi", "y1", "x1", "y2", "x2")

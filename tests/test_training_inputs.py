@@ -97,3 +97,11 @@ def test_random_regions_are_fair_and_repeat(spark):
     assert ((low - want) ** 2 / want)[:35].sum() < 70
     assert abs(np.corrcoef([r.y1 for r in by[2]], [r.x1 for r in by[2]])[0, 1]) < 0.06
     assert spark.range(1).select(dataset.random(F.lit(-5), F.lit(1)).alias("r")).first().r >= 0
+
+
+def test_draws_by_columns_are_those_of_the_counters(spark):
+    rows = spark.range(-50, 2000).select((F.col("id") * 7_919_123).alias("image"), F.pmod(F.col("id"), F.lit(10)).alias("roi"))
+    got = dataset._drawn(rows, "image", "roi")
+    assert "aggregate(" not in got._jdf.queryExecution().executedPlan().toString()
+    for k in range(4):
+        assert got.filter(F.col(f"r{k}") != dataset.random(F.col("image"), F.col("roi"), F.lit(k))).count() == 0
