@@ -4,7 +4,7 @@ Texts become shards: rows of a few MB of one language, cut at piece boundaries.
 and its shorter phrases are, so candidates are found in three turns, words, pairs, and phrases of three to five words.
 In each turn a shard counts the cells of its phrases in a sketch of one hash row, whose width goes with the words of the
 table; the sums are upper bounds, and only phrases whose cell reaches the threshold go on. The sketch is kept sparse, as
-rows of cells that Spark sums, so it is never whole in one place. The cells that pass go to the shards as a bitmap, which
+rows of some cells that Spark sums, so it is never whole in one place, nor is a shard's part of it. The cells that pass go to the shards as a bitmap, which
 may let more through, while they are few enough for one of a bounded size; beyond that each shard gets back those of its
 own cells that passed, by a join.
 
@@ -36,8 +36,10 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST, TOP, SCALE = 5, 100, 2000, 1000
 #: Bytes of text of a shard, or one piece; and what a task holds of all languages before it hands them on.
 SHARD, HELD = 4 << 20, 32 << 20
-#: Phrases of an automaton at most.
+#: Phrases of an automaton at most, and those that are strings at once.
 AUTOMATON = 50_000
+#: Cells of a row at most: a shard's are many rows, of which Spark unfolds one at a time.
+CELLS = 1 << 14
 #: Cells of the sketch for each word of the table, as a power of two.
 WIDTH = 3
 #: Bits of a bitmap of cells at most (32 MB), and cells up to which it has eight bits or more for each or is that large.
@@ -135,11 +137,17 @@ def _without_lone(ids: np.ndarray) -> np.ndarray:
     return kept[(kept >= 0) | (np.concatenate([[-1], kept[:-1]]) >= 0)]
 
 
-def _sketch_row(shard: int, lang: str, vocab: list[str], ids: np.ndarray, found: list[np.ndarray]) -> pa.RecordBatch:
+def _sketch_rows(shard: int, lang: str, vocab: list[str], ids: np.ndarray, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A shard as a row of its words and ids, and its cells in rows that have neither."""
+    def row(vocab: list[str] | None, ids: bytes | None, cells: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([shard], pa.int64()), pa.array([lang]), pa.array([vocab], pa.list_(pa.string())), pa.array([ids], pa.binary())]
+        columns += [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t)) for v, t in ((cells, pa.int64()), (counts, pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "vocab", "ids", "cells", "counts"])
+
     cells, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
-    columns = [pa.array([shard], pa.int64()), pa.array([lang]), pa.array([vocab], pa.list_(pa.string())), pa.array([ids.astype("<i4").tobytes()], pa.binary())]
-    columns += [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t)) for v, t in ((cells, pa.int64()), (counts, pa.int32()))]
-    return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "vocab", "ids", "cells", "counts"])
+    yield row(vocab, ids.astype("<i4").tobytes(), cells[:0], counts[:0])
+    for at in range(0, len(cells), CELLS):
+        yield row(None, None, cells[at : at + CELLS], counts[at : at + CELLS])
 
 
 def _passed_of(batch: pa.RecordBatch, k: int) -> pa.Scalar | None:
@@ -159,7 +167,7 @@ def _pairs(bits: int, ask: Passed):
                 number = {w.encode(): i for i, w in enumerate(vocab)}
                 tokens = text.replace(b"\n", b" \n ").split(b" ")
                 ids = _without_lone(np.fromiter(map(number.get, tokens, repeat(-1)), np.int64, len(tokens)))
-                yield _sketch_row(shard, lang, vocab, ids, [_cells(ids, hashes[kept], 2, bits)[1]])
+                yield from _sketch_rows(shard, lang, vocab, ids, [_cells(ids, hashes[kept], 2, bits)[1]])
 
     return run
 
@@ -183,47 +191,62 @@ def _longer(bits: int, ask: Passed, longest: int):
                 used, place = np.unique(ids[ids >= 0], return_inverse=True)
                 ids[ids >= 0] = place
                 vocab, hashes = [vocab[i] for i in used.tolist()], hashes[used]
-                yield _sketch_row(shard, lang, vocab, ids, [_cells(ids, hashes, size, bits)[1] for size in range(3, longest + 1)])
+                yield from _sketch_rows(shard, lang, vocab, ids, [_cells(ids, hashes, size, bits)[1] for size in range(3, longest + 1)])
 
     return run
 
 
 def _matches(text: str, phrases: list[str]) -> np.ndarray:
-    """How often each phrase occurs in the text, by automata of AUTOMATON phrases."""
+    """How often each phrase occurs in the text, by an automaton of them."""
     import ahocorasick
 
     n = np.zeros(len(phrases), np.int64)
-    for start in range(0, len(phrases), AUTOMATON):
-        automaton = ahocorasick.Automaton()
-        for i, phrase in enumerate(phrases[start : start + AUTOMATON], start):
-            automaton.add_word(f" {phrase} ", i)
-        automaton.make_automaton()
-        for i, found in Counter(map(itemgetter(1), automaton.iter(text))).items():
-            n[i] = found
+    automaton = ahocorasick.Automaton()
+    for i, phrase in enumerate(phrases):
+        automaton.add_word(f" {phrase} ", i)
+    automaton.make_automaton()
+    for i, found in Counter(map(itemgetter(1), automaton.iter(text))).items():
+        n[i] = found
     return n
 
 
+def _parts_of(found: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The rows of the arrays, in their order, in lists of AUTOMATON rows at most."""
+    part, room = [], AUTOMATON
+    for rows in found:
+        while len(rows):
+            part.append(rows[:room])
+            rows, room = rows[len(part[-1]) :], room - len(part[-1])
+            if not room:
+                yield part
+                part, room = [], AUTOMATON
+    if part:
+        yield part
+
+
 def _count(bits: int, ask: Passed, longest: int):
     """The candidates of each shard and how often its text has them."""
 
+    def candidates(hashes: np.ndarray, ids: np.ndarray, passed: pa.Scalar | None) -> Iterator[np.ndarray]:
+        for size in range(2, longest + 1):
+            at, cells = _cells(ids, hashes, size, bits)
+            if size > 2:  # pairs that did not pass are breaks by now
+                at = at[ask.among(cells, passed)]
+            if not len(at):
+                return
+            yield np.unique(ids[at[:, None] + np.arange(size)], axis=0)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 _, lang, vocab, hashes, ids = _state(batch, k)
-                phrases, sizes = [], []
-                for size in range(2, longest + 1):
-                    at, cells = _cells(ids, hashes, size, bits)
-                    if size > 2:  # pairs that did not pass are breaks by now
-                        at = at[ask.among(cells, _passed_of(batch, k))]
-                    if not len(at):
-                        break
-                    rows = np.unique(ids[at[:, None] + np.arange(size)], axis=0)
-                    phrases += [" ".join([vocab[i] for i in row]) for row in rows.tolist()]
-                    sizes += [size] * len(rows)
                 names = [*vocab, "\n"]
-                n = _matches(" " + " ".join([names[i] for i in ids.tolist()]) + " ", phrases)
-                columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
+                text = " " + " ".join([names[i] for i in ids.tolist()]) + " "
+                for part in _parts_of(candidates(hashes, ids, _passed_of(batch, k))):
+                    phrases = [" ".join([vocab[i] for i in row]) for rows in part for row in rows.tolist()]
+                    sizes = np.repeat([rows.shape[1] for rows in part], [len(rows) for rows in part])
+                    columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.string()), pa.array(_matches(text, phrases))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "n"])
 
     return run
 
@@ -233,9 +256,9 @@ def counts(scratch: common.Scratch, df: DataFrame, lang_col: str = "lang", text_
     language, and the number of all words of each language as the row of the empty phrase, of size 0."""
     ship(scratch.spark)
     own = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    shards = scratch.write(own.mapInArrow(tk.resting(_shards), _TEXT).select(F.monotonically_increasing_id().alias("shard"), "*"), "shards")
+    shards = scratch.write(own.mapInArrow(tk.resting(_shards), _TEXT).select(F.monotonically_increasing_id().alias("shard"), "*"), "shards", rows=common.LARGE)
     used = shards.select("shard", "lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("shard", "lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
-    words = scratch.write(used.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
+    words = scratch.write(used.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words", large=True)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(0).alias("size"), F.lit("").alias("phrase"), "n")
     words = words.filter(F.col("n") >= least)
     bits = max(4, min(62, math.ceil(math.log2(1 + (totals.agg(F.sum("n")).first()[0] or 0))) + WIDTH))
@@ -256,19 +279,19 @@ def counts(scratch: common.Scratch, df: DataFrame, lang_col: str = "lang", text_
     def sketched(rows: DataFrame, name: str) -> tuple[DataFrame, Passed]:
         """rows of _CELLS and which of their cells have a sum over all shards that reaches the threshold."""
         cells = rows.select("shard", F.explode(F.arrays_zip("cells", "counts")).alias("c")).select("shard", F.col("c.cells").alias("cell"), F.col("c.counts").alias("n"))
-        bound = scratch.write(cells.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("cell"), f"sketch-{name}")
-        return answered(rows.drop("cells", "counts"), cells, bound)
+        bound = scratch.write(cells.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("cell"), f"sketch-{name}", large=True)
+        return answered(rows.filter("ids IS NOT NULL").drop("cells", "counts"), cells, bound)
 
     cell = _word_cell(F.col("lang"), F.col("phrase")).alias("cell")
     rows, ask = answered(shards.drop("counts"), used.select("shard", cell), words.select(cell).distinct())
-    pairs = scratch.write(rows.mapInArrow(tk.resting(_pairs(bits, ask)), _CELLS), "pairs")
+    pairs = scratch.write(rows.mapInArrow(tk.resting(_pairs(bits, ask)), _CELLS), "pairs", large=True)
     scratch.drop("shards")
     rows, ask = sketched(pairs, "pairs")
-    longer = scratch.write(rows.mapInArrow(tk.resting(_longer(bits, ask, longest)), _CELLS), "longer")
+    longer = scratch.write(rows.mapInArrow(tk.resting(_longer(bits, ask, longest)), _CELLS), "longer", large=True)
     scratch.drop("pairs")
     rows, ask = sketched(longer, "longer")
     found = rows.mapInArrow(tk.resting(_count(bits, ask, longest)), _FOUND)
-    phrases = scratch.write(found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases")
+    phrases = scratch.write(found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases", large=True)
     scratch.drop("longer")
     return totals.unionByName(words.select("lang", F.lit(1).alias("size"), "phrase", "n")).unionByName(phrases)
 

@@ -88,3 +88,28 @@ def test_query_equals_its_sql(spark):
     sql = con.sql(collocations.SQL)
     assert sql.columns == df.columns
     assert sorted(map(tuple, df.collect())) == sorted(sql.fetchall())
+
+
+def test_rows_of_shards_are_bounded(monkeypatch):
+    """A shard's cells leave in rows of CELLS, and its phrases are strings AUTOMATON at a time, whatever passes."""
+    import numpy as np
+    import pyarrow as pa
+
+    class All:
+        def among(self, cells, passed):
+            return np.ones(len(cells), bool)
+
+    monkeypatch.setattr(collocations, "CELLS", 5)
+    monkeypatch.setattr(collocations, "AUTOMATON", 7)
+    rng = random.Random(3)
+    text = "\n".join(" ".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(9))
+    shard = pa.RecordBatch.from_pydict({"shard": [4], "lang": ["en"], "text": [text.encode()], "words": [list("abcdefgh")]})
+    pairs = list(collocations._pairs(20, All())([shard]))
+    assert max(len(b.column("cells")[0]) for b in pairs) == 5 and sum(b.column("ids").null_count == 0 for b in pairs) == 1
+    assert sum(sum(b.column("counts")[0].as_py()) for b in pairs) == 9 * 29
+    longer = list(collocations._longer(20, All(), 5)(pairs[:1]))
+    assert max(len(b.column("cells")[0]) for b in longer) == 5 and len(longer) > 100
+    found = list(collocations._count(20, All(), 5)(longer[:1]))
+    assert max(b.num_rows for b in found) == 7
+    want = Counter(" ".join(line.split()[k : k + n]) for line in text.split("\n") for n in range(2, 6) for k in range(31 - n))
+    assert {(r["size"], r["phrase"]): r["n"] for b in found for r in b.to_pylist()} == {(len(p.split()), p): n for p, n in want.items()}
