@@ -358,10 +358,10 @@ _THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 @query("mean_average_precision", _with(V.BOXES, V.PREDICTIONS, V.GT, _match_sql("[0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]::DOUBLE[]"), _AP, recursive=True) + "SELECT image, round(avg(ap), 6) AS ap FROM aps GROUP BY image")
 def mean_average_precision(spark, sf_dir):
     """The mean over the thresholds of each image; the overlaps are found once."""
-    gt, pred = A.ground_truth(spark, sf_dir), A.predictions(spark, sf_dir)
-    n = _n_gt(gt).withColumn("threshold", F.explode(F.array(*map(F.lit, _THRESHOLDS))))
-    every = detection.average_precision(detection.match(pred, _pairs(pred, gt), _THRESHOLDS), n, ["image", "threshold"])
-    return every.groupBy("image").agg(F.round(F.avg("ap"), 6).alias("ap"))
+    gt, pred = A.ground_truth(spark, sf_dir, True), A.predictions(spark, sf_dir, True)
+    parts = A.parts(spark, sf_dir)
+    pairs = detection.overlaps(detection.ranked(pred), gt, same_class=True, parts=parts).select("image", "box", "rank", "gt_b", "iou")
+    return detection.mean_average_precision(pred, pairs.repartition(parts, "image"), _n_gt(gt), _THRESHOLDS).select("image", F.round("ap", 6).alias("ap"))
 
 
 _BEST = f"""ov AS (SELECT a.image, a.box, b.gt, b.class_id AS gt_class, {_IOU} AS iou FROM boxes a JOIN gts b ON a.image = b.image)"""
@@ -373,14 +373,13 @@ _BEST = f"""ov AS (SELECT a.image, a.box, b.gt, b.class_id AS gt_class, {_IOU} A
  FROM boxes b LEFT JOIN best ON b.image = best.image AND b.box = best.box LEFT JOIN crowd c ON b.image = c.image AND b.box = c.box LEFT JOIN top_ t ON b.image = t.image AND b.box = t.box""")
 def anchor_targets(spark, sf_dir):
     """1 from an overlap of 0.7 or as the best of a ground truth (with ties), -1 below 0.3 outside crowds, else 0."""
-    b = A.boxes(spark, sf_dir)
-    o = detection.overlaps(b, A.ground_truth(spark, sf_dir))
+    o = detection.overlaps(A.boxes(spark, sf_dir, True), A.ground_truth(spark, sf_dir, True), left=True, parts=A.parts(spark, sf_dir))
+    o = o.select("image", "box", "gt_b", "class_id_b", "iou").repartition(A.parts(spark, sf_dir), "image")  # what follows goes by image
     real, crowd = F.col("class_id_b") > 0, F.col("class_id_b") < 0
     o = o.withColumn("first", F.max(F.when(real, F.col("iou"))).over(Window.partitionBy("image", "gt_b")))
-    best = o.groupBy("image", "box").agg(
+    j = o.groupBy("image", "box").agg(
         F.max(F.when(real, F.col("iou"))).alias("best"), F.max(F.when(crowd, F.col("iou"))).alias("crowd"), F.max(real & (F.col("iou") == F.col("first"))).alias("top")
     )
-    j = b.select("image", "box").join(best, ["image", "box"], "left")
     iou = F.coalesce("best", F.lit(0.0))
     low = (iou < 0.3) & (F.coalesce("crowd", F.lit(0.0)) < 0.001)
     return j.select("image", "box", F.when(F.coalesce("top", F.lit(False)) | (iou >= 0.7), 1).when(low, -1).otherwise(0).alias("target"))
@@ -454,9 +453,10 @@ def crowd_split(spark, sf_dir):
 @query("images_with_class", _with(V.BOXES) + "SELECT image, count(*) AS boxes, count(DISTINCT class_id) AS classes FROM boxes b WHERE EXISTS (SELECT 1 FROM boxes p WHERE p.image = b.image AND p.class_id > 0 AND p.part NOT IN (1, 2, 3)) GROUP BY image")
 def images_with_class(spark, sf_dir):
     """Images with a positive class outside the skip list."""
-    b = A.boxes(spark, sf_dir)
-    good = b.filter((F.col("class_id") > 0) & ~F.col("part").isin(1, 2, 3)).select("image")
-    return b.join(good, "image", "left_semi").groupBy("image").agg(F.count(F.lit(1)).alias("boxes"), F.countDistinct("class_id").alias("classes"))
+    b = A.boxes(spark, sf_dir, True)
+    good = (F.col("class_id") > 0) & ~F.col("part").isin(1, 2, 3)
+    every = b.filter("image IS NOT NULL").groupBy("image").agg(F.count(F.lit(1)).alias("boxes"), F.countDistinct("class_id").alias("classes"), F.max(good).alias("good"))
+    return every.filter("good").drop("good")
 
 
 @query("class_areas", _with(V.BOXES) + "SELECT class_id, round(sum((y2 - y1) * (x2 - x1)), 2) + 0.0 AS area, count(*) AS n FROM boxes GROUP BY class_id ORDER BY area DESC LIMIT 4")

@@ -9,25 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import by_size, table
 
 VERTEX_ORDER = ("l_linenumber", "l_extendedprice", "l_quantity", "l_partkey", "l_suppkey")
 
 
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image, k, x, y: one ring per order, a vertex per line."""
-    w = Window.partitionBy("l_orderkey").orderBy(*VERTEX_ORDER)
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("image"), F.row_number().over(w).alias("k"), F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y")
-    )
+    w = Window.partitionBy("image").orderBy(*VERTEX_ORDER)
+    return _lines(spark, sf_dir).select("image", F.row_number().over(w).alias("k"), F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with its key as `image`. The name comes before any window, so that what follows knows that the rows are dealt
+    by image already, and does not deal them again."""
+    return table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "image")
+
+
+def parts(spark: SparkSession, sf_dir: str) -> int:
+    """The partitions that boxes are dealt over."""
+    return by_size(table(spark, sf_dir, "lineitem"))
 
 
-def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image, box, class_id, score, y1, x1, y2, x2; class 0 is the background."""
-    w = Window.partitionBy("l_orderkey").orderBy(*VERTEX_ORDER)
+def boxes(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """image, box, class_id, score, y1, x1, y2, x2; class 0 is the background. `dealt`: by image over partitions whose
+    number goes with the table, so that what a task holds does not grow with it."""
+    w = Window.partitionBy("image").orderBy(*VERTEX_ORDER)
     y1, x1 = F.col("l_quantity"), F.round(F.col("l_discount") * 100)
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("image"), F.row_number().over(w).alias("box"),
+    lines = _lines(spark, sf_dir)
+    lines = lines.repartition(parts(spark, sf_dir), "image") if dealt else lines
+    return lines.select(
+        "image", F.row_number().over(w).alias("box"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("class_id"),
         (F.col("l_extendedprice") / 110000).alias("score"), y1.alias("y1"), x1.alias("x1"),
         (y1 + 10 + F.col("l_linenumber")).alias("y2"), (x1 + 20 + F.round(F.col("l_tax") * 100)).alias("x2"),
@@ -35,15 +47,15 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """The boxes that a detector is sure of; some images have none."""
-    return boxes(spark, sf_dir).filter("score >= 0.5")
+    return boxes(spark, sf_dir, dealt).filter("score >= 0.5")
 
 
-def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ground_truth(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """image, gt, class_id, y1, x1, y2, x2: the boxes of a class, moved a little; a third of them far enough to be missed.
     Negative classes are crowds."""
-    b = boxes(spark, sf_dir).filter("class_id > 0")
+    b = boxes(spark, sf_dir, dealt).filter("class_id > 0")
     far = F.expr("CASE WHEN part % 3 = 0 THEN 500 ELSE 0 END")
     moved = [(F.col(c) + d + (far if c in ("y1", "y2") else 0)).alias(c) for c, d in (("y1", 2), ("x1", 1), ("y2", 1), ("x2", 3))]
     return b.select("image", F.col("box").alias("gt"), F.expr("CASE WHEN part % 11 = 0 THEN -class_id ELSE class_id END").alias("class_id"), *moved)
