@@ -71,3 +71,10 @@ def test_cells_are_forgotten_behind_the_watermark(spark, tmp_path):
         q = detections.start(stream(spark, at), str(tmp_path / "roots"), str(tmp_path / "cp"), "2 hours", availableNow=True)
         q.awaitTermination()
     assert sorted(map(tuple, detections.components(spark, str(tmp_path / "roots"), "string").collect())) == [("a", 0, 0), ("a", 1, 0), ("a", 3, 3), ("a", 4, 3)]
+
+
+def test_a_stream_without_a_watermark_keeps_its_state_in_the_jvm(spark, tmp_path):
+    # Each key of a Python processor costs some milliseconds, and there are ten keys for each image.
+    arrive(spark, points(3, 12), str(tmp_path / "in"), 1)
+    plan = detections.close_pairs(stream(spark, str(tmp_path / "in")))._jdf.queryExecution().analyzed().toString()
+    assert "Join Inner" in plan and "TransformWithState" not in plan
