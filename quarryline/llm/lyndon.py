@@ -123,11 +123,14 @@ class _Groups:
                 root = up
             j = j[root]
         before[members] = j
-        target, count = np.unique(j[j >= 0], return_counts=True)
-        if not len(target):
+        # The pointers ascend as the members do: no member of the group lies between one and what it points to.
+        j = j[np.searchsorted(j, 0) :]
+        if not len(j):
             return
+        runs = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
+        target, count = j[runs], np.diff(np.append(runs, len(j)))
         g = group[target]
-        order = np.lexsort((count, g))
+        order = np.argsort(g * (len(j) + 1) + count)  # below the square of the text's length
         target, count, g = target[order], count[order], g[order]
         new_g = np.concatenate([[True], g[1:] != g[:-1]])
         first = np.flatnonzero(new_g)
@@ -191,12 +194,12 @@ class _Groups:
             return
         node, nth = np.concatenate(nodes), np.concatenate(owners)
         if len(nodes) > 1:  # who comes first has the node
-            order = np.lexsort((nth, node))
+            order = np.argsort(node * (end - k) + nth)
             node, nth = node[order], nth[order]
             once = np.concatenate([[True], node[1:] != node[:-1]])
             node, nth = node[once], nth[once]
         g = self.group[node]
-        order = np.lexsort((nth, g))
+        order = np.argsort(g * (end - k) + nth)
         node, g = node[order], g[order]
         first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         sizes = np.diff(np.append(first, len(g)))
@@ -213,6 +216,23 @@ def suffix_array(text: np.ndarray, batch: int = BATCH) -> np.ndarray:
     return groups.order(batch)
 
 
+def _same(raw: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """Whether the window at each place has the bytes of that at the place before, eight at a time; the last eight
+    may overlap those before them."""
+    wide = min(8, window)
+    words = np.ndarray(len(raw) - wide + 1, f"V{wide}" if wide < 8 else np.uint64, raw, strides=(1,))
+    steps = [*range(0, window - wide, wide), window - wide]
+    same = np.zeros(len(at), bool)
+    for lo in range(1, len(at), 1 << 14):
+        some = at[lo - 1 : lo + (1 << 14)].astype(np.int64)
+        alike = np.ones(len(some) - 1, bool)
+        for step in steps:
+            w = words[some + step]
+            alike &= w[1:] == w[:-1]
+        same[lo : lo + len(alike)] = alike
+    return same
+
+
 def least_docs(contents: list[bytes], docs: np.ndarray, window: int) -> list[np.ndarray]:
     """For each content the least doc that has each of its windows: neighbours in the suffix array that agree in a
     whole window are one run, and the run's least doc is that of all its windows."""
@@ -230,12 +250,7 @@ def least_docs(contents: list[bytes], docs: np.ndarray, window: int) -> list[np.
     sa = sa[left[sa] >= window]
     least = np.full(len(text), repeats.LAST)
     if len(sa):
-        views = np.lib.stride_tricks.sliding_window_view(text[:-1], window)
-        same = np.zeros(len(sa), bool)
-        for lo in range(1, len(sa), 1 << 14):
-            hi = min(len(sa), lo + (1 << 14))
-            same[lo:hi] = (views[sa[lo:hi]] == views[sa[lo - 1 : hi - 1]]).all(axis=1)
-        heads = np.flatnonzero(~same)
+        heads = np.flatnonzero(~_same(np.frombuffer(b"\0".join(contents), np.uint8), sa, window))
         doc = np.repeat(docs, sizes + 1)[sa]
         least[sa] = np.repeat(np.minimum.reduceat(doc, heads), np.diff(np.append(heads, len(sa))))
     return [least[b : b + max(0, n - window + 1)] for b, n in zip(begin, sizes)]

@@ -39,6 +39,8 @@ WINDOW = 50
 PIECE = 25
 #: Bytes of text of a block and of the texts whose anchors a bucket holds, on average.
 BLOCK_BYTES, BUCKET_BYTES = 1 << 20, 1 << 22
+#: Bytes of text whose pieces are hashed together: the arrays stay in a core's cache, and short texts share the calls.
+TOGETHER = 1 << 15
 #: Blocks of text for each shard of an engine.
 SHARD_BLOCKS = 20
 #: A stretch is cut at a window whose hash has this many bits of zero, for bytes and for words.
@@ -55,26 +57,53 @@ _ENTRY = "block long, k long, route long, doc long, data binary, members array<s
 _DONE = "doc_id long, units long, removed long, spans long, sha string"
 
 
-def units_of(text: bytes, words: bool) -> np.ndarray:
-    raw = np.frombuffer(text, np.uint8)
-    return tk.word_hashes(raw)[0] if words else tk.BYTE[raw]
+def units_of(texts: list[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the units of some texts, one after the other, and how many each text has."""
+    if words:
+        raw, starts = tk.joined(texts)
+        units, start, _ = tk.word_hashes(raw)
+        return units, np.diff(np.searchsorted(start, starts))
+    return tk.BYTE[np.frombuffer(b"".join(texts), np.uint8)], np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def anchors(texts: list[bytes], words: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text the hashes of all pieces; the first window of each run of windows with one anchor, the anchors, and
+    a hash of all that the windows of the run hold. Short texts are worked on together."""
+    for i, j in tk.slices(texts, TOGETHER):
+        yield from _anchors(*units_of(texts[i:j], words))
 
 
-def anchors(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of all pieces; the first window of each run of windows with one anchor, the anchors, and a hash of all
-    that the windows of the run hold."""
+def _anchors(units: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     n, span = len(units), WINDOW - PIECE + 1
-    if n < WINDOW:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint32)
+    some = np.flatnonzero(sizes >= WINDOW)
+    if not len(some):
+        yield from [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint32))] * len(sizes)
+        return
+    begin = np.cumsum(sizes) - sizes
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(units * tk.powers(tk.BASE, n), out=total[1:])
     back = tk.powers(tk.INVERSE, n)
-    pieces = tk.mix_once((total[PIECE:] - total[:-PIECE]) * back[: n - PIECE + 1])
+    pieces = total[PIECE:] - total[:-PIECE]
+    pieces *= back[: n - PIECE + 1]
+    pieces = tk.mix_once(pieces)
     least = tk.sliding_min(pieces, span)
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    end = np.append(first[1:], len(least)) + (WINDOW - 1)
+    new = np.empty(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[begin[some]] = True
+    new[0] = True
+    first = np.flatnonzero(new)
+    # Runs end with their text, and windows of two texts are none.
+    owner = np.searchsorted(begin[some], first, side="right") - 1
+    stop = np.where(owner >= 0, (begin + sizes)[some][owner] - (WINDOW - 1), 0)
+    end = np.minimum(np.append(first[1:], len(least)), stop)
+    own = end > first
+    first, end, owner = first[own], end[own] + (WINDOW - 1), some[owner[own]]
     around = tk.mix_once((total[end] - total[first]) * back[first] + end.astype(np.uint64) - first.astype(np.uint64))
-    return pieces, first, tk.mix(least[first]), (around >> np.uint64(32)).astype(np.uint32)
+    around, least = (around >> np.uint64(32)).astype(np.uint32), tk.mix(least[first])
+    cut = np.searchsorted(owner, np.arange(len(sizes) + 1)).tolist()
+    first -= begin[owner]
+    for at, size, i, j in zip(begin.tolist(), sizes.tolist(), cut, cut[1:]):
+        yield pieces[at : at + size - PIECE + 1] if i < j else pieces[:0], first[i:j], least[i:j], around[i:j]
 
 
 def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int, int, str]:
@@ -92,29 +121,32 @@ def result(text: bytes, words: bool, gone: np.ndarray | None) -> tuple[int, int,
 
 
 class _Prints:
-    """The distinct hashes of a block, in order, which of them two of its documents have, for each document which of
-    them its hashes are and, if it is given, what is around them and whether that differs."""
+    """The distinct hashes of a block, in order, and for each document which of them its hashes are. Only marks() asks
+    which of them two documents have and, if it is given, what is around them and whether that differs."""
 
     def __init__(self, hashes: list[np.ndarray], docs: list[int], around: list[np.ndarray] | None = None):
         every = np.concatenate([*hashes, np.empty(0, np.uint64)])
-        sizes = [len(h) for h in hashes]
-        d = np.repeat(np.asarray(docs, np.int64), sizes)
-        order = np.argsort(every)
-        h, d = every[order], d[order]
+        self.docs, self.sizes, self.around = docs, [len(h) for h in hashes], around
+        self.order = np.argsort(every)
+        h = every[self.order]
         new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
-        first = np.flatnonzero(new)
-        self.distinct = h[first]
-        self.several = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first) if len(h) else np.empty(0, bool)
+        self.first = np.flatnonzero(new)
+        self.distinct = h[self.first]
         nth = np.empty(len(h), np.int64)
-        nth[order] = np.cumsum(new) - 1
-        self.which = np.split(nth, np.cumsum(sizes)[:-1])
-        self.around, self.varied = None, None
-        if around is not None:
-            x = np.concatenate([*around, np.empty(0, np.uint32)])[order]
-            self.around = np.minimum.reduceat(x, first) if len(x) else x
-            self.varied = self.around != np.maximum.reduceat(x, first) if len(x) else np.empty(0, bool)
+        nth[self.order] = np.cumsum(new) - 1
+        self.which = np.split(nth, np.cumsum(self.sizes)[:-1])
+
+    def _least(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct hash the least of its values, and whether they differ."""
+        if not len(values):
+            return values, np.empty(0, bool)
+        values = values[self.order]
+        least = np.minimum.reduceat(values, self.first)
+        return least, least != np.maximum.reduceat(values, self.first)
 
     def marks(self, block: int, bits: int) -> pa.Table:
+        _, several = self._least(np.repeat(np.asarray(self.docs, np.int64), self.sizes))
+        around, varied = (None, None) if self.around is None else self._least(np.concatenate([*self.around, np.empty(0, np.uint32)]))
         bucket = (self.distinct >> np.uint64(64 - bits)).astype(np.int64)
         low = (self.distinct << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
@@ -123,9 +155,9 @@ class _Prints:
             {
                 "bucket": pa.array(bucket[cut], pa.int64()), "block": pa.array(np.full(len(cut), block), pa.int64()),
                 "prints": pa.array([low[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
-                "several": pa.array([np.packbits(self.several[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
-                "around": pa.array([b"" if self.around is None else self.around[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
-                "varied": pa.array([b"" if self.varied is None else np.packbits(self.varied[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "several": pa.array([np.packbits(several[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "around": pa.array([b"" if around is None else around[i:j].tobytes() for i, j in zip(cut, ends)], pa.binary()),
+                "varied": pa.array([b"" if varied is None else np.packbits(varied[i:j]).tobytes() for i, j in zip(cut, ends)], pa.binary()),
             }
         )
 
@@ -187,28 +219,31 @@ class _Block:
 
     def __init__(self, table: pa.Table, words: bool):
         self.row, self.doc, self.text = (table.column(c).to_pylist() for c in ("row", "doc", "text"))
-        found = [anchors(units_of(t, words)) for t in self.text]
+        found = list(anchors(self.text, words))
         self.pieces = [x[0] for x in found]
         self.first = [x[1] for x in found]
         self.prints = _Prints([x[2] for x in found], self.doc, [x[3] for x in found])
 
-    def shared(self, masks: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each document with shared anchors: its place, the windows that have them, their hashes and routes, and
-        whether they have to be asked for one by one."""
-        on, route, varied = self.prints.answers(masks, 1)
-        route[~on] = -1
+    def shared(self, masks: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each document with shared anchors: its place, the windows that have them, their routes, and whether they
+        have to be asked for one by one."""
+        _, route, varied = self.prints.answers(masks, 1)
         for k, which in enumerate(self.prints.which):
             own = route[which]
-            if (own >= 0).any():
-                p = self.pieces[k]
-                many = np.diff(np.append(self.first[k], len(p) - (WINDOW - PIECE)))
-                own, ask = np.repeat(own, many), np.repeat(varied[which], many)
-                at = np.flatnonzero(own >= 0)
-                yield k, at, tk.mix_once(p[at] * _GOLDEN + p[at + (WINDOW - PIECE)]), own[at], ask[at]
+            some = np.flatnonzero(own >= 0)
+            if len(some):
+                first = self.first[k]
+                many = np.append(first[1:], len(self.pieces[k]) - (WINDOW - PIECE))[some] - first[some]
+                at = np.arange(many.sum()) + np.repeat(first[some] - (np.cumsum(many) - many), many)
+                yield k, at, np.repeat(own[some], many), np.repeat(varied[which[some]], many)
+
+    def hashes(self, k: int, at: np.ndarray) -> np.ndarray:
+        p = self.pieces[k]
+        return tk.mix_once(p[at] * _GOLDEN + p[at + (WINDOW - PIECE)])
 
     def windows(self, masks: pa.Table) -> tuple[list[tuple], _Prints]:
         found = list(self.shared(masks))
-        return found, _Prints([h[ask] for _, _, h, _, ask in found], [self.doc[k] for k, *_ in found])
+        return found, _Prints([self.hashes(k, at[ask]) for k, at, _, ask in found], [self.doc[k] for k, *_ in found])
 
 
 def _mark(words: bool, bits: int) -> Callable:
@@ -245,11 +280,12 @@ def _entries(words: bool) -> Callable:
         found, prints = b.windows(masks)
         on, _, _ = prints.answers(masks, 2)
         entries: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        for (k, at, h, route, ask), which in zip(found, prints.which):
+        for (k, at, route, ask), which in zip(found, prints.which):
             good = ~ask
             good[ask] = on[which]
+            at, route = at[good], route[good]
             units = b.text[k].split() if words else b.text[k]
-            for i, j, r in zip(*(x.tolist() for x in _stretches(at[good], h[good], route[good], CUT_BITS[words]))):
+            for i, j, r in zip(*(x.tolist() for x in _stretches(at, b.hashes(k, at), route, CUT_BITS[words]))):
                 part = units[i : j + WINDOW]
                 entries.setdefault((r, b" ".join(part) if words else part), []).append((b.doc[k], b.row[k], i))
         least = [min(m)[0] for m in entries.values()]

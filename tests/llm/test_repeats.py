@@ -115,3 +115,33 @@ def test_index_counts_patterns():
             for c in text[at : at + n][::-1]:
                 lo, hi = index.step(np.array([c]), lo, hi)
             assert hi[0] - lo[0] == sum((text[k : k + n] == text[at : at + n]).all() for k in range(len(text) - n + 1))
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    """The hashes of a text are those it has alone, in far fewer calls than there are texts."""
+    rng = random.Random(3)
+    texts = [b"", b"x" * 49, b"x" * 50, b"y " * 60, b"", b"q" * 40000, b"z" * 7]
+    texts += [bytes(rng.choice(b"ab \n") for _ in range(rng.randint(0, 300))) for _ in range(400)]
+    least, calls = repeats.tk.sliding_min, []
+    monkeypatch.setattr(repeats.tk, "sliding_min", lambda x, width: calls.append(width) or least(x, width))
+    for words in (False, True):
+        calls.clear()
+        together = list(repeats.anchors(texts, words))
+        assert len(together) == len(texts) and len(calls) <= 10
+        for text, got in zip(texts, together):
+            [alone] = repeats.anchors([text], words)
+            assert all(a.tolist() == b.tolist() for a, b in zip(alone, got))
+            # Equal runs have equal hashes, and runs cover all windows.
+            units = len(text.split()) if words else len(text)
+            assert len(got[0]) == (units - repeats.PIECE + 1 if units >= WINDOW else 0)
+            assert got[1][:1].tolist() == [0] * (units >= WINDOW) and (np.diff(got[1]) > 0).all()
+
+
+def test_neighbours_that_agree_in_a_window():
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 99, 3000).astype(np.uint8)
+    for window in (1, 3, 8, 9, 13):
+        at = rng.integers(0, len(raw) - window + 1, 20000)
+        views = np.lib.stride_tricks.sliding_window_view(raw, window)
+        want = np.append(False, (views[at[1:]] == views[at[:-1]]).all(axis=1))
+        assert (lyndon._same(raw, at, window) == want).all()
