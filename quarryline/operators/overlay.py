@@ -6,7 +6,8 @@ of the crossings left of it in the cell's row, a running sum over the cells of t
 they cross, equal ones are added up, and a piece stays if one side is outside and the other is not; it is turned so that the
 inside is on its left. Pieces are chained in their cell, chains are linked across cells by the points where they meet, and
 the chains of a ring are put in their order by doubling steps. A cell with more than LIMIT pieces is cut again into smaller
-ones, so no task holds more than that.
+ones, so no task holds more than that. Joins are merged by hint: pieces, cells and chains are many for a row of polygons, which
+Spark's estimates leave out, so it would broadcast them through the driver.
 """
 
 from __future__ import annotations
@@ -226,16 +227,16 @@ def boundaries(polygons: DataFrame, keys: list[str], ring: str = "ring", cell: i
         sums = sums.select(*place, (F.coalesce(F.sum("whole").over(row), F.lit(0)) + F.col("part")).alias("winds"), "n")
         if parents is not None:
             up = parents.select(*keys, F.col("cx").alias("ux"), F.col("cy").alias("uy"))
-            sums = sums.withColumn("ux", F.floor(F.col("cx") / PARTS)).withColumn("uy", F.floor(F.col("cy") / PARTS)).join(up, [*keys, "ux", "uy"], "left_semi").drop("ux", "uy")
+            sums = sums.withColumn("ux", F.floor(F.col("cx") / PARTS)).withColumn("uy", F.floor(F.col("cy") / PARTS)).hint("merge").join(up, [*keys, "ux", "uy"], "left_semi").drop("ux", "uy")
         sums = spatial.checkpointed(sums)
         crowded = (F.col("n") > limit) & F.lit(side // PARTS >= LEAST and side % PARTS == 0)
-        own = cut_up.join(sums.filter(~crowded).select(*place, "winds"), place)
+        own = cut_up.hint("merge").join(sums.filter(~crowded).select(*place, "winds"), place)
         found.append(spatial.checkpointed(own.groupBy(*place).applyInArrow(solve(side), f"{head}, {_CHAIN}")))
         parents = sums.filter(crowded).select(*place)
         if not parents.limit(1).count():
             break
         # Only keys with a crowded cell are cut again.
-        edges, side = edges.join(parents.select(*keys).distinct(), keys, "left_semi"), side // PARTS
+        edges, side = edges.hint("merge").join(parents.select(*keys).distinct(), keys, "left_semi"), side // PARTS
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
@@ -257,12 +258,14 @@ def _rings(every: DataFrame, keys: list[str], side: int, head: str) -> DataFrame
     after = spatial.checkpointed(after.select(F.col("in").alias("id"), "next"))
     roots = spatial.components(after.filter("id <> next").select(F.lit(0).alias("image"), F.least("id", "next").alias("a"), F.greatest("id", "next").alias("b")).distinct())
     # Steps to the chain that a ring starts with, twice as far each turn.
-    way = after.join(roots.select(F.col("idx").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    way = after.hint("merge").join(roots.select(F.col("idx").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     way = spatial.checkpointed(way.select("id", "root", F.when(F.col("next") != F.col("root"), F.col("next")).alias("next"), F.lit(1).cast("long").alias("steps")))
     while way.filter("next is not null").limit(1).count():
         on = way.select(F.col("id").alias("next"), F.col("next").alias("further"), F.col("steps").alias("more"))
-        way = spatial.checkpointed(way.join(on, "next", "left").select("id", "root", F.col("further").alias("next"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")))
-    placed = numbered.join(way.select("id", "root", "steps"), "id", "left").select(*keys, F.coalesce("root", "id").alias("part"), F.struct((-F.coalesce("steps", F.lit(0))).alias("at"), "xs", "ys").alias("chain"))
+        # Chains that are at the start stay out of the join: they have no key, and would meet in one task.
+        moved = way.filter("next is not null").hint("merge").join(on, "next", "left").select("id", "root", F.col("further").alias("next"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))
+        way = spatial.checkpointed(moved.unionByName(way.filter("next is null")))
+    placed = numbered.hint("merge").join(way.select("id", "root", "steps"), "id", "left").select(*keys, F.coalesce("root", "id").alias("part"), F.struct((-F.coalesce("steps", F.lit(0))).alias("at"), "xs", "ys").alias("chain"))
     whole = placed.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("chain")).alias("chains"))
     flat = whole.select(*keys, "part", F.flatten("chains.xs").alias("xs"), F.flatten("chains.ys").alias("ys"))
 

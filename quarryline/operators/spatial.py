@@ -113,14 +113,14 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def _spread(pairs: DataFrame) -> DataFrame:
     """Components by turns: least labels travel along the pairs and jump to their labels' labels, so chains shrink by
-    half and more in a turn."""
+    half and more in a turn. Labels are as many as there are ends of pairs, whatever Spark's estimate, so they are merged."""
     edges = checkpointed(pairs.select("image", "a", "b").unionByName(pairs.select("image", F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = edges.groupBy("image", F.col("a").alias("idx")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
     labels = checkpointed(labels)
     while True:
-        around = edges.join(labels.select("image", F.col("idx").alias("b"), "root"), ["image", "b"]).groupBy("image", F.col("a").alias("idx")).agg(F.min("root").alias("near"))
+        around = edges.hint("merge").join(labels.select("image", F.col("idx").alias("b"), "root"), ["image", "b"]).groupBy("image", F.col("a").alias("idx")).agg(F.min("root").alias("near"))
         far = labels.select("image", F.col("idx").alias("root"), F.col("root").alias("far"))
-        new = labels.join(around, ["image", "idx"]).join(far, ["image", "root"], "left")
+        new = labels.hint("merge").join(around, ["image", "idx"]).hint("merge").join(far, ["image", "root"], "left")
         new = checkpointed(new.select("image", "idx", F.least("root", "near", F.coalesce("far", "root")).alias("new"), "root"))
         if not new.filter("new <> root").limit(1).count():
             return new.select("image", "idx", F.col("new").alias("root"))

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +123,22 @@ def test_empty_and_null(spark):
 def test_perimeter(spark):
     df = frame(spark, [[(0, 0), (4, 0), (4, 3), (0, 3)]], ["x"])
     assert df.select(overlay.perimeter(F.col("ring")).alias("p")).first().p == 14 and df.select(F.size(spatial.edges_of(F.col("ring"))).alias("n")).first().n == 4
+
+
+def test_no_join_is_broadcast(spark, monkeypatch, tmp_path):
+    """Pieces, cells, chains and labels grow with the polygons, and go through no driver, however small Spark thinks they are.
+    Only the images of more than GRAPH pairs may."""
+    plans, whole = [], spatial.checkpointed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df)
+
+    monkeypatch.setattr(spatial, "checkpointed", seen)
+    monkeypatch.setattr(spatial, "GRAPH", 1)
+    rings = shapes(3, 30, 150)
+    frame(spark, rings, ["a"] * len(rings)).write.parquet(str(tmp_path / "rings"))
+    out = overlay.repaired(spark.read.parquet(str(tmp_path / "rings")), ["fid"], cell=16, limit=12)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    keys = [re.sub(r"#\d+", "", k) for p in plans for k in re.findall(r"BroadcastHashJoin \[(.*?)\]", p)]
+    assert sum("SortMergeJoin" in p for p in plans) > 7 and set(keys) <= {"image"}
