@@ -13,7 +13,7 @@ Spark's estimates leave out, so it would broadcast them through the driver.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ OFFSET = 36_787
 PARTS = 8
 #: Side of a cell, pieces of a cell at most, and the side below which a cell is not cut any more.
 CELL, LIMIT, LEAST = 64, 512, 1000
+#: Pieces that are solved together, and pairs of them that are compared at once.
+PIECES, PAIRS = 4096, 1 << 16
 _ENDS = ["ax", "ay", "bx", "by"]
 _PIECE = "cx long, cy long, ax long, ay long, bx long, by long, whole int, part int, times int"
 _CHAIN = "closed boolean, sx long, sy long, tx long, ty long, ux long, uy long, ex long, ey long, xs array<long>, ys array<long>"
@@ -75,13 +77,26 @@ def point_of(side: int) -> np.ndarray:
     return np.array([int(side * 0.7639) | 1, int(side * 1.1459) | 1])
 
 
-def noded(p: np.ndarray, q: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pieces, each with how often it counts, split where they cross or touch, until only ends are shared. A crossing is rounded to whole numbers, which
-    may move a piece over another, so it is looked at again."""
+def _met(cell: np.ndarray, behind: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of pieces of the same cell, whose pieces are neighbours, in parts of some PAIRS: each piece with those behind it, or with all."""
+    first = np.arange(1, len(cell) + 1) if behind else np.searchsorted(cell, cell)
+    n = np.searchsorted(cell, cell, "right") - first
+    for own in np.split(np.arange(len(cell)), np.flatnonzero(np.diff(np.cumsum(n) // PAIRS)) + 1):
+        i, skip = np.repeat(own, n[own]), np.repeat(np.cumsum(n[own]) - n[own], n[own])
+        yield i, np.repeat(first[own], n[own]) + np.arange(len(i)) - skip
+
+
+def noded(p: np.ndarray, q: np.ndarray, times: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pieces of cells, each with how often it counts and the number of its cell, split where those of a cell cross or touch, until only
+    ends are shared. A crossing is rounded to whole numbers, which may move a piece over another, so its cell is looked at again. Cells that
+    are done come first."""
+    done = []
     while True:
         n = len(p)
         low, high = np.minimum(p, q), np.maximum(p, q)
-        i, j = np.nonzero(np.triu((low[:, None] <= high[None]).all(axis=2) & (low[None] <= high[:, None]).all(axis=2), 1))
+        (x0, y0), (x1, y1) = low.T.copy(), high.T.copy()
+        met = [(i[k], j[k]) for i, j in _met(cell, True) for k in [(x0[i] <= x1[j]) & (x0[j] <= x1[i]) & (y0[i] <= y1[j]) & (y0[j] <= y1[i])]]
+        i, j = (np.concatenate(v) for v in zip(*met))
         pj, qj, pi, qi = _sum(p[i], q[i], p[j]), _sum(p[i], q[i], q[j]), _sum(p[j], q[j], p[i]), _sum(p[j], q[j], q[i])
         cross = (np.sign(pj) * np.sign(qj) < 0) & (np.sign(pi) * np.sign(qi) < 0)
         k = np.flatnonzero(cross)
@@ -94,88 +109,156 @@ def noded(p: np.ndarray, q: np.ndarray, times: np.ndarray) -> tuple[np.ndarray,
             at.append(end[on])
         who, at = np.concatenate(who), np.concatenate(at)
         new = (at != p[who]).any(axis=1) & (at != q[who]).any(axis=1)
-        if not new.any():
-            return p, q, times
+        busy = np.isin(cell, cell[who[new]])
+        done.append((p[~busy], q[~busy], times[~busy], cell[~busy]))
+        if not busy.any():
+            return tuple(np.concatenate(v) for v in zip(*done))
         who, at = np.concatenate([np.arange(n), np.arange(n), who[new]]), np.concatenate([p, q, at[new]])
         along = ((at - p[who]) * (q[who] - p[who])).sum(axis=1)
         order = np.lexsort((along, who))
         who, at = who[order], at[order]
-        kept = (who[1:] == who[:-1]) & (at[1:] != at[:-1]).any(axis=1)
-        p, q, times = at[:-1][kept], at[1:][kept], times[who[:-1][kept]]
+        kept = (who[1:] == who[:-1]) & (at[1:] != at[:-1]).any(axis=1) & busy[who[1:]]
+        p, q, times, cell = at[:-1][kept], at[1:][kept], times[who[:-1][kept]], cell[who[:-1][kept]]
 
 
-def border(p: np.ndarray, q: np.ndarray, times: np.ndarray, point: np.ndarray, winds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of noded pieces those with the outside on one side alone, the inside on the left; `point` is twice the place of a
-    point that the rings wind around `winds` times."""
+def border(p: np.ndarray, q: np.ndarray, times: np.ndarray, cell: np.ndarray, point: np.ndarray, winds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of noded pieces those with the outside on one side alone, the inside on the left, and their cells; `point` is twice the place
+    of a point in each cell that the rings wind around `winds` times, a number for each cell."""
     turned = (p[:, 0] > q[:, 0]) | ((p[:, 0] == q[:, 0]) & (p[:, 1] > q[:, 1]))
-    ends = np.where(turned[:, None], np.hstack([q, p]), np.hstack([p, q]))
-    ends, number = np.unique(ends, axis=0, return_inverse=True)
-    step = np.rint(np.bincount(number.ravel(), np.where(turned, -times, times), len(ends))).astype(np.int64)
-    ends, step = ends[step != 0], step[step != 0]
-    p, q = ends[:, :2], ends[:, 2:]
+    ends = np.column_stack([cell, np.where(turned[:, None], np.hstack([q, p]), np.hstack([p, q]))])
+    order = np.lexsort(ends.T[::-1])
+    ends = ends[order]
+    first = np.concatenate([[True], (ends[1:] != ends[:-1]).any(axis=1)])[: len(ends)]
+    step = np.rint(np.bincount(np.cumsum(first) - 1, np.where(turned, -times, times)[order])).astype(np.int64)
+    ends, step = ends[first][step != 0], step[step != 0]
+    cell, p, q = ends[:, 0], ends[:, 1:3], ends[:, 3:]
     own = _sum(2 * p, 2 * q, point[None]) > 0
-    left = np.empty(len(p), np.int64)
-    for at in range(0, len(p), 256):
-        m = (p + q)[at : at + 256]
-        side = _sum(2 * p[None], 2 * q[None], m[:, None])
+    w = winds[cell]
+    for i, j in _met(cell, False):
+        m = (p + q)[i]
+        side = _sum(2 * p[j], 2 * q[j], m)
         way = point - m
-        pside, qside = (way[:, None, 0] * (2 * v[None, :, 1] - m[:, None, 1]) - way[:, None, 1] * (2 * v[None, :, 0] - m[:, None, 0]) >= 0 for v in (p, q))
-        crossed = (pside != qside) & (side != 0) & ((side > 0) != own[None])
-        w = winds + (np.where(side > 0, step[None], -step[None]) * crossed).sum(axis=1)
-        left[at : at + 256] = np.where(own[at : at + 256], w, w + step[at : at + 256])
+        pside, qside = (way[:, 0] * (2 * v[j, 1] - m[:, 1]) - way[:, 1] * (2 * v[j, 0] - m[:, 0]) >= 0 for v in (p, q))
+        crossed = (pside != qside) & (side != 0) & ((side > 0) != own[j])
+        w = w + np.rint(np.bincount(i, np.where(side > 0, step[j], -step[j]) * crossed, len(p))).astype(np.int64)
+    left = np.where(own, w, w + step)
     right = left - step
     kept = (left != 0) != (right != 0)
     back = (left == 0)[kept][:, None]
-    return np.where(back, q[kept], p[kept]), np.where(back, p[kept], q[kept])
-
-
-def chains(p: np.ndarray, q: np.ndarray, inner: Callable[[tuple], bool]) -> Iterator[tuple[bool, list]]:
-    """Whether it is closed and the points of each chain of pieces through inner points. A piece goes on with the first one
-    clockwise, so that rings that touch in a point stay apart."""
-    starts, ends = list(map(tuple, p.tolist())), list(map(tuple, q.tolist()))
-    around: dict[tuple, list] = defaultdict(list)
-    for k, (a, b) in enumerate(zip(starts, ends)):
-        around[a].append((np.arctan2(b[1] - a[1], b[0] - a[0]), True, k))
-        around[b].append((np.arctan2(a[1] - b[1], a[0] - b[0]), False, k))
-    after: dict[int, int] = {}
-    for node, rays in around.items():
-        if inner(node):
-            rays.sort(reverse=True)
-            for k, (_, out, piece) in enumerate(rays):
-                if not out:
-                    after[piece] = next(r[2] for r in rays[k + 1 :] + rays[: k + 1] if r[1])
-    first = set(range(len(starts))) - set(after.values())
-    seen: set[int] = set()
-    for k in [*sorted(first), *range(len(starts))]:
-        if k in seen:
+    return np.where(back, q[kept], p[kept]), np.where(back, p[kept], q[kept]), cell[kept]
+
+
+def chains(p: np.ndarray, q: np.ndarray, cell: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chains of the pieces of cells through points inside them: the pieces of one after the other, how many each has, and whether it is
+    closed. A piece goes on with the first one clockwise, so that rings that touch in a point stay apart."""
+    n = len(p)
+    nodes = np.column_stack([np.tile(cell, 2), np.concatenate([p, q])])
+    order = np.lexsort(nodes.T[::-1])
+    nodes = nodes[order]
+    first = np.concatenate([[True], (nodes[1:] != nodes[:-1]).any(axis=1)])[: 2 * n]
+    node = np.empty(2 * n, np.int64)
+    node[order] = np.cumsum(first) - 1
+    start, end = node[:n], node[n:]
+    nodes = nodes[first]
+    inner = ((nodes[:, 1:] > 0) & (nodes[:, 1:] < side)).all(axis=1)
+    outs, ins = np.bincount(start, minlength=len(nodes)), np.bincount(end, minlength=len(nodes))
+    one = inner & (outs == 1) & (ins == 1)
+    out = np.empty(len(nodes), np.int64)
+    out[start] = np.arange(n)
+    after = np.where(one[end], out[end], -1)
+    there, back = (np.arctan2(v[:, 1], v[:, 0]) for v in ((q - p).astype(float), (p - q).astype(float)))
+    around: dict[int, list] = defaultdict(list)
+    many = inner & ~one
+    for k in np.flatnonzero(many[start]).tolist():
+        around[start[k]].append((there[k], True, k))
+    for k in np.flatnonzero(many[end]).tolist():
+        around[end[k]].append((back[k], False, k))
+    for rays in around.values():
+        rays.sort(reverse=True)
+        for k, (_, away, piece) in enumerate(rays):
+            if not away:
+                after[piece] = next(r[2] for r in rays[k + 1 :] + rays[: k + 1] if r[1])
+    free = np.setdiff1d(np.arange(n), after)
+    seen, on = bytearray(n), after.tolist()
+    line: list[int] = []
+    long: list[int] = []
+    closed: list[bool] = []
+    for turn, at in enumerate([*free.tolist(), *range(n)]):
+        if seen[at]:
             continue
-        line, at = [starts[k]], k
-        while at not in seen:
-            seen.add(at)
-            line.append(ends[at])
-            if at not in after:
-                break
-            at = after[at]
-        yield k not in first, line
-
-
-def _ring_of(xs: np.ndarray, ys: np.ndarray, side: int) -> tuple[list[float], list[float], float]:
-    """The coordinates and the area of a closed ring, without the points that lines of cells added."""
-    xy = np.column_stack([xs, ys])
-    xy = xy[:-1] if len(xy) > 1 and (xy[0] == xy[-1]).all() else xy
-    xy = xy[(xy != np.roll(xy, 1, axis=0)).any(axis=1)]
-    while len(xy) > 3:
-        before, after = np.roll(xy, 1, axis=0), np.roll(xy, -1, axis=0)
-        wide = np.hypot(*(after - before).T.astype(float))
-        on = ((xy - OFFSET) % side == 0).any(axis=1) & (np.abs(_sum(before.astype(float), after.astype(float), xy.astype(float))) <= 2 * wide)
-        on &= ((xy - before) * (after - xy)).sum(axis=1) > 0
-        on[1:] &= ~on[:-1]  # of neighbours one at a time
+        begun = len(line)
+        while at >= 0 and not seen[at]:
+            seen[at] = 1
+            line.append(at)
+            at = on[at]
+        long.append(len(line) - begun)
+        closed.append(turn >= len(free))
+    return np.array(line, np.int64), np.array(long, np.int64), np.array(closed, bool)
+
+
+def _cells(columns: list[pa.Array]) -> np.ndarray:
+    """The numbers, from 0, of the cells of rows that are sorted by these columns."""
+    codes = [c.dictionary_encode().indices.to_numpy() for c in columns]
+    return np.cumsum(np.concatenate([[0], np.any([c[1:] != c[:-1] for c in codes], axis=0)]))
+
+
+def _whole_cells(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Some PIECES rows at a time, of whole cells, and their cells' numbers; rows are sorted by the first `width` columns, which tell
+    a cell."""
+    held: list[pa.RecordBatch] = []
+    n, most = 0, PIECES
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= most:
+            rows = pa.concat_batches(held)
+            cell = _cells(rows.columns[:width])
+            last = int(np.searchsorted(cell, cell[-1]))
+            if last:
+                yield rows.slice(0, last), cell[:last]
+            held, n = [rows.slice(last)], n - last
+            most = max(PIECES, 2 * n)
+    if n:
+        rows = pa.concat_batches(held)
+        yield rows, _cells(rows.columns[:width])
+
+
+def _rings_of(xs: pa.ListArray, ys: pa.ListArray, side: int) -> tuple[pa.ListArray, pa.Array]:
+    """The coordinates and the areas of closed rings, without the points that lines of cells added."""
+    long = xs.value_lengths().to_numpy()
+    own = np.repeat(np.arange(len(long)), long)
+    xy = np.column_stack([v.flatten().to_numpy() for v in (xs, ys)])
+
+    def around() -> tuple[np.ndarray, np.ndarray]:
+        """The points before and after each in its ring."""
+        n = np.bincount(own, minlength=len(long))
+        ends = np.cumsum(n)[n > 0]
+        before, after = np.arange(len(own)) - 1, np.arange(len(own)) + 1
+        before[ends - n[n > 0]], after[ends - 1] = ends - 1, ends - n[n > 0]
+        return before, after
+
+    after = around()[1]
+    more = (after > np.arange(len(own))) | (xy != xy[after]).any(axis=1)  # the last point may be the first one again
+    xy, own = xy[more], own[more]
+    more = (xy != xy[around()[0]]).any(axis=1)
+    xy, own = xy[more], own[more]
+    while True:
+        before, after = around()
+        on = ((xy - OFFSET) % side == 0).any(axis=1) & (np.bincount(own, minlength=len(long))[own] > 3)
+        k = np.flatnonzero(on)
+        a, b, c = xy[before[k]], xy[after[k]], xy[k]
+        wide = np.hypot(*(b - a).T.astype(float))
+        on[k] = (np.abs(_sum(a.astype(float), b.astype(float), c.astype(float))) <= 2 * wide) & (((c - a) * (b - c)).sum(axis=1) > 0)
+        on &= ~(on[before] & (before < np.arange(len(own))))  # of neighbours one at a time
         if not on.any():
             break
-        xy = xy[~on]
-    own = (xy - xy[0]).astype(float)
-    area = float((own[:, 0] * np.roll(own[:, 1], -1) - np.roll(own[:, 0], -1) * own[:, 1]).sum() / 2) / RESOLUTION**2
-    return (xy[:, 0] / RESOLUTION).tolist(), (xy[:, 1] / RESOLUTION).tolist(), area
+        xy, own = xy[~on], own[~on]
+    n = np.bincount(own, minlength=len(long))
+    ends = np.cumsum(n)
+    x, y = (xy - xy[(ends - n)[own]]).T.astype(float)
+    area = np.bincount(own, x * y[after] - x[after] * y, len(long)) / 2 / RESOLUTION**2
+    points = pa.StructArray.from_arrays([pa.array(v / RESOLUTION) for v in xy.T], names=["x", "y"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), points), pa.array(area)
 
 
 def boundaries(polygons: DataFrame, keys: list[str], ring: str = "ring", cell: int = CELL, limit: int = LIMIT) -> DataFrame:
@@ -202,18 +285,23 @@ def boundaries(polygons: DataFrame, keys: list[str], ring: str = "ring", cell: i
         return run
 
     def solve(side: int):
-        def run(table: pa.Table) -> pa.Table:
-            at = np.array([table.column(c)[0].as_py() for c in ("cx", "cy")]) * side + OFFSET
-            p, q = (np.column_stack([table.column(c).to_numpy() for c in names]) - at for names in (("ax", "ay"), ("bx", "by")))
-            p, q = border(*noded(p, q, table.column("times").to_numpy()), point_of(side), table.column("winds")[0].as_py())
-            rows: list[list] = [[] for _ in range(11)]
-            for closed, line in chains(p, q, lambda n: 0 < n[0] < side and 0 < n[1] < side):
-                xy = np.array(line) + at
-                for column, v in zip(rows, (closed, *xy[0].tolist(), *xy[1].tolist(), *xy[-2].tolist(), *xy[-1].tolist(), xy[:, 0].tolist(), xy[:, 1].tolist())):
-                    column.append(v)
-            types = [pa.bool_(), *[pa.int64()] * 8, *[pa.list_(pa.int64())] * 2]
-            own = [pa.array([table.column(k)[0].as_py()] * len(rows[0]), table.schema.field(k).type) for k in keys]
-            return pa.table([*own, *(pa.array(v, t) for v, t in zip(rows, types))], names=[*keys, *(c.split()[0] for c in _CHAIN.split(", "))])
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, cell in _whole_cells(batches, len(keys) + 2):
+                column = lambda *names: np.column_stack([rows.column(rows.schema.get_field_index(c)).to_numpy() for c in names])
+                first = np.flatnonzero(np.diff(cell, prepend=-1))
+                corner = column("cx", "cy")[first] * side + OFFSET
+                p, q = (column(*names) - corner[cell] for names in (("ax", "ay"), ("bx", "by")))
+                p, q, cell = border(*noded(p, q, column("times")[:, 0], cell), point_of(side), column("winds")[first, 0])
+                line, long, closed = chains(p, q, cell, side)
+                p, q = p + corner[cell], q + corner[cell]
+                ends = np.cumsum(long)
+                head, tail = line[ends - long], line[ends - 1]
+                xy = np.insert(q[line], ends - long, p[head], axis=0)
+                starts = pa.array(np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32))
+                own = [rows.column(k).take(pa.array(first[cell[head]])) for k in range(len(keys))]
+                points = [pa.array(v) for way in (p[head], q[head], p[tail], q[tail]) for v in way.T]
+                lists = [pa.ListArray.from_arrays(starts, pa.array(v)) for v in xy.T]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(closed), *points, *lists], names=[*keys, *(c.split()[0] for c in _CHAIN.split(", "))])
 
         return run
 
@@ -231,7 +319,9 @@ def boundaries(polygons: DataFrame, keys: list[str], ring: str = "ring", cell: i
         sums = spatial.checkpointed(sums)
         crowded = (F.col("n") > limit) & F.lit(side // PARTS >= LEAST and side % PARTS == 0)
         own = cut_up.hint("merge").join(sums.filter(~crowded).select(*place, "winds"), place)
-        found.append(spatial.checkpointed(own.groupBy(*place).applyInArrow(solve(side), f"{head}, {_CHAIN}")))
+        # Cells are many and small, so those of a task are solved together.
+        dealt = own.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *place).sortWithinPartitions(*place)
+        found.append(spatial.checkpointed(dealt.mapInArrow(solve(side), f"{head}, {_CHAIN}")))
         parents = sums.filter(crowded).select(*place)
         if not parents.limit(1).count():
             break
@@ -271,11 +361,8 @@ def _rings(every: DataFrame, keys: list[str], side: int, head: str) -> DataFrame
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, k = batch.num_rows, len(keys)
-            made = [_ring_of(np.asarray(batch.column(k + 1)[i].values), np.asarray(batch.column(k + 2)[i].values), side) for i in range(n)]
-            rings = [[{"x": x, "y": y} for x, y in zip(xs, ys)] for xs, ys, _ in made]
-            kind = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: k + 1], pa.array(rings, kind), pa.array([a for *_, a in made], pa.float64())], names=[*keys, "part", "ring", "area"])
+            k = len(keys)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: k + 1], *_rings_of(batch.column(k + 1), batch.column(k + 2), side)], names=[*keys, "part", "ring", "area"])
 
     return flat.mapInArrow(finish, f"{head}, part long, ring array<struct<x:double,y:double>>, area double").filter("area <> 0")
 

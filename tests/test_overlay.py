@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,56 @@ def test_no_join_is_broadcast(spark, monkeypatch, tmp_path):
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     keys = [re.sub(r"#\d+", "", k) for p in plans for k in re.findall(r"BroadcastHashJoin \[(.*?)\]", p)]
     assert sum("SortMergeJoin" in p for p in plans) > 7 and set(keys) <= {"image"}
+
+
+def test_cells_together_are_as_alone(monkeypatch):
+    """Pieces of many cells in one go, in parts of any size: the chains are those of each cell by itself."""
+    rng, side = np.random.default_rng(7), 1000
+    cells = []
+    for _ in range(40):
+        rings = [rng.integers(0, 11, (rng.integers(3, 8), 2)) * 100 for _ in range(rng.integers(1, 4))]
+        p, q = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+        some = (p != q).any(axis=1)
+        cells.append((p[some], q[some], np.ones(some.sum(), np.int64)))
+    winds = rng.integers(-1, 2, len(cells))
+
+    def solved(some):
+        own = np.repeat(np.arange(len(some)), [len(cells[c][0]) for c in some])
+        p, q, own = overlay.border(*overlay.noded(*(np.concatenate([cells[c][k] for c in some]) for k in range(3)), own), overlay.point_of(side), winds[some])
+        line, long, closed = overlay.chains(p, q, own, side)
+        out = []
+        for k, one in zip(np.split(line, np.cumsum(long)[:-1]), closed.tolist()):
+            assert len(set(own[k].tolist())) == 1 and (p[k[1:]] == q[k[:-1]]).all() and (not one or (p[k[0]] == q[k[-1]]).all())
+            out.append((some[own[k[0]]], one, p[k].tolist(), q[k].tolist()))
+        return sorted(out)
+
+    alone = sorted(x for c in range(len(cells)) for x in solved([c]))
+    assert {one for _, one, *_ in alone} == {True, False}
+    for pairs in (1 << 16, 50):
+        monkeypatch.setattr(overlay, "PAIRS", pairs)
+        assert solved(list(range(len(cells)))) == alone
+
+
+def test_cells_stay_whole(monkeypatch):
+    """A cell's rows come together, wherever batches end, also if they are more than PIECES."""
+    monkeypatch.setattr(overlay, "PIECES", 10)
+    rows = sorted((n, c, c // 2, k) for n in "ab" for c in range(12) for k in range(30 if c == 5 else c % 4))
+    table = pa.table([pa.array(v) for v in zip(*rows)], names=["name", "cx", "cy", "k"])
+    parts = list(overlay._whole_cells(table.to_batches(max_chunksize=7), 3))
+    assert pa.Table.from_batches([p for p, _ in parts]).equals(table) and len(parts) > 2
+    places = [{tuple(r[k] for k in ("name", "cx", "cy")) for r in p.to_pylist()} for p, _ in parts]
+    assert sum(map(len, places)) == len(set.union(*places)) and [len(p) for p in places] == [c[-1] + 1 for _, c in parts]
+    assert list(overlay._whole_cells(iter([]), 3)) == []
+
+
+def test_rings_of_a_batch():
+    """Points twice and those that lines of cells added go, the others stay; rings do not mix."""
+    at, side = overlay.OFFSET, 1000
+    square = [(0, 0), (500, 0), (1000, 0), (1500, 0), (1500, 0), (1500, 1500), (0, 1500), (0, 0)]
+    rings = [[(x + at, y + at) for x, y in r] for r in (square, [(7, 7), (1007, 7), (7, 1007)], square[::-1])]
+    xs, ys = (pa.array([[p[k] for p in r] for r in rings], pa.list_(pa.int64())) for k in (0, 1))
+    for skip in (0, 1):
+        ring, area = overlay._rings_of(xs.slice(skip), ys.slice(skip), side)
+        scaled = [[(round(p["x"] * 1e6) - at, round(p["y"] * 1e6) - at) for p in r] for r in ring.to_pylist()]
+        assert [set(r) for r in scaled] == [set(square) - {(1000, 0)}, {(7, 7), (1007, 7), (7, 1007)}, set(square) - {(1000, 0)}][skip:] and [len(r) for r in scaled] == [5, 3, 5][skip:]
+        assert np.allclose(area.to_numpy() * 1e12, [2250000, 500000, -2250000][skip:])
